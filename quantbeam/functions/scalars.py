@@ -19,7 +19,7 @@ def _c(x) -> Column:
 
 def parse_expiry(x) -> Column:
     """Expiry text -> DATE; anything unparseable (incl. '') -> NULL."""
-    return F.try_to_date(_c(x), F.lit(EXPIRY_FORMAT))
+    return F.try_to_date(_c(x), EXPIRY_FORMAT)
 
 
 def format_date(x) -> Column:
