@@ -1 +1,193 @@
-"""Placeholder; filled in below."""
+"""Checkable bar and indicator queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from quantbeam.operators import indicators as ind
+from quantbeam.operators import tokens as tk
+from quantbeam.plans.catalog import query
+from quantbeam.plans.oracle_ctes import register, with_ctes
+from quantbeam.schemas import WIDE_INDICATOR_COLUMNS
+from quantbeam.sources import adapters
+
+register("ranked_bars", ["bars"], """
+select *, row_number() over (partition by token order by timestamp desc) as rn from bars""")
+
+
+def _branch_sql(name: str, p: int) -> str:
+    k = ind.fetch_len(p)
+    w = "partition by token order by timestamp"
+    x = "cast(close as double)"
+    if name == "sma":
+        v = f"case when i >= {p - 1} then avg(close) over ({w} rows between {p - 1} preceding and current row) end"
+    elif name == "ema":
+        a = 2.0 / (p + 1)
+        q = 1.0 - a
+        v = (f"pow({q!r}, i) * sum(case when i = 0 then {x} else {a!r} * {x} * pow({q!r}, -i) end) "
+             f"over ({w} rows between unbounded preceding and current row)")
+    elif name == "rsi":
+        r = 1.0 - 1.0 / p
+        d = f"({x} - prev)"
+        run = f"over ({w} rows between unbounded preceding and current row)"
+        v = (f"case when i >= {p} then 100.0 * sum(greatest({d}, 0.0) * pow({r!r}, -i)) {run} "
+             f"/ nullif(sum(abs({d}) * pow({r!r}, -i)) {run}, 0.0) end")
+    else:
+        ret = f"({x} / prev - 1.0)"
+        v = (f"case when i >= {p} then stddev_samp({ret}) over ({w} rows between {p - 1} preceding and current row)"
+             f" * sqrt({ind.ANNUALISATION}) end")
+    return f"""
+select token, symbol_name, '{name}' as indicator_name, timestamp,
+       cast(cast({v} as decimal(18,6)) as double) as value, {p} as period
+from (select *, count(*) over (partition by token) as n, count(*) over (partition by token) - rn as i,
+             lag(cast(close as double)) over (partition by token order by timestamp) as prev
+      from ranked_bars where rn <= {k})
+where n >= {p}"""
+
+
+def _long_sql(configs) -> str:
+    parts = [f"select * from ({_branch_sql(n, p)}) where value is not null" for n, p in configs]
+    return "\nunion all\n".join(parts)
+
+
+register("ind_long", ["ranked_bars"], _long_sql(ind.ALL_CONFIGS))
+
+
+def _bars(spark, d):
+    return adapters.bars(spark, d)
+
+
+def _cfg(name):
+    return [(n, p) for n, p in ind.ALL_CONFIGS if n == name]
+
+
+@query("src_bars", with_ctes("bars") + """
+select token, symbol_name, timestamp, cast(open as double) as open, cast(high as double) as high,
+       cast(low as double) as low, cast(close as double) as close, volume from bars""")
+def q_bars(spark, d):
+    return _bars(spark, d)
+
+
+@query("fetch_window", with_ctes("ranked_bars") + """
+select token, timestamp, n, i from (
+  select *, count(*) over (partition by token) as n, count(*) over (partition by token) - rn as i
+  from ranked_bars where rn <= 300) where n >= 200""")
+def q_fetch_window(spark, d):
+    return ind.fetch_window(ind.rank_bars(_bars(spark, d), 300), 200).select("token", "timestamp", "n", "i")
+
+
+for _name in ["sma", "ema", "rsi", "volatility"]:
+    def _make(name):
+        def fn(spark, d):
+            return ind.indicators_long(_bars(spark, d), _cfg(name))
+        return fn
+    query(_name, with_ctes("ranked_bars") + _long_sql(_cfg(_name)))(_make(_name))
+
+
+@query("indicators_long", with_ctes("ind_long") + "select * from ind_long")
+def q_indicators_long(spark, d):
+    return ind.indicators_long(_bars(spark, d))
+
+
+@query("daily_return", with_ctes("bars") + """
+select token, timestamp,
+       cast(close as double) / lag(cast(close as double)) over (partition by token order by timestamp) - 1.0
+         as daily_return
+from bars""")
+def q_daily_return(spark, d):
+    return ind.daily_return(_bars(spark, d)).select("token", "timestamp", "daily_return")
+
+
+@query("drop_null_indicator", with_ctes("ranked_bars") + _long_sql([("rsi", 14)]))
+def q_drop_null_indicator(spark, d):
+    r = ind.rank_bars(_bars(spark, d), ind.fetch_len(14))
+    return ind.indicator_branch(r, "rsi", 14)
+
+
+@query("latest_bar_per_token", with_ctes("bars") + """
+select token, cast(max(timestamp) as date) as trade_date,
+       cast(max_by(close, timestamp) as double) as last_close, max_by(volume, timestamp) as last_volume
+from bars group by token""")
+def q_latest_bar_per_token(spark, d):
+    return ind.latest_bar_per_token(_bars(spark, d))
+
+
+@query("sort_bars_asc", with_ctes("bars") + """
+select token, timestamp, row_number() over (partition by token order by timestamp) as seq from bars""")
+def q_sort_bars_asc(spark, d):
+    from pyspark.sql import Window
+    w = Window.partitionBy("token").orderBy("timestamp")
+    return _bars(spark, d).select("token", "timestamp", F.row_number().over(w).alias("seq"))
+
+
+@query("latest_indicator_value", with_ctes("ind_long") + """
+select token, indicator_name, period, max_by(value, timestamp) as value, max(timestamp) as timestamp
+from ind_long group by 1, 2, 3""")
+def q_latest_indicator_value(spark, d):
+    return ind.latest_indicator_value(ind.indicators_long(_bars(spark, d)))
+
+
+_WIDE_SEL = ",\n       ".join(
+    f"max_by(value, timestamp) filter (where indicator_name || '_' || cast(period as varchar) = '{c}') as {c}"
+    for c in WIDE_INDICATOR_COLUMNS)
+
+register("latest_bar", ["bars"], """
+select token, cast(max(timestamp) as date) as trade_date, max_by(close, timestamp) as last_close,
+       max_by(volume, timestamp) as last_volume from bars group by token""")
+register("ind_pivot", ["ind_long", "latest_bar"], f"""
+select l.token, {_WIDE_SEL}
+from ind_long l join latest_bar b on l.token = b.token and cast(l.timestamp as date) = b.trade_date
+group by l.token""")
+register("ind_wide", ["token_master", "latest_bar", "ind_pivot"], f"""
+select t.token, t.name as symbol_name, b.trade_date,
+       {", ".join(f"cast(cast(p.{c} as decimal(18,6)) as double) as {c}" for c in WIDE_INDICATOR_COLUMNS)},
+       cast(b.last_close as double) as last_close, b.last_volume
+from token_master t join latest_bar b on t.token = b.token left join ind_pivot p on t.token = p.token
+where t.token_type = 'EQUITY'""")
+
+
+@query("indicator_pivot_wide", with_ctes("ind_pivot") + "select * from ind_pivot")
+def q_indicator_pivot_wide(spark, d):
+    b = _bars(spark, d)
+    return ind.indicator_pivot_wide(ind.indicators_long(b), ind.latest_bar_per_token(b))
+
+
+def _tm_equity(spark, d):
+    tm = tk.build_token_master(adapters.raw_instruments(spark, d)).drop("created_at")
+    return tm.where(F.col("token_type") == tk.TYPE_EQUITY)
+
+
+@query("indicators_wide", with_ctes("ind_wide") + "select * from ind_wide")
+def q_indicators_wide(spark, d):
+    b = _bars(spark, d)
+    return ind.indicators_wide(_tm_equity(spark, d), b, ind.indicators_long(b))
+
+
+@query("indicator_coverage", with_ctes("token_master", "ind_long") + f"""
+select c.indicator_name, c.period, count(l.token) as success, count(*) filter (where l.token is null) as errors,
+       count(*) as total, round(count(l.token) * 100.0 / count(*), 2) as success_rate
+from (select t.token, x.indicator_name, x.period from token_master t
+      cross join (values {", ".join(f"('{n}', {p})" for n, p in ind.ALL_CONFIGS)}) x(indicator_name, period)
+      where t.token_type = 'EQUITY') c
+left join (select distinct token, indicator_name, period from ind_long) l
+  on c.token = l.token and c.indicator_name = l.indicator_name and c.period = l.period
+group by 1, 2""")
+def q_indicator_coverage(spark, d):
+    return ind.indicator_coverage(_tm_equity(spark, d), ind.indicators_long(_bars(spark, d)))
+
+
+@query("bars_per_token", with_ctes("bars") + """
+select token, n_bars, sample_rank, timestamp, cast(close as double) as close from (
+  select token, timestamp, close, count(*) over (partition by token) as n_bars,
+         row_number() over (partition by token order by timestamp desc) as sample_rank from bars)
+where sample_rank <= 2""")
+def q_bars_per_token(spark, d):
+    return ind.bars_per_token(_bars(spark, d), 2)
+
+
+@query("filter_history_range", with_ctes("bars") + """
+select token, timestamp, cast(close as double) as close from bars
+where timestamp between timestamp '1995-01-01 09:15:00' and timestamp '1997-06-30 15:30:00'""")
+def q_filter_history_range(spark, d):
+    b = ind.filter_history_range(_bars(spark, d), "1995-01-01 09:15:00", "1997-07-01 10:00:00")
+    return b.select("token", "timestamp", "close")
