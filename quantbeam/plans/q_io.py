@@ -1 +1,398 @@
-"""Placeholder; filled in below."""
+"""Checkable upserts, sources, sinks and streams.
+
+Sources are checked by round trips: Spark writes the derived tables in
+the landing format to a scratch folder under the shared checkpoint
+location, the source reads them back, and the oracle is the SQL of the
+original table.
+"""
+
+from __future__ import annotations
+
+import os
+
+from pyspark.sql import functions as F
+
+from quantbeam.operators import indicators as ind
+from quantbeam.operators import ticks as tk_ops
+from quantbeam.operators import tokens as tk
+from quantbeam.operators import upserts as up
+from quantbeam.operators.filters import rows_as_json
+from quantbeam.plans.catalog import query
+from quantbeam.plans.oracle_ctes import register, with_ctes
+from quantbeam.plans.q_summary import _MS, _ms_cols, build_market_summary
+from quantbeam.schemas import TOKEN_MASTER_COLUMNS, WIDE_INDICATOR_COLUMNS
+from quantbeam.sources import adapters, landing, sinks
+from quantbeam.sources.tables import read_table
+from quantbeam.streaming import ticks_stream as st
+
+# ---- restated batches derived from the driver tables ---------------------------
+
+def _bars_sql(pred: str) -> str:
+    return f"""
+select 'E' || cast(l_suppkey as varchar) as token,
+       translate(cast(l_suppkey as varchar), '0123456789', 'ABCDEFGHIJ') as symbol_name,
+       cast(cast(l_shipdate as date) as timestamp) as timestamp,
+       cast(min_by(l_extendedprice, l_orderkey*1000000000 + l_linenumber*100000000 + l_partkey) as decimal(18,6)) as open,
+       cast(max(l_extendedprice) as decimal(18,6)) as high, cast(min(l_extendedprice) as decimal(18,6)) as low,
+       cast(max_by(l_extendedprice, l_orderkey*1000000000 + l_linenumber*100000000 + l_partkey) as decimal(18,6)) as close,
+       cast(sum(l_quantity) as bigint) as volume
+from lineitem where {pred} group by l_suppkey, cast(l_shipdate as date)"""
+
+
+register("bars_old", [], _bars_sql("l_returnflag in ('N', 'A')"))
+register("bars_new", [], _bars_sql("l_returnflag = 'R'"))
+
+
+def _bars_batch(spark, d, flags):
+    li = read_table(spark, d, "lineitem").where(F.col("l_returnflag").isin(*flags))
+    return adapters.bars(spark, d, lineitem=li)
+
+
+_BAR_COLS = ["open", "high", "low", "close"]
+
+
+@query("upsert_bars", with_ctes("bars_old", "bars_new") + f"""
+select coalesce(n.token, o.token) as token, coalesce(n.timestamp, o.timestamp) as timestamp,
+       case when n.token is not null then n.symbol_name else o.symbol_name end as symbol_name,
+       {", ".join(f"cast(case when n.token is not null then n.{c} else o.{c} end as double) as {c}" for c in _BAR_COLS)},
+       case when n.token is not null then n.volume else o.volume end as volume
+from bars_old o full outer join bars_new n on o.token = n.token and o.timestamp = n.timestamp""")
+def q_upsert_bars(spark, d):
+    return up.upsert_bars(_bars_batch(spark, d, ["N", "A"]), _bars_batch(spark, d, ["R"]))
+
+
+register("ticks_new", ["ticks"], """
+select exchange || '*' as exchange, trading_symbol, symbol_token, cast(ltp * 1.01 as decimal(18,6)) as ltp, open, high,
+       low, close, last_trade_qty, exch_feed_time, exch_trade_time, cast(1 as decimal(18,6)) as net_change,
+       cast(null as decimal(18,6)) as percent_change, avg_price, trade_volume + 1 as trade_volume, opn_interest,
+       lower_circuit, upper_circuit, tot_buy_quan, tot_sell_quan, cast(null as decimal(18,6)) as week_low_52,
+       week_high_52, '{}' as depth_json, timestamp
+from ticks where percent_change > 0
+union all
+select exchange, trading_symbol, symbol_token, ltp, open, high, low, close, last_trade_qty, exch_feed_time,
+       exch_trade_time, net_change, percent_change, avg_price, trade_volume, opn_interest, lower_circuit,
+       upper_circuit, tot_buy_quan, tot_sell_quan, week_low_52, week_high_52, depth_json,
+       timestamp + interval 1 second as timestamp
+from ticks where percent_change < -3""")
+
+
+def _ticks_new(spark, d):
+    t = adapters.ticks(spark, d)
+    restated = (t.where(F.col("percent_change") > 0)
+                 .withColumn("exchange", F.concat("exchange", F.lit("*")))
+                 .withColumn("ltp", (F.col("ltp") * F.lit(1.01)).cast("decimal(18,6)"))
+                 .withColumn("net_change", F.lit(1).cast("decimal(18,6)"))
+                 .withColumn("percent_change", F.lit(None).cast("decimal(18,6)"))
+                 .withColumn("trade_volume", F.col("trade_volume") + 1)
+                 .withColumn("week_low_52", F.lit(None).cast("decimal(18,6)"))
+                 .withColumn("depth_json", F.lit("{}")))
+    fresh = (t.where(F.col("percent_change") < -3)
+              .withColumn("timestamp", F.col("timestamp") + F.expr("interval 1 second")))
+    return restated.unionByName(fresh)
+
+
+_TICK_CMP = ["exchange", "trading_symbol", "symbol_token", "ltp", "net_change", "percent_change",
+             "trade_volume", "week_low_52", "depth_json", "timestamp"]
+
+
+def _upsert_ticks_sql() -> str:
+    sel = []
+    for c in _TICK_CMP:
+        if c in ("symbol_token", "timestamp"):
+            sel.append(f"coalesce(n.{c}, o.{c}) as {c}")
+            continue
+        src = ("n", "o") if c in up.TICK_UPDATE_COLUMNS else ("o", "n")
+        flag = "n" if c in up.TICK_UPDATE_COLUMNS else "o"
+        e = f"case when {flag}.symbol_token is not null then {src[0]}.{c} else {src[1]}.{c} end"
+        if c in ("ltp", "net_change", "percent_change", "week_low_52"):
+            e = f"cast({e} as double)"
+        sel.append(f"{e} as {c}")
+    return (with_ctes("ticks", "ticks_new") + f"select {', '.join(sel)} from ticks o full outer join ticks_new n "
+            "on o.symbol_token = n.symbol_token and o.timestamp = n.timestamp")
+
+
+@query("upsert_ticks_partial", _upsert_ticks_sql())
+def q_upsert_ticks_partial(spark, d):
+    return up.upsert_ticks_partial(adapters.ticks(spark, d), _ticks_new(spark, d)).select(*_TICK_CMP)
+
+
+register("rsi_old", ["ind_long"], "select * from ind_long where indicator_name = 'rsi'")
+register("rsi_new", ["rsi_old"], """
+select token, lower(symbol_name) as symbol_name, indicator_name, timestamp, 100.0 - value as value, period
+from rsi_old where value > 50""")
+
+
+def _rsi_old(spark, d):
+    return ind.indicators_long(adapters.bars(spark, d), [("rsi", 14), ("rsi", 21)])
+
+
+@query("upsert_indicators", with_ctes("rsi_old", "rsi_new") + """
+select o.token, o.indicator_name, o.period, o.timestamp,
+       case when n.token is not null then n.symbol_name else o.symbol_name end as symbol_name,
+       case when n.token is not null then n.value else o.value end as value
+from rsi_old o left join rsi_new n on o.token = n.token and o.indicator_name = n.indicator_name
+     and o.period = n.period and o.timestamp = n.timestamp""")
+def q_upsert_indicators(spark, d):
+    old = _rsi_old(spark, d)
+    new = (old.where(F.col("value") > 50).withColumn("symbol_name", F.lower("symbol_name"))
+              .withColumn("value", (F.lit(100) - F.col("value")).cast("decimal(18,6)")))
+    return up.upsert_indicators(old, new).select("token", "indicator_name", "period", "timestamp",
+                                                 "symbol_name", "value")
+
+
+def _wide(spark, d):
+    tm = tk.build_token_master(adapters.raw_instruments(spark, d))
+    bars = adapters.bars(spark, d)
+    return ind.indicators_wide(tm.where(F.col("token_type") == tk.TYPE_EQUITY), bars, ind.indicators_long(bars))
+
+
+def _wide_new(w):
+    return w.where(F.col("rsi_14") > 50).withColumn("last_close", F.col("last_close") * 2)
+
+
+_WIDE_OUT = ("token, symbol_name, trade_date, "
+             + ", ".join(f"cast({c} as double) as {c}" for c in WIDE_INDICATOR_COLUMNS)
+             + ", cast(last_close as double) as last_close, last_volume")
+
+
+@query("replace_by_key", with_ctes("ind_wide_dec") + f"""
+select {_WIDE_OUT} from ind_wide_dec where not coalesce(rsi_14 > 50, false)
+union all
+select {_WIDE_OUT.replace("cast(last_close as double)", "cast(last_close * 2 as double)")}
+from ind_wide_dec where rsi_14 > 50""")
+def q_replace_by_key(spark, d):
+    w = _wide(spark, d)
+    return up.replace_by_key(w, _wide_new(w))
+
+
+@query("anti_existing", with_ctes("ind_wide_dec") + """
+select token, symbol_name from ind_wide_dec where not coalesce(rsi_14 > 50, false)""")
+def q_anti_existing(spark, d):
+    w = _wide(spark, d)
+    return up.anti_existing(w, _wide_new(w)).select("token", "symbol_name")
+
+
+@query("schema_add_missing", with_ctes("eq_tm") + """
+select token, symbol, cast(null as double) as strike_distance from eq_tm""")
+def q_schema_add_missing(spark, d):
+    r = adapters.raw_instruments(spark, d)
+    e = tk.equity_tokens(r, tk.futures_tokens(r)).drop("strike_distance").select("token", "symbol")
+    return up.schema_add_missing(e)
+
+
+# ---- source / sink round trips ----------------------------------------------------
+
+@query("src_instruments_json", with_ctes("raw_instruments") + "select * from raw_instruments")
+def q_src_instruments_json(spark, d):
+    path = sinks.scratch_path(spark, "instruments")
+    adapters.raw_instruments(spark, d).write.json(path)
+    return landing.read_instruments_json(spark, path, multi_line=False)
+
+
+@query("src_candles_json", with_ctes("bars") + """
+select token, symbol_name, timestamp, cast(open as double) as open, cast(high as double) as high,
+       cast(low as double) as low, cast(close as double) as close, volume from bars""")
+def q_src_candles_json(spark, d):
+    b = adapters.bars(spark, d)
+    candle = F.array(F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss'+00:00'"),
+                     *[F.col(c).cast("string") for c in ["open", "high", "low", "close", "volume"]])
+    # one document per token and year (a candle page): bounded by the calendar
+    docs = (b.groupBy("token", F.year("timestamp").alias("y"))
+              .agg(F.first("symbol_name").alias("name"), F.collect_list(candle).alias("data"))
+              .drop("y"))
+    path = sinks.scratch_path(spark, "candles")
+    docs.write.json(path)
+    return landing.read_candles_json(spark, path)
+
+
+def _envelopes(ticks):
+    q = F.struct(
+        F.col("exchange"), F.col("trading_symbol").alias("tradingSymbol"),
+        F.col("symbol_token").alias("symbolToken"),
+        *[F.col(c).alias(c) for c in ["ltp", "open", "high", "low", "close"]],
+        F.col("percent_change").alias("percentChange"), F.col("trade_volume").alias("tradeVolume"),
+        F.col("opn_interest").alias("opnInterest"), F.col("week_low_52").alias("52WeekLow"),
+        F.col("week_high_52").alias("52WeekHigh"))
+    # one envelope per (snapshot time, token): each holds one fetched quote
+    return ticks.select(F.lit(True).alias("status"),
+                        F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("fetched_at"),
+                        F.struct(F.array(q).alias("fetched"),
+                                 F.array().cast("array<struct<exchange:string,symbolToken:string,"
+                                                "message:string,errorCode:string>>").alias("unfetched"))
+                        .alias("data"))
+
+
+@query("src_quotes_json", with_ctes("ticks") + """
+select exchange, trading_symbol, symbol_token, cast(ltp as double) as ltp, cast(open as double) as open,
+       cast(high as double) as high, cast(low as double) as low, cast(close as double) as close,
+       cast(percent_change as double) as percent_change, trade_volume, opn_interest,
+       cast(week_low_52 as double) as week_low_52, cast(week_high_52 as double) as week_high_52,
+       '{}' as depth_json, timestamp from ticks""")
+def q_src_quotes_json(spark, d):
+    path = sinks.scratch_path(spark, "quotes")
+    _envelopes(adapters.ticks(spark, d)).write.json(path)
+    env = landing.read_quotes_json(spark, path)
+    rows = landing.quote_rows(env, as_of=F.to_timestamp("fetched_at"))
+    return rows.select("exchange", "trading_symbol", "symbol_token", "ltp", "open", "high", "low", "close",
+                       "percent_change", "trade_volume", "opn_interest", "week_low_52", "week_high_52",
+                       "depth_json", "timestamp")
+
+
+@query("quote_coverage", with_ctes("ticks") + "select count(*) as fetched, 0 as unfetched from ticks")
+def q_quote_coverage(spark, d):
+    path = sinks.scratch_path(spark, "quotes")
+    _envelopes(adapters.ticks(spark, d)).write.json(path)
+    return landing.quote_coverage(landing.read_quotes_json(spark, path))
+
+
+@query("quote_field_map", with_ctes("ticks") + """
+select symbol_token, trading_symbol, cast(ltp as double) as ltp, timestamp from ticks""")
+def q_quote_field_map(spark, d):
+    t = adapters.ticks(spark, d)
+    camel = t.select(F.col("symbol_token").alias("symbolToken"), F.col("trading_symbol").alias("tradingSymbol"),
+                     F.col("ltp").cast("string").alias("ltp"), "timestamp")
+    return landing.quote_field_map(camel, ts_col="timestamp").select("symbol_token", "trading_symbol", "ltp",
+                                                                       "timestamp")
+
+
+@query("sink_parquet_export", _MS + f"select {_ms_cols()} from market_summary")
+def q_sink_parquet_export(spark, d):
+    path = sinks.scratch_path(spark, "market_summary")
+    if not sinks.export_parquet(build_market_summary(spark, d), path):
+        raise RuntimeError("market summary is empty; export refused")
+    return sinks.read_snapshot(spark, path)
+
+
+@query("src_parquet_snapshot", _MS + f"""
+select {_ms_cols()} from market_summary where ltp >= 20 and sma_200_position <> 'ABOVE_SMA200'""")
+def q_src_parquet_snapshot(spark, d):
+    path = sinks.scratch_path(spark, "market_summary")
+    sinks.export_parquet(build_market_summary(spark, d), path)
+    snap = sinks.read_snapshot(spark, path)
+    return snap.where((F.col("ltp") >= 20) & (F.col("sma_200_position") != "ABOVE_SMA200"))
+
+
+@query("snapshot_verify")
+def q_snapshot_verify(spark, d):
+    path = sinks.scratch_path(spark, "market_summary")
+    sinks.export_parquet(build_market_summary(spark, d), path)
+    return sinks.snapshot_verify(spark, path).drop("path")
+
+
+@query("sink_sql_to_parquet", with_ctes("rel") + """
+select trading_symbol, cast(ltp as double) as ltp from rel""")
+def q_sink_sql_to_parquet(spark, d):
+    adapters.ticks(spark, d).createOrReplaceTempView("realtime_market_data")
+    path = sinks.scratch_path(spark, "sql_export")
+    sinks.sql_to_parquet(spark, """
+        select trading_symbol, ltp from (
+          select trading_symbol, ltp,
+                 row_number() over (partition by symbol_token order by timestamp desc) as rn
+          from realtime_market_data where exchange = 'NSE') where rn = 1;""", path)
+    return spark.read.parquet(path)
+
+
+@query("sink_full_refresh", with_ctes("token_master") + """
+select token, symbol, name, expiry, cast(strike as double) as strike, lotsize, instrumenttype, exch_seg,
+       cast(tick_size as double) as tick_size, token_type, futures_token,
+       cast(strike_distance as double) as strike_distance, timestamp '2025-03-12 08:00:00' as created_at
+from token_master""")
+def q_sink_full_refresh(spark, d):
+    path = sinks.scratch_path(spark, "token_master")
+    tm = tk.build_token_master(adapters.raw_instruments(spark, d)).select(*TOKEN_MASTER_COLUMNS)
+    sinks.full_refresh(tm, path, as_of=F.lit("2025-03-12 08:00:00"))
+    return spark.read.parquet(path)
+
+
+@query("truncate_table", with_ctes("token_master") + "select token from token_master where false")
+def q_truncate_table(spark, d):
+    from quantbeam.schemas import TOKEN_MASTER
+    path = sinks.scratch_path(spark, "token_master")
+    sinks.full_refresh(tk.build_token_master(adapters.raw_instruments(spark, d)).select(*TOKEN_MASTER_COLUMNS),
+                       path)
+    sinks.truncate_table(spark, path, TOKEN_MASTER)
+    return spark.read.parquet(path).select("token")
+
+
+@query("rows_as_json")
+def q_rows_as_json(spark, d):
+    return rows_as_json(tk_ops.latest_equity_tick(adapters.ticks(spark, d)))
+
+
+# ---- streaming ------------------------------------------------------------------
+
+def _land_ticks(spark, d, files: int = 4):
+    """Write the derived ticks as ``files`` parquet files: the landing folder."""
+    path = sinks.scratch_path(spark, "landing")
+    adapters.ticks(spark, d).repartition(files).write.parquet(path)
+    return path
+
+
+@query("stream_latest_tick", with_ctes("ticks") + f"""
+select symbol_token, exchange, trading_symbol, cast(ltp as double) as ltp, cast(open as double) as open,
+       cast(high as double) as high, cast(low as double) as low, cast(close as double) as close,
+       exch_feed_time, exch_trade_time, cast(net_change as double) as net_change,
+       cast(percent_change as double) as percent_change, trade_volume, opn_interest,
+       cast(lower_circuit as double) as lower_circuit, cast(upper_circuit as double) as upper_circuit,
+       tot_buy_quan, tot_sell_quan, cast(week_low_52 as double) as week_low_52,
+       cast(week_high_52 as double) as week_high_52, timestamp
+from (select *, row_number() over (partition by symbol_token order by timestamp desc) as rn from ticks)
+where rn = 1""")
+def q_stream_latest_tick(spark, d):
+    landing_dir = _land_ticks(spark, d)
+    snap = sinks.scratch_path(spark, "latest_snapshot")
+    name = os.path.basename(snap)
+    q = st.start_latest_tick(spark, landing_dir, snap, name, trigger="availableNow", max_files_per_trigger=1)
+    q.awaitTermination()
+    return st.read_latest_snapshot(spark, snap)
+
+
+@query("stream_ticks_append", with_ctes("ticks") + """
+select symbol_token, timestamp, cast(ltp as double) as ltp, trading_symbol from ticks
+where strftime(timestamp, '%H:%M:%S') between '09:15:00' and '19:30:00'""")
+def q_stream_ticks_append(spark, d):
+    landing_dir = _land_ticks(spark, d)
+    table = sinks.scratch_path(spark, "tick_table")
+    q = st.start_tick_append(spark, landing_dir, table, os.path.basename(table), trigger="availableNow",
+                             max_files_per_trigger=1)
+    q.awaitTermination()
+    return spark.read.parquet(table).select("symbol_token", "timestamp", "ltp", "trading_symbol")
+
+
+@query("stream_upsert_ticks", _upsert_ticks_sql())
+def q_stream_upsert_ticks(spark, d):
+    landing_dir = sinks.scratch_path(spark, "landing")
+    adapters.ticks(spark, d).repartition(2).write.parquet(landing_dir)
+    table = sinks.scratch_path(spark, "tick_table")
+    name = os.path.basename(table)
+    q = st.start_tick_append(spark, landing_dir, table, name, trigger="availableNow",
+                             session_start="00:00:00", session_end="23:59:59")
+    q.awaitTermination()
+    # a second snapshot (restatements + new keys) lands later
+    _ticks_new(spark, d).repartition(2).write.mode("append").parquet(landing_dir)
+    q = st.start_tick_append(spark, landing_dir, table, name, trigger="availableNow",
+                             session_start="00:00:00", session_end="23:59:59")
+    q.awaitTermination()
+    return spark.read.parquet(table).select(*_TICK_CMP)
+
+
+@query("stream_export_summary")
+def q_stream_export_summary(spark, d):
+    landing_dir = _land_ticks(spark, d, files=2)
+    table = sinks.scratch_path(spark, "tick_table")
+    out = sinks.scratch_path(spark, "summary_export")
+
+    def export(sp, batch_id):
+        from quantbeam.operators.summary import market_summary
+        raw = adapters.raw_instruments(sp, d)
+        tm = tk.build_token_master(raw)
+        bars = adapters.bars(sp, d)
+        wide = ind.indicators_wide(tm.where(F.col("token_type") == tk.TYPE_EQUITY), bars,
+                                   ind.indicators_long(bars))
+        ticks = sp.read.parquet(table).drop("trade_date")
+        sinks.export_parquet(market_summary(tm, ticks, wide), os.path.join(out, f"batch={batch_id}"))
+
+    q = st.start_tick_append(spark, landing_dir, table, os.path.basename(table), trigger="availableNow",
+                             session_start="00:00:00", session_end="23:59:59", on_batch=export)
+    q.awaitTermination()
+    return spark.read.parquet(out)

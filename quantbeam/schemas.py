@@ -86,6 +86,7 @@ QUOTE_UNFETCHED = T.StructType([
 ])
 QUOTES_JSON = T.StructType([
     T.StructField("status", T.BooleanType()),
+    T.StructField("fetched_at", T.StringType()),  # landing metadata: snapshot time
     T.StructField("data", T.StructType([
         T.StructField("fetched", T.ArrayType(QUOTE_FETCHED)),
         T.StructField("unfetched", T.ArrayType(QUOTE_UNFETCHED)),
