@@ -57,31 +57,42 @@ def _asc() -> Window:
     return Window.partitionBy("token").orderBy("timestamp")
 
 
+def _cfg_cols(name: str, p: int) -> tuple[Column, Column]:
+    """(in_window, i) of config (name, p) on rows carrying rn and n_all
+    (= min(bar count, longest fetch window))."""
+    k = fetch_len(p)
+    n_p = F.least(F.col("n_all"), F.lit(k))
+    in_win = (F.col("rn") <= k) & (F.col("n_all") >= p)
+    return in_win, n_p - F.col("rn")
+
+
 def _value(name: str, p: int) -> Column:
+    """Indicator value on every bar of the shared ascending window; NULL
+    outside the config's fetch window or during warm-up. Rows older than
+    the fetch window get weight 0 in the running sums, so one window spec
+    serves all configs."""
     w = _asc()
+    run = w.rowsBetween(Window.unboundedPreceding, 0)
     x = F.col("close").cast("double")
-    i = F.col("i")
+    in_win, i = _cfg_cols(name, p)
     if name == "sma":
         v = F.avg(F.col("close")).over(w.rowsBetween(-(p - 1), 0))
-        return F.when(i >= p - 1, v.cast(DEC))
+        return F.when(in_win & (i >= p - 1), v.cast(DEC))
     if name == "ema":
         a = 2.0 / (p + 1)
         q = 1.0 - a
-        c = F.when(i == 0, x).otherwise(F.lit(a) * x * F.pow(F.lit(q), -i))
-        run = F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, 0))
-        return (F.pow(F.lit(q), i) * run).cast(DEC)
+        c = F.when(in_win, F.when(i == 0, x).otherwise(F.lit(a) * x * F.pow(F.lit(q), -i))).otherwise(F.lit(0.0))
+        return F.when(in_win, (F.pow(F.lit(q), i) * F.sum(c).over(run)).cast(DEC))
     if name == "rsi":
         r = 1.0 - 1.0 / p
-        d = x - F.lag(x).over(w)
+        use = in_win & (i >= 1)
         scale = F.pow(F.lit(r), -i)
-        run = w.rowsBetween(Window.unboundedPreceding, 0)
-        up = F.sum(F.greatest(d, F.lit(0.0)) * scale).over(run)
-        tot = F.sum(F.abs(d) * scale).over(run)
-        return F.when(i >= p, (F.lit(100.0) * F.try_divide(up, F.nullif(tot, F.lit(0.0)))).cast(DEC))
+        up = F.sum(F.when(use, F.greatest(F.col("_d"), F.lit(0.0)) * scale).otherwise(F.lit(0.0))).over(run)
+        tot = F.sum(F.when(use, F.abs(F.col("_d")) * scale).otherwise(F.lit(0.0))).over(run)
+        return F.when(in_win & (i >= p), (F.lit(100.0) * F.try_divide(up, F.nullif(tot, F.lit(0.0)))).cast(DEC))
     if name == "volatility":
-        ret = F.try_divide(x, F.lag(x).over(w)) - F.lit(1.0)
-        sd = F.stddev_samp(ret).over(w.rowsBetween(-(p - 1), 0))
-        return F.when(i >= p, (sd * F.lit(ANNUALISATION ** 0.5)).cast(DEC))
+        sd = F.stddev_samp(F.col("_ret")).over(w.rowsBetween(-(p - 1), 0))
+        return F.when(in_win & (i >= p), (sd * F.lit(ANNUALISATION ** 0.5)).cast(DEC))
     raise ValueError(f"unsupported indicator {name}")
 
 
@@ -91,28 +102,42 @@ def daily_return(bars: DataFrame) -> DataFrame:
     return bars.withColumn("daily_return", F.try_divide(x, F.lag(x).over(_asc())) - F.lit(1.0))
 
 
-def indicator_branch(ranked: DataFrame, name: str, period: int) -> DataFrame:
-    """Long rows (token, symbol_name, indicator_name, timestamp, value, period)
-    of one indicator; warm-up rows (NULL value) are dropped."""
-    fw = fetch_window(ranked, period)
-    out = fw.select("token", "symbol_name", F.lit(name).alias("indicator_name"), "timestamp",
-                    _value(name, period).alias("value"), F.lit(period).alias("period"))
-    return drop_null_indicator(out)
-
-
 def drop_null_indicator(df: DataFrame) -> DataFrame:
     return df.where(F.col("value").isNotNull())
 
 
+def _prepared(bars: DataFrame, configs: list[tuple[str, int]]) -> DataFrame:
+    """Newest bars of the longest fetch window with rn, n_all, close diff
+    and return: one shuffle on token, one desc rank, one asc sort."""
+    keep = max(fetch_len(p) for _, p in configs)
+    ranked = rank_bars(bars, keep)
+    w = _asc()
+    x = F.col("close").cast("double")
+    prev = F.lag(x).over(w)
+    return (ranked.withColumn("n_all", F.count(F.lit(1)).over(w.rowsBetween(Window.unboundedPreceding,
+                                                                              Window.unboundedFollowing)))
+                  .withColumn("_d", x - prev)
+                  .withColumn("_ret", F.try_divide(x, prev) - F.lit(1.0)))
+
+
+def indicator_branch(ranked: DataFrame, name: str, period: int) -> DataFrame:
+    """Long rows of one indicator computed on its own (for single-config use)."""
+    return indicators_long(ranked.drop("rn"), [(name, period)])
+
+
 def indicators_long(bars: DataFrame, configs: Iterable[tuple[str, int]] = ALL_CONFIGS) -> DataFrame:
-    """All configured indicators for all tokens in one plan."""
+    """All configured indicators for all tokens in one window pass, stacked
+    to (token, symbol_name, indicator_name, timestamp, value, period);
+    warm-up rows (NULL value) are dropped."""
     configs = list(configs)
-    ranked = rank_bars(bars, max(fetch_len(p) for _, p in configs))
-    parts = [indicator_branch(ranked, n, p) for n, p in configs]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    prep = _prepared(bars, configs)
+    vals = prep.select("token", "symbol_name", "timestamp",
+                       *[_value(n, p).alias(f"{n}_{p}") for n, p in configs])
+    cells = F.array(*[F.struct(F.lit(n).alias("indicator_name"), F.lit(p).alias("period"),
+                               F.col(f"{n}_{p}").alias("value")) for n, p in configs])
+    long = vals.select("token", "symbol_name", "timestamp", F.inline(cells))
+    return drop_null_indicator(long.select("token", "symbol_name", "indicator_name", "timestamp",
+                                           "value", "period"))
 
 
 def latest_bar_per_token(bars: DataFrame) -> DataFrame:
@@ -141,9 +166,9 @@ def indicator_pivot_wide(long: DataFrame, latest: DataFrame,
                     .pivot("k", list(columns)).agg(F.max_by("value", "timestamp")))
 
 
-def indicators_wide(tm_equity: DataFrame, bars: DataFrame, long: DataFrame) -> DataFrame:
-    """technical_indicators_summary: equity tokens with bars, latest bar
-    values and the ten indicator columns (written by name, NULL if absent)."""
+def indicators_wide_from_long(tm_equity: DataFrame, bars: DataFrame, long: DataFrame) -> DataFrame:
+    """technical_indicators_summary the reference's way: latest bar +
+    pivot of the long table (values dated on the latest trade date)."""
     latest = latest_bar_per_token(bars)
     wide = indicator_pivot_wide(long, latest)
     base = (tm_equity.select("token", F.col("name").alias("symbol_name"))
@@ -154,6 +179,77 @@ def indicators_wide(tm_equity: DataFrame, bars: DataFrame, long: DataFrame) -> D
                       "last_close", "last_volume")
 
 
+def latest_indicator_values(bars: DataFrame, configs: Iterable[tuple[str, int]] = ALL_CONFIGS) -> DataFrame:
+    """Newest value of every indicator per token as ONE aggregate.
+
+    With rn = 1 for the newest bar and n_p = min(bars, floor(1.5 p)):
+      SMA  = avg(close | rn <= p)                          if n_p >= p
+      EMA  = sum(alpha x q^(rn-1) | rn <= K) + q^n_p x_oldest
+      RSI  = 100 sum(max(d,0) r^(rn-1)) / sum(|d| r^(rn-1)) over rn < K,
+             d = close - previous close                    if n_p >= p + 1
+      VOL  = stddev_samp(return | rn <= p) * sqrt(252)     if n_p >= p + 1
+    The rank window already hash-partitions by token, so the aggregate
+    adds no shuffle; no per-bar rows are produced.
+    """
+    configs = list(configs)
+    keep = max(fetch_len(p) for _, p in configs)
+    ranked = rank_bars(bars, keep)
+    wd = Window.partitionBy("token").orderBy(F.col("timestamp").desc())
+    x = F.col("close").cast("double")
+    older = F.lead(x).over(wd)
+    prep = ranked.withColumn("_d", x - older).withColumn("_ret", F.try_divide(x, older) - F.lit(1.0))
+    rn = F.col("rn")
+    n_all = F.count(F.lit(1))
+    aggs = [n_all.alias("n_all"), F.max(F.when(rn == 1, F.col("timestamp"))).alias("last_ts"),
+            F.max(F.when(rn == 1, F.col("close"))).alias("last_close"),
+            F.max(F.when(rn == 1, F.col("volume"))).alias("last_volume")]
+    post = []
+    for name, p in configs:
+        k = fetch_len(p)
+        col = f"{name}_{p}"
+        n_p = F.least(F.col("n_all"), F.lit(k))
+        if name == "sma":
+            aggs.append(F.avg(F.when(rn <= p, F.col("close"))).alias(col))
+            post.append(F.when(F.col("n_all") >= p, F.col(col).cast(DEC)).alias(col))
+        elif name == "ema":
+            a = 2.0 / (p + 1)
+            q = 1.0 - a
+            aggs.append(F.sum(F.when(rn <= k, F.lit(a) * x * F.pow(F.lit(q), rn - 1))).alias(col))
+            aggs.append(F.max_by(x, F.when(rn <= k, rn)).alias(f"{col}_old"))
+            val = F.col(col) + F.pow(F.lit(q), n_p) * F.col(f"{col}_old")
+            post.append(F.when(F.col("n_all") >= p, val.cast(DEC)).alias(col))
+        elif name == "rsi":
+            r = 1.0 - 1.0 / p
+            w_ = F.pow(F.lit(r), rn - 1)
+            aggs.append(F.sum(F.when(rn < k, F.greatest(F.col("_d"), F.lit(0.0)) * w_)).alias(f"{col}_up"))
+            aggs.append(F.sum(F.when(rn < k, F.abs(F.col("_d")) * w_)).alias(f"{col}_tot"))
+            val = F.lit(100.0) * F.try_divide(F.col(f"{col}_up"), F.nullif(F.col(f"{col}_tot"), F.lit(0.0)))
+            post.append(F.when(n_p >= p + 1, val.cast(DEC)).alias(col))
+        elif name == "volatility":
+            aggs.append(F.stddev_samp(F.when(rn <= p, F.col("_ret"))).alias(col))
+            val = F.col(col) * F.lit(ANNUALISATION ** 0.5)
+            post.append(F.when(n_p >= p + 1, val.cast(DEC)).alias(col))
+    g = prep.groupBy("token").agg(*aggs)
+    return g.select("token", F.to_date("last_ts").alias("trade_date"), *post, "last_close", "last_volume")
+
+
+def indicators_wide(tm_equity: DataFrame, bars: DataFrame, long: DataFrame | None = None) -> DataFrame:
+    """technical_indicators_summary: equity tokens with bars, latest bar
+    values and the ten indicator columns (by name, NULL if not computable).
+
+    Without ``long`` the newest values come straight from one aggregate
+    over the ranked bars (``latest_indicator_values``); with ``long`` the
+    reference's pivot path is used."""
+    if long is not None:
+        return indicators_wide_from_long(tm_equity, bars, long)
+    vals = latest_indicator_values(bars)
+    base = tm_equity.select("token", F.col("name").alias("symbol_name"))
+    out = base.join(vals, "token", "inner")
+    return out.select("token", "symbol_name", "trade_date",
+                      *[F.col(c).cast(DEC).alias(c) for c in WIDE_INDICATOR_COLUMNS],
+                      "last_close", "last_volume")
+
+
 def indicator_coverage(tm_equity: DataFrame, long: DataFrame,
                        configs: Iterable[tuple[str, int]] = ALL_CONFIGS) -> DataFrame:
     """Per (indicator, period): tokens with values (success), without

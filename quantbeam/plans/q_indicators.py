@@ -100,8 +100,7 @@ def q_daily_return(spark, d):
 
 @query("drop_null_indicator", with_ctes("ranked_bars") + _long_sql([("rsi", 14)]))
 def q_drop_null_indicator(spark, d):
-    r = ind.rank_bars(_bars(spark, d), ind.fetch_len(14))
-    return ind.indicator_branch(r, "rsi", 14)
+    return ind.indicators_long(_bars(spark, d), [("rsi", 14)])
 
 
 @query("latest_bar_per_token", with_ctes("bars") + """
@@ -159,6 +158,11 @@ def _tm_equity(spark, d):
 
 @query("indicators_wide", with_ctes("ind_wide") + "select * from ind_wide")
 def q_indicators_wide(spark, d):
+    return ind.indicators_wide(_tm_equity(spark, d), _bars(spark, d))
+
+
+@query("indicators_wide_from_long", with_ctes("ind_wide") + "select * from ind_wide")
+def q_indicators_wide_from_long(spark, d):
     b = _bars(spark, d)
     return ind.indicators_wide(_tm_equity(spark, d), b, ind.indicators_long(b))
 

@@ -143,7 +143,7 @@ def q_upsert_indicators(spark, d):
 def _wide(spark, d):
     tm = tk.build_token_master(adapters.raw_instruments(spark, d))
     bars = adapters.bars(spark, d)
-    return ind.indicators_wide(tm.where(F.col("token_type") == tk.TYPE_EQUITY), bars, ind.indicators_long(bars))
+    return ind.indicators_wide(tm.where(F.col("token_type") == tk.TYPE_EQUITY), bars)
 
 
 def _wide_new(w):
@@ -387,8 +387,7 @@ def q_stream_export_summary(spark, d):
         raw = adapters.raw_instruments(sp, d)
         tm = tk.build_token_master(raw)
         bars = adapters.bars(sp, d)
-        wide = ind.indicators_wide(tm.where(F.col("token_type") == tk.TYPE_EQUITY), bars,
-                                   ind.indicators_long(bars))
+        wide = ind.indicators_wide(tm.where(F.col("token_type") == tk.TYPE_EQUITY), bars)
         ticks = sp.read.parquet(table).drop("trade_date")
         sinks.export_parquet(market_summary(tm, ticks, wide), os.path.join(out, f"batch={batch_id}"))
 

@@ -78,12 +78,15 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bars(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = None) -> DataFrame:
     """``historical_data``: one daily OHLCV bar per (supplier, ship date).
 
-    Open/close are the first/last line by (orderkey, linenumber, partkey);
-    a struct ordering key avoids the integer overflow of a packed key at
-    large scale factors. Partial aggregation makes a hot supplier cheap.
+    Open/close are the first/last line by (orderkey, linenumber, partkey).
+    (orderkey, linenumber) is lineitem's primary key, so partkey never
+    decides; the pair is packed into one BIGINT (orderkey << 16 | line,
+    exact for linenumber < 65536 and orderkey < 2^47) so min_by/max_by keep
+    fixed-width buffers and the aggregate stays a hash aggregate with
+    map-side partials (a hot supplier is reduced before the shuffle).
     """
     li = lineitem if lineitem is not None else read_table(spark, sf_dir, "lineitem")
-    order = F.struct("l_orderkey", "l_linenumber", "l_partkey")
+    order = F.shiftleft(F.col("l_orderkey"), 16) + F.col("l_linenumber").cast("bigint")
     day = F.to_date("l_shipdate")
     g = (li.groupBy(F.col("l_suppkey"), day.alias("trade_date"))
            .agg(F.min_by("l_extendedprice", order).alias("o"),
