@@ -22,19 +22,20 @@ def futures_master(tm: DataFrame) -> DataFrame:
                       "lotsize"))
 
 
-def market_summary(tm: DataFrame, ticks: DataFrame, indicators_wide: DataFrame) -> DataFrame:
+def assemble_summary(tm: DataFrame, rel: DataFrame, rfl: DataFrame, rol: DataFrame,
+                     indicators_wide: DataFrame) -> DataFrame:
     """equity ⟕ futures master ⟕ latest equity tick (by name) ⟕ latest
-    futures tick ⟕ ATM straddle (by underlying) ⟕ wide indicators.
+    futures tick ⟕ ATM straddle (by underlying) ⟕ wide indicators, then
+    the 36-column projection with the derived metrics.
 
-    Every right side is already reduced to one row per key by a partial
-    aggregate, so the joins run on dimension-sized inputs; AQE turns them
+    Every right side is one row per key (a reduced aggregate or a
+    dimension), so the joins run on dimension-sized inputs; AQE turns them
     into broadcast joins only when the measured side is small.
     """
     em = equity_master(tm)
     fm = futures_master(tm)
-    rel = tk.latest_equity_tick(ticks).withColumnRenamed("name", "rel_name").drop("trading_symbol")
-    rfl = tk.latest_futures_tick(ticks).drop("trading_symbol")
-    rol = tk.atm_straddle(ticks)
+    rel = rel.withColumnRenamed("name", "rel_name").drop("trading_symbol")
+    rfl = rfl.drop("trading_symbol")
     til = indicators_wide.select("token", "sma_50", "sma_100", "sma_200", "ema_20", "ema_50", "ema_200",
                                  "rsi_14", "rsi_21", "volatility_21", "volatility_200")
     j = (em.join(fm, em.futures_token == fm.fm_token, "left")
@@ -52,6 +53,20 @@ def market_summary(tm: DataFrame, ticks: DataFrame, indicators_wide: DataFrame)
     return j.select(*[derived[c].alias(c) if c in derived else F.col(c) for c in MARKET_SUMMARY_COLUMNS])
 
 
+def market_summary(tm: DataFrame, ticks: DataFrame, indicators_wide: DataFrame,
+                   materialize_quotes: bool = False) -> DataFrame:
+    """The summary view. Latest equity / futures / option quotes come from
+    one aggregate over the ticks (``latest_quotes``); with
+    ``materialize_quotes`` that small aggregate is checkpointed so its
+    three consumers share a single scan of the tick table."""
+    q = tk.latest_quotes(ticks)
+    if materialize_quotes:
+        from quantbeam.session import materialize
+        q = materialize(q)
+    return assemble_summary(tm, tk.equity_from_quotes(q), tk.futures_from_quotes(q),
+                            tk.straddle_from_quotes(q), indicators_wide)
+
+
 def legacy_summary(tm: DataFrame, ticks: DataFrame) -> DataFrame:
     """Intent of the legacy view: latest equity tick ⋈ token (inner),
     ⟕ latest futures tick, ⟕ latest CE / PE option tick by underlying

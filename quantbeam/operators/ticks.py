@@ -72,6 +72,48 @@ LATEST_TICK_ALL_COLUMNS = [
     "week_high_52", "timestamp"]
 
 
+KIND_EQUITY, KIND_FUTURES, KIND_OPTION = "EQ", "FUT", "OPT"
+_QUOTE_PAYLOAD = ["symbol_token", "trading_symbol", "ltp", "open", "high", "low", "close", "percent_change",
+                  "trade_volume", "opn_interest", "week_low_52", "week_high_52", "timestamp"]
+
+
+def latest_quotes(ticks: DataFrame) -> DataFrame:
+    """The three "latest" selections of the summary in ONE aggregate:
+    equity ticks per symbol_token (NSE), futures per symbol_token (NFO,
+    '%FUT'), options per (underlying, last 2 chars) (NFO, not '%FUT').
+    Output: kind, k1, k2 and the newest row's payload; ties on timestamp
+    go to the greater symbol_token."""
+    ex, sym = F.col("exchange"), F.col("trading_symbol")
+    is_fut = sym.endswith("FUT")
+    kind = (F.when(ex == "NSE", F.lit(KIND_EQUITY))
+             .when((ex == "NFO") & is_fut, F.lit(KIND_FUTURES))
+             .when((ex == "NFO") & ~is_fut, F.lit(KIND_OPTION)))
+    k1 = F.when(kind == KIND_OPTION, underlying("trading_symbol")).otherwise(F.col("symbol_token"))
+    k2 = F.when(kind == KIND_OPTION, option_type_suffix("trading_symbol")).otherwise(F.lit(""))
+    t = ticks.select(kind.alias("kind"), k1.alias("k1"), k2.alias("k2"), *_QUOTE_PAYLOAD).where(
+        F.col("kind").isNotNull())
+    return latest_per_key(t, ["kind", "k1", "k2"], ["timestamp", "symbol_token"], _QUOTE_PAYLOAD)
+
+
+def equity_from_quotes(q: DataFrame) -> DataFrame:
+    return q.where(F.col("kind") == KIND_EQUITY).select(
+        "trading_symbol", strip_last3("trading_symbol").alias("name"), "ltp", "percent_change",
+        "open", "high", "low", "close", F.col("trade_volume").alias("volume"), "opn_interest",
+        "week_low_52", "week_high_52")
+
+
+def futures_from_quotes(q: DataFrame) -> DataFrame:
+    return q.where(F.col("kind") == KIND_FUTURES).select(
+        "trading_symbol", "symbol_token", F.col("ltp").alias("futures_ltp"),
+        F.col("percent_change").alias("futures_percent_change"),
+        F.col("trade_volume").alias("futures_volume"), F.col("opn_interest").alias("futures_oi"))
+
+
+def straddle_from_quotes(q: DataFrame) -> DataFrame:
+    return (q.where(F.col("kind") == KIND_OPTION).groupBy(F.col("k1").alias("underlying_name"))
+             .agg(F.sum("ltp").alias("atm_price")))
+
+
 def latest_tick_all(ticks: DataFrame) -> DataFrame:
     """Newest tick per symbol_token with the 20 summary columns."""
     return latest_per_key(ticks, ["symbol_token"], ["timestamp"], LATEST_TICK_ALL_COLUMNS)

@@ -68,3 +68,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def materialize(df, label: str = "stage"):
+    """Cut lineage by writing ``df`` once as Parquet under the shared
+    checkpoint folder and reading it back. Consumers then share one
+    computation, a lost executor does not replay the upstream plan, and the
+    planner sees the real (file-size) statistics of the result, so AQE can
+    broadcast it only when it is measurably small. (An RDD checkpoint
+    would compute the plan twice.)"""
+    import os
+    import uuid
+    spark = df.sparkSession
+    path = os.path.join(checkpoint_dir(spark), "tables", f"{label}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.parquet(path)

@@ -105,8 +105,13 @@ def bars(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = None) ->
 
 
 def raw_instruments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Instrument master as text columns: equities, futures (two expiries), option chain."""
-    u = underlyings(spark, sf_dir)
+    """Instrument master as text columns: equities, futures (two expiries), option chain.
+
+    The distinct users are computed once and checkpointed: the three
+    branches and the option-chain modulus all read that small result
+    instead of re-scanning ``events``."""
+    from quantbeam.session import materialize
+    u = materialize(underlyings(spark, sf_dir))
     uid_s = F.col("uid").cast("string")
     lot = (F.lit(50) + F.lit(25) * (F.col("uid") % 4)).cast("string")
     equity = u.select(
