@@ -395,3 +395,34 @@ def q_stream_export_summary(spark, d):
                              session_start="00:00:00", session_end="23:59:59", on_batch=export)
     q.awaitTermination()
     return spark.read.parquet(out)
+
+
+def _candle_docs(b):
+    """Candle pages per (token, year); the newest bar of each token is the
+    unfinished intraday candle and arrives without its volume (5 fields)."""
+    from pyspark.sql import Window
+    newest = F.row_number().over(Window.partitionBy("token").orderBy(F.col("timestamp").desc())) == 1
+    fields = [F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss'+00:00'"),
+              *[F.col(c).cast("string") for c in ["open", "high", "low", "close"]]]
+    candle = F.when(newest, F.array(*fields)).otherwise(F.array(*fields, F.col("volume").cast("string")))
+    return (b.select("token", "symbol_name", "timestamp", candle.alias("c"))
+             .groupBy("token", F.year("timestamp").alias("y"))
+             .agg(F.first("symbol_name").alias("name"), F.collect_list("c").alias("data")).drop("y"))
+
+
+@query("valid_candle", with_ctes("bars") + """
+select token, timestamp, cast(close as double) as close, volume from (
+  select *, row_number() over (partition by token order by timestamp desc) as rn from bars) where rn > 1""")
+def q_valid_candle(spark, d):
+    path = sinks.scratch_path(spark, "candles")
+    _candle_docs(adapters.bars(spark, d)).write.json(path)
+    return landing.read_candles_json(spark, path).select("token", "timestamp", "close", "volume")
+
+
+@query("scalar_array_item", with_ctes("bars") + """
+select token, timestamp, 5 as n_fields, cast(close as double) as close from bars""")
+def q_scalar_array_item(spark, d):
+    b = adapters.bars(spark, d)
+    arr = F.array(*[F.col(c).cast("string") for c in ["open", "high", "low", "close", "volume"]])
+    return b.select("token", "timestamp", F.size(arr).alias("n_fields"),
+                    F.element_at(arr, 4).cast("decimal(18,6)").cast("double").alias("close"))

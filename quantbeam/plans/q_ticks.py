@@ -153,3 +153,33 @@ def scalar_underlying(spark, d):
     from quantbeam.functions.scalars import underlying
     t = adapters.ticks(spark, d)
     return t.select("trading_symbol", underlying("trading_symbol").alias("underlying_name")).distinct()
+
+
+@query("legacy_latest_flag", _T + """
+select t.symbol_token, t.timestamp, t.timestamp = m.last_ts as latest_record_flag
+from ticks t join (select symbol_token, max(timestamp) as last_ts from ticks group by 1) m
+  on t.symbol_token = m.symbol_token""")
+def legacy_latest_flag(spark, d):
+    t = adapters.ticks(spark, d)
+    # per-key maximum is a partial aggregate; the join back is skew-split by AQE
+    last = t.groupBy("symbol_token").agg(F.max("timestamp").alias("last_ts"))
+    return (t.select("symbol_token", "timestamp").join(last, "symbol_token")
+             .select("symbol_token", "timestamp", (F.col("timestamp") == F.col("last_ts"))
+                     .alias("latest_record_flag")))
+
+
+@query("scalar_parse_feed_time", _T + """
+select symbol_token, timestamp, date_trunc('second', timestamp) as feed_time from ticks""")
+def scalar_parse_feed_time(spark, d):
+    from quantbeam.functions.scalars import FEED_TIME_FORMAT, parse_feed_time
+    t = adapters.ticks(spark, d)
+    text = F.date_format("timestamp", FEED_TIME_FORMAT)
+    return t.select("symbol_token", "timestamp", parse_feed_time(text).alias("feed_time"))
+
+
+@query("scalar_depth_json", _T + """
+select symbol_token, timestamp, cast(json_extract(depth_json, '$.k') as bigint) as k from ticks""")
+def scalar_depth_json(spark, d):
+    t = adapters.ticks(spark, d)
+    parsed = F.from_json("depth_json", "k bigint")
+    return t.select("symbol_token", "timestamp", parsed["k"].alias("k"))

@@ -292,3 +292,74 @@ def q_atm_two_pass(spark, d):
     tm = _tm(spark, d)
     t = ticks_ops.filter_future_symbols(ticks_ops.filter_exchange(adapters.ticks(spark, d), "NFO"))
     return atm.atm_two_pass(tm, t, strike_buffer=1)
+
+
+@query("project_token_master", with_ctes("token_master") + """
+select token, symbol, name, expiry, cast(strike as double) as strike, lotsize, instrumenttype, exch_seg,
+       cast(tick_size as double) as tick_size, token_type, futures_token,
+       cast(strike_distance as double) as strike_distance
+from token_master""")
+def q_project_token_master(spark, d):
+    from quantbeam.schemas import TOKEN_MASTER_COLUMNS
+    return _tm(spark, d).select(*TOKEN_MASTER_COLUMNS)
+
+
+@query("tag_token_type", with_ctes("token_master") + """
+select token, token_type, futures_token, instrumenttype from token_master""")
+def q_tag_token_type(spark, d):
+    return _tm(spark, d).select("token", "token_type", "futures_token", "instrumenttype")
+
+
+@query("adjacent_diff", with_ctes("opt_base") + """
+select name, cast(strike as double) as strike,
+       cast(round(lead(strike) over (partition by name order by strike) - strike, 2) as double) as next_gap
+from (select distinct name, strike from opt_base where strike is not null)""")
+def q_adjacent_diff(spark, d):
+    from pyspark.sql import Window
+    o = tk.normalize_strike(tk.coerce_numeric(tk.nearest_expiry(tk.filter_options(_raw(spark, d)))))
+    s = o.where(F.col("strike").isNotNull()).select("name", "strike").distinct()
+    w = Window.partitionBy("name").orderBy("strike")
+    return s.select("name", "strike", F.round(F.lead("strike").over(w) - F.col("strike"), 2).alias("next_gap"))
+
+
+@query("closest_strike", with_ctes("token_master", "fut_prices") + """
+select name, option_type, cast(strike as double) as strike, cast(atm_distance as double) as atm_distance
+from (select o.name, nullif(regexp_extract(o.symbol, '(CE|PE)$', 1), '') as option_type, o.strike,
+             abs(o.strike - p.futures_price) as atm_distance,
+             row_number() over (partition by o.name, nullif(regexp_extract(o.symbol, '(CE|PE)$', 1), '')
+                                order by abs(o.strike - p.futures_price), o.strike, o.expiry, o.token) as rn
+      from token_master o join fut_prices p on o.name = p.name
+      where o.token_type = 'OPTIONS' and o.strike is not null and regexp_extract(o.symbol, '(CE|PE)$', 1) <> '')
+where rn = 1""")
+def q_closest_strike(spark, d):
+    tm = _tm(spark, d)
+    prices = _prices(spark, d, tm)
+    best = atm.exact_atm_options(tm, prices).join(prices, "name")
+    return best.select("name", "option_type", "strike",
+                       F.abs(F.col("strike") - F.col("futures_price")).alias("atm_distance"))
+
+
+@query("union_fetch_set", with_ctes("token_master", "fut_prices") + """
+select token, name, exch_seg, token_type from token_master where token_type = 'EQUITY'
+union all
+select token, name, exch_seg, token_type from (
+  select o.*, row_number() over (partition by o.name, nullif(regexp_extract(o.symbol, '(CE|PE)$', 1), '')
+                                 order by abs(o.strike - p.futures_price), o.strike, o.expiry, o.token) as rn
+  from token_master o join fut_prices p on o.name = p.name
+  where o.token_type = 'OPTIONS' and o.strike is not null and regexp_extract(o.symbol, '(CE|PE)$', 1) <> '')
+where rn = 1""")
+def q_union_fetch_set(spark, d):
+    tm = _tm(spark, d)
+    t = ticks_ops.filter_future_symbols(ticks_ops.filter_exchange(adapters.ticks(spark, d), "NFO"))
+    return atm.atm_two_pass(tm, t, exact_atm_only=True)
+
+
+@query("scalar_format_date", with_ctes("token_master") + """
+select token, strftime(expiry, '%Y-%m-%d') as expiry_text from token_master""")
+def q_scalar_format_date(spark, d):
+    return _tm(spark, d).select("token", sc.format_date("expiry").alias("expiry_text"))
+
+
+@query("scalar_now")
+def q_scalar_now(spark, d):
+    return tk.build_token_master(_raw(spark, d)).select("token", "created_at")
