@@ -122,8 +122,21 @@ def equity_tokens(raw: DataFrame, futures: DataFrame) -> DataFrame:
     return _shape(e, TYPE_EQUITY, futures_token=F.col("futures_token"))
 
 
-def build_token_master(raw: DataFrame, as_of: Column | None = None) -> DataFrame:
+def stage_instruments(raw: DataFrame) -> DataFrame:
+    """Land the raw master once as Parquet (shared checkpoint folder),
+    clustered by instrument type inside each file: the futures, option and
+    equity passes then read pruned columns and skip row groups through the
+    pushed ``instrumenttype`` filter instead of re-running the source.
+    (Directory partitioning is avoided: it would turn the equities' empty
+    instrument type into NULL.)"""
+    from quantbeam.session import materialize
+    return materialize(raw.sortWithinPartitions("instrumenttype", "exch_seg"), "instruments")
+
+
+def build_token_master(raw: DataFrame, as_of: Column | None = None, staged: bool = True) -> DataFrame:
     """futures ∪ options ∪ equity (bag union by name) + created_at."""
+    if staged:
+        raw = stage_instruments(raw)
     fut = futures_tokens(raw)
     tm = fut.unionByName(options_tokens(raw)).unionByName(equity_tokens(raw, fut))
     ts = as_of if as_of is not None else F.current_timestamp()

@@ -70,7 +70,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def materialize(df, label: str = "stage"):
+def materialize(df, label: str = "stage", partition_by: str | None = None):
     """Cut lineage by writing ``df`` once as Parquet under the shared
     checkpoint folder and reading it back. Consumers then share one
     computation, a lost executor does not replay the upstream plan, and the
@@ -81,5 +81,8 @@ def materialize(df, label: str = "stage"):
     import uuid
     spark = df.sparkSession
     path = os.path.join(checkpoint_dir(spark), "tables", f"{label}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    w = df.write
+    if partition_by:
+        w = w.partitionBy(partition_by)
+    w.parquet(path)
     return spark.read.parquet(path)
