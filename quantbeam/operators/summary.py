@@ -63,8 +63,13 @@ def market_summary(tm: DataFrame, ticks: DataFrame, indicators_wide: DataFrame,
     if materialize_quotes:
         from quantbeam.session import materialize
         q = materialize(q)
-    return assemble_summary(tm, tk.equity_from_quotes(q), tk.futures_from_quotes(q),
-                            tk.straddle_from_quotes(q), indicators_wide)
+    return market_summary_from_quotes(tm, q, indicators_wide)
+
+
+def market_summary_from_quotes(tm: DataFrame, quotes: DataFrame, indicators_wide: DataFrame) -> DataFrame:
+    """The summary from an already reduced ``latest_quotes`` frame."""
+    return assemble_summary(tm, tk.equity_from_quotes(quotes), tk.futures_from_quotes(quotes),
+                            tk.straddle_from_quotes(quotes), indicators_wide)
 
 
 def legacy_summary(tm: DataFrame, ticks: DataFrame) -> DataFrame:

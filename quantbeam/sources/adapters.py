@@ -40,16 +40,25 @@ def _case_map(col, mapping: dict, default):
     return expr.otherwise(F.lit(default))
 
 
-def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+def week52(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-user 52-week range of the adapter (uid, week_low_52, week_high_52):
+    one partial aggregate over two columns of ``events``."""
+    ev = read_table(spark, sf_dir, "events").where(F.col("user_id").isNotNull())
+    return ev.groupBy(F.col("user_id").alias("uid")).agg(F.min("value").cast(DEC).alias("week_low_52"),
+                                                       F.max("value").cast(DEC).alias("week_high_52"))
+
+
+def ticks(spark: SparkSession, sf_dir: str, with_week52: bool = True) -> DataFrame:
     """``realtime_market_data`` played by ``events`` (ltp = value, timestamp = ts).
 
     The 52-week range is a per-user min/max: computed as a partial
-    aggregate and joined back on user_id, so a hot user is reduced
-    map-side and AQE splits its join partition instead of one window task
-    holding all of its rows.
+    aggregate and joined back on user_id (a hot user is reduced map-side
+    and AQE splits its join partition). ``with_week52=False`` leaves the
+    two columns NULL so a caller that first reduces the ticks (e.g. to the
+    newest row per instrument) can attach them afterwards with
+    ``attach_week52`` on a few rows instead of every tick.
     """
     ev = read_table(spark, sf_dir, "events").where(F.col("user_id").isNotNull())
-    rng = ev.groupBy("user_id").agg(F.min("value").alias("_lo"), F.max("value").alias("_hi"))
     et = F.col("event_type")
     name = digits_to_letters("user_id")
     cols = {
@@ -64,15 +73,26 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
         "percent_change": ((F.col("event_id") % 11) - 5).cast(DEC),
         "trade_volume": (F.col("event_id") % 1000).cast("bigint"),
         "opn_interest": (F.col("event_id") % 97).cast("bigint"),
-        "week_low_52": F.col("_lo").cast(DEC),
-        "week_high_52": F.col("_hi").cast(DEC),
         "depth_json": F.col("props"),
         "timestamp": F.col("ts").cast("timestamp_ntz"),
     }
-    joined = ev.join(rng, "user_id", "inner")
+    if with_week52:
+        ev = ev.join(week52(spark, sf_dir).withColumnRenamed("uid", "user_id"), "user_id", "inner")
+        cols["week_low_52"] = F.col("week_low_52")
+        cols["week_high_52"] = F.col("week_high_52")
     out = [cols[f.name].alias(f.name) if f.name in cols else F.lit(None).cast(f.dataType).alias(f.name)
            for f in REALTIME_MARKET_DATA.fields]
-    return joined.select(*out)
+    return ev.select(*out)
+
+
+def attach_week52(spark: SparkSession, sf_dir: str, df: DataFrame, token_col: str = "symbol_token") -> DataFrame:
+    """Fill week_low_52 / week_high_52 of (reduced) tick rows from the
+    per-user range; the user id is the numeric part of the adapter token."""
+    uid = F.col(token_col).substr(F.lit(2), F.length(token_col) - 1).try_cast("bigint")
+    rng = week52(spark, sf_dir)
+    base = df.drop("week_low_52", "week_high_52").withColumn("_uid", uid)
+    j = base.join(rng, base["_uid"] == rng["uid"], "left").drop("_uid", "uid")
+    return j.select(*df.columns)
 
 
 def bars(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = None) -> DataFrame:
