@@ -76,8 +76,10 @@ def _value(name: str, p: int) -> Column:
     x = F.col("close").cast("double")
     in_win, i = _cfg_cols(name, p)
     if name == "sma":
-        v = F.avg(F.col("close")).over(w.rowsBetween(-(p - 1), 0))
-        return F.when(in_win & (i >= p - 1), v.cast(DEC))
+        # sum of the last p closes as a difference of exact decimal running sums: O(n), not O(n*p)
+        s_now = F.sum(F.col("close")).over(run)
+        s_before = F.coalesce(F.lag(s_now, p).over(w), F.lit(0))
+        return F.when(in_win & (i >= p - 1), ((s_now - s_before) / F.lit(p)).cast(DEC))
     if name == "ema":
         a = 2.0 / (p + 1)
         q = 1.0 - a
@@ -91,7 +93,13 @@ def _value(name: str, p: int) -> Column:
         tot = F.sum(F.when(use, F.abs(F.col("_d")) * scale).otherwise(F.lit(0.0))).over(run)
         return F.when(in_win & (i >= p), (F.lit(100.0) * F.try_divide(up, F.nullif(tot, F.lit(0.0)))).cast(DEC))
     if name == "volatility":
-        sd = F.stddev_samp(F.col("_ret")).over(w.rowsBetween(-(p - 1), 0))
+        # sample stddev of the last p returns from running sums of r and r^2
+        r1 = F.sum(F.col("_ret")).over(run)
+        r2 = F.sum(F.col("_ret") * F.col("_ret")).over(run)
+        a = r1 - F.coalesce(F.lag(r1, p).over(w), F.lit(0.0))
+        b = r2 - F.coalesce(F.lag(r2, p).over(w), F.lit(0.0))
+        var = (b - a * a / F.lit(float(p))) / F.lit(float(p - 1))
+        sd = F.sqrt(F.greatest(var, F.lit(0.0)))
         return F.when(in_win & (i >= p), (sd * F.lit(ANNUALISATION ** 0.5)).cast(DEC))
     raise ValueError(f"unsupported indicator {name}")
 
@@ -270,7 +278,7 @@ def bars_per_token(bars: DataFrame, sample: int = 2) -> DataFrame:
     """Per token: bar count plus the ``sample`` newest bars as a sample."""
     w = Window.partitionBy("token").orderBy(F.col("timestamp").desc())
     cnt = bars.groupBy("token").agg(F.count(F.lit(1)).alias("n_bars"))
-    top = bars.withColumn("sample_rank", F.row_number().over(w)).where(F.col("sample_rank") <= sample)
+    top = bars.withColumn("sample_rank", F.row_number().over(w).cast("bigint")).where(F.col("sample_rank") <= sample)
     return top.join(cnt, "token", "inner").select("token", "n_bars", "sample_rank", "timestamp", "close")
 
 

@@ -116,7 +116,7 @@ select token, timestamp, row_number() over (partition by token order by timestam
 def q_sort_bars_asc(spark, d):
     from pyspark.sql import Window
     w = Window.partitionBy("token").orderBy("timestamp")
-    return _bars(spark, d).select("token", "timestamp", F.row_number().over(w).alias("seq"))
+    return _bars(spark, d).select("token", "timestamp", F.row_number().over(w).cast("bigint").alias("seq"))
 
 
 @query("latest_indicator_value", with_ctes("ind_long") + """

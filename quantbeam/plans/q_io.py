@@ -238,7 +238,7 @@ def q_src_quotes_json(spark, d):
                        "depth_json", "timestamp")
 
 
-@query("quote_coverage", with_ctes("ticks") + "select count(*) as fetched, 0 as unfetched from ticks")
+@query("quote_coverage", with_ctes("ticks") + "select count(*) as fetched, cast(0 as bigint) as unfetched from ticks")
 def q_quote_coverage(spark, d):
     path = sinks.scratch_path(spark, "quotes")
     _envelopes(adapters.ticks(spark, d)).write.json(path)

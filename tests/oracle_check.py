@@ -49,6 +49,25 @@ def rows_of(pdf: pd.DataFrame) -> list:
     return sorted(out, key=lambda r: tuple((x is None, str(x)) for x in r))
 
 
+_SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                  "date": "DATE", "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP", "boolean": "BOOLEAN",
+                  "float": "FLOAT", "smallint": "SMALLINT", "tinyint": "TINYINT"}
+
+
+def type_diffs(sdf, con, sql) -> list:
+    """Columns whose Spark type does not map to the DuckDB result type."""
+    rel = con.sql(sql)
+    duck_types = {n: str(t) for n, t in zip(rel.columns, rel.types)}
+    out = []
+    for f in sdf.schema.fields:
+        st = f.dataType.simpleString()
+        want = _SPARK_TO_DUCK.get(st, st.upper())
+        got = duck_types.get(f.name)
+        if got is not None and got != want and not (st.startswith("array") and got.endswith("[]")):
+            out.append((f.name, st, got))
+    return out
+
+
 def compare(spark, con, name, fn, sql, sf_dir):
     t0 = time.time()
     sdf = fn(spark, sf_dir)
@@ -56,13 +75,16 @@ def compare(spark, con, name, fn, sql, sf_dir):
     t1 = time.time()
     dpdf = con.execute(sql).df()
     t2 = time.time()
+    tdiff = type_diffs(sdf, con, sql)
     res = {"name": name, "spark_rows": len(spdf), "oracle_rows": len(dpdf),
            "spark_s": round(t1 - t0, 2), "duck_s": round(t2 - t1, 2)}
     if sorted(spdf.columns) != sorted(dpdf.columns):
         res["status"] = f"COLUMNS {sorted(spdf.columns)} vs {sorted(dpdf.columns)}"
         return res
     a, b = rows_of(spdf), rows_of(dpdf)
-    if a == b:
+    if a == b and tdiff:
+        res["status"] = f"TYPES {tdiff}"
+    elif a == b:
         res["status"] = "OK"
     else:
         sa, sb = set(a), set(b)
