@@ -118,7 +118,8 @@ def q_upsert_ticks_partial(spark, d):
 
 register("rsi_old", ["ind_long"], "select * from ind_long where indicator_name = 'rsi'")
 register("rsi_new", ["rsi_old"], """
-select token, lower(symbol_name) as symbol_name, indicator_name, timestamp, 100.0 - value as value, period
+select token, lower(symbol_name) as symbol_name, indicator_name, timestamp,
+       cast(100 - cast(value as decimal(18,6)) as double) as value, period
 from rsi_old where value > 50""")
 
 
