@@ -71,10 +71,10 @@ def write_upsert(spark: SparkSession, path: str, merged: DataFrame, partition_co
     """Write an upsert result back to a partitioned Parquet table.
 
     ``merged`` usually reads ``path`` itself, so its lineage is cut first
-    with a reliable checkpoint (shared ``spark.checkpoint.dir``); then only
+    by writing it once under the shared ``spark.checkpoint.dir``; then only
     the partitions present in ``merged`` are overwritten.
     """
-    checkpoint_dir(spark)
-    frozen = merged.checkpoint(eager=True)
+    from quantbeam.session import materialize
+    frozen = materialize(merged, "upsert")
     (frozen.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy(partition_col).parquet(path))

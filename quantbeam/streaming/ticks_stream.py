@@ -30,7 +30,7 @@ from pyspark.sql.streaming import StreamingQuery
 from quantbeam.operators.ticks import LATEST_TICK_ALL_COLUMNS, filter_market_hours
 from quantbeam.operators.upserts import TICK_KEY, upsert_by_key, TICK_UPDATE_COLUMNS
 from quantbeam.schemas import REALTIME_MARKET_DATA
-from quantbeam.session import checkpoint_dir
+from quantbeam.session import checkpoint_dir, materialize
 from quantbeam.sources.sinks import _exists
 
 SNAPSHOT_BUCKETS = 64
@@ -54,13 +54,15 @@ def _merge_partitions(spark: SparkSession, table: str, batch: DataFrame, part_co
                       keys: list[str], update_cols: list[str] | None) -> None:
     """Upsert ``batch`` into the partitioned Parquet ``table``, reading and
     rewriting only the partitions present in the batch."""
-    touched = [r[0] for r in batch.select(part_col).distinct().collect()]  # bounded: partitions
     if _exists(spark, table):
-        old = spark.read.parquet(table).where(F.col(part_col).isin(touched))
+        # a semi-join on the partition column: dynamic partition pruning reads
+        # only the partitions present in the batch (nothing goes to the driver)
+        touched = batch.select(part_col).distinct()
+        old = spark.read.parquet(table).join(touched, part_col, "left_semi")
         merged = upsert_by_key(old.select(*batch.columns), batch, keys, update_cols)
     else:
         merged = batch
-    frozen = merged.checkpoint(eager=True)  # cut lineage to the files being replaced
+    frozen = materialize(merged, "merge")  # cut lineage to the files being replaced
     (frozen.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy(part_col).parquet(table))
 
