@@ -186,13 +186,18 @@ def table_status(df: DataFrame, ts_col: str = "created_at") -> DataFrame:
 REQUEST_BATCH = 50  # fixed value: tokens per quote request
 
 
-def tokens_by_exchange(tm: DataFrame, batch_size: int = REQUEST_BATCH, buckets: int = 64) -> DataFrame:
+def tokens_by_exchange(tm: DataFrame, batch_size: int = REQUEST_BATCH, buckets: int | None = None) -> DataFrame:
     """exchange -> token lists in request batches of at most ``batch_size``.
 
-    Tokens are spread over ``buckets`` hash buckets per exchange first, so
-    no single task numbers (or collects) a whole exchange; each output row
-    holds one bounded batch.
+    Tokens are spread over hash buckets per exchange first, so no single
+    task numbers (or collects) a whole exchange; each output row holds one
+    bounded batch. The bucket count defaults to the session's shuffle
+    partition count (at least 64), so bucket size shrinks as the cluster
+    grows.
     """
+    if buckets is None:
+        conf = tm.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")
+        buckets = max(64, int(conf))
     b = F.pmod(F.xxhash64("token"), F.lit(buckets))
     w = Window.partitionBy("exch_seg", "_bucket").orderBy("token")
     ranked = (tm.select("exch_seg", "token").withColumn("_bucket", b)
