@@ -273,7 +273,7 @@ def q_src_parquet_snapshot(spark, d):
     return snap.where((F.col("ltp") >= 20) & (F.col("sma_200_position") != "ABOVE_SMA200"))
 
 
-@query("snapshot_verify")
+@query("snapshot_verify", _MS + "select true as readable, count(*) as row_count from market_summary")
 def q_snapshot_verify(spark, d):
     path = sinks.scratch_path(spark, "market_summary")
     sinks.export_parquet(build_market_summary(spark, d), path)
@@ -377,8 +377,11 @@ def q_stream_upsert_ticks(spark, d):
     return spark.read.parquet(table).select(*_TICK_CMP)
 
 
-@query("stream_export_summary")
+@query("stream_export_summary", _MS + f"select {_ms_cols()} from market_summary")
 def q_stream_export_summary(spark, d):
+    """Ticks stream in two micro-batches; after each batch the summary is
+    rebuilt from the tick table and exported. The export of the last batch
+    must equal the summary over all ticks."""
     landing_dir = _land_ticks(spark, d, files=2)
     table = sinks.scratch_path(spark, "tick_table")
     out = sinks.scratch_path(spark, "summary_export")
@@ -395,7 +398,9 @@ def q_stream_export_summary(spark, d):
     q = st.start_tick_append(spark, landing_dir, table, os.path.basename(table), trigger="availableNow",
                              session_start="00:00:00", session_end="23:59:59", on_batch=export)
     q.awaitTermination()
-    return spark.read.parquet(out)
+    exports = spark.read.parquet(out)
+    last = exports.select(F.max("batch")).scalar()
+    return exports.where(F.col("batch") == last).drop("batch")
 
 
 def _candle_docs(b):
