@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from quantbeam.operators import indicators as ind
 from quantbeam.operators import tokens as tk
 from quantbeam.plans.catalog import query
+from quantbeam.plans import q_tokens  # noqa: F401  (registers token_master CTEs)
 from quantbeam.plans.oracle_ctes import register, with_ctes
 from quantbeam.schemas import WIDE_INDICATOR_COLUMNS
 from quantbeam.sources import adapters
