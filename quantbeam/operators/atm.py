@@ -24,7 +24,9 @@ def futures_price_by_name(quotes: DataFrame, tm: DataFrame) -> DataFrame:
         F.max_by("ltp", F.struct("timestamp", "symbol_token")).alias("futures_price"))
 
 
-def _distance(name_col, dist_col):
+def strike_spacing(name_col, dist_col):
+    """Strike spacing of an option: its own when known and non-zero, else
+    the default for the underlying."""
     expr = F.when(dist_col.isNotNull() & (dist_col != 0), dist_col)
     for n, v in DEFAULT_DISTANCE.items():
         expr = expr.when(name_col == n, F.lit(v))
@@ -37,7 +39,7 @@ def near_atm_options(tm: DataFrame, prices: DataFrame, strike_buffer: int = 1) -
     decimals. Options without a price, name or strike are dropped."""
     o = tm.where(F.col("token_type") == TYPE_OPTIONS).where(F.col("strike").isNotNull())
     j = o.join(prices, "name", "inner")
-    dist = _distance(F.col("name"), F.col("strike_distance"))
+    dist = strike_spacing(F.col("name"), F.col("strike_distance"))
     keep = F.abs(F.col("futures_price") - F.col("strike")) <= F.lit(strike_buffer) * dist
     return j.where(keep).select(*tm.columns)
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from quantbeam.functions import derived as dv
 from quantbeam.operators import ticks as tk
-from quantbeam.operators.tokens import TYPE_EQUITY, TYPE_FUTURES, TYPE_OPTIONS
+from quantbeam.operators.tokens import TYPE_EQUITY, TYPE_FUTURES
 from quantbeam.schemas import MARKET_SUMMARY_COLUMNS
 
 
@@ -112,6 +112,3 @@ def legacy_tick_join(tm: DataFrame, ticks: DataFrame, token_type: str = TYPE_FUT
               .join(last, F.col("token") == F.col("symbol_token"), "inner")
               .select("token", "symbol", "name", "ltp", "percent_change", "timestamp"))
 
-
-__all__ = ["market_summary", "legacy_summary", "legacy_tick_join", "equity_master", "futures_master",
-           "TYPE_OPTIONS"]
