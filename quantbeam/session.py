@@ -24,6 +24,9 @@ _BASE_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # Streaming state (latest tick per symbol) off-heap with incremental checkpoints.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",

@@ -85,3 +85,32 @@ def test_near_atm_matches_reference(spark, opts, px, buffer):
         if abs(px[name] - strike) / d <= buffer:
             want.append(f"T{i}")
     assert got == sorted(want)
+
+
+exact_opts = st.lists(st.tuples(st.sampled_from(["A", "B", "C"]), st.sampled_from(["CE", "PE", "XX"]),
+                                st.integers(0, 40), st.integers(0, 2)), min_size=1, max_size=50)
+
+
+@SETTINGS
+@given(exact_opts, st.integers(0, 400))
+def test_exact_atm_matches_reference(spark, opts, price10):
+    import datetime as dt
+    rows = []
+    for i, (name, typ, strike, exp) in enumerate(opts):
+        rows.append((f"T{i:03d}", f"{name}{strike}{typ}", name, dt.date(2025, 3, 27) + dt.timedelta(days=exp),
+                     Decimal(strike * 10), 1, "OPTSTK", "NFO", Decimal(5), "OPTIONS", None, None, None))
+    tm = spark.createDataFrame(rows, TOKEN_MASTER).drop("created_at")
+    fut = Decimal(price10) / 2
+    pdf = spark.createDataFrame([("A", fut), ("B", fut)], "name string, futures_price decimal(18,6)")
+    got = {(r.name, r.option_type): r.token for r in atm.exact_atm_options(tm, pdf).collect()}
+    # reference: options ordered by (name, strike, expiry); per (name, CE/PE) the first minimum distance
+    ordered = sorted(rows, key=lambda r: (r[2], r[4], r[3], r[0]))
+    want = {}
+    for r in ordered:
+        name, typ = r[2], r[1][-2:]
+        if name not in ("A", "B") or typ not in ("CE", "PE"):
+            continue
+        d = abs(r[4] - fut)
+        if (name, typ) not in want or d < want[(name, typ)][0]:
+            want[(name, typ)] = (d, r[0])
+    assert got == {k: v[1] for k, v in want.items()}
