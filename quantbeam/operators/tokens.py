@@ -92,9 +92,19 @@ def strike_distance(options: DataFrame) -> DataFrame:
 
 
 def options_tokens(raw: DataFrame) -> DataFrame:
-    o = normalize_strike(coerce_numeric(nearest_expiry(filter_options(raw))))
-    o = o.withColumn("expiry", F.col("expiry_date")).drop("strike_distance")
-    o = o.join(strike_distance(o), "name", "left")
+    """Options at the nearest expiry with their strike spacing.
+
+    The option chain is the largest dimension, so it is scanned twice only:
+    one pass writes the small distinct (name, expiry, strike) grid, from
+    which the global nearest expiry and the spacing per name are read; the
+    second pass keeps the nearest-expiry rows and joins the spacing."""
+    from quantbeam.session import materialize
+    o = normalize_strike(coerce_numeric(filter_options(raw))).withColumn("expiry_date", parse_expiry("expiry"))
+    grid = materialize(o.select("name", "expiry_date", "strike").distinct(), "strike_grid")
+    nearest = grid.select(F.min("expiry_date")).scalar()
+    dist = strike_distance(grid.where(F.col("expiry_date") == nearest))
+    o = (o.where(F.col("expiry_date") == nearest).withColumn("expiry", F.col("expiry_date"))
+          .drop("strike_distance").join(dist, "name", "left"))
     return _shape(o, TYPE_OPTIONS, strike_distance=F.col("strike_distance"))
 
 
