@@ -98,15 +98,20 @@ def attach_week52(spark: SparkSession, sf_dir: str, df: DataFrame, token_col: st
 def bars(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = None) -> DataFrame:
     """``historical_data``: one daily OHLCV bar per (supplier, ship date).
 
-    Open/close are the first/last line by (orderkey, linenumber, partkey).
-    (orderkey, linenumber) is lineitem's primary key, so partkey never
-    decides; the pair is packed into one BIGINT (orderkey << 16 | line,
-    exact for linenumber < 65536 and orderkey < 2^47) so min_by/max_by keep
-    fixed-width buffers and the aggregate stays a hash aggregate with
-    map-side partials (a hot supplier is reduced before the shuffle).
+    Open/close are the first/last line by (orderkey, linenumber, partkey)
+    (the triple, not the pair: the pair repeats in the generated data).
+    The triple is packed exactly into one DECIMAL(38,0),
+    orderkey * 10^18 + (linenumber * 10^12 + partkey), the inner part in
+    BIGINT: lexicographic for any BIGINT orderkey, linenumber < 9*10^6 and
+    partkey < 10^12. (The triple needs ~78 bits at 100 TB, so no exact BIGINT
+    packing exists.) DECIMAL buffers stay mutable, so min_by/max_by keep a
+    hash aggregate with map-side partials (a hot supplier is reduced before
+    the shuffle) instead of the sort-based aggregate a struct key forces.
     """
     li = lineitem if lineitem is not None else read_table(spark, sf_dir, "lineitem")
-    order = F.shiftleft(F.col("l_orderkey"), 16) + F.col("l_linenumber").cast("bigint")
+    d38 = "decimal(38,0)"
+    low = F.col("l_linenumber").cast("bigint") * F.lit(10 ** 12) + F.col("l_partkey")
+    order = F.col("l_orderkey").cast(d38) * F.lit(str(10 ** 18)).cast(d38) + low.cast(d38)
     day = F.to_date("l_shipdate")
     g = (li.groupBy(F.col("l_suppkey"), day.alias("trade_date"))
            .agg(F.min_by("l_extendedprice", order).alias("o"),
