@@ -1,7 +1,7 @@
 """Benchmark the headline queries; prints ONE JSON line.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_QUERIES (comma list, optional), BENCH_REPEAT (default 2).
+BENCH_QUERIES (comma list, optional), BENCH_REPEAT (default 3).
 Each query is executed in full with the ``noop`` sink (no driver collect);
 the reported time is the best of the repeats after one warm-up run of the
 session.
@@ -24,7 +24,7 @@ HEADLINE = ["market_summary", "indicators_long", "indicators_wide", "latest_equi
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or HEADLINE
 
     from quantbeam.plans.catalog import queries
