@@ -72,12 +72,12 @@ def market_summary_from_quotes(tm: DataFrame, quotes: DataFrame, indicators_wide
                             tk.straddle_from_quotes(quotes), indicators_wide)
 
 
-def legacy_summary(tm: DataFrame, ticks: DataFrame) -> DataFrame:
+def legacy_summary(tm: DataFrame, ticks: DataFrame, enrich=None) -> DataFrame:
     """Intent of the legacy view: latest equity tick ⋈ token (inner),
     ⟕ latest futures tick, ⟕ latest CE / PE option tick by underlying
     name; missing option prices count as 0; ordered by symbol."""
-    last = tk.latest_tick_all(ticks).select("symbol_token", "ltp", "percent_change",
-                                            "week_high_52", "week_low_52")
+    last = tk.latest_tick_all(ticks, enrich).select("symbol_token", "ltp", "percent_change",
+                                                    "week_high_52", "week_low_52")
     eq = (tm.where(F.col("token_type") == TYPE_EQUITY)
             .join(last, F.col("token") == F.col("symbol_token"), "inner")
             .select(F.col("token").alias("equity_token"), F.col("symbol").alias("equity_symbol"),

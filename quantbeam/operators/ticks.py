@@ -23,12 +23,18 @@ def filter_option_symbols(ticks: DataFrame) -> DataFrame:
     return ticks.where(~F.col("trading_symbol").endswith("FUT"))
 
 
-def latest_equity_tick(ticks: DataFrame) -> DataFrame:
-    """Newest NSE tick per symbol_token; name = symbol without its last 3 chars."""
+def latest_equity_tick(ticks: DataFrame, enrich=None) -> DataFrame:
+    """Newest NSE tick per symbol_token; name = symbol without its last 3 chars.
+
+    ``enrich`` (optional) is applied to the reduced rows (one per
+    symbol_token, key still present) before the final projection, e.g. to
+    attach per-instrument fields to a few rows instead of every tick."""
     eq = filter_exchange(ticks, "NSE")
     cols = ["trading_symbol", "ltp", "percent_change", "open", "high", "low", "close",
             "trade_volume", "opn_interest", "week_low_52", "week_high_52", "timestamp"]
     last = latest_per_key(eq, ["symbol_token"], ["timestamp"], cols)
+    if enrich is not None:
+        last = enrich(last)
     return last.select(
         "trading_symbol", strip_last3("trading_symbol").alias("name"), "ltp", "percent_change",
         "open", "high", "low", "close", F.col("trade_volume").alias("volume"), "opn_interest",
@@ -114,9 +120,11 @@ def straddle_from_quotes(q: DataFrame) -> DataFrame:
              .agg(F.sum("ltp").alias("atm_price")))
 
 
-def latest_tick_all(ticks: DataFrame) -> DataFrame:
-    """Newest tick per symbol_token with the 20 summary columns."""
-    return latest_per_key(ticks, ["symbol_token"], ["timestamp"], LATEST_TICK_ALL_COLUMNS)
+def latest_tick_all(ticks: DataFrame, enrich=None) -> DataFrame:
+    """Newest tick per symbol_token with the 20 summary columns
+    (``enrich`` as in ``latest_equity_tick``)."""
+    last = latest_per_key(ticks, ["symbol_token"], ["timestamp"], LATEST_TICK_ALL_COLUMNS)
+    return enrich(last) if enrich is not None else last
 
 
 def classify_instrument(symbol) -> F.Column:

@@ -317,7 +317,8 @@ def q_truncate_table(spark, d):
 
 @query("rows_as_json")
 def q_rows_as_json(spark, d):
-    return rows_as_json(tk_ops.latest_equity_tick(adapters.ticks(spark, d)))
+    t = adapters.ticks(spark, d, with_week52=False)
+    return rows_as_json(tk_ops.latest_equity_tick(t, enrich=lambda df: adapters.attach_week52(spark, d, df)))
 
 
 # ---- streaming ------------------------------------------------------------------

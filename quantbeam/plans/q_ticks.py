@@ -10,6 +10,16 @@ from quantbeam.plans.oracle_ctes import with_ctes
 from quantbeam.sources import adapters
 
 _T = with_ctes("ticks")
+
+
+def _ticks(spark, d):
+    """Ticks without the adapter's 52-week columns (not used by the query)."""
+    return adapters.ticks(spark, d, with_week52=False)
+
+
+def _wk(spark, d):
+    """Attach the 52-week range to reduced rows that still carry symbol_token."""
+    return lambda df: adapters.attach_week52(spark, d, df)
 _DEC_TICK = ["ltp", "open", "high", "low", "close", "percent_change", "week_low_52", "week_high_52"]
 
 
@@ -24,7 +34,7 @@ select trading_symbol, substr(trading_symbol, 1, length(trading_symbol) - 3) as
 from (select *, row_number() over (partition by symbol_token order by timestamp desc) as rn
       from ticks where exchange = 'NSE') where rn = 1""")
 def latest_equity_tick(spark, d):
-    return tk.latest_equity_tick(adapters.ticks(spark, d))
+    return tk.latest_equity_tick(_ticks(spark, d), enrich=_wk(spark, d))
 
 
 @query("latest_futures_tick", _T + """
@@ -34,7 +44,7 @@ select trading_symbol, symbol_token, cast(ltp as double) as futures_ltp,
 from (select *, row_number() over (partition by symbol_token order by timestamp desc) as rn
       from ticks where exchange = 'NFO' and trading_symbol like '%FUT') where rn = 1""")
 def latest_futures_tick(spark, d):
-    return tk.latest_futures_tick(adapters.ticks(spark, d))
+    return tk.latest_futures_tick(_ticks(spark, d))
 
 
 _OPT_LATEST = """
@@ -53,13 +63,13 @@ select underlying_name, option_type, symbol_token, trading_symbol,
        trade_volume, opn_interest, timestamp
 from ({_OPT_LATEST}) o""")
 def latest_option_by_type(spark, d):
-    return tk.latest_option_by_type(adapters.ticks(spark, d))
+    return tk.latest_option_by_type(_ticks(spark, d))
 
 
 @query("atm_straddle", _T + f"""
 select underlying_name, cast(sum(ltp) as double) as atm_price from ({_OPT_LATEST}) o group by 1""")
 def atm_straddle(spark, d):
-    return tk.atm_straddle(adapters.ticks(spark, d))
+    return tk.atm_straddle(_ticks(spark, d))
 
 
 _ALL20 = tk.LATEST_TICK_ALL_COLUMNS
@@ -74,7 +84,7 @@ select symbol_token, exchange, trading_symbol,
 from (select *, row_number() over (partition by symbol_token order by timestamp desc) as rn from ticks)
 where rn = 1""")
 def latest_tick_all(spark, d):
-    return tk.latest_tick_all(adapters.ticks(spark, d))
+    return tk.latest_tick_all(_ticks(spark, d), enrich=_wk(spark, d))
 
 
 @query("count_by_instrument", _T + """
@@ -83,7 +93,7 @@ select case when trading_symbol like '%FUT' then 'FUTURES'
        count(*) as n
 from ticks group by 1""")
 def count_by_instrument(spark, d):
-    return tk.count_by_instrument(adapters.ticks(spark, d))
+    return tk.count_by_instrument(_ticks(spark, d))
 
 
 _TICK_OUT = ("exchange, trading_symbol, symbol_token, "
@@ -97,29 +107,29 @@ def _tick_out(df):
 
 @query("filter_exchange", _T + f"select {_TICK_OUT} from ticks where exchange = 'NFO'")
 def filter_exchange(spark, d):
-    return _tick_out(tk.filter_exchange(adapters.ticks(spark, d), "NFO"))
+    return _tick_out(tk.filter_exchange(_ticks(spark, d), "NFO"))
 
 
 @query("filter_future_symbols", _T + f"select {_TICK_OUT} from ticks where trading_symbol like '%FUT'")
 def filter_future_symbols(spark, d):
-    return _tick_out(tk.filter_future_symbols(adapters.ticks(spark, d)))
+    return _tick_out(tk.filter_future_symbols(_ticks(spark, d)))
 
 
 @query("filter_option_symbols", _T + f"""
 select {_TICK_OUT} from ticks where exchange = 'NFO' and trading_symbol not like '%FUT'""")
 def filter_option_symbols(spark, d):
-    return _tick_out(tk.filter_option_symbols(tk.filter_exchange(adapters.ticks(spark, d), "NFO")))
+    return _tick_out(tk.filter_option_symbols(tk.filter_exchange(_ticks(spark, d), "NFO")))
 
 
 @query("filter_market_hours", _T + f"""
 select {_TICK_OUT} from ticks where strftime(timestamp, '%H:%M:%S') between '09:15:00' and '15:30:00'""")
 def filter_market_hours(spark, d):
-    return _tick_out(tk.filter_market_hours(adapters.ticks(spark, d), "09:15:00", "15:30:00"))
+    return _tick_out(tk.filter_market_hours(_ticks(spark, d), "09:15:00", "15:30:00"))
 
 
 @query("scan_table", _T + f"select {_TICK_OUT}, depth_json from ticks")
 def scan_table(spark, d):
-    return adapters.ticks(spark, d).select(
+    return _ticks(spark, d).select(
         "exchange", "trading_symbol", "symbol_token", "ltp", "percent_change",
         "trade_volume", "timestamp", "depth_json")
 
@@ -130,7 +140,7 @@ select distinct trading_symbol, substr(trading_symbol, 1, length(trading_symbol)
 from ticks where exchange = 'NSE'""")
 def scalar_strip_suffix(spark, d):
     from quantbeam.functions.scalars import strip_eq, strip_last3
-    t = tk.filter_exchange(adapters.ticks(spark, d), "NSE")
+    t = tk.filter_exchange(_ticks(spark, d), "NSE")
     return t.select("trading_symbol", strip_last3("trading_symbol").alias("stripped"),
                     strip_eq("trading_symbol").alias("base_name")).distinct()
 
@@ -141,7 +151,7 @@ select distinct trading_symbol, substr(trading_symbol, -2) as suffix2,
 from ticks""")
 def scalar_option_type(spark, d):
     from quantbeam.functions.scalars import option_type_regex, option_type_suffix
-    t = adapters.ticks(spark, d)
+    t = _ticks(spark, d)
     return t.select("trading_symbol", option_type_suffix("trading_symbol").alias("suffix2"),
                     option_type_regex("trading_symbol").alias("option_type")).distinct()
 
@@ -151,7 +161,7 @@ select distinct trading_symbol, regexp_extract(trading_symbol, '^([^0-9]+)', 1)
 from ticks""")
 def scalar_underlying(spark, d):
     from quantbeam.functions.scalars import underlying
-    t = adapters.ticks(spark, d)
+    t = _ticks(spark, d)
     return t.select("trading_symbol", underlying("trading_symbol").alias("underlying_name")).distinct()
 
 
@@ -160,7 +170,7 @@ select t.symbol_token, t.timestamp, t.timestamp = m.last_ts as latest_record_fla
 from ticks t join (select symbol_token, max(timestamp) as last_ts from ticks group by 1) m
   on t.symbol_token = m.symbol_token""")
 def legacy_latest_flag(spark, d):
-    t = adapters.ticks(spark, d)
+    t = _ticks(spark, d)
     # per-key maximum is a partial aggregate; the join back is skew-split by AQE
     last = t.groupBy("symbol_token").agg(F.max("timestamp").alias("last_ts"))
     return (t.select("symbol_token", "timestamp").join(last, "symbol_token")
@@ -172,7 +182,7 @@ def legacy_latest_flag(spark, d):
 select symbol_token, timestamp, date_trunc('second', timestamp) as feed_time from ticks""")
 def scalar_parse_feed_time(spark, d):
     from quantbeam.functions.scalars import FEED_TIME_FORMAT, parse_feed_time
-    t = adapters.ticks(spark, d)
+    t = _ticks(spark, d)
     text = F.date_format("timestamp", FEED_TIME_FORMAT)
     return t.select("symbol_token", "timestamp", parse_feed_time(text).alias("feed_time"))
 
@@ -180,6 +190,6 @@ def scalar_parse_feed_time(spark, d):
 @query("scalar_depth_json", _T + """
 select symbol_token, timestamp, cast(json_extract(depth_json, '$.k') as bigint) as k from ticks""")
 def scalar_depth_json(spark, d):
-    t = adapters.ticks(spark, d)
+    t = _ticks(spark, d)
     parsed = F.from_json("depth_json", "k bigint")
     return t.select("symbol_token", "timestamp", parsed["k"].alias("k"))

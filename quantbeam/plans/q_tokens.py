@@ -245,7 +245,7 @@ group by tm.name""")
 
 
 def _prices(spark, d, tm):
-    t = ticks_ops.filter_future_symbols(ticks_ops.filter_exchange(adapters.ticks(spark, d), "NFO"))
+    t = ticks_ops.filter_future_symbols(ticks_ops.filter_exchange(adapters.ticks(spark, d, with_week52=False), "NFO"))
     return atm.futures_price_by_name(t, tm)
 
 
@@ -290,7 +290,7 @@ select token, name, exch_seg, token_type from token_master where token_type = 'E
 union all select token, name, exch_seg, token_type from near_atm""")
 def q_atm_two_pass(spark, d):
     tm = _tm(spark, d)
-    t = ticks_ops.filter_future_symbols(ticks_ops.filter_exchange(adapters.ticks(spark, d), "NFO"))
+    t = ticks_ops.filter_future_symbols(ticks_ops.filter_exchange(adapters.ticks(spark, d, with_week52=False), "NFO"))
     return atm.atm_two_pass(tm, t, strike_buffer=1)
 
 
@@ -350,7 +350,7 @@ select token, name, exch_seg, token_type from (
 where rn = 1""")
 def q_union_fetch_set(spark, d):
     tm = _tm(spark, d)
-    t = ticks_ops.filter_future_symbols(ticks_ops.filter_exchange(adapters.ticks(spark, d), "NFO"))
+    t = ticks_ops.filter_future_symbols(ticks_ops.filter_exchange(adapters.ticks(spark, d, with_week52=False), "NFO"))
     return atm.atm_two_pass(tm, t, exact_atm_only=True)
 
 
