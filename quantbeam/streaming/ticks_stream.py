@@ -95,14 +95,57 @@ def latest_tick_state(stream: DataFrame) -> DataFrame:
         "symbol_token", *[F.col(f"_r.{c}").alias(c) for c in payload])
 
 
+def latest_tick_state_windowed(stream: DataFrame, state_ttl: str) -> DataFrame:
+    """Optional bounded-state variant: newest tick per (symbol, event-time
+    window of length ``state_ttl``) under a watermark of the same length, so
+    Spark evicts closed windows. Rows later than the watermark are dropped
+    (our own retention rule; the reference keeps every row)."""
+    payload = [c for c in LATEST_TICK_ALL_COLUMNS]
+    row = F.max_by(F.struct(*payload), F.struct("timestamp")).alias("_r")
+    # watermarks need TIMESTAMP (not _NTZ): derive the event-time column
+    timed = stream.withColumn("_event_time", F.col("timestamp").cast("timestamp"))
+    return (timed.withWatermark("_event_time", state_ttl)
+                 .groupBy("symbol_token", F.window("_event_time", state_ttl))
+                  .agg(row).select("symbol_token", *[F.col(f"_r.{c}").alias(c) for c in payload]))
+
+
+def _merge_newest(spark: SparkSession, snapshot: str, batch: DataFrame) -> None:
+    """Keep, per symbol, the newer of the stored and the incoming row;
+    only the hash buckets present in the batch are rewritten."""
+    from quantbeam.operators.latest import latest_per_key
+    b = batch.withColumn("bucket", F.pmod(F.xxhash64("symbol_token"), F.lit(SNAPSHOT_BUCKETS)))
+    if _exists(spark, snapshot):
+        old = spark.read.parquet(snapshot).join(b.select("bucket").distinct(), "bucket", "left_semi")
+        b = old.select(*b.columns).unionByName(b)
+    newest = latest_per_key(b, ["symbol_token"], ["timestamp"], [c for c in b.columns if c != "symbol_token"])
+    frozen = materialize(newest, "latest")
+    (frozen.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .partitionBy("bucket").parquet(snapshot))
+
+
 def start_latest_tick(spark: SparkSession, landing_dir: str, snapshot: str, name: str,
-                      trigger: str = "60 seconds", max_files_per_trigger: int | None = None) -> StreamingQuery:
+                      trigger: str = "60 seconds", max_files_per_trigger: int | None = None,
+                      state_ttl: str | None = None) -> StreamingQuery:
+    """Maintain the newest tick per symbol in ``snapshot``.
+
+    Default: state holds one row per symbol for the life of the stream
+    (reference semantics). With ``state_ttl`` (e.g. "1 day") the state is
+    per (symbol, window) and evicted behind the watermark; the snapshot
+    still keeps the newest row per symbol."""
     ckpt = os.path.join(checkpoint_dir(spark), "streams", name)
-    state = latest_tick_state(tick_stream(spark, landing_dir, max_files_per_trigger=max_files_per_trigger))
+    src = tick_stream(spark, landing_dir, max_files_per_trigger=max_files_per_trigger)
+    if state_ttl is None:
+        state = latest_tick_state(src)
 
-    def each(batch: DataFrame, batch_id: int) -> None:
-        b = batch.withColumn("bucket", F.pmod(F.xxhash64("symbol_token"), F.lit(SNAPSHOT_BUCKETS)))
-        _merge_partitions(spark, snapshot, b, "bucket", ["symbol_token"], None)
+        def each(batch: DataFrame, batch_id: int) -> None:
+            b = batch.withColumn("bucket", F.pmod(F.xxhash64("symbol_token"), F.lit(SNAPSHOT_BUCKETS)))
+            _merge_partitions(spark, snapshot, b, "bucket", ["symbol_token"], None)
+    else:
+        state = latest_tick_state_windowed(src, state_ttl)
+
+        def each(batch: DataFrame, batch_id: int) -> None:
+            if not batch.isEmpty():
+                _merge_newest(spark, snapshot, batch)
 
     w = state.writeStream.outputMode("update").foreachBatch(each).option("checkpointLocation", ckpt)
     return _trigger(w, trigger).start()
