@@ -122,10 +122,9 @@ def _prepared(bars: DataFrame, configs: list[tuple[str, int]]) -> DataFrame:
     w = _asc()
     x = F.col("close").cast("double")
     prev = F.lag(x).over(w)
-    return (ranked.withColumn("n_all", F.count(F.lit(1)).over(w.rowsBetween(Window.unboundedPreceding,
-                                                                              Window.unboundedFollowing)))
-                  .withColumn("_d", x - prev)
-                  .withColumn("_ret", F.try_divide(x, prev) - F.lit(1.0)))
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return ranked.withColumns({"n_all": F.count(F.lit(1)).over(whole), "_d": x - prev,
+                               "_ret": F.try_divide(x, prev) - F.lit(1.0)})
 
 
 def indicator_branch(ranked: DataFrame, name: str, period: int) -> DataFrame:
@@ -205,7 +204,7 @@ def latest_indicator_values(bars: DataFrame, configs: Iterable[tuple[str, int]]
     wd = Window.partitionBy("token").orderBy(F.col("timestamp").desc())
     x = F.col("close").cast("double")
     older = F.lead(x).over(wd)
-    prep = ranked.withColumn("_d", x - older).withColumn("_ret", F.try_divide(x, older) - F.lit(1.0))
+    prep = ranked.withColumns({"_d": x - older, "_ret": F.try_divide(x, older) - F.lit(1.0)})
     rn = F.col("rn")
     n_all = F.count(F.lit(1))
     aggs = [n_all.alias("n_all"), F.max(F.when(rn == 1, F.col("timestamp"))).alias("last_ts"),

@@ -58,8 +58,8 @@ def latest_option_by_type(ticks: DataFrame) -> DataFrame:
     Ties on timestamp go to the greater symbol_token (deterministic).
     """
     opt = (filter_option_symbols(filter_exchange(ticks, "NFO"))
-           .withColumn("underlying_name", underlying("trading_symbol"))
-           .withColumn("option_type", option_type_suffix("trading_symbol")))
+           .withColumns({"underlying_name": underlying("trading_symbol"),
+                         "option_type": option_type_suffix("trading_symbol")}))
     cols = ["symbol_token", "trading_symbol", "ltp", "open", "high", "low", "close",
             "net_change", "percent_change", "trade_volume", "opn_interest", "timestamp"]
     return latest_per_key(opt, ["underlying_name", "option_type"], ["timestamp", "symbol_token"], cols)

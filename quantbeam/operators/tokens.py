@@ -47,9 +47,8 @@ def nearest_expiry(df: DataFrame) -> DataFrame:
 
 def coerce_numeric(df: DataFrame) -> DataFrame:
     """strike / tick_size -> DECIMAL(18,6), lotsize -> INT; invalid -> NULL."""
-    return (df.withColumn("strike", to_decimal("strike"))
-              .withColumn("lotsize", to_int("lotsize"))
-              .withColumn("tick_size", to_decimal("tick_size")))
+    return df.withColumns({"strike": to_decimal("strike"), "lotsize": to_int("lotsize"),
+                           "tick_size": to_decimal("tick_size")})
 
 
 def normalize_strike(df: DataFrame) -> DataFrame:
@@ -127,8 +126,7 @@ def map_futures_token(equity: DataFrame, futures: DataFrame) -> DataFrame:
 
 def equity_tokens(raw: DataFrame, futures: DataFrame) -> DataFrame:
     e = map_futures_token(equity_of_futures(raw, futures), futures)
-    e = (coerce_numeric(e).withColumn("strike", F.lit(0).cast(DEC))
-                          .withColumn("expiry", F.lit(None).cast("date")))
+    e = coerce_numeric(e).withColumns({"strike": F.lit(0).cast(DEC), "expiry": F.lit(None).cast("date")})
     return _shape(e, TYPE_EQUITY, futures_token=F.col("futures_token"))
 
 
