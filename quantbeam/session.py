@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -60,32 +62,81 @@ def build_session(master: str | None = None, app_name: str = "quantbeam",
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting must point at shared storage and is only read.
-    A private scratch folder is created solely when the setting is absent
-    (local tests).
+    On a cluster the setting must name shared storage and is only read: a
+    session without it is refused, since a folder of one machine would lose
+    the other machines' files. A private scratch folder is created solely for
+    a ``local`` master (tests).
     """
     path = spark.conf.get("spark.checkpoint.dir", None) or \
         spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="quantbeam-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
 
 
-def materialize(df, label: str = "stage", partition_by: str | None = None):
+# Folders written for intermediate results, by application.
+_SCRATCH: dict[str, list[str]] = {}
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new folder under the shared checkpoint folder. ``release`` deletes
+    it; the end of the driver does so at the latest."""
+    path = os.path.join(checkpoint_dir(spark), "tables", f"{label}-{uuid.uuid4().hex}")
+    app = spark.sparkContext.applicationId
+    if app not in _SCRATCH:
+        _SCRATCH[app] = []
+        atexit.register(_release_quietly, spark)
+    _SCRATCH[app].append(path)
+    return path
+
+
+def mark(spark: SparkSession) -> int:
+    """How many scratch folders exist now, for a later ``release``."""
+    return len(_SCRATCH.get(spark.sparkContext.applicationId, ()))
+
+
+def release(spark: SparkSession, since: int = 0) -> int:
+    """Delete the scratch folders made after ``mark`` returned ``since``.
+    Call it once the results that read them have been written or consumed."""
+    paths = _SCRATCH.get(spark.sparkContext.applicationId, [])
+    for path in paths[since:]:
+        delete_path(spark, path)
+    n = len(paths[since:])
+    del paths[since:]
+    return n
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder through the file system that Spark uses for it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def _release_quietly(spark: SparkSession) -> None:
+    try:
+        if spark.sparkContext._jsc is not None:
+            release(spark)
+    except Exception:  # the JVM has gone already: nothing left to ask
+        pass
+
+
+def materialize(df, label: str = "stage", partition_by: str | None = None, compression: str | None = None):
     """Cut lineage by writing ``df`` once as Parquet under the shared
     checkpoint folder and reading it back. Consumers then share one
     computation, a lost executor does not replay the upstream plan, and the
     planner sees the real (file-size) statistics of the result, so AQE can
     broadcast it only when it is measurably small. (An RDD checkpoint
     would compute the plan twice.)"""
-    import os
-    import uuid
     spark = df.sparkSession
-    path = os.path.join(checkpoint_dir(spark), "tables", f"{label}-{uuid.uuid4().hex}")
+    path = scratch_path(spark, label)
     w = df.write
     if partition_by:
         w = w.partitionBy(partition_by)
+    if compression:
+        w = w.option("compression", compression)
     w.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

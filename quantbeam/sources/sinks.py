@@ -2,20 +2,11 @@
 
 from __future__ import annotations
 
-import os
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quantbeam.session import checkpoint_dir
-
-
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh folder under the shared checkpoint location (never a
-    machine-local temp dir on a cluster)."""
-    return os.path.join(checkpoint_dir(spark), "scratch", f"{label}-{uuid.uuid4().hex}")
+from quantbeam.session import scratch_path  # noqa: F401  (callers use sinks.scratch_path)
 
 
 def export_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> bool:
