@@ -56,10 +56,8 @@ def cut(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int | Non
     def split(batches):
         encoder = pieces.shared(tokenizer)
         for batch in batches:
-            texts = [x or "" for x in batch.column(1).to_pylist()]
-            doc_ids = batch.column(0).to_numpy(zero_copy_only=False) if not batch.column(0).null_count else None
-            for a, b in pieces.slices(texts):
-                ids, n = encoder.encode(texts[a:b])
+            for a, b in pieces.runs(batch.column(1)):
+                ids, n = encoder.encode(batch.column(1).slice(a, b - a))
                 if end_id is not None:
                     ids = np.insert(ids, np.cumsum(n), end_id)
                     n = n + 1
@@ -69,10 +67,8 @@ def cut(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int | Non
                 length = np.minimum(capacity, n[doc] - start)
                 raw = ids.astype("<u4").tobytes()
                 at = 4 * ((np.cumsum(n) - n)[doc] + start)
-                owner = pa.array(doc_ids[a:b][doc]) if doc_ids is not None else \
-                    batch.column(0).slice(a, b - a).take(pa.array(doc))
                 yield pa.record_batch({
-                    "doc_id": owner, "start": pa.array(start), "length": pa.array(length),
+                    "doc_id": batch.column(0).slice(a, b - a).take(pa.array(doc)), "start": pa.array(start), "length": pa.array(length),
                     "ids": pa.array([raw[i:i + 4 * m] for i, m in zip(at.tolist(), length.tolist())], pa.binary()),
                     "doc_tokens": pa.array(n[doc])})
 

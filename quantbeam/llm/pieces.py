@@ -1,9 +1,10 @@
 """Fast exact encoding with a byte-level BPE file of the ``tokenizers`` library.
 
 The library splits a text by a fixed pattern and encodes each piece on its
-own. ``PieceEncoder`` splits with the same pattern, lets the library encode
-each piece that it has not met lately, and keeps the ids. Ids are therefore
-the library's; the memory of pieces is bounded by ``max_pieces``.
+own. ``PieceEncoder`` finds the pattern's pieces of a whole batch with array
+operations, lets the library encode the pieces that it has not met lately, and
+keeps their ids. Ids are therefore the library's; the memory for pieces is
+bounded by ``max_pieces``.
 
 Texts that hold a special string or a character beyond Latin Extended-A, where
 two versions of Unicode tables might class a character differently, go to the
@@ -17,10 +18,19 @@ import json
 import os
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
-# Fixed value: the split pattern of byte-level BPE.
-PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Characters below are classed here; two bytes in UTF-8 at most.
+KNOWN = 0x180
+LETTER, NUMBER, BLANK, OTHER = range(4)
+#: Classes of the split pattern: letters, numbers, white space, the rest.
+CLASS = np.array([LETTER if regex.match(r"\p{L}", c) else NUMBER if regex.match(r"\p{N}", c)
+                  else BLANK if regex.match(r"\s", c) else OTHER for c in map(chr, range(KNOWN))], np.uint8)
+FIRST_UNKNOWN = 0xC0 | KNOWN >> 6     # the first byte of characters from KNOWN on
+# What follows an apostrophe in a contraction.
+SHORT = (b"s", b"t", b"m", b"d", b"re", b"ve", b"ll")
 
 
 @functools.lru_cache(maxsize=4)
@@ -47,82 +57,194 @@ def special_strings(path: str) -> tuple[str, ...]:
     return tuple(a["content"] for a in added)
 
 
+def piece_starts(raw: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Where pieces begin in UTF-8 texts that stand one after another in
+    ``raw`` and end at ``ends``; all characters below ``KNOWN``.
+
+    Pieces are runs of one class of characters, with these exceptions: a space
+    before a run that is not white space belongs to that run; of several white
+    characters before such a run the last parts from the others; an apostrophe
+    that no space precedes takes a contraction's letters.
+    """
+    n = len(raw)
+    if not n:
+        return np.empty(0, np.int64)
+    kind = np.append(CLASS[np.minimum(raw, 0x7F)], OTHER)
+    lead = np.flatnonzero(raw >= 0xC0)
+    wide = CLASS[(raw[lead].astype(np.int64) & 0x1F) << 6 | raw[lead + 1] & 0x3F]
+    kind[lead] = kind[lead + 1] = wide
+    top = np.zeros(n + 1, bool)               # a text begins here
+    top[0] = True
+    top[ends] = True
+    run = top.copy()                          # a run begins here
+    run[1:] |= kind[1:] != kind[:-1]
+    start = run[:n].copy()
+
+    solid = np.flatnonzero(run[:n] & (kind[:n] != BLANK) & ~top[:n])
+    after_blank = solid[kind[solid - 1] == BLANK]
+    two_bytes = raw[after_blank - 1] >= 0x80
+    start[after_blank - 1 - two_bytes] = True
+    start[after_blank[raw[after_blank - 1] == 0x20]] = False
+
+    quote = np.flatnonzero(raw == 0x27)
+    quote = quote[run[quote] & run[quote + 1] & ~top[quote + 1] & (kind[quote + 1] == LETTER)]
+    quote = quote[top[quote] | (raw[quote - 1] != 0x20)]
+    for letters in SHORT:
+        if not len(quote):
+            break
+        k = len(letters)
+        inside = quote[quote + k < n]
+        for j, letter in enumerate(letters, 1):
+            inside = inside[(raw[inside + j] == letter) & ~top[inside + j]]
+        start[inside + 1] = False
+        beyond = inside[inside + 1 + k < n] + 1 + k
+        start[beyond] = True
+        quote = np.setdiff1d(quote, inside, assume_unique=True)
+    return np.flatnonzero(start)
+
+
 class PieceEncoder:
-    """Encodes batches of texts to flat id arrays."""
+    """Encodes columns of texts to flat id arrays."""
 
-    def __init__(self, path: str, max_pieces: int = 300_000):
-        special = special_strings(path)
+    def __init__(self, path: str, max_pieces: int = 500_000):
+        self.special = [s.encode() for s in special_strings(path)]
         self.library = load(path)
         self.vocab_size = self.library.get_vocab_size(with_added_tokens=True)
         self.max_pieces = max_pieces
-        self._split = regex.compile(PATTERN).findall
-        self._whole = regex.compile("|".join([*map(regex.escape, special), r"[ƀ-\U0010ffff]"])).search
-        self._forget()
-
-    def _forget(self) -> None:
-        self._known: dict[str, int] = {}
+        self._newline = self.library.encode("\n", add_special_tokens=False).ids
+        self._known: dict[bytes, int] = {}
         self._ids = np.empty(1 << 16, np.uint32)
         self._starts = np.empty(1 << 14, np.int64)
         self._lengths = np.empty(1 << 14, np.int64)
+        self._again = np.zeros(1 << 14, bool)
         self._used = 0
 
-    def _learn(self, pieces: list[str]) -> None:
-        found = [e.ids for e in self.library.encode_batch_fast(pieces, add_special_tokens=False)]
-        n, m, total = len(self._known), len(pieces), sum(map(len, found))
-        while self._used + total > len(self._ids):
+    def _forget(self) -> None:
+        """Drop the pieces that were met once only since the last time."""
+        n = len(self._known)
+        keep = np.flatnonzero(self._again[:n])
+        if len(keep) > self.max_pieces // 2:
+            keep = keep[:0]
+        pieces = list(self._known)
+        ids, lengths = self._gather(keep), self._lengths[keep].copy()
+        self._known = {pieces[k]: j for j, k in enumerate(keep.tolist())}
+        self._ids[:len(ids)] = ids
+        self._used = len(ids)
+        self._lengths[:len(keep)] = lengths
+        self._starts[:len(keep)] = np.cumsum(lengths) - lengths
+        self._again[:] = False
+
+    def _library_ids(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces, one after another, and how many each has. Pieces are
+        handed over in lines, which the pattern parts again: but for white
+        space, no piece holds or touches a line's end."""
+        plain = np.array([not p.isspace() and b"\xc2\x85" not in p and b"\xc2\xa0" not in p for p in pieces], bool)
+        lines, parts = [p.decode() for p, ok in zip(pieces, plain) if ok], [None] * len(pieces)
+        at = np.flatnonzero(plain).tolist()
+        step = 256
+        chunks = ["\n".join(lines[k:k + step]) for k in range(0, len(lines), step)]
+        done = 0
+        for e in self.library.encode_batch_fast(chunks, add_special_tokens=False):
+            ids = np.array(e.ids, np.uint32)
+            cut = np.flatnonzero(ids == self._newline[0])
+            for a, b in zip([0, *(cut + 1).tolist()], [*cut.tolist(), len(ids)]):
+                parts[at[done]] = ids[a:b]
+                done += 1
+        odd = np.flatnonzero(~plain).tolist()
+        for k, e in zip(odd, self.library.encode_batch_fast([pieces[k].decode() for k in odd], add_special_tokens=False)):
+            parts[k] = np.array(e.ids, np.uint32)
+        if done != len(lines):
+            raise AssertionError("the library parted lines in another way")
+        return np.concatenate(parts), np.fromiter(map(len, parts), np.int64, len(parts))
+
+    def _learn(self, pieces: list[bytes]) -> None:
+        ids, lengths = self._library_ids(pieces)
+        n, m = len(self._known), len(pieces)
+        while self._used + len(ids) > len(self._ids):
             self._ids = np.concatenate([self._ids, np.empty_like(self._ids)])
         while n + m > len(self._starts):
-            self._starts = np.concatenate([self._starts, np.empty_like(self._starts)])
-            self._lengths = np.concatenate([self._lengths, np.empty_like(self._lengths)])
-        size = np.fromiter(map(len, found), np.int64, m)
-        self._ids[self._used:self._used + total] = np.fromiter((i for x in found for i in x), np.uint32, total)
-        self._starts[n:n + m] = self._used + np.cumsum(size) - size
-        self._lengths[n:n + m] = size
-        self._used += total
+            self._starts, self._lengths = (np.concatenate([x, np.empty_like(x)]) for x in (self._starts, self._lengths))
+            self._again = np.concatenate([self._again, np.zeros_like(self._again)])
+        self._ids[self._used:self._used + len(ids)] = ids
+        self._starts[n:n + m] = self._used + np.cumsum(lengths) - lengths
+        self._lengths[n:n + m] = lengths
+        self._used += len(ids)
         self._known.update(zip(pieces, range(n, n + m)))
 
-    def _pieces(self, texts: list[str], whole: list[bool]):
-        pieces: list[str] = []
-        counts = np.zeros(len(texts), np.int64)
-        for k, text in enumerate(texts):
-            if not whole[k]:
-                found = self._split(text)
-                pieces += found
-                counts[k] = len(found)
+    def _gather(self, at: np.ndarray) -> np.ndarray:
+        """The ids of known pieces, one after another."""
+        lengths = self._lengths[at]
+        ends = np.cumsum(lengths)
+        total = int(ends[-1]) if len(ends) else 0
+        return self._ids[np.arange(total) + np.repeat(self._starts[at] - (ends - lengths), lengths)]
+
+    def _pieces(self, raw: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the pieces of all texts, and how many each text has."""
+        starts = piece_starts(raw, ends)
+        counts = np.diff(np.searchsorted(starts, ends), prepend=0)
+        if not len(starts):
+            return starts, counts
+        offsets = np.append(starts, len(raw)).astype(np.int32)
+        listed = pa.BinaryArray.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(raw)])
+        coded = listed.dictionary_encode()
+        values = coded.dictionary.to_pylist()
         if len(self._known) > self.max_pieces:
             self._forget()
-        new = list(set(pieces).difference(self._known))
+        before = len(self._known)
+        new = [v for v in values if v not in self._known]
         if new:
             self._learn(new)
-        at = np.fromiter(map(self._known.__getitem__, pieces), np.int64, len(pieces))
-        return at, counts
+        number = np.fromiter(map(self._known.__getitem__, values), np.int64, len(values))
+        self._again[number[number < before]] = True
+        return number[coded.indices.to_numpy()], counts
 
-    def counts(self, texts: list[str]) -> np.ndarray:
-        """Ids of each text."""
-        whole = [self._whole(t) is not None for t in texts]
-        at, counts = self._pieces(texts, whole)
+    def _column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Octets without the texts that go to the library whole, the ends of
+        the texts there, and which those are."""
+        if texts.null_count:
+            texts = texts.fill_null("")
+        texts = texts.cast(pa.large_binary())
+        _, offsets, data = texts.buffers()
+        offsets = np.frombuffer(offsets, np.int64)[texts.offset:texts.offset + len(texts) + 1]
+        raw = np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]] if data is not None else np.empty(0, np.uint8)
+        ends = offsets[1:] - offsets[0]
+        places = np.flatnonzero(raw >= FIRST_UNKNOWN)
+        octets = raw.tobytes() if self.special else b""
+        for s in self.special:
+            at = octets.find(s)
+            while at >= 0:
+                places = np.append(places, at)
+                at = octets.find(s, at + 1)
+        whole = np.zeros(len(ends), bool)
+        whole[np.searchsorted(ends, places, side="right")] = True
+        if whole.any():
+            sizes = np.diff(ends, prepend=0)
+            raw = raw[np.repeat(~whole, sizes)]
+            ends = np.cumsum(np.where(whole, 0, sizes))
+        return raw, ends, whole
+
+    def counts(self, texts: pa.Array) -> np.ndarray:
+        """How many ids each text has."""
+        raw, ends, whole = self._column(texts)
+        at, counts = self._pieces(raw, ends)
         n = _sums(self._lengths[at], counts)
         for k in np.flatnonzero(whole):
-            n[k] = len(self.library.encode(texts[k], add_special_tokens=False).ids)
+            n[k] = len(self.library.encode(texts[int(k)].as_py(), add_special_tokens=False).ids)
         return n
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, and how many each text has."""
-        whole = [self._whole(t) is not None for t in texts]
-        at, counts = self._pieces(texts, whole)
-        starts, lengths = self._starts[at], self._lengths[at]
-        ends = np.cumsum(lengths)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = self._ids[np.arange(total) + np.repeat(starts - (ends - lengths), lengths)]
-        n = _sums(lengths, counts)
-        if not any(whole):
+        raw, ends, whole = self._column(texts)
+        at, counts = self._pieces(raw, ends)
+        ids, n = self._gather(at), _sums(self._lengths[at], counts)
+        if not whole.any():
             return ids, n
-        parts, at = [], 0
-        for k, text in enumerate(texts):
-            parts.append(ids[at:at + n[k]])
-            at += n[k]
+        parts, place = [], 0
+        for k in range(len(n)):
+            parts.append(ids[place:place + n[k]])
+            place += n[k]
             if whole[k]:
-                parts[-1] = np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
+                parts[-1] = np.array(self.library.encode(texts[k].as_py(), add_special_tokens=False).ids, np.uint32)
                 n[k] = len(parts[-1])
         return np.concatenate(parts), n
 
@@ -140,14 +262,16 @@ def shared(path: str) -> PieceEncoder:
     return PieceEncoder(path)
 
 
-def slices(texts: list[str], max_chars: int = 1 << 20):
-    """``(from, to)`` runs of about ``max_chars`` characters: bounds the
-    memory of a batch by its longest text."""
+def runs(texts: pa.Array, max_bytes: int = 1 << 22):
+    """``(from, to)`` runs of rows of about ``max_bytes``: bounds the memory
+    of a step by its longest text."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
     start = size = 0
-    for k, text in enumerate(texts):
-        if size and size + len(text) > max_chars:
+    for k, s in enumerate(sizes.tolist()):
+        if size and size + s > max_bytes:
             yield start, k
             start, size = k, 0
-        size += len(text)
-    if start < len(texts):
-        yield start, len(texts)
+        size += s
+    if start < len(sizes):
+        yield start, len(sizes)
+

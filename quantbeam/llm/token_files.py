@@ -47,9 +47,8 @@ def tokenise(docs: DataFrame, tokenizer: str, end_id: int | None = 0) -> DataFra
         encoder = pieces.shared(tokenizer)
         kind = id_type(encoder.vocab_size)
         for batch in batches:
-            texts = [x or "" for x in batch.column(1).to_pylist()]
-            for a, b in pieces.slices(texts):
-                ids, n = encoder.encode(texts[a:b])
+            for a, b in pieces.runs(batch.column(1)):
+                ids, n = encoder.encode(batch.column(1).slice(a, b - a))
                 if end_id is not None:
                     ids = np.insert(ids, np.cumsum(n), end_id)
                     n = n + 1
