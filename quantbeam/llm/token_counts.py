@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from quantbeam.llm import pieces
@@ -38,7 +39,7 @@ def boundaries(library, chunk: str) -> tuple[np.ndarray, np.ndarray, int]:
     e = library.encode(chunk, add_special_tokens=False)
     piece = np.array(e.word_ids, np.int64)
     first = np.flatnonzero(np.diff(piece, prepend=-1)) if len(piece) else np.empty(0, np.int64)
-    starts = np.array([e.offsets[k][0] for k in first.tolist()], np.int64)
+    starts = np.array([a for a, _ in e.offsets], np.int64)[first]
     return starts, first, len(e.ids)
 
 
@@ -80,17 +81,18 @@ def count_tokens(docs: DataFrame, tokenizer: str, chunk_chars: int = 1 << 15, ov
         encoder = pieces.shared(tokenizer)
         margin = MARGIN + max(map(len, pieces.special_strings(tokenizer)), default=0)
         for batch in batches:
-            texts = [x or "" for x in batch.column(1).to_pylist()]
+            texts = batch.column(1)
+            size = pc.fill_null(pc.utf8_length(texts), 0).to_numpy(zero_copy_only=False)
+            huge = size > 2 * chunk_chars
             n = np.zeros(len(texts), np.int64)
-            huge = [k for k, t in enumerate(texts) if len(t) > 2 * chunk_chars]
-            for k in huge:
-                n[k] = count_long(encoder.library, texts[k], margin, chunk_chars, overlap_chars)
-            n_bytes = [len(t.encode()) for t in texts]
-            for k in huge:
-                texts[k] = ""
-            for a, b in pieces.slices(texts):
-                n[a:b] += encoder.counts(texts[a:b])
-            yield pa.record_batch({"doc_id": batch.column(0), "n_bytes": pa.array(n_bytes, pa.int64()),
+            for k in np.flatnonzero(huge).tolist():
+                n[k] = count_long(encoder.library, texts[k].as_py(), margin, chunk_chars, overlap_chars)
+            short = texts.filter(pa.array(~huge))
+            place = np.flatnonzero(~huge)
+            for a, b in pieces.runs(short):
+                n[place[a:b]] = encoder.counts(short.slice(a, b - a))
+            n_bytes = pc.fill_null(pc.binary_length(texts), 0).cast(pa.int64())
+            yield pa.record_batch({"doc_id": batch.column(0), "n_bytes": n_bytes,
                                    "n_tokens": pa.array(n)})
 
     return pick(docs).mapInArrow(count, COUNTS)
