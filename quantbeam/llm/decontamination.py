@@ -5,20 +5,21 @@ with fewer words, but not none, is one window. The operator finds where windows
 occur in training texts:
 
 1. *Rarity*: count the corpus postings of every word of the test items.
-2. *Index*: for each window, its ``anchors`` rarest words. Postings
-   ``(document, position)`` of those words are stored, written once. Words that
-   are no window's anchor can decide no match, so they need no posting.
-3. *Intersection*: a posting of an anchor that stands ``k`` words into a window
-   proposes that the window starts at ``position - k``. Starts that all the
-   anchors propose are the intersection of their offset-adjusted lists. The
-   rarest anchor's posting carries the words at the proposed place, and the
-   few starts that are left are compared with the whole window: exact phrases.
-4. *Proximity*: with ``slop`` > 0, anchors' proposed starts may lie up to
-   ``slop`` words from the rarest one's (words inserted, dropped or swapped
-   between them); reported apart from phrases.
-
-All of it is DataFrame code. Windows and anchors are as many as the test items
-have words; they are broadcast only if counted below ``BROADCAST_ROWS``.
+2. *Index*: each window's ``anchors`` are its rarest words, the rarest its
+   *pivot*. Postings ``(word, document, position)`` of the anchors are stored,
+   written once; words that are no window's anchor can decide no match. Postings
+   of pivots keep the words around them.
+3. *Intersection*: a posting of an anchor that stands ``p`` words into an item
+   proposes that the item's words begin at ``position - p`` there. Windows whose
+   anchors all propose the same beginning are the intersection of their
+   offset-adjusted lists. The few that are left are compared, word for word,
+   with the words around the pivot: exact phrases.
+4. *Proximity*: with ``slop`` > 0, other anchors may propose beginnings up to
+   ``slop`` words from the pivot's (words put in, left out or moved between
+   them); reported apart from phrases.
+
+All of it is DataFrame code. Windows are as many as the test items have words;
+they are broadcast only if counted below ``BROADCAST_ROWS``.
 
 Null or wordless texts have no words and no hits; rows are told apart by id
 and text, so equal rows have equal results. Items without an id count as the
@@ -41,17 +42,11 @@ def small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
-def item_windows(benchmark: DataFrame, window: int, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """``(window_id, item_id, terms)``: the windows of all items, distinct
-    by their words; ``items`` lists who has them."""
-    items = benchmark.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("item_id"),
-                             words(F.col(text_col)).alias("w")).filter(F.size("w") > 0)
-    last = F.greatest(F.size("w") - window, F.lit(0))
-    each = items.select("item_id", "w", F.explode(F.sequence(F.lit(0), last)).alias("at"))
-    # The words joined by spaces name a window: words hold no space.
-    return (each.select("item_id", F.slice("w", F.col("at") + 1, window).alias("terms")).distinct()
-            .groupBy("terms").agg(F.collect_set("item_id").alias("items"))
-            .select(F.array_join("terms", " ").alias("window_id"), "terms", "items"))
+def items_of(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
+    """``(item, item_id, words)`` of the items with words, numbered."""
+    found = benchmark.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("item_id"),
+                             words(F.col(text_col)).alias("words")).filter(F.size("words") > 0).distinct()
+    return found.withColumn("item", F.monotonically_increasing_id())
 
 
 def document_key(doc_id: Column, text: Column) -> Column:
@@ -59,59 +54,77 @@ def document_key(doc_id: Column, text: Column) -> Column:
     return F.struct(doc_id.alias("doc_id"), F.xxhash64(text).alias("text_hash"))
 
 
-def anchors(windows: DataFrame, corpus: DataFrame, count: int) -> DataFrame:
-    """``(term, window_id, place, rank)``: the ``count`` rarest distinct words of
-    each window (ties by the word) with their first place there."""
-    vocabulary = windows.select(F.explode("terms").alias("term")).distinct()
-    vocabulary = materialize(vocabulary, "vocabulary")
+def item_windows(items: DataFrame, corpus: DataFrame, window: int, count: int) -> DataFrame:
+    """``(item, at, n_words, anchors, pivot)``: each window with the places in
+    the item of its ``count`` rarest distinct words (ties by the word; the first
+    place of a word that comes again) and of the rarest of them."""
+    vocabulary = materialize(items.select(F.explode("words").alias("term")).distinct(), "vocabulary")
     found = (corpus.select(F.explode("w").alias("term"))
              .join(small(vocabulary, vocabulary.count()), "term").groupBy("term").agg(F.count("*").alias("n")))
-    places = windows.select("window_id", F.posexplode("terms").alias("place", "term"))
-    rare = (places.groupBy("window_id", "term").agg(F.min("place").alias("place"))
-            .join(found, "term", "left").withColumn("n", F.coalesce("n", F.lit(0))))
-    order = Window.partitionBy("window_id").orderBy("n", "term")
-    return (rare.withColumn("rank", F.row_number().over(order) - 1).filter(F.col("rank") < count)
-            .select("term", "window_id", "place", "rank"))
-
-
-def build_index(corpus: DataFrame, chosen: DataFrame, window: int) -> DataFrame:
-    """Postings of the anchor words, written once: ``(term, doc, position,
-    around)``. ``around`` is the text from ``window - 1`` words before to as many
-    after, which holds every window that the posting can stand in."""
-    terms = materialize(chosen.select("term").distinct(), "anchor_terms")
+    last = F.greatest(F.size("words") - window, F.lit(0))
+    each = (items.select("item", "words", F.explode(F.sequence(F.lit(0), last)).alias("at"))
+            .select("item", "at", F.posexplode(F.slice("words", F.col("at") + 1, window)).alias("k", "term")))
+    places = each.groupBy("item", "at", "term").agg((F.col("at") + F.min("k")).alias("place"), F.count("*").alias("m"))
+    # Windows are as short as the caller says: a group has ``window`` rows.
+    rare = F.sort_array(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "term", "place")))
+    return (places.join(found, "term", "left").groupBy("item", "at")
+            .agg(F.slice(rare, 1, count).alias("rare"), F.sum("m").cast("int").alias("n_words"))
+            .select("item", "at", "n_words", F.col("rare.place").alias("anchors"),
+                    F.get("rare", F.lit(0))["place"].alias("pivot"), F.col("rare.term").alias("terms")))
+
+
+def build_index(corpus: DataFrame, windows: DataFrame, window: int) -> DataFrame:
+    """Postings of the anchors, written once: ``(term, doc, position, first,
+    around)``. ``around`` are the words from ``window - 1`` before a pivot to as
+    many after it, from position ``first`` on; null for other anchors."""
+    terms = windows.select(F.posexplode("terms").alias("rank", "term")).groupBy("term").agg(
+        (F.min("rank") == 0).alias("is_pivot"))
+    terms = materialize(terms, "anchor-terms")
     posted = (corpus.select("doc", "w", F.posexplode("w").alias("position", "term"))
               .join(small(terms, terms.count()), "term"))
     first = F.greatest(F.col("position") - (window - 1), F.lit(0))
     return materialize(posted.select(
         "term", "doc", "position", first.alias("first"),
-        F.slice("w", first + 1, F.lit(2 * window - 1)).alias("around")), "postings")
-
-
-def intersect(index: DataFrame, windows: DataFrame, chosen: DataFrame, slop: int = 0) -> DataFrame:
-    """``(doc, window_id, start, n_words, phrase)``: places that hold a
-    window word for word, and with ``slop`` also those where its anchors stand
-    within ``slop`` words of their places (``phrase`` false; ``start`` is the
-    rarest anchor's)."""
-    facts = windows.select("window_id", "terms", F.size("terms").alias("n_words"))
-    needed = chosen.groupBy("window_id").agg(F.count("*").alias("n_anchors"))
-    rows = chosen.count()
-    lists = (index.join(small(chosen, rows), "term")
-             .withColumn("start", F.col("position") - F.col("place")))
-    pivot = lists.filter("rank = 0").join(small(needed, rows), "window_id").select(
-        "doc", "window_id", "start", "n_anchors", "first", "around")
-    spread = F.explode(F.sequence(F.col("start") - slop, F.col("start") + slop)) if slop else F.col("start")
-    rest = lists.filter("rank > 0").select("doc", "window_id", "rank", spread.alias("start"))
-    met = (rest.groupBy("doc", "window_id", "start").agg(F.count_distinct("rank").alias("n_met")))
-    both = (pivot.join(met, ["doc", "window_id", "start"], "left")
-            .filter(F.coalesce("n_met", F.lit(0)) == F.col("n_anchors") - 1)
-            .join(small(facts, rows), "window_id"))
-    at = F.col("start") - F.col("first")
-    phrase = (F.col("start") >= 0) & (F.slice("around", F.greatest(at, F.lit(0)) + 1, F.col("n_words")) == F.col("terms"))
-    found = both.select("doc", "window_id", "start", "n_words", phrase.alias("phrase"))
+        F.when(F.col("is_pivot"), F.slice("w", first + 1, F.lit(2 * window - 1))).alias("around")), "postings")
+
+
+def intersect(index: DataFrame, items: DataFrame, windows: DataFrame, slop: int = 0) -> DataFrame:
+    """``(doc, item_id, start, n_words, phrase)``: where documents hold a
+    window word for word, and with ``slop`` also where its anchors stand within
+    ``slop`` words of their places (``phrase`` false; ``start`` by the pivot)."""
+    n_windows = windows.count()
+    spots = windows.select("item", F.explode(F.arrays_zip("terms", "anchors")).alias("a"), "pivot").groupBy(
+        "item", F.col("a.terms").alias("term"), F.col("a.anchors").alias("place")).agg(
+        F.max(F.col("a.anchors") == F.col("pivot")).alias("is_pivot"))
+    lists = index.join(small(spots, n_windows), "term").select(
+        "doc", "item", "place", (F.col("position") - F.col("place")).alias("begin"), F.lit(0).alias("off"),
+        F.when(F.col("is_pivot"), F.struct("place", "first", "around")).alias("pivot_words"))
+    if slop:
+        others = lists.withColumn("off", F.explode(F.array(*[F.lit(k) for k in range(-slop, slop + 1) if k])))
+        lists = lists.unionByName(others.withColumns({
+            "begin": F.col("begin") + F.col("off"), "pivot_words": F.lit(None).cast(lists.schema["pivot_words"].dataType)}))
+    least = windows.groupBy("item").agg(F.min(F.size("anchors")).alias("least"))
+    # One item's beginnings in one document: at most as many rows as it has words.
+    met = (lists.groupBy("doc", "item", "begin").agg(
+        F.collect_set("place").alias("near"), F.collect_set(F.when(F.col("off") == 0, F.col("place"))).alias("exact"),
+        F.collect_list("pivot_words").alias("pivots"))
+        .join(small(least, n_windows), "item").filter(F.size("near") >= F.col("least")).drop("least"))
+    listed = windows.join(items.select("item", "item_id", F.col("words").alias("item_words")), "item").select(
+        "item", "item_id", "at", "n_words", "anchors", "pivot",
+        F.slice("item_words", F.col("at") + 1, F.col("n_words")).alias("window_words"))
+    both = met.join(small(listed, n_windows), "item").filter(
+        F.array_contains("exact", F.col("pivot")) & (F.size(F.array_except("anchors", "near")) == 0))
+    start = F.col("begin") + F.col("at")
+    # get(): this may be evaluated before the filter above.
+    seen = F.get(F.filter("pivots", lambda x: x["place"] == F.col("pivot")), F.lit(0))
+    from_here = start - seen["first"]
+    phrase = (F.size(F.array_except("anchors", "exact")) == 0) & (from_here >= 0) & (
+        F.slice(seen["around"], F.greatest(from_here, F.lit(0)) + 1, F.col("n_words")) == F.col("window_words"))
+    found = both.select("doc", "item_id", start.alias("start"), "n_words", F.coalesce(phrase, F.lit(False)).alias("phrase"))
     return found if slop else found.filter("phrase")
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 13, anchor_words: int = 3, slop: int = 0,
+def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 13, anchor_words: int = 2, slop: int = 0,
                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document ``(doc_id, doc, n_words, n_hit, n_items, item_ids,
     items_sha256, n_near)``; ``doc`` tells equal ids apart.
@@ -122,9 +135,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 13, ancho
     """
     base = pick(docs, id_col, text_col)
     corpus = base.select(document_key(F.col("doc_id"), F.col("text")).alias("doc"), words(F.col("text")).alias("w"))
-    windows = materialize(item_windows(benchmark, window), "windows")
-    chosen = materialize(anchors(windows, corpus, anchor_words), "anchors")
-    found = materialize(intersect(build_index(corpus, chosen, window), windows, chosen, slop).distinct(), "found")
+    items = materialize(items_of(benchmark), "items")
+    windows = materialize(item_windows(items, corpus, window, anchor_words), "windows")
+    found = materialize(intersect(build_index(corpus, windows, window), items, windows, slop).distinct(), "found")
 
     phrases = found.filter("phrase")
     # Words covered by the union of the phrases' places, per document.
@@ -134,14 +147,13 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 13, ancho
     fresh = F.greatest(F.lit(0), F.col("start") + F.col("n") - F.greatest("start", "reach"))
     hit = spans.groupBy("doc").agg(F.sum(fresh).alias("n_hit"))
 
-    owners = windows.select("window_id", F.explode("items").alias("item_id"))
-    per_doc = found.groupBy("doc", "window_id").agg(F.max("phrase").alias("phrase"))
-    items = per_doc.join(small(owners, windows.count()), "window_id").groupBy("doc").agg(
+    per_item = found.groupBy("doc", "item_id").agg(F.max("phrase").alias("phrase"))
+    per_doc = per_item.groupBy("doc").agg(
         F.sort_array(F.collect_set(F.when(F.col("phrase"), F.col("item_id")))).alias("item_ids"),
-        F.count_distinct("item_id").alias("n_near"))
+        F.count("*").alias("n_near"))
 
     facts = corpus.select("doc", F.size("w").cast("long").alias("n_words"))
-    out = (facts.join(hit, "doc", "left").join(items, "doc", "left")
+    out = (facts.join(hit, "doc", "left").join(per_doc, "doc", "left")
            .withColumn("item_ids", F.coalesce("item_ids", F.array().cast("array<string>"))))
     return out.select(
         F.col("doc.doc_id").alias("doc_id"), "doc", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"),
