@@ -45,3 +45,12 @@ def words(text: Column) -> Column:
     parts = F.split(lower_ascii(F.coalesce(text, F.lit(""))), NOT_WORD)
     # Only the first and the last part can be empty.
     return F.array_remove(parts, "")
+
+
+def bounded_sample(rows: DataFrame, key: str, most: int) -> DataFrame:
+    """At most ``most`` rows, chosen by a hash of ``key``. Rows are thinned by
+    the hash first, so that tasks do not hand ``most`` rows each on."""
+    n, mixed = rows.count(), F.xxhash64(key)
+    if n > most:
+        rows = rows.filter(F.pmod(mixed, F.lit(1 << 30)) < int((1 << 30) * 0.95 * most / n))
+    return rows.orderBy(mixed, key).limit(most)

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quantbeam.llm.base import importable, pick
+from quantbeam.llm.base import bounded_sample, importable, pick
 
 SIZES = (3, 4, 5)
 BITS = 18
@@ -151,7 +151,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", keep=None, f
     # At most fit_rows ids, by hash: a bound that the caller sets.
     chosen = None
     for y in (0, 1):
-        part = ids.filter(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows // 2)
+        part = bounded_sample(ids.filter(F.col("y") == y), "doc_id", fit_rows // 2)
         chosen = part if chosen is None else chosen.unionByName(part)
     texts = pick(docs).filter(F.col("text").isNotNull()).join(F.broadcast(chosen.distinct()), "doc_id")
 
