@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quantbeam.llm.base import importable, pick
+from quantbeam.llm.base import bounded_sample, importable, pick
 from quantbeam.session import materialize
 
 # Characters counted as symbols, and those that part words.
@@ -252,7 +252,7 @@ def fit(stats: DataFrame, labels: DataFrame, label: str = "quality", fit_rows: i
     rows = stats.join(y.filter(F.col("y").isin(0, 1)), "doc_id")
     exprs = measures()
     # At most fit_rows rows of a few numbers reach the driver.
-    data = (rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
+    data = (bounded_sample(rows, "doc_id", fit_rows)
             .select("doc_id", "y", *[e.alias(k) for k, e in exprs.items()])).toPandas()
     if data.empty or data["y"].nunique() < 2:
         return []
