@@ -22,10 +22,10 @@ misses every bucket with a probability of 5e-8.
 1. every member of a bucket is compared with the bucket's least member;
    members that are similar enough are linked, links are closed to groups;
 2. buckets that still hold several groups are compared again across groups.
-   In a bucket of at most ``small_bucket`` members every such pair is compared. A larger
-   one first narrows pairs down by an exact prefix filter: similar multisets
-   share one of the rarest shingles of each, as many as make up
-   ``1 - threshold`` of its weight, rarity counted over such buckets;
+   A bucket of at most ``small_bucket`` members gives its pairs across groups. A
+   larger one is dealt into blocks of about ``block`` members; each task holds two
+   blocks, gets all overlaps there from products of count matrices, and gives
+   out only links that join groups it has not joined yet: never the pairs;
 3. links of both rounds are closed to the result.
 
 Pairs within a group need no comparison, so a group of any size costs a few
@@ -242,32 +242,62 @@ def groups(links: DataFrame, label: str = "groups") -> DataFrame:
             return roots
 
 
-def prefix_pairs(members: DataFrame, texts: DataFrame, size: int, threshold: float) -> DataFrame:
-    """Pairs of ``members`` ``(key, node, weight, root)`` that share a key and one
-    of the rarest shingles of each. Exact: multisets of weights u and v with
-    a similarity of t share t * u of the weight of the first at least, so
-    what comes in a common order until 1 - t of its weight is passed must
-    hold a shared shingle."""
-    nodes = members.select("node").distinct()
-
-    def spell(batches):
-        for batch in batches:
-            for node, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                e, w = shingles(text, size)
-                yield pa.record_batch({"node": pa.array([node] * len(e), pa.int64()),
-                                       "shingle": pa.array(e.view(np.int64)), "n": pa.array(w.astype(np.int64))})
-
-    from pyspark.sql import Window
-    spelled = materialize(texts.join(nodes, "node", "left_semi").select("node", "text")
-                          .mapInArrow(spell, "node long, shingle long, n long"), "spelled")
-    rarity = spelled.groupBy("shingle").agg(F.count("*").alias("df"))
-    order = Window.partitionBy("node").orderBy("df", "shingle")
-    before = F.coalesce(F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    whole = F.sum("n").over(Window.partitionBy("node"))
-    prefix = (spelled.join(rarity, "shingle").withColumn("before", before).withColumn("whole", whole)
-              .filter(F.col("before") <= F.col("whole") * (1 - threshold) + 1e-9).select("node", "shingle"))
-    narrow = members.join(prefix, "node").withColumn("key", F.xxhash64("key", "shingle")).drop("shingle")
-    return across(narrow, threshold)
+def block_links(members: DataFrame, texts: DataFrame, size: int, threshold: float, block: int) -> DataFrame:
+    """Links ``(a, b)`` that join the groups of ``members`` ``(key, node,
+    root, n)`` within each key, found block against block. A task holds the
+    texts of two blocks and their matrix of overlaps."""
+    blocks = F.ceil(F.col("n") / F.lit(block)).cast("long")
+    own = F.pmod(F.xxhash64("node", "key"), blocks)
+    met = F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))
+    rows = (members.select("key", "node", "root", own.alias("own"), met.alias("other"))
+            .select("key", "node", "root", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"))
+            .join(texts, "node"))
+
+    def compare(table: pa.Table) -> pa.Table:
+        node, root = (table.column(c).to_numpy() for c in ("node", "root"))
+        held = [shingles(t, size) for t in table.column("text").to_pylist()]
+        weight = np.array([w.sum() for _, w in held], np.int64)
+        # A shingle that occurs w times is w features: overlaps are products.
+        feature = np.concatenate([np.repeat(e, w) + _levels(w) * STEP for e, w in held])
+        owner = np.repeat(np.arange(len(held)), weight)
+        values, column, often = np.unique(mix(feature), return_inverse=True, return_counts=True)
+        shared = often[column] > 1
+        renumber = np.cumsum(often > 1) - 1
+        owner, column = owner[shared], renumber[column[shared]]
+        order = np.argsort(column, kind="stable")
+        owner, column = owner[order], column[order]
+        overlap = np.zeros((len(held), len(held)), np.float32)
+        width = 2048
+        for first in range(0, int((often > 1).sum()), width):
+            a, b = np.searchsorted(column, [first, first + width])
+            part = np.zeros((len(held), width), np.float32)
+            part[owner[a:b], column[a:b] - first] = 1
+            overlap += part @ part.T
+        close = overlap >= threshold * (weight[:, None] + weight[None, :] - overlap) - 1e-4
+        a, b = np.nonzero(np.triu(close, 1) & (root[:, None] != root[None, :]))
+        joined: dict[int, int] = {}
+
+        def top(r: int) -> int:
+            while joined.get(r, r) != r:
+                r = joined[r]
+            return r
+
+        links = []
+        for i, j in zip(a.tolist(), b.tolist()):
+            r, s = top(int(root[i])), top(int(root[j]))
+            # The product is exact in single precision; the quotient is decided here.
+            if r != s and overlap[i, j] / float(weight[i] + weight[j] - overlap[i, j]) >= threshold:
+                joined[max(r, s)] = min(r, s)
+                links.append((min(node[i], node[j]), max(node[i], node[j])))
+        return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([x for _, x in links], pa.int64())})
+
+    return rows.groupBy("key", "lo", "hi").applyInArrow(compare, "a long, b long").distinct()
+
+
+def _levels(weights: np.ndarray) -> np.ndarray:
+    """0 to w - 1 for each weight w, one after another."""
+    ends = np.cumsum(weights)
+    return (np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - weights, weights)).astype(np.uint64)
 
 
 def across(members: DataFrame, threshold: float) -> DataFrame:
@@ -283,7 +313,8 @@ def across(members: DataFrame, threshold: float) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, threshold: float = 0.8, bands: int = 32, rows: int = 4,
-                    small_bucket: int = 200) -> DataFrame:
+                    small_bucket: int = 50,
+                    block: int = 1024) -> DataFrame:
     """``(doc_id, text_key, class_id, text_class, heads)`` per document:
     ``class_id`` is the least id of its group, ``text_class`` that of its equal
     texts; ``heads`` marks the rows with the text that stands for the group
@@ -311,15 +342,19 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: float = 0.8, band
     grouped = (members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
                .select("key", "node", "weight", "root", "n"))
     grouped = materialize(grouped, "grouped")
-    more = across(grouped.filter(F.col("n") <= small_bucket), threshold)
+    more = across(grouped.filter(F.col("n") <= small_bucket), threshold).join(stars, ["a", "b"], "left_anti")
+    more = materialize(more, "more")
     large = grouped.filter(F.col("n") > small_bucket)
     mixed = large.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("key")
     large = materialize(large.join(mixed, "key", "left_semi"), "large")
-    if not large.isEmpty():
-        more = more.unionByName(prefix_pairs(large, texts, size, threshold)).distinct()
-    more = materialize(more.join(stars, ["a", "b"], "left_anti"), "more")
+    found = []
     if not more.isEmpty():
-        links = links.unionByName(verify(more, texts, size, threshold))
+        found.append(verify(more, texts, size, threshold))
+    if not large.isEmpty():
+        found.append(block_links(large, texts, size, threshold, block))
+    if found:
+        for f in found:
+            links = links.unionByName(f)
         roots = groups(links, "roots")
 
     # From nodes back to rows: every text has a root and the least id there.
