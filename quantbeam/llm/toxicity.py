@@ -77,7 +77,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, keep=None) ->
     rows = pick(docs).filter(F.col("text").isNotNull())
     if keep is not None:
         y, rows = y.filter(keep), rows.filter(keep)
-    return rows.join(y.filter(F.col("y").isin(0, 1)), "doc_id")
+    # Labels grow with the documents: one plan at every size, no broadcast.
+    return rows.hint("merge").join(y.filter(F.col("y").isin(0, 1)), "doc_id")
 
 
 def count_ngrams(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
