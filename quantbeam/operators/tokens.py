@@ -194,25 +194,27 @@ def table_status(df: DataFrame, ts_col: str = "created_at") -> DataFrame:
 REQUEST_BATCH = 50  # fixed value: tokens per quote request
 
 
-def tokens_by_exchange(tm: DataFrame, batch_size: int = REQUEST_BATCH, buckets: int | None = None) -> DataFrame:
-    """exchange -> token lists in request batches of at most ``batch_size``.
-
-    Tokens are spread over hash buckets per exchange first, so no single
-    task numbers (or collects) a whole exchange; each output row holds one
-    bounded batch. The bucket count defaults to the session's shuffle
-    partition count (at least 64), so bucket size shrinks as the cluster
-    grows.
+_NUMBERING_BUCKETS = 1024
+
+
+def tokens_by_exchange(tm: DataFrame, batch_size: int = REQUEST_BATCH) -> DataFrame:
+    """exchange -> token lists in request batches: all of ``batch_size`` but an
+    exchange's last.
+
+    Tokens are numbered inside hash buckets and buckets are offset by the
+    counts of those before them, so no task numbers a whole exchange and the
+    batches do not depend on the session's settings.
     """
-    if buckets is None:
-        conf = tm.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")
-        buckets = max(64, int(conf))
-    b = F.pmod(F.xxhash64("token"), F.lit(buckets))
-    w = Window.partitionBy("exch_seg", "_bucket").orderBy("token")
-    ranked = (tm.select("exch_seg", "token").withColumn("_bucket", b)
-                .withColumn("_batch", F.floor((F.row_number().over(w) - 1) / batch_size)))
-    return (ranked.groupBy("exch_seg", "_bucket", "_batch")
-                  .agg(F.sort_array(F.collect_list("token")).alias("tokens"))
-                  .select("exch_seg", F.concat_ws("-", "_bucket", "_batch").alias("batch_id"), "tokens"))
+    dealt = tm.select("exch_seg", "token").withColumn(
+        "_bucket", F.pmod(F.xxhash64("token"), F.lit(_NUMBERING_BUCKETS)))
+    counts = dealt.groupBy("exch_seg", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("exch_seg").orderBy("_bucket")
+    offsets = counts.select(F.col("exch_seg").alias("_exch"), F.col("_bucket").alias("_b"), (F.sum("_n").over(before) - F.col("_n")).alias("_before"))
+    inside = Window.partitionBy("exch_seg", "_bucket").orderBy("token")
+    placed = (dealt.withColumn("_at", F.row_number().over(inside) - 1)
+              .join(offsets, F.col("exch_seg").eqNullSafe(F.col("_exch")) & (F.col("_bucket") == F.col("_b")))
+              .select("exch_seg", "token", F.floor((F.col("_before") + F.col("_at")) / batch_size).alias("batch_id")))
+    return (placed.groupBy("exch_seg", "batch_id").agg(F.sort_array(F.collect_list("token")).alias("tokens")))
 
 
 def needs_refresh(tm: DataFrame, as_of: str, pre_market_start: str = "09:00:00",

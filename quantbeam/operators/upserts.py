@@ -3,16 +3,17 @@
 ``upsert_by_key`` is a full outer join of the stored rows and the new
 batch on the key with presence flags: listed columns come from the batch
 when the key is in it (a NULL there is kept), other columns keep the
-first-written value. One shuffle per side, no aggregation buffers, and the
+first-written value. A batch may hold a key several times: ``reduce_batch``
+brings it to one row per key first, as if its rows had arrived one by one. The
 result can be written to just the partitions the batch touches
-(``quantbeam.sources.sinks.write_upsert``).
+(``quantbeam.sources.sinks.merge_partitions``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Columns an incoming quote may overwrite on conflict.
@@ -23,12 +24,32 @@ BAR_KEY = ["token", "timestamp"]
 INDICATOR_KEY = ["token", "indicator_name", "period", "timestamp"]
 
 
+def reduce_batch(new: DataFrame, keys: Sequence[str], update_columns: Sequence[str] | None = None,
+                 order: Column | None = None) -> DataFrame:
+    """One row per key: the last arrival's updated columns, the first one's
+    others. ``order`` tells arrivals apart; by default the order of the rows
+    as they are read (files, then rows)."""
+    cols = [c for c in new.columns if c not in keys]
+    upd = [c for c in cols if update_columns is None or c in update_columns]
+    kept = [c for c in cols if c not in upd]
+    at = F.monotonically_increasing_id() if order is None else order
+    aggs = [f(F.struct(*part), "_at").alias(name)
+            for f, part, name in ((F.max_by, upd, "_last"), (F.min_by, kept, "_first")) if part]
+    if not aggs:
+        return new.distinct()
+    return (new.withColumn("_at", at).groupBy(*keys).agg(*aggs)
+            .select(*keys, *[F.col(f"_last.{c}") for c in upd], *[F.col(f"_first.{c}") for c in kept])
+            .select(*new.columns))
+
+
 def upsert_by_key(old: DataFrame, new: DataFrame, keys: Sequence[str],
-                  update_columns: Sequence[str] | None = None) -> DataFrame:
+                  update_columns: Sequence[str] | None = None, order: Column | None = None) -> DataFrame:
     """INSERT ... ON CONFLICT(keys) DO UPDATE SET <update_columns>.
 
-    ``update_columns=None`` updates every non-key column.
+    ``update_columns=None`` updates every non-key column. ``order``: see
+    ``reduce_batch``, which the batch goes through.
     """
+    new = reduce_batch(new, keys, update_columns, order)
     keys = list(keys)
     cols = [c for c in old.columns if c not in keys]
     upd = set(cols if update_columns is None else update_columns)

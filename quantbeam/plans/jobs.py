@@ -8,8 +8,8 @@ so a table is never overwritten while it is being read.
   (``needs_refresh``), else rebuild from the landed instrument JSON.
 * ``load_candles``: landed candle JSON -> upsert into the bars table
   (partitioned by trade year, only touched years are rewritten).
-* ``refresh_indicators``: bars -> long indicator table and the wide
-  summary (replaced by token).
+* ``refresh_indicators``: bars -> long indicator table (upserted) and the
+  wide summary (replaced by token).
 * ``export_market_summary``: stored tables + tick table -> summary
   snapshot (refused when empty).
 """
@@ -26,7 +26,7 @@ from quantbeam.operators import summary as sm
 from quantbeam.operators import tokens as tk
 from quantbeam.operators import upserts as up
 from quantbeam.schemas import TOKEN_MASTER, TOKEN_MASTER_COLUMNS
-from quantbeam.session import materialize
+from quantbeam.session import mark, materialize, release
 from quantbeam.sources import landing, sinks
 
 
@@ -49,29 +49,28 @@ def load_candles(spark: SparkSession, candles_path: str, bars_table: str) -> Non
     """Upsert landed candles into the bars table (ON CONFLICT(token, timestamp)
     update every payload column); only the touched trade years are rewritten."""
     new = landing.read_candles_json(spark, candles_path).withColumn("trade_year", F.year("timestamp"))
-    if sinks._exists(spark, bars_table):
-        touched = new.select("trade_year").distinct()
-        old = spark.read.parquet(bars_table).join(touched, "trade_year", "left_semi")
-        merged = up.upsert_bars(old.select(*new.columns), new)
-    else:
-        merged = new
-    frozen = materialize(merged, "bars")
-    (frozen.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy("trade_year").parquet(bars_table))
+    sinks.merge_partitions(spark, bars_table, new, "trade_year", up.BAR_KEY)
 
 
 def refresh_indicators(spark: SparkSession, bars_table: str, token_table: str, long_table: str,
                        wide_table: str) -> None:
-    """Long indicator table (overwritten as one snapshot) and the wide
-    summary, where rows of the recomputed tokens are replaced."""
+    """Long indicator table (upserted by its key, so values that newer bars
+    push out of the fetch window stay) and the wide summary, where rows of
+    the recomputed tokens are replaced."""
+    since = mark(spark)
     bars = spark.read.parquet(bars_table).drop("trade_year")
     tm = spark.read.parquet(token_table)
     equity = tm.where(F.col("token_type") == tk.TYPE_EQUITY)
-    ind.indicators_long(bars).write.mode("overwrite").parquet(long_table)
+    fresh = ind.indicators_long(bars)
+    if sinks._exists(spark, long_table):
+        old = spark.read.parquet(long_table)
+        fresh = materialize(up.upsert_indicators(old, fresh.select(*old.columns)), "long")
+    fresh.write.mode("overwrite").parquet(long_table)
     wide = ind.indicators_wide(equity, bars)
     if sinks._exists(spark, wide_table):
         wide = up.replace_by_key(spark.read.parquet(wide_table), wide)
     materialize(wide, "wide").write.mode("overwrite").parquet(wide_table)
+    release(spark, since)
 
 
 def export_market_summary(spark: SparkSession, token_table: str, ticks_table: str, wide_table: str,

@@ -214,11 +214,14 @@ def q_needs_refresh(spark, d):
 
 
 @query("tokens_by_exchange", with_ctes("token_master") + """
-select exch_seg, token, true as batch_ok from token_master""")
+select exch_seg, token, true as batch_ok,
+       cast(ceil(count(*) over (partition by exch_seg) / 50.0) as bigint) as n_batches
+from token_master""")
 def q_tokens_by_exchange(spark, d):
     b = tk.tokens_by_exchange(_tm(spark, d))
-    return b.select("exch_seg", F.explode("tokens").alias("token"),
-                    (F.size("tokens") <= tk.REQUEST_BATCH).alias("batch_ok"))
+    n = b.groupBy("exch_seg").agg(F.count_distinct("batch_id").alias("n_batches"))
+    return b.join(n, "exch_seg").select("exch_seg", F.explode("tokens").alias("token"),
+                                        (F.size("tokens") <= tk.REQUEST_BATCH).alias("batch_ok"), "n_batches")
 
 
 @query("scalar_parse_expiry", with_ctes("raw_instruments") + f"""

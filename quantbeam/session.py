@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import os
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import SparkSession
@@ -78,36 +79,40 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-# Folders written for intermediate results, by application.
-_SCRATCH: dict[str, list[str]] = {}
+# Folders written for intermediate results, by application and thread:
+# streams run side by side, and each owns what it wrote.
+_SCRATCH: dict[str, dict[int, list[str]]] = {}
+
+
+def _own(spark: SparkSession) -> list[str]:
+    app = spark.sparkContext.applicationId
+    if app not in _SCRATCH:
+        _SCRATCH[app] = {}
+        atexit.register(_release_all, spark, app)
+    return _SCRATCH[app].setdefault(threading.get_ident(), [])
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new folder under the shared checkpoint folder. ``release`` deletes
     it; the end of the driver does so at the latest."""
     path = os.path.join(checkpoint_dir(spark), "tables", f"{label}-{uuid.uuid4().hex}")
-    app = spark.sparkContext.applicationId
-    if app not in _SCRATCH:
-        _SCRATCH[app] = []
-        atexit.register(_release_quietly, spark)
-    _SCRATCH[app].append(path)
+    _own(spark).append(path)
     return path
 
 
 def mark(spark: SparkSession) -> int:
-    """How many scratch folders exist now, for a later ``release``."""
-    return len(_SCRATCH.get(spark.sparkContext.applicationId, ()))
+    """How many scratch folders this thread has, for a later ``release``."""
+    return len(_own(spark))
 
 
 def release(spark: SparkSession, since: int = 0) -> int:
-    """Delete the scratch folders made after ``mark`` returned ``since``.
-    Call it once the results that read them have been written or consumed."""
-    paths = _SCRATCH.get(spark.sparkContext.applicationId, [])
-    for path in paths[since:]:
+    """Delete this thread's scratch folders made after ``mark`` returned
+    ``since``. Call it once the results that read them have been written."""
+    paths = _own(spark)[since:]
+    for path in paths:
         delete_path(spark, path)
-    n = len(paths[since:])
-    del paths[since:]
-    return n
+    del _own(spark)[since:]
+    return len(paths)
 
 
 def delete_path(spark: SparkSession, path: str) -> None:
@@ -116,10 +121,10 @@ def delete_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def _release_quietly(spark: SparkSession) -> None:
+def _release_all(spark: SparkSession, app: str) -> None:
     try:
-        if spark.sparkContext._jsc is not None:
-            release(spark)
+        for path in [p for paths in _SCRATCH.pop(app, {}).values() for p in paths]:
+            delete_path(spark, path)
     except Exception:  # the JVM has gone already: nothing left to ask
         pass
 

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quantbeam.session import scratch_path  # noqa: F401  (callers use sinks.scratch_path)
+from quantbeam.operators.upserts import reduce_batch, upsert_by_key
+from quantbeam.session import mark, materialize, release, scratch_path  # noqa: F401  (scratch_path: for callers)
 
 
 def export_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> bool:
@@ -49,7 +52,8 @@ def sql_to_parquet(spark: SparkSession, sql_text: str, path: str) -> bool:
 
 
 def full_refresh(df: DataFrame, path: str, as_of=None) -> None:
-    """Replace the whole table, stamping ``created_at`` (atomic per job)."""
+    """Replace the whole table, stamping ``created_at``. Readers see no table
+    while it is replaced."""
     ts = as_of if as_of is not None else F.current_timestamp()
     df.withColumn("created_at", ts.cast("timestamp_ntz")).write.mode("overwrite").parquet(path)
 
@@ -58,14 +62,25 @@ def truncate_table(spark: SparkSession, path: str, schema: T.StructType) -> None
     spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
 
 
-def write_upsert(spark: SparkSession, path: str, merged: DataFrame, partition_col: str) -> None:
-    """Write an upsert result back to a partitioned Parquet table.
+def merge_partitions(spark: SparkSession, table: str, batch: DataFrame, part_col: str, keys: Sequence[str],
+                     update_columns: Sequence[str] | None = None) -> None:
+    """Upsert ``batch`` into the partitioned Parquet ``table``: read and rewrite
+    only the partitions that the batch touches, one set of files each.
 
-    ``merged`` usually reads ``path`` itself, so its lineage is cut first
-    by writing it once under the shared ``spark.checkpoint.dir``; then only
-    the partitions present in ``merged`` are overwritten.
+    The batch is evaluated once (written under the shared checkpoint folder),
+    the merge is written there before the table's files are replaced, and both
+    copies are deleted afterwards. A first load is reduced to one row per key
+    like any other batch.
     """
-    from quantbeam.session import materialize
-    frozen = materialize(merged, "upsert")
-    (frozen.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy(partition_col).parquet(path))
+    since = mark(spark)
+    batch = materialize(batch, "batch")
+    if _exists(spark, table):
+        # A semi-join on the partition column: dynamic partition pruning.
+        touched = batch.select(part_col).distinct()
+        old = spark.read.parquet(table).join(touched, part_col, "left_semi")
+        merged = upsert_by_key(old.select(*batch.columns), batch, keys, update_columns)
+    else:
+        merged = reduce_batch(batch, keys, update_columns)
+    (materialize(merged.hint("rebalance", part_col), "merge").write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(part_col).parquet(table))
+    release(spark, since)

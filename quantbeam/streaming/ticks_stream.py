@@ -28,10 +28,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quantbeam.operators.ticks import LATEST_TICK_ALL_COLUMNS, filter_market_hours
-from quantbeam.operators.upserts import TICK_KEY, upsert_by_key, TICK_UPDATE_COLUMNS
+from quantbeam.operators.upserts import TICK_KEY, TICK_UPDATE_COLUMNS
 from quantbeam.schemas import REALTIME_MARKET_DATA
-from quantbeam.session import checkpoint_dir, materialize
-from quantbeam.sources.sinks import _exists
+from quantbeam.session import checkpoint_dir, mark, materialize, release
+from quantbeam.sources.sinks import _exists, merge_partitions
 
 SNAPSHOT_BUCKETS = 64
 
@@ -50,23 +50,6 @@ def _trigger(writer, trigger: str):
     return writer.trigger(processingTime=trigger)
 
 
-def _merge_partitions(spark: SparkSession, table: str, batch: DataFrame, part_col: str,
-                      keys: list[str], update_cols: list[str] | None) -> None:
-    """Upsert ``batch`` into the partitioned Parquet ``table``, reading and
-    rewriting only the partitions present in the batch."""
-    if _exists(spark, table):
-        # a semi-join on the partition column: dynamic partition pruning reads
-        # only the partitions present in the batch (nothing goes to the driver)
-        touched = batch.select(part_col).distinct()
-        old = spark.read.parquet(table).join(touched, part_col, "left_semi")
-        merged = upsert_by_key(old.select(*batch.columns), batch, keys, update_cols)
-    else:
-        merged = batch
-    frozen = materialize(merged, "merge")  # cut lineage to the files being replaced
-    (frozen.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy(part_col).parquet(table))
-
-
 def start_tick_append(spark: SparkSession, landing_dir: str, table: str, name: str,
                       trigger: str = "60 seconds", session_start: str = "09:15:00",
                       session_end: str = "19:30:00", max_files_per_trigger: int | None = None,
@@ -77,9 +60,7 @@ def start_tick_append(spark: SparkSession, landing_dir: str, table: str, name: s
     src = src.withColumn("trade_date", F.to_date("timestamp"))
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        _merge_partitions(spark, table, batch, "trade_date", TICK_KEY, TICK_UPDATE_COLUMNS)
+        merge_partitions(spark, table, batch, "trade_date", TICK_KEY, TICK_UPDATE_COLUMNS)
         if on_batch is not None:
             on_batch(spark, batch_id)
 
@@ -95,59 +76,43 @@ def latest_tick_state(stream: DataFrame) -> DataFrame:
         "symbol_token", *[F.col(f"_r.{c}").alias(c) for c in payload])
 
 
-def latest_tick_state_windowed(stream: DataFrame, state_ttl: str) -> DataFrame:
-    """Optional bounded-state variant: newest tick per (symbol, event-time
-    window of length ``state_ttl``) under a watermark of the same length, so
-    Spark evicts closed windows. Rows later than the watermark are dropped
-    (our own retention rule; the reference keeps every row)."""
-    payload = [c for c in LATEST_TICK_ALL_COLUMNS]
-    row = F.max_by(F.struct(*payload), F.struct("timestamp")).alias("_r")
-    # watermarks need TIMESTAMP (not _NTZ): derive the event-time column
-    timed = stream.withColumn("_event_time", F.col("timestamp").cast("timestamp"))
-    return (timed.withWatermark("_event_time", state_ttl)
-                 .groupBy("symbol_token", F.window("_event_time", state_ttl))
-                  .agg(row).select("symbol_token", *[F.col(f"_r.{c}").alias(c) for c in payload]))
-
-
 def _merge_newest(spark: SparkSession, snapshot: str, batch: DataFrame) -> None:
     """Keep, per symbol, the newer of the stored and the incoming row;
     only the hash buckets present in the batch are rewritten."""
     from quantbeam.operators.latest import latest_per_key
+    since = mark(spark)
     b = batch.withColumn("bucket", F.pmod(F.xxhash64("symbol_token"), F.lit(SNAPSHOT_BUCKETS)))
     if _exists(spark, snapshot):
         old = spark.read.parquet(snapshot).join(b.select("bucket").distinct(), "bucket", "left_semi")
         b = old.select(*b.columns).unionByName(b)
     newest = latest_per_key(b, ["symbol_token"], ["timestamp"], [c for c in b.columns if c != "symbol_token"])
-    frozen = materialize(newest, "latest")
+    frozen = materialize(newest.hint("rebalance", "bucket"), "latest")
     (frozen.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy("bucket").parquet(snapshot))
+    release(spark, since)
 
 
 def start_latest_tick(spark: SparkSession, landing_dir: str, snapshot: str, name: str,
                       trigger: str = "60 seconds", max_files_per_trigger: int | None = None,
-                      state_ttl: str | None = None) -> StreamingQuery:
+                      keep_state: bool = True) -> StreamingQuery:
     """Maintain the newest tick per symbol in ``snapshot``.
 
-    Default: state holds one row per symbol for the life of the stream
-    (reference semantics). With ``state_ttl`` (e.g. "1 day") the state is
-    per (symbol, window) and evicted behind the watermark; the snapshot
-    still keeps the newest row per symbol."""
+    By default state holds one row per symbol for the life of the stream.
+    With ``keep_state=False`` there is no state: each micro-batch's own newest
+    rows are merged into the snapshot. Neither drops a late row."""
     ckpt = os.path.join(checkpoint_dir(spark), "streams", name)
     src = tick_stream(spark, landing_dir, max_files_per_trigger=max_files_per_trigger)
-    if state_ttl is None:
-        state = latest_tick_state(src)
+    state, mode = (latest_tick_state(src), "update") if keep_state else (
+        src.select("symbol_token", *LATEST_TICK_ALL_COLUMNS), "append")
 
-        def each(batch: DataFrame, batch_id: int) -> None:
+    def each(batch: DataFrame, batch_id: int) -> None:
+        if keep_state:
             b = batch.withColumn("bucket", F.pmod(F.xxhash64("symbol_token"), F.lit(SNAPSHOT_BUCKETS)))
-            _merge_partitions(spark, snapshot, b, "bucket", ["symbol_token"], None)
-    else:
-        state = latest_tick_state_windowed(src, state_ttl)
-
-        def each(batch: DataFrame, batch_id: int) -> None:
-            if not batch.isEmpty():
-                _merge_newest(spark, snapshot, batch)
+            merge_partitions(spark, snapshot, b, "bucket", ["symbol_token"])
+        else:
+            _merge_newest(spark, snapshot, batch)
 
-    w = state.writeStream.outputMode("update").foreachBatch(each).option("checkpointLocation", ckpt)
+    w = state.writeStream.outputMode(mode).foreachBatch(each).option("checkpointLocation", ckpt)
     return _trigger(w, trigger).start()
 
 

@@ -31,14 +31,14 @@ def test_stream_append_is_idempotent_on_replay(spark, tmpdir_path):
     assert spark.read.parquet(table).count() == ticks.count()
 
 
-def test_stream_latest_with_state_ttl_equals_batch_when_nothing_is_late(spark, tmpdir_path):
+def test_stream_latest_without_state_equals_batch(spark, tmpdir_path):
     ticks = adapters.ticks(spark, SF)
     landing = os.path.join(tmpdir_path, "landing")
     ticks.repartition(3).write.parquet(landing)
     snap = os.path.join(tmpdir_path, "snap")
     # the data spans one month: a 60-day retention drops nothing
     q = st.start_latest_tick(spark, landing, snap, "t_latest_ttl", trigger="availableNow",
-                             max_files_per_trigger=1, state_ttl="60 days")
+                             max_files_per_trigger=1, keep_state=False)
     q.awaitTermination()
     got = sorted(st.read_latest_snapshot(spark, snap).select("symbol_token", "timestamp", "ltp").collect())
     want = sorted(tk.latest_tick_all(ticks).select("symbol_token", "timestamp", "ltp").collect())

@@ -51,7 +51,7 @@ def test_equity_semi_join_and_futures_map(spark):
 def test_tokens_by_exchange_batches_are_bounded(spark):
     tm = spark.createDataFrame([(f"T{i}", "NSE" if i % 3 else "NFO") for i in range(500)],
                                "token string, exch_seg string")
-    b = tk.tokens_by_exchange(tm, batch_size=50, buckets=4)
+    b = tk.tokens_by_exchange(tm, batch_size=50)
     assert b.agg(F.max(F.size("tokens"))).collect()[0][0] <= 50
     flat = b.select("exch_seg", F.explode("tokens").alias("t"))
     assert flat.count() == 500 and flat.distinct().count() == 500
@@ -64,3 +64,15 @@ def test_needs_refresh(spark):
     assert tk.needs_refresh(tm, "2025-03-11 20:00:00").collect()[0].needs_refresh is False
     empty = tm.limit(0)
     assert tk.needs_refresh(empty, "2025-03-11 20:00:00").collect()[0].needs_refresh is True
+
+
+def test_tokens_by_exchange_batches_are_full_and_independent_of_settings(spark):
+    tm = spark.createDataFrame([(f"T{i}", "NSE" if i % 3 else "NFO") for i in range(430)],
+                               "token string, exch_seg string")
+    before, seen = spark.conf.get("spark.sql.shuffle.partitions"), []
+    for n in ("8", "300"):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        seen.append({(r.exch_seg, r.batch_id, tuple(r.tokens)) for r in tk.tokens_by_exchange(tm).collect()})
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert seen[0] == seen[1] and len(seen[0]) == 3 + 6
+    assert sorted(len(t) for _, _, t in seen[0]) == [36, 44] + [50] * 7

@@ -37,3 +37,15 @@ def test_schema_add_missing(spark):
     out = up.schema_add_missing(df)
     assert out.schema["strike_distance"].dataType.simpleString() == "decimal(18,6)"
     assert out.collect()[0].strike_distance is None
+
+
+def test_a_batch_with_repeated_keys(spark):
+    schema = "token string, timestamp string, close int, kept string"
+    old = spark.createDataFrame([("A", "t", 1, "old")], schema)
+    batch = spark.createDataFrame([("A", "t", 2, "x"), ("A", "t", 3, "y"), ("B", "t", 4, "p"), ("B", "t", 5, "q")],
+                                  schema).coalesce(1)
+    for got, want in ((up.upsert_by_key(old, batch, up.BAR_KEY, ["close"]), {("A", "t", 3, "old"), ("B", "t", 5, "p")}),
+                      (up.upsert_by_key(old, batch, up.BAR_KEY), {("A", "t", 3, "y"), ("B", "t", 5, "q")}),
+                      (up.reduce_batch(batch, up.BAR_KEY, ["close"]), {("A", "t", 3, "x"), ("B", "t", 5, "p")})):
+        rows = [tuple(r) for r in got.collect()]
+        assert len(rows) == 2 and set(rows) == want
