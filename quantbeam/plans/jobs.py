@@ -1,7 +1,7 @@
 """Batch jobs over stored tables (the reference's refresh flow).
 
 Tables are Parquet folders. Each job reads its inputs, computes with the
-operators and writes its product; upserts go through a lineage-cut write
+operators and writes its product beside the old one, which is then replaced,
 so a table is never overwritten while it is being read.
 
 * ``refresh_token_master``: skip when the stored master is current
@@ -26,7 +26,6 @@ from quantbeam.operators import summary as sm
 from quantbeam.operators import tokens as tk
 from quantbeam.operators import upserts as up
 from quantbeam.schemas import TOKEN_MASTER, TOKEN_MASTER_COLUMNS
-from quantbeam.session import mark, materialize, release
 from quantbeam.sources import landing, sinks
 
 
@@ -57,20 +56,18 @@ def refresh_indicators(spark: SparkSession, bars_table: str, token_table: str, l
     """Long indicator table (upserted by its key, so values that newer bars
     push out of the fetch window stay) and the wide summary, where rows of
     the recomputed tokens are replaced."""
-    since = mark(spark)
     bars = spark.read.parquet(bars_table).drop("trade_year")
     tm = spark.read.parquet(token_table)
     equity = tm.where(F.col("token_type") == tk.TYPE_EQUITY)
     fresh = ind.indicators_long(bars)
     if sinks._exists(spark, long_table):
         old = spark.read.parquet(long_table)
-        fresh = materialize(up.upsert_indicators(old, fresh.select(*old.columns)), "long")
-    fresh.write.mode("overwrite").parquet(long_table)
+        fresh = up.upsert_indicators(old, fresh.select(*old.columns))
+    sinks.publish(fresh, long_table, allow_empty=True)
     wide = ind.indicators_wide(equity, bars)
     if sinks._exists(spark, wide_table):
         wide = up.replace_by_key(spark.read.parquet(wide_table), wide)
-    materialize(wide, "wide").write.mode("overwrite").parquet(wide_table)
-    release(spark, since)
+    sinks.publish(wide, wide_table, allow_empty=True)
 
 
 def export_market_summary(spark: SparkSession, token_table: str, ticks_table: str, wide_table: str,

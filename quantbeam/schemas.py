@@ -158,3 +158,12 @@ MARKET_SUMMARY_COLUMNS = [
     "rsi_14", "rsi_21", "volatility_21", "volatility_200",
     "sma_200_position", "ma_crossover_status", "sma_200_percent_diff",
 ]
+
+_SUMMARY_TYPES = {
+    **dict.fromkeys(["token", "symbol", "name", "futures_token", "sma_200_position", "ma_crossover_status"], T.StringType()),
+    **dict.fromkeys(["volume", "opn_interest", "futures_volume", "futures_oi"], T.LongType()),
+    **dict.fromkeys(["position_metric", "sma_200_percent_diff"], T.DoubleType()),
+    "lotsize": T.IntegerType(), "expiry": T.DateType(),
+    "atm_price": T.DecimalType(28, 6), "atm_price_per_lot": T.DecimalType(38, 6),
+}
+MARKET_SUMMARY = T.StructType([T.StructField(c, _SUMMARY_TYPES.get(c, DEC)) for c in MARKET_SUMMARY_COLUMNS])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,17 +10,41 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quantbeam.operators.upserts import reduce_batch, upsert_by_key
-from quantbeam.session import mark, materialize, release, scratch_path  # noqa: F401  (scratch_path: for callers)
+from quantbeam.session import delete_path, mark, materialize, release, scratch_path  # noqa: F401  (scratch_path: for callers)
 
 
-def export_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> bool:
-    """Write a Parquet snapshot; refuse (return False) when ``df`` is empty."""
-    if df.isEmpty():
+def publish(df: DataFrame, path: str, allow_empty: bool = False) -> bool:
+    """Replace the Parquet folder ``path`` by ``df``; False, with the old folder
+    left as it is, if ``df`` is empty and must not be.
+
+    The plan runs once, into a folder beside ``path``; a failure leaves the old
+    folder alone. Two renames then put the new one in its place: readers may
+    find no folder between them, but never half of one.
+    """
+    spark = df.sparkSession
+    fresh, past = (f"{path.rstrip('/')}.{k}-{uuid.uuid4().hex}" for k in ("next", "past"))
+    df.write.parquet(fresh)
+    if not allow_empty and spark.read.schema(df.schema).parquet(fresh).isEmpty():
+        delete_path(spark, fresh)
         return False
-    df.write.mode(mode).parquet(path)
+    name = spark._jvm.org.apache.hadoop.fs.Path
+    fs = name(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    replaced = fs.exists(name(path))
+    if replaced and not fs.rename(name(path), name(past)):
+        raise OSError(f"cannot set {path} aside")
+    if not fs.rename(name(fresh), name(path)):
+        raise OSError(f"cannot publish {fresh} as {path}")
+    if replaced:
+        delete_path(spark, past)
+    spark.catalog.refreshByPath(path)
     return True
 
 
+def export_parquet(df: DataFrame, path: str) -> bool:
+    """Publish a Parquet snapshot; refuse (return False) when ``df`` is empty."""
+    return publish(df, path)
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
@@ -52,10 +77,9 @@ def sql_to_parquet(spark: SparkSession, sql_text: str, path: str) -> bool:
 
 
 def full_refresh(df: DataFrame, path: str, as_of=None) -> None:
-    """Replace the whole table, stamping ``created_at``. Readers see no table
-    while it is replaced."""
+    """Replace the whole table, stamping ``created_at``; see ``publish``."""
     ts = as_of if as_of is not None else F.current_timestamp()
-    df.withColumn("created_at", ts.cast("timestamp_ntz")).write.mode("overwrite").parquet(path)
+    publish(df.withColumn("created_at", ts.cast("timestamp_ntz")), path, allow_empty=True)
 
 
 def truncate_table(spark: SparkSession, path: str, schema: T.StructType) -> None:

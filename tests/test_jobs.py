@@ -68,3 +68,29 @@ def test_refresh_flow_end_to_end(spark, tmpdir_path):
     plan = api.filter_market_summary(spark, t["market_summary"], 10, 80)._jdf.queryExecution() \
         .executedPlan().toString()
     assert "PushedFilters: [IsNotNull(ltp), GreaterThanOrEqual(ltp" in plan
+
+
+def test_readers_over_missing_snapshots_and_two_indicator_refreshes(spark, tmpdir_path):
+    gone = os.path.join(tmpdir_path, "none")
+    assert api.get_market_summary(spark, gone, "a").count() == 0
+    assert api.filter_market_summary(spark, gone, 1, 2).count() == 0
+    assert api.filter_market_by_technicals(spark, gone, min_rsi=1).count() == 0
+    assert api.get_market_summary_for_symbol(spark, gone, "A").count() == 0
+    assert api.get_technical_indicators_summary(spark, gone, symbol="A").count() == 0
+
+    def bars(days):
+        return spark.range(days).select(
+            F.lit("T").alias("token"), F.lit("S").alias("symbol_name"),
+            F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_interval(0, 0, 0, int(id))").alias("timestamp"),
+            *[(F.col("id") % 7 + 100).cast("decimal(18,6)").alias(c) for c in ("open", "high", "low", "close")],
+            F.col("id").alias("volume"))
+
+    t = {k: os.path.join(tmpdir_path, k) for k in ("bars", "master", "long", "wide")}
+    spark.createDataFrame([("T", "S", "S", "EQUITY")], "token string, symbol string, name string, token_type string").write.parquet(t["master"])
+    bars(310).write.parquet(t["bars"])
+    jobs.refresh_indicators(spark, t["bars"], t["master"], t["long"], t["wide"])
+    first = {(r.indicator_name, r.period, r.timestamp) for r in spark.read.parquet(t["long"]).collect()}
+    bars(700).write.mode("overwrite").parquet(t["bars"])
+    jobs.refresh_indicators(spark, t["bars"], t["master"], t["long"], t["wide"])
+    rows = [(r.indicator_name, r.period, r.timestamp) for r in spark.read.parquet(t["long"]).collect()]
+    assert len(rows) == len(set(rows)) and first < set(rows)
