@@ -6,10 +6,10 @@ and that shard alone, so adding a shard moves records into it and nowhere else,
 and shards receive records in proportion to their weights.
 
 Native: the scores are column expressions. ``number`` deals out gapless slots
-in each shard without bringing a shard to one task.
+in the order of key, crc and size, without bringing a shard to one task.
 
 Records with equal keys share a shard, whatever their texts; a null key is the
-empty text. A null text has no bytes and the crc of the empty text. An empty
+empty text. Equal rows are alike, so any of them may have any of their slots. A null text has no bytes and the crc of the empty text. An empty
 table gives an empty result.
 """
 
@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quantbeam.llm.base import pick
+from quantbeam.session import materialize
 
 #: Bits of the md5 that make u: 52 fit a double exactly.
 HEX_DIGITS = 13
@@ -49,18 +50,21 @@ def rendezvous(key: Column, weights: Sequence[float]) -> Column:
 
 def number(rows: DataFrame, group: str, order: Sequence[str], n_rows: int,
            rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
-    """Add ``slot``, gapless from 0 within ``group``: rows are dealt into
-    blocks by a hash, numbered there, and blocks are offset by the counts of
-    those before them (a table of one row per block)."""
+    """Add ``slot``, gapless from 0 within ``group`` and ascending by
+    ``order``: rows are dealt into blocks by ranges, numbered there, and blocks
+    are offset by the counts of those before them (a table of one row per block
+    and group). The row number ends the range key, so that many equal rows are
+    dealt into several blocks."""
     blocks = max(1, -(-n_rows // rows_per_block))
-    dealt = rows.withColumn("_block", F.pmod(F.xxhash64(*order), F.lit(blocks)))
+    ranged = rows.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(blocks, group, *order, "_tie")
+    dealt = materialize(ranged.withColumn("_block", F.spark_partition_id()), "blocks")
     counts = dealt.groupBy(group, "_block").agg(F.count("*").alias("_n"))
     w = Window.partitionBy(group).orderBy("_block")
     offsets = counts.select(group, "_block", (F.sum("_n").over(w) - F.col("_n")).alias("_before"))
-    inside = Window.partitionBy(group, "_block").orderBy(*order)
+    inside = Window.partitionBy(group, "_block").orderBy(*order, "_tie")
     return (dealt.withColumn("_at", F.row_number().over(inside) - 1)
             .join(offsets, [group, "_block"])
-            .withColumn("slot", F.col("_before") + F.col("_at")).drop("_block", "_at", "_before"))
+            .withColumn("slot", F.col("_before") + F.col("_at")).drop("_block", "_tie", "_at", "_before"))
 
 
 def shard(docs: DataFrame, shards: int | Sequence[float] = 24, grown_weight: float = 1.0,
@@ -76,8 +80,8 @@ def shard(docs: DataFrame, shards: int | Sequence[float] = 24, grown_weight: flo
     key = F.col("doc_id")
     facts = pick(docs, id_col, text_col).select(
         "doc_id", (F.octet_length(text).cast("long") + 8).alias("size"), F.crc32(text).alias("text_crc32"))
-    dealt = facts.select(
+    dealt = materialize(facts.select(
         "*", F.lit("key").alias("law"), rendezvous(key, weights).alias("shard"),
-        rendezvous(key, [*weights, grown_weight]).alias("grown_shard"))
-    numbered = number(dealt, "shard", ["doc_id", "text_crc32", "size"], docs.count())
+        rendezvous(key, [*weights, grown_weight]).alias("grown_shard")), "dealt")
+    numbered = number(dealt, "shard", ["doc_id", "text_crc32", "size"], dealt.count())
     return numbered.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")

@@ -129,8 +129,18 @@ def test_sharding(docs, empty):
         assert sorted(r.slot for r in rows if r.shard == s) == list(range(sum(r.shard == s for r in rows)))
     assert len({r.shard for r in rows if r.doc_id == 60}) == 1
     assert sharding.shard(empty, 5).count() == 0
-    blocks = sharding.number(docs.select("doc_id", F.lit(1).alias("g")), "g", ["doc_id"], docs.count(), 10)
-    assert sorted(r.slot for r in blocks.collect()) == list(range(docs.count()))
+    blocks = sharding.number(docs.select("doc_id", F.lit(1).alias("g")), "g", ["doc_id"], docs.count(), 10).collect()
+    ids = [r.doc_id for r in sorted(blocks, key=lambda r: r.slot)]
+    assert sorted(r.slot for r in blocks) == list(range(docs.count()))
+    assert ids == sorted(ids, key=lambda i: (i is not None, i))
+
+
+def test_slots_of_many_equal_rows_are_dealt_into_several_blocks(spark):
+    rows = spark.range(2000).select(F.lit(1).alias("doc_id"), F.lit(1).alias("g"))
+    got = sharding.number(rows, "g", ["doc_id"], 2000, 100)
+    assert sorted(r.slot for r in got.collect()) == list(range(2000))
+    dealt = rows.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(20, "g", "doc_id", "_tie")
+    assert max(r["count"] for r in dealt.groupBy(F.spark_partition_id().alias("p")).count().collect()) < 400
 
 
 def test_heavier_shards_get_more(spark):
