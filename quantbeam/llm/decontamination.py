@@ -104,10 +104,11 @@ def intersect(index: DataFrame, items: DataFrame, windows: DataFrame, slop: int
         lists = lists.unionByName(others.withColumns({
             "begin": F.col("begin") + F.col("off"), "pivot_words": F.lit(None).cast(lists.schema["pivot_words"].dataType)}))
     least = windows.groupBy("item").agg(F.min(F.size("anchors")).alias("least"))
-    # One item's beginnings in one document: at most as many rows as it has words.
+    # One item's beginnings in one document: as many places as it has words at most,
+    # however often the row is repeated.
     met = (lists.groupBy("doc", "item", "begin").agg(
         F.collect_set("place").alias("near"), F.collect_set(F.when(F.col("off") == 0, F.col("place"))).alias("exact"),
-        F.collect_list("pivot_words").alias("pivots"))
+        F.collect_set("pivot_words").alias("pivots"))
         .join(small(least, n_windows), "item").filter(F.size("near") >= F.col("least")).drop("least"))
     listed = windows.join(items.select("item", "item_id", F.col("words").alias("item_words")), "item").select(
         "item", "item_id", "at", "n_words", "anchors", "pivot",
