@@ -155,8 +155,10 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int |
         if doc_ids:
             yield block()
 
-    order = ["doc_id", F.crc32("ids")]
-    (tokens.repartitionByRange(*order).sortWithinPartitions(*order)
+    # The row number of the stored tokens: rows of one id are dealt into several parts.
+    order = ["doc_id", "_tie"]
+    (tokens.withColumn("_tie", F.monotonically_increasing_id())
+     .repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "n_tokens", "ids")
      .mapInArrow(code, BLOCKS).write.option("compression", "zstd").parquet(f"{path}/blocks"))
 
 
