@@ -23,7 +23,8 @@ misses every bucket with a probability of 5e-8.
    members that are similar enough are linked, links are closed to groups;
 2. buckets that still hold several groups are compared again across groups.
    A bucket of at most ``small_bucket`` members gives its pairs across groups. A
-   larger one is dealt into blocks of about ``block`` members; each task holds two
+   larger one is dealt into blocks of about ``block`` members, or of about
+   ``block_shingles`` shingles if that is less; each task holds two
    blocks, gets all overlaps there from products of count matrices, and gives
    out only links that join groups it has not joined yet: never the pairs;
 3. links of both rounds are closed to the result.
@@ -242,11 +243,13 @@ def groups(links: DataFrame, label: str = "groups") -> DataFrame:
             return roots
 
 
-def block_links(members: DataFrame, texts: DataFrame, size: int, threshold: float, block: int) -> DataFrame:
+def block_links(members: DataFrame, texts: DataFrame, size: int, threshold: float, block: int,
+                block_shingles: int) -> DataFrame:
     """Links ``(a, b)`` that join the groups of ``members`` ``(key, node,
-    root, n)`` within each key, found block against block. A task holds the
-    texts of two blocks and their matrix of overlaps."""
-    blocks = F.ceil(F.col("n") / F.lit(block)).cast("long")
+    root, n, load)`` within each key, found block against block. A task holds
+    the texts of two blocks and their matrix of overlaps; ``load``, the shingles
+    of the whole key, keeps blocks of long texts small."""
+    blocks = F.ceil(F.greatest(F.col("n") / F.lit(block), F.col("load") / F.lit(block_shingles))).cast("long")
     own = F.pmod(F.xxhash64("node", "key"), blocks)
     met = F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))
     rows = (members.select("key", "node", "root", own.alias("own"), met.alias("other"))
@@ -313,8 +316,7 @@ def across(members: DataFrame, threshold: float) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, threshold: float = 0.8, bands: int = 32, rows: int = 4,
-                    small_bucket: int = 50,
-                    block: int = 1024) -> DataFrame:
+                    small_bucket: int = 50, block: int = 1024, block_shingles: int = 1_000_000) -> DataFrame:
     """``(doc_id, text_key, class_id, text_class, heads)`` per document:
     ``class_id`` is the least id of its group, ``text_class`` that of its equal
     texts; ``heads`` marks the rows with the text that stands for the group
@@ -327,8 +329,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: float = 0.8, band
                         .withColumn("node", F.monotonically_increasing_id()), "nodes")
 
     band = nodes.select("node", "weight", F.explode("keys").alias("key"))
-    buckets = materialize(band.groupBy("key").agg(F.min("node").alias("least"), F.count("*").alias("n"))
-                          .filter("n > 1"), "buckets")
+    buckets = materialize(band.groupBy("key").agg(F.min("node").alias("least"), F.count("*").alias("n"),
+                                                  F.sum("weight").alias("load")).filter("n > 1"), "buckets")
     members = materialize(band.join(buckets, "key"), "members")
     stars = members.filter("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
     stars = materialize(stars, "stars")
@@ -340,7 +342,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: float = 0.8, band
     roots = groups(links, "roots")
 
     grouped = (members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-               .select("key", "node", "weight", "root", "n"))
+               .select("key", "node", "weight", "root", "n", "load"))
     grouped = materialize(grouped, "grouped")
     more = across(grouped.filter(F.col("n") <= small_bucket), threshold).join(stars, ["a", "b"], "left_anti")
     more = materialize(more, "more")
@@ -351,7 +353,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: float = 0.8, band
     if not more.isEmpty():
         found.append(verify(more, texts, size, threshold))
     if not large.isEmpty():
-        found.append(block_links(large, texts, size, threshold, block))
+        found.append(block_links(large, texts, size, threshold, block, block_shingles))
     if found:
         for f in found:
             links = links.unionByName(f)

@@ -281,7 +281,7 @@ def test_near_duplicates_against_all_pairs(spark, empty):
     want = {frozenset(g) for g in groups.values()}
     df = spark.createDataFrame(rows, "doc_id long, text string")
     texts = df.select(near_duplicates.text_key(F.col("text")).alias("text_key"), "text").distinct()
-    for how in ({}, {"small_bucket": 2, "block": 8}):
+    for how in ({}, {"small_bucket": 2, "block": 8}, {"small_bucket": 2, "block_shingles": 300}):
         found = near_duplicates.near_duplicates(df, **how)
         got = collections.defaultdict(set)
         joined = found.join(texts, "text_key")
