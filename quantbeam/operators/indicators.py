@@ -12,10 +12,21 @@ first inside the fetch window):
 * EMA (span p, adjust=False): alpha = 2/(p+1), q = 1 - alpha,
   y_i = q^i * (x_0 + sum_{1<=j<=i} alpha x_j q^-j)  -- a running sum.
 * RSI (Wilder RMA via ewm(alpha=1/p, adjust=True), r = 1 - 1/p):
-  rsi_i = 100 * sum_j max(d_j,0) r^-j / sum_j |d_j| r^-j, valid for i >= p.
+  rsi_i = 100 * sum_j max(d_j,0) r^-j / sum_j |d_j| r^-j.
   The ewm normalisers cancel in the ratio.
 
 The window length is at most 1.5 p, so q^-i stays below ~20: no overflow.
+
+Missing and zero closes follow pandas 2.1 (rolling and ewm with their
+defaults, pct_change padding):
+
+* SMA and volatility need p values in their p rows, else there is none.
+* EMA keeps its last value over a gap. A close that comes g rows after the
+  last one weighs alpha / (q^g + alpha), the value before it the rest; so q^i
+  is a product of such rests. It starts at the window's first close.
+* RSI skips changes next to a gap, and needs p changes.
+* Returns are taken between neighbouring known closes, padded inside the
+  fetch window (0 on a gap); there is no return on a zero close.
 """
 
 from __future__ import annotations
@@ -73,41 +84,53 @@ def _value(name: str, p: int) -> Column:
     serves all configs."""
     w = _asc()
     run = w.rowsBetween(Window.unboundedPreceding, 0)
-    x = F.col("close").cast("double")
+    x = F.col("_x")
     in_win, i = _cfg_cols(name, p)
     if name == "sma":
-        # sum of the last p closes as a difference of exact decimal running sums: O(n), not O(n*p)
-        s_now = F.sum(F.col("close")).over(run)
-        s_before = F.coalesce(F.lag(s_now, p).over(w), F.lit(0))
-        return F.when(in_win & (i >= p - 1), ((s_now - s_before) / F.lit(p)).cast(DEC))
+        # the last p closes as differences of exact decimal running sums: O(n), not O(n*p)
+        s_now, n_now = F.sum(F.col("close")).over(run), F.count(F.col("close")).over(run)
+        s_before, n_before = (F.coalesce(F.lag(v, p).over(w), F.lit(0)) for v in (s_now, n_now))
+        return F.when(in_win & (i >= p - 1) & (n_now - n_before == p), ((s_now - s_before) / F.lit(p)).cast(DEC))
     if name == "ema":
         a = 2.0 / (p + 1)
         q = 1.0 - a
-        c = F.when(in_win, F.when(i == 0, x).otherwise(F.lit(a) * x * F.pow(F.lit(q), -i))).otherwise(F.lit(0.0))
-        return F.when(in_win, (F.pow(F.lit(q), i) * F.sum(c).over(run)).cast(DEC))
+        known, gap = _known_before(p)
+        c, s = F.col(f"_steps_{p}"), F.col(f"_gaps_{p}")
+        shrink = F.pow(F.lit(q), -c) * F.exp(-s)
+        weight = F.when(gap == 1, F.lit(a)).otherwise(F.lit(a) / (F.pow(F.lit(q), gap) + F.lit(a)))
+        term = F.when(~in_win | x.isNull(), F.lit(0.0)).when(~known, x).otherwise(weight * x * shrink)
+        total = F.pow(F.lit(q), c) * F.exp(s) * F.sum(term).over(run)
+        return F.when(in_win & (F.col("_filled_rn") <= fetch_len(p)), total.cast(DEC))
     if name == "rsi":
         r = 1.0 - 1.0 / p
-        use = in_win & (i >= 1)
+        use = in_win & (i >= 1) & F.col("_d").isNotNull()
         scale = F.pow(F.lit(r), -i)
         up = F.sum(F.when(use, F.greatest(F.col("_d"), F.lit(0.0)) * scale).otherwise(F.lit(0.0))).over(run)
         tot = F.sum(F.when(use, F.abs(F.col("_d")) * scale).otherwise(F.lit(0.0))).over(run)
-        return F.when(in_win & (i >= p), (F.lit(100.0) * F.try_divide(up, F.nullif(tot, F.lit(0.0)))).cast(DEC))
+        n = F.count(F.when(use, F.lit(1))).over(run)
+        return F.when(in_win & (n >= p), (F.lit(100.0) * F.try_divide(up, F.nullif(tot, F.lit(0.0)))).cast(DEC))
     if name == "volatility":
-        # sample stddev of the last p returns from running sums of r and r^2
-        r1 = F.sum(F.col("_ret")).over(run)
-        r2 = F.sum(F.col("_ret") * F.col("_ret")).over(run)
-        a = r1 - F.coalesce(F.lag(r1, p).over(w), F.lit(0.0))
-        b = r2 - F.coalesce(F.lag(r2, p).over(w), F.lit(0.0))
-        var = (b - a * a / F.lit(float(p))) / F.lit(float(p - 1))
-        sd = F.sqrt(F.greatest(var, F.lit(0.0)))
-        return F.when(in_win & (i >= p), (sd * F.lit(ANNUALISATION ** 0.5)).cast(DEC))
+        # The p rows themselves, not differences of running squares, which one
+        # extreme return would cancel out; at most 1.5 p rows are left of a token.
+        last_p = w.rowsBetween(-(p - 1), 0)
+        ret = F.when(in_win & _known_before(p)[0], F.col("_ret"))
+        sd = F.stddev_samp(ret).over(last_p)
+        return F.when(in_win & (F.count(ret).over(last_p) == p), (sd * F.lit(ANNUALISATION ** 0.5)).cast(DEC))
     raise ValueError(f"unsupported indicator {name}")
 
 
+def _known_before(p: int) -> tuple[Column, Column]:
+    """(is there a close before this row in the config's fetch window, rows since then)."""
+    return (F.coalesce(F.col("_prev_rn") <= fetch_len(p), F.lit(False)), F.col("_prev_rn") - F.col("rn"))
+
+
 def daily_return(bars: DataFrame) -> DataFrame:
-    """pct_change of close per token, oldest first (first bar -> NULL)."""
-    x = F.col("close").cast("double")
-    return bars.withColumn("daily_return", F.try_divide(x, F.lag(x).over(_asc())) - F.lit(1.0))
+    """pct_change of close per token, oldest first: NULL on the first bar and
+    on a zero close; a missing close counts as the one before."""
+    run = _asc().rowsBetween(Window.unboundedPreceding, 0)
+    filled = bars.withColumn("_filled", F.last(F.col("close").cast("double"), ignorenulls=True).over(run))
+    prev = F.nullif(F.lag("_filled").over(_asc()), F.lit(0.0))
+    return filled.withColumn("daily_return", F.col("_filled") / prev - F.lit(1.0)).drop("_filled")
 
 
 def drop_null_indicator(df: DataFrame) -> DataFrame:
@@ -115,21 +138,29 @@ def drop_null_indicator(df: DataFrame) -> DataFrame:
 
 
 def _prepared(bars: DataFrame, configs: list[tuple[str, int]]) -> DataFrame:
-    """Newest bars of the longest fetch window with rn, n_all, close diff
-    and return: one shuffle on token, one desc rank, one asc sort."""
+    """Newest bars of the longest fetch window with rn, n_all, the close and
+    its change, the last known close (``_filled``) with its rank, the one before
+    it, the return, and for each EMA the rows without and with a gap so far: one
+    shuffle on token, one desc rank, one asc sort."""
     keep = max(fetch_len(p) for _, p in configs)
-    ranked = rank_bars(bars, keep)
+    ranked = rank_bars(bars, keep).withColumn("_x", F.col("close").cast("double"))
     w = _asc()
-    x = F.col("close").cast("double")
-    prev = F.lag(x).over(w)
+    run = w.rowsBetween(Window.unboundedPreceding, 0)
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return ranked.withColumns({"n_all": F.count(F.lit(1)).over(whole), "_d": x - prev,
-                               "_ret": F.try_divide(x, prev) - F.lit(1.0)})
-
-
-def indicator_branch(ranked: DataFrame, name: str, period: int) -> DataFrame:
-    """Long rows of one indicator computed on its own (for single-config use)."""
-    return indicators_long(ranked.drop("rn"), [(name, period)])
+    known = F.when(F.col("_x").isNotNull(), F.col("rn"))
+    seen = ranked.withColumns({"n_all": F.count(F.lit(1)).over(whole), "_d": F.col("_x") - F.lag("_x").over(w),
+                               "_filled": F.last("_x", ignorenulls=True).over(run),
+                               "_filled_rn": F.last(known, ignorenulls=True).over(run)})
+    seen = seen.withColumns({"_prev": F.lag("_filled").over(w), "_prev_rn": F.lag("_filled_rn").over(w)})
+    more = {"_ret": F.col("_filled") / F.nullif(F.col("_prev"), F.lit(0.0)) - F.lit(1.0)}
+    for p in sorted({p for name, p in configs if name == "ema"}):
+        a = 2.0 / (p + 1)
+        before, gap = _known_before(p)
+        before = before & _cfg_cols("ema", p)[0] & F.col("_x").isNotNull()
+        rest = F.pow(F.lit(1.0 - a), gap)
+        more[f"_steps_{p}"] = F.count(F.when(before & (gap == 1), F.lit(1))).over(run)
+        more[f"_gaps_{p}"] = F.coalesce(F.sum(F.when(before & (gap > 1), F.ln(rest / (rest + F.lit(a))))).over(run), F.lit(0.0))
+    return seen.withColumns(more)
 
 
 def indicators_long(bars: DataFrame, configs: Iterable[tuple[str, int]] = ALL_CONFIGS) -> DataFrame:
@@ -187,66 +218,29 @@ def indicators_wide_from_long(tm_equity: DataFrame, bars: DataFrame, long: DataF
 
 
 def latest_indicator_values(bars: DataFrame, configs: Iterable[tuple[str, int]] = ALL_CONFIGS) -> DataFrame:
-    """Newest value of every indicator per token as ONE aggregate.
-
-    With rn = 1 for the newest bar and n_p = min(bars, floor(1.5 p)):
-      SMA  = avg(close | rn <= p)                          if n_p >= p
-      EMA  = sum(alpha x q^(rn-1) | rn <= K) + q^n_p x_oldest
-      RSI  = 100 sum(max(d,0) r^(rn-1)) / sum(|d| r^(rn-1)) over rn < K,
-             d = close - previous close                    if n_p >= p + 1
-      VOL  = stddev_samp(return | rn <= p) * sqrt(252)     if n_p >= p + 1
-    The rank window already hash-partitions by token, so the aggregate
-    adds no shuffle; no per-bar rows are produced.
-    """
+    """Newest bar of every token with the value of every indicator there.
+    The values are those of ``indicators_long``; only the newest row of a
+    token leaves the window, so no long rows, pivot or second shuffle."""
     configs = list(configs)
-    keep = max(fetch_len(p) for _, p in configs)
-    ranked = rank_bars(bars, keep)
-    wd = Window.partitionBy("token").orderBy(F.col("timestamp").desc())
-    x = F.col("close").cast("double")
-    older = F.lead(x).over(wd)
-    prep = ranked.withColumns({"_d": x - older, "_ret": F.try_divide(x, older) - F.lit(1.0)})
-    rn = F.col("rn")
-    n_all = F.count(F.lit(1))
-    aggs = [n_all.alias("n_all"), F.max(F.when(rn == 1, F.col("timestamp"))).alias("last_ts"),
-            F.max(F.when(rn == 1, F.col("close"))).alias("last_close"),
-            F.max(F.when(rn == 1, F.col("volume"))).alias("last_volume")]
-    post = []
-    for name, p in configs:
-        k = fetch_len(p)
-        col = f"{name}_{p}"
-        n_p = F.least(F.col("n_all"), F.lit(k))
-        if name == "sma":
-            aggs.append(F.avg(F.when(rn <= p, F.col("close"))).alias(col))
-            post.append(F.when(F.col("n_all") >= p, F.col(col).cast(DEC)).alias(col))
-        elif name == "ema":
-            a = 2.0 / (p + 1)
-            q = 1.0 - a
-            aggs.append(F.sum(F.when(rn <= k, F.lit(a) * x * F.pow(F.lit(q), rn - 1))).alias(col))
-            aggs.append(F.max_by(x, F.when(rn <= k, rn)).alias(f"{col}_old"))
-            val = F.col(col) + F.pow(F.lit(q), n_p) * F.col(f"{col}_old")
-            post.append(F.when(F.col("n_all") >= p, val.cast(DEC)).alias(col))
-        elif name == "rsi":
-            r = 1.0 - 1.0 / p
-            w_ = F.pow(F.lit(r), rn - 1)
-            aggs.append(F.sum(F.when(rn < k, F.greatest(F.col("_d"), F.lit(0.0)) * w_)).alias(f"{col}_up"))
-            aggs.append(F.sum(F.when(rn < k, F.abs(F.col("_d")) * w_)).alias(f"{col}_tot"))
-            val = F.lit(100.0) * F.try_divide(F.col(f"{col}_up"), F.nullif(F.col(f"{col}_tot"), F.lit(0.0)))
-            post.append(F.when(n_p >= p + 1, val.cast(DEC)).alias(col))
-        elif name == "volatility":
-            aggs.append(F.stddev_samp(F.when(rn <= p, F.col("_ret"))).alias(col))
-            val = F.col(col) * F.lit(ANNUALISATION ** 0.5)
-            post.append(F.when(n_p >= p + 1, val.cast(DEC)).alias(col))
-    g = prep.groupBy("token").agg(*aggs)
-    return g.select("token", F.to_date("last_ts").alias("trade_date"), *post, "last_close", "last_volume")
+    vals = _prepared(bars, configs).select(
+        "token", "rn", F.to_date("timestamp").alias("trade_date"), *[_value(n, p).alias(f"{n}_{p}") for n, p in configs],
+        F.col("close").alias("last_close"), F.col("volume").alias("last_volume"))
+    return vals.where(F.col("rn") == 1).drop("rn")
+
+
+def lookup_indicator_value(long: DataFrame, token: str, name: str, period: int) -> DataFrame:
+    """Newest value of one token's indicator: no row or one; the three
+    filters reach the scan of a stored table."""
+    return latest_indicator_value(long.where(
+        (F.col("token") == token) & (F.col("indicator_name") == name) & (F.col("period") == period)))
 
 
 def indicators_wide(tm_equity: DataFrame, bars: DataFrame, long: DataFrame | None = None) -> DataFrame:
     """technical_indicators_summary: equity tokens with bars, latest bar
     values and the ten indicator columns (by name, NULL if not computable).
 
-    Without ``long`` the newest values come straight from one aggregate
-    over the ranked bars (``latest_indicator_values``); with ``long`` the
-    reference's pivot path is used."""
+    Without ``long`` the newest values come straight from the ranked bars
+    (``latest_indicator_values``); with ``long`` the pivot path is used."""
     if long is not None:
         return indicators_wide_from_long(tm_equity, bars, long)
     vals = latest_indicator_values(bars)
@@ -273,6 +267,12 @@ def indicator_coverage(tm_equity: DataFrame, long: DataFrame,
              .withColumn("success_rate", F.round(F.col("success") * 100.0 / F.col("total"), 2)))
 
 
+def coverage_totals(coverage: DataFrame) -> DataFrame:
+    """One row over all indicators of ``indicator_coverage``."""
+    return coverage.agg(F.sum("success").alias("overall_success"), F.sum("errors").alias("overall_errors"),
+                        F.count(F.lit(1)).alias("indicators_processed"))
+
+
 def bars_per_token(bars: DataFrame, sample: int = 2) -> DataFrame:
     """Per token: bar count plus the ``sample`` newest bars as a sample."""
     w = Window.partitionBy("token").orderBy(F.col("timestamp").desc())

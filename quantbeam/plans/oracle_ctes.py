@@ -40,15 +40,24 @@ select case when e.event_type in ('view', 'error') then 'NSE' else 'NFO' end as
        e.props as depth_json, e.ts as timestamp
 from events e join underlyings u on e.user_id = u.uid""")
 
-_add("bars", [], """
+def bars_sql(where: str = "true") -> str:
+    """Daily bars of the lines that meet ``where``."""
+    order = "l_orderkey*1000000000 + l_linenumber*100000000 + l_partkey"
+    day = "cast(l_shipdate as date)"
+    return f"""
 select 'E' || cast(l_suppkey as varchar) as token,
        translate(cast(l_suppkey as varchar), '0123456789', 'ABCDEFGHIJ') as symbol_name,
-       cast(cast(l_shipdate as date) as timestamp) as timestamp,
-       cast(min_by(l_extendedprice, l_orderkey*1000000000 + l_linenumber*100000000 + l_partkey) as decimal(18,6)) as open,
+       cast({day} as timestamp) as timestamp,
+       cast(min_by(l_extendedprice, {order}) as decimal(18,6)) as open,
        cast(max(l_extendedprice) as decimal(18,6)) as high, cast(min(l_extendedprice) as decimal(18,6)) as low,
-       cast(max_by(l_extendedprice, l_orderkey*1000000000 + l_linenumber*100000000 + l_partkey) as decimal(18,6)) as close,
+       case when l_suppkey % 5 = 0 and day({day}) = 13 then null
+            when l_suppkey % 7 = 3 and day({day}) = 27 then 0
+            else cast(max_by(l_extendedprice, {order}) as decimal(18,6)) end as close,
        cast(sum(l_quantity) as bigint) as volume
-from lineitem group by l_suppkey, cast(l_shipdate as date)""")
+from lineitem where {where} group by l_suppkey, {day}"""
+
+
+_add("bars", [], bars_sql())
 
 _add("raw_instruments", ["underlyings"], """
 select 'E' || cast(uid as varchar) as token, name || '-EQ' as symbol, name, '' as expiry, '-1.000000' as strike,

@@ -17,32 +17,41 @@ select *, row_number() over (partition by token order by timestamp desc) as rn f
 
 
 def _branch_sql(name: str, p: int) -> str:
+    """One indicator over its fetch window. ``prev_i``: index of the last known
+    close before the row; ``filled``: the last known close."""
     k = ind.fetch_len(p)
     w = "partition by token order by timestamp"
-    x = "cast(close as double)"
+    run = f"over ({w} rows between unbounded preceding and current row)"
+    last_p = f"over ({w} rows between {p - 1} preceding and current row)"
+    source = f"""(select *, cast(close as double) as x, count(*) over (partition by token) as n,
+       count(*) over (partition by token) - rn as i from ranked_bars where rn <= {k})"""
     if name == "sma":
-        v = f"case when i >= {p - 1} then avg(close) over ({w} rows between {p - 1} preceding and current row) end"
+        v = f"case when count(x) {last_p} = {p} then avg(close) {last_p} end"
     elif name == "ema":
         a = 2.0 / (p + 1)
         q = 1.0 - a
-        v = (f"pow({q!r}, i) * sum(case when i = 0 then {x} else {a!r} * {x} * pow({q!r}, -i) end) "
-             f"over ({w} rows between unbounded preceding and current row)")
+        rest = f"pow({q!r}, i - prev_i)"
+        source = f"""(select *, max(case when x is not null then i end) over ({w} rows between unbounded preceding
+       and 1 preceding) as prev_i from {source})"""
+        source = f"""(select *, count(*) filter (where x is not null and i - prev_i = 1) {run} as steps,
+       coalesce(sum(case when x is not null and i - prev_i > 1 then ln({rest} / ({rest} + {a!r})) end) {run}, 0.0) as gaps
+       from {source})"""
+        v = (f"case when count(x) {run} > 0 then pow({q!r}, steps) * exp(gaps) * sum(case when x is null then 0.0 "
+             f"when prev_i is null then x when i - prev_i = 1 then {a!r} * x * (pow({q!r}, -steps) * exp(-gaps)) "
+             f"else {a!r} / ({rest} + {a!r}) * x * (pow({q!r}, -steps) * exp(-gaps)) end) {run} end")
     elif name == "rsi":
         r = 1.0 - 1.0 / p
-        d = f"({x} - prev)"
-        run = f"over ({w} rows between unbounded preceding and current row)"
-        v = (f"case when i >= {p} then 100.0 * sum(greatest({d}, 0.0) * pow({r!r}, -i)) {run} "
-             f"/ nullif(sum(abs({d}) * pow({r!r}, -i)) {run}, 0.0) end")
+        source = f"(select *, x - lag(x) over ({w}) as d from {source})"
+        v = (f"case when count(d) {run} >= {p} then 100.0 * sum(greatest(d, 0.0) * pow({r!r}, -i)) {run} "
+             f"/ nullif(sum(abs(d) * pow({r!r}, -i)) {run}, 0.0) end")
     else:
-        ret = f"({x} / prev - 1.0)"
-        v = (f"case when i >= {p} then stddev_samp({ret}) over ({w} rows between {p - 1} preceding and current row)"
-             f" * sqrt({ind.ANNUALISATION}) end")
+        source = f"(select *, last_value(x ignore nulls) {run} as filled from {source})"
+        source = f"(select *, filled / nullif(lag(filled) over ({w}), 0.0) - 1.0 as ret from {source})"
+        v = f"case when count(ret) {last_p} = {p} then stddev_samp(ret) {last_p} * sqrt({ind.ANNUALISATION}) end"
     return f"""
 select token, symbol_name, '{name}' as indicator_name, timestamp,
        cast(cast({v} as decimal(18,6)) as double) as value, {p} as period
-from (select *, count(*) over (partition by token) as n, count(*) over (partition by token) - rn as i,
-             lag(cast(close as double)) over (partition by token order by timestamp) as prev
-      from ranked_bars where rn <= {k})
+from {source}
 where n >= {p}"""
 
 
@@ -91,10 +100,10 @@ def q_indicators_long(spark, d):
 
 
 @query("daily_return", with_ctes("bars") + """
-select token, timestamp,
-       cast(close as double) / lag(cast(close as double)) over (partition by token order by timestamp) - 1.0
+select token, timestamp, filled / nullif(lag(filled) over (partition by token order by timestamp), 0.0) - 1.0
          as daily_return
-from bars""")
+from (select *, last_value(cast(close as double) ignore nulls) over (partition by token order by timestamp
+                rows between unbounded preceding and current row) as filled from bars)""")
 def q_daily_return(spark, d):
     return ind.daily_return(_bars(spark, d)).select("token", "timestamp", "daily_return")
 
@@ -104,10 +113,9 @@ def q_drop_null_indicator(spark, d):
     return ind.indicators_long(_bars(spark, d), [("rsi", 14)])
 
 
-@query("latest_bar_per_token", with_ctes("bars") + """
-select token, cast(max(timestamp) as date) as trade_date,
-       cast(max_by(close, timestamp) as double) as last_close, max_by(volume, timestamp) as last_volume
-from bars group by token""")
+@query("latest_bar_per_token", with_ctes("ranked_bars") + """
+select token, cast(timestamp as date) as trade_date, cast(close as double) as last_close, volume as last_volume
+from ranked_bars where rn = 1""")
 def q_latest_bar_per_token(spark, d):
     return ind.latest_bar_per_token(_bars(spark, d))
 
@@ -131,9 +139,9 @@ _WIDE_SEL = ",\n       ".join(
     f"max_by(value, timestamp) filter (where indicator_name || '_' || cast(period as varchar) = '{c}') as {c}"
     for c in WIDE_INDICATOR_COLUMNS)
 
-register("latest_bar", ["bars"], """
-select token, cast(max(timestamp) as date) as trade_date, max_by(close, timestamp) as last_close,
-       max_by(volume, timestamp) as last_volume from bars group by token""")
+register("latest_bar", ["ranked_bars"], """
+select token, cast(timestamp as date) as trade_date, close as last_close, volume as last_volume
+from ranked_bars where rn = 1""")
 register("ind_pivot", ["ind_long", "latest_bar"], f"""
 select l.token, {_WIDE_SEL}
 from ind_long l join latest_bar b on l.token = b.token and cast(l.timestamp as date) = b.trade_date
@@ -168,7 +176,7 @@ def q_indicators_wide_from_long(spark, d):
     return ind.indicators_wide(_tm_equity(spark, d), b, ind.indicators_long(b))
 
 
-@query("indicator_coverage", with_ctes("token_master", "ind_long") + f"""
+register("coverage", ["token_master", "ind_long"], f"""
 select c.indicator_name, c.period, count(l.token) as success, count(*) filter (where l.token is null) as errors,
        count(*) as total, round(count(l.token) * 100.0 / count(*), 2) as success_rate
 from (select t.token, x.indicator_name, x.period from token_master t
@@ -177,10 +185,27 @@ from (select t.token, x.indicator_name, x.period from token_master t
 left join (select distinct token, indicator_name, period from ind_long) l
   on c.token = l.token and c.indicator_name = l.indicator_name and c.period = l.period
 group by 1, 2""")
+
+
+@query("indicator_coverage", with_ctes("coverage") + "select * from coverage")
 def q_indicator_coverage(spark, d):
     return ind.indicator_coverage(_tm_equity(spark, d), ind.indicators_long(_bars(spark, d)))
 
 
+@query("indicator_coverage_total", with_ctes("coverage") + """
+select cast(sum(success) as bigint) as overall_success, cast(sum(errors) as bigint) as overall_errors,
+       count(*) as indicators_processed from coverage""")
+def q_indicator_coverage_total(spark, d):
+    return ind.coverage_totals(ind.indicator_coverage(_tm_equity(spark, d), ind.indicators_long(_bars(spark, d))))
+
+
+@query("lookup_indicator_value", with_ctes("ind_long") + """
+select token, indicator_name, period, value, timestamp from ind_long
+where token = 'E4' and indicator_name = 'ema' and period = 50 order by timestamp desc limit 1""")
+def q_lookup_indicator_value(spark, d):
+    return ind.lookup_indicator_value(ind.indicators_long(_bars(spark, d)), "E4", "ema", 50)
+
+
 @query("bars_per_token", with_ctes("bars") + """
 select token, n_bars, sample_rank, timestamp, cast(close as double) as close from (
   select token, timestamp, close, count(*) over (partition by token) as n_bars,

@@ -18,7 +18,7 @@ from quantbeam.operators import tokens as tk
 from quantbeam.operators import upserts as up
 from quantbeam.operators.filters import rows_as_json
 from quantbeam.plans.catalog import query
-from quantbeam.plans.oracle_ctes import register, with_ctes
+from quantbeam.plans.oracle_ctes import bars_sql, register, with_ctes
 from quantbeam.plans.q_summary import _MS, _ms_cols, build_market_summary
 from quantbeam.schemas import TOKEN_MASTER_COLUMNS, WIDE_INDICATOR_COLUMNS
 from quantbeam.sources import adapters, landing, sinks
@@ -27,20 +27,8 @@ from quantbeam.streaming import ticks_stream as st
 
 # ---- restated batches derived from the driver tables ---------------------------
 
-def _bars_sql(pred: str) -> str:
-    return f"""
-select 'E' || cast(l_suppkey as varchar) as token,
-       translate(cast(l_suppkey as varchar), '0123456789', 'ABCDEFGHIJ') as symbol_name,
-       cast(cast(l_shipdate as date) as timestamp) as timestamp,
-       cast(min_by(l_extendedprice, l_orderkey*1000000000 + l_linenumber*100000000 + l_partkey) as decimal(18,6)) as open,
-       cast(max(l_extendedprice) as decimal(18,6)) as high, cast(min(l_extendedprice) as decimal(18,6)) as low,
-       cast(max_by(l_extendedprice, l_orderkey*1000000000 + l_linenumber*100000000 + l_partkey) as decimal(18,6)) as close,
-       cast(sum(l_quantity) as bigint) as volume
-from lineitem where {pred} group by l_suppkey, cast(l_shipdate as date)"""
-
-
-register("bars_old", [], _bars_sql("l_returnflag in ('N', 'A')"))
-register("bars_new", [], _bars_sql("l_returnflag = 'R'"))
+register("bars_old", [], bars_sql("l_returnflag in ('N', 'A')"))
+register("bars_new", [], bars_sql("l_returnflag = 'R'"))
 
 
 def _bars_batch(spark, d, flags):

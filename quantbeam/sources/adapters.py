@@ -107,6 +107,9 @@ def bars(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = None) ->
     packing exists.) DECIMAL buffers stay mutable, so min_by/max_by keep a
     hash aggregate with map-side partials (a hot supplier is reduced before
     the shuffle) instead of the sort-based aggregate a struct key forces.
+
+    Some closes are missing (every fifth supplier, on the 13th) or zero (every
+    seventh, on the 27th), so that indicators meet gaps.
     """
     li = lineitem if lineitem is not None else read_table(spark, sf_dir, "lineitem")
     d38 = "decimal(38,0)"
@@ -119,12 +122,15 @@ def bars(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = None) ->
                 F.min("l_extendedprice").alias("l"),
                 F.max_by("l_extendedprice", order).alias("c"),
                 F.sum("l_quantity").alias("v")))
+    on = F.dayofmonth("trade_date")
+    close = (F.when((F.col("l_suppkey") % 5 == 0) & (on == 13), F.lit(None))
+              .when((F.col("l_suppkey") % 7 == 3) & (on == 27), F.lit(0)).otherwise(F.col("c")))
     return g.select(
         F.concat(F.lit("E"), F.col("l_suppkey").cast("string")).alias("token"),
         digits_to_letters("l_suppkey").alias("symbol_name"),
         F.col("trade_date").cast("timestamp_ntz").alias("timestamp"),
         F.col("o").cast(DEC).alias("open"), F.col("h").cast(DEC).alias("high"),
-        F.col("l").cast(DEC).alias("low"), F.col("c").cast(DEC).alias("close"),
+        F.col("l").cast(DEC).alias("low"), close.cast(DEC).alias("close"),
         F.col("v").cast("bigint").alias("volume"),
     )
 

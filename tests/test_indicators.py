@@ -24,7 +24,7 @@ def _bars_pdf(lengths, seed=3, flat_token=None):
 
 
 def _spark_bars(spark, pdf):
-    df = spark.createDataFrame(pdf)
+    df = spark.createDataFrame(pdf).withColumn("close", F.when(~F.isnan("close"), F.col("close")))
     return df.select("token", "symbol_name", F.col("timestamp").cast("timestamp_ntz").alias("timestamp"),
                      F.col("close").cast("decimal(18,6)").alias("open"),
                      F.col("close").cast("decimal(18,6)").alias("high"),
@@ -57,7 +57,7 @@ def _reference(pdf):
                 na = neg.ewm(alpha=1.0 / p, min_periods=p).mean()
                 v = 100 * pa / (pa + na.abs())
             else:
-                v = c.pct_change().rolling(p).std() * 252 ** 0.5
+                v = (c.ffill() / c.ffill().shift() - 1).rolling(p).apply(lambda a: a.std(ddof=1), raw=True) * 252 ** 0.5
             for ts, val in zip(g["timestamp"], v):
                 if pd.notna(val) and np.isfinite(val):
                     out.append((t, name, p, pd.Timestamp(ts), float(val)))
@@ -71,12 +71,28 @@ def data():
     return _bars_pdf(lengths, flat_token="FLAT")
 
 
-def test_long_matches_pandas(spark, data):
+@pytest.fixture(scope="module")
+def gaps():
+    """Missing closes alone, in a row, at either end of a fetch window; zero
+    closes; an extreme price."""
+    pdf = _bars_pdf({"ONE": 260, "ROW": 320, "ENDS": 300, "OLD": 300, "ZERO": 280, "EXTREME": 300, "ALL": 210}, seed=5)
+    for token, at, value in [("ONE", [40, 200], np.nan), ("ROW", range(100, 110), np.nan), ("ENDS", [0, 1, 299], np.nan),
+                             ("OLD", range(215, 226), np.nan), ("ZERO", [30, 31, 270], 0.0), ("EXTREME", [5, 272], 1e9),
+                             ("ALL", range(210), np.nan)]:
+        rows = pdf.index[pdf["token"] == token]
+        pdf.loc[rows[list(at)], "close"] = value
+    return pdf
+
+
+@pytest.mark.parametrize("name", ["data", "gaps"])
+def test_long_matches_pandas(spark, name, request):
+    data = request.getfixturevalue(name)
     got = {(r.token, r.indicator_name, r.period, pd.Timestamp(r.timestamp)): float(r.value)
            for r in ind.indicators_long(_spark_bars(spark, data)).collect()}
     want = _reference(data)
     assert set(got) == set(want)
-    worst = max(abs(got[k] - want[k]) for k in want)
+    # stored values have six decimals; doubles of 1e9 hold as many digits as they can
+    worst = max(abs(got[k] - want[k]) / max(1.0, abs(want[k]) * 1e-6) for k in want)
     assert worst <= 1e-6
 
 
@@ -88,7 +104,9 @@ def test_flat_prices_rsi_dropped_and_volatility_needs_p_plus_one(spark, data):
     assert "T200" not in counts and counts["T201"] == 1
 
 
-def test_wide_aggregate_path_equals_long_path(spark, data):
+@pytest.mark.parametrize("name", ["data", "gaps"])
+def test_wide_path_equals_long_path(spark, name, request):
+    data = request.getfixturevalue(name)
     bars = _spark_bars(spark, data)
     tm = spark.createDataFrame([(t, t.lower()) for t in data["token"].unique()], "token string, name string")
     fast = {r.token: r.asDict() for r in ind.indicators_wide(tm, bars).collect()}
