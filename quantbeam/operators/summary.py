@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from quantbeam.functions import derived as dv
 from quantbeam.operators import ticks as tk
 from quantbeam.operators.tokens import TYPE_EQUITY, TYPE_FUTURES
-from quantbeam.schemas import MARKET_SUMMARY_COLUMNS
+from quantbeam.schemas import MARKET_SUMMARY_COLUMNS, WIDE_INDICATOR_COLUMNS
 
 
 def equity_master(tm: DataFrame) -> DataFrame:
@@ -24,25 +24,23 @@ def futures_master(tm: DataFrame) -> DataFrame:
 
 def assemble_summary(tm: DataFrame, rel: DataFrame, rfl: DataFrame, rol: DataFrame,
                      indicators_wide: DataFrame) -> DataFrame:
-    """equity ⟕ futures master ⟕ latest equity tick (by name) ⟕ latest
-    futures tick ⟕ ATM straddle (by underlying) ⟕ wide indicators, then
-    the 36-column projection with the derived metrics.
+    """The equities of the master with their facts, each a frame keyed by one
+    of the equity's own columns: its futures contract (terms and newest quote),
+    its newest quote and its straddle by name, its indicators by token; then the
+    36-column projection with the derived metrics.
 
-    Every right side is one row per key (a reduced aggregate or a
+    Every frame of facts is one row per key (a reduced aggregate or a
     dimension), so the joins run on dimension-sized inputs; AQE turns them
     into broadcast joins only when the measured side is small.
     """
-    em = equity_master(tm)
-    fm = futures_master(tm)
-    rel = rel.withColumnRenamed("name", "rel_name").drop("trading_symbol")
-    rfl = rfl.drop("trading_symbol")
-    til = indicators_wide.select("token", "sma_50", "sma_100", "sma_200", "ema_20", "ema_50", "ema_200",
-                                 "rsi_14", "rsi_21", "volatility_21", "volatility_200")
-    j = (em.join(fm, em.futures_token == fm.fm_token, "left")
-           .join(rel, F.col("name") == F.col("rel_name"), "left")
-           .join(rfl, F.col("fm_token") == F.col("symbol_token"), "left")
-           .join(rol, F.col("name") == F.col("underlying_name"), "left")
-           .join(til, "token", "left"))
+    contracts = (futures_master(tm).join(rfl.drop("trading_symbol"), F.col("fm_token") == F.col("symbol_token"), "left")
+                 .drop("symbol_token").withColumnRenamed("fm_token", "futures_token"))
+    facts = [("futures_token", contracts), ("name", rel.drop("trading_symbol")),
+             ("name", rol.withColumnRenamed("underlying_name", "name")),
+             ("token", indicators_wide.select("token", *WIDE_INDICATOR_COLUMNS))]
+    j = equity_master(tm)
+    for key, of_key in facts:
+        j = j.join(of_key, key, "left")
     derived = {
         "atm_price_per_lot": dv.atm_price_per_lot(),
         "position_metric": dv.position_metric(),
