@@ -80,10 +80,6 @@ def safe_div(a, b) -> Column:
     return F.try_divide(_c(a).cast("double"), F.nullif(_c(b).cast("double"), F.lit(0.0)))
 
 
-def round_dec(x, scale: int = 6) -> Column:
-    return F.round(_c(x), scale)
-
-
 def default_if_null_or_zero(x, default) -> Column:
     c = _c(x)
     return F.when(c.isNull() | (c == 0), F.lit(default)).otherwise(c)

@@ -303,10 +303,16 @@ def q_truncate_table(spark, d):
     return spark.read.parquet(path).select("token")
 
 
-@query("rows_as_json")
+@query("rows_as_json", with_ctes("rel") + """
+select trading_symbol, name, cast(ltp as double) as ltp, cast(percent_change as double) as percent_change,
+       cast(open as double) as open, cast(high as double) as high, cast(low as double) as low,
+       cast(close as double) as close, volume, opn_interest, cast(week_low_52 as double) as week_low_52,
+       cast(week_high_52 as double) as week_high_52 from rel""")
 def q_rows_as_json(spark, d):
+    """The records, parsed back."""
     t = adapters.ticks(spark, d, with_week52=False)
-    return rows_as_json(tk_ops.latest_equity_tick(t, enrich=lambda df: adapters.attach_week52(spark, d, df)))
+    rows = tk_ops.latest_equity_tick(t, enrich=lambda df: adapters.attach_week52(spark, d, df))
+    return rows_as_json(rows).select(F.from_json("record", rows.schema).alias("r")).select("r.*")
 
 
 # ---- streaming ------------------------------------------------------------------

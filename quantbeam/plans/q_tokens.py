@@ -363,6 +363,11 @@ def q_scalar_format_date(spark, d):
     return _tm(spark, d).select("token", sc.format_date("expiry").alias("expiry_text"))
 
 
-@query("scalar_now")
+@query("scalar_now", with_ctes("token_master") + """
+select cast(1 as bigint) as n_stamps, count(*) as n_rows, true as within_the_run from token_master""")
 def q_scalar_now(spark, d):
-    return tk.build_token_master(_raw(spark, d)).select("token", "created_at")
+    """One stamp for all rows, of this run."""
+    stamp, now = F.col("created_at").cast("timestamp_ntz"), F.localtimestamp()
+    return tk.build_token_master(_raw(spark, d)).agg(
+        F.count_distinct("created_at").alias("n_stamps"), F.count(F.lit(1)).alias("n_rows"),
+        (F.min(stamp).between(now - F.expr("interval 1 hour"), now + F.expr("interval 1 second"))).alias("within_the_run"))
