@@ -1,8 +1,11 @@
 """Licence scan: exact set-similarity join of text blocks with templates.
 
 A block is a line of a text. It meets a template if it holds at least
-``threshold`` of the template's distinct words (containment). The join is
-exact and does not compare all pairs:
+``threshold`` of the template's distinct words (containment). With ``wrapped``,
+runs of as many consecutive words as the template has are held against it too,
+wherever lines end; they come in overlapping blocks of words, and a pair that
+passes the filters is verified run by run. The join is exact and does not
+compare all pairs:
 
 - words are put in one global order, rarest first, by their counts over the
   corpus (ties by the word);
@@ -91,6 +94,17 @@ def blocks(corpus: DataFrame) -> DataFrame:
     return lines.select("doc", "block", F.array_distinct(words(F.col("line"))).alias("w")).filter(F.size("w") > 0)
 
 
+def word_blocks(corpus: DataFrame, most: int) -> DataFrame:
+    """``(doc, block, w, run)``: overlapping blocks of consecutive words, so
+    that any ``most`` consecutive words of a text lie in one whole; ``run`` has
+    the words in order, ``w`` the distinct ones."""
+    found = corpus.select("doc", words(F.col("text")).alias("all")).filter(F.size("all") > 0)
+    starts = F.sequence(F.lit(0), F.size("all") - 1, F.lit(most))
+    runs = F.transform(starts, lambda k: F.slice(F.col("all"), k + 1, 2 * most))
+    return (found.select("doc", F.posexplode(runs).alias("block", "run"))
+            .select("doc", "block", F.array_distinct("run").alias("w"), "run"))
+
+
 def word_order(corpus_blocks: DataFrame, vocabulary: Sequence[str]) -> list[str]:
     """The template words, rarest in the corpus's blocks first, ties by word."""
     spark = corpus_blocks.sparkSession
@@ -103,8 +117,10 @@ def word_order(corpus_blocks: DataFrame, vocabulary: Sequence[str]) -> list[str]
 
 def similarity_join(corpus_blocks: DataFrame, templates: Sequence[tuple[str, str]], threshold: float) -> DataFrame:
     """``(doc, block, template, label, containment)`` of all blocks and
-    templates with a containment of ``threshold`` at least."""
+    templates with a containment of ``threshold`` at least. Of blocks with a
+    ``run``, the containment is that of the best run of the template's length."""
     spark = corpus_blocks.sparkSession
+    lengths = [len(WORD.findall(text.translate(FOLD))) for _, text in templates]
     sets = [set(WORD.findall(text.translate(FOLD))) for _, text in templates]
     order = word_order(corpus_blocks, sorted(set().union(*sets)))
     rank = {v: k for k, v in enumerate(order)}
@@ -113,33 +129,45 @@ def similarity_join(corpus_blocks: DataFrame, templates: Sequence[tuple[str, str
         ordered = sorted(held, key=rank.__getitem__)
         need = max(1, math.ceil(len(ordered) * threshold - 1e-9))
         for p, word in enumerate(ordered[:len(ordered) - need + 1]):
-            prefix.append((k, label, len(ordered), need, p, word, ordered))
+            prefix.append((k, label, len(ordered), need, p, word, ordered, lengths[k]))
             seeds.add(word)
     listed = spark.createDataFrame(
-        prefix, "template int, label string, n int, need int, p int, word string, ordered array<string>")
+        prefix, "template int, label string, n int, need int, p int, word string, ordered array<string>, "
+        "length int")
 
     text_array = lambda xs: F.array(*map(F.lit, xs)).cast("array<string>")
     # ``held``: the block's template words in the global order.
+    run = [c for c in corpus_blocks.columns if c == "run"]
     hit = (corpus_blocks.filter(F.arrays_overlap("w", text_array(sorted(seeds))))
-           .select("doc", "block", F.array_intersect(text_array(order), F.col("w")).alias("held")))
-    pairs = (hit.select("doc", "block", "held", F.posexplode("held").alias("q", "word"))
+           .select("doc", "block", *run, F.array_intersect(text_array(order), F.col("w")).alias("held")))
+    pairs = (hit.select("doc", "block", *run, "held", F.posexplode("held").alias("q", "word"))
              .join(F.broadcast(listed), "word")
              .filter(F.size("held") >= F.col("need"))
              .filter(F.least(F.col("n") - F.col("p"), F.size("held") - F.col("q")) >= F.col("need")))
     overlap = F.size(F.array_intersect("held", "ordered"))
+    if run:
+        pairs = pairs.filter(overlap >= F.col("need"))
+        overlap = F.array_max(F.transform(F.sequence(F.lit(1), F.size("run")), lambda k: F.size(
+            F.array_intersect(F.slice(F.col("run"), k, F.col("length")), F.col("ordered")))))
     return (pairs.withColumn("overlap", overlap).filter(F.col("overlap") >= F.col("need"))
             .select("doc", "block", "template", "label", (F.col("overlap") / F.col("n")).alias("containment"))
             .distinct())
 
 
 def scan(docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES, threshold: float = 0.8,
-         phrases: Mapping[str, str] = PHRASES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+         phrases: Mapping[str, str] = PHRASES, id_col: str = "doc_id", text_col: str = "text",
+         wrapped: bool = False) -> DataFrame:
     """``(doc_id, n_words, n_base, first_word, last_word, base_labels, labels,
     score)`` per document; ``score`` is 1 with a phrase, else the best
-    containment of a met template, else 0."""
+    containment of a met template, else 0. ``wrapped`` finds templates across
+    line ends too."""
     base = pick(docs, id_col, text_col)
     corpus = base.select(document_key(F.col("doc_id"), F.col("text")).alias("doc"), "text")
-    met = materialize(similarity_join(blocks(corpus), templates, threshold), "met")
+    met = similarity_join(blocks(corpus), templates, threshold)
+    if wrapped:
+        most = max((len(WORD.findall(text.translate(FOLD))) for _, text in templates), default=1)
+        met = met.union(similarity_join(word_blocks(corpus, max(1, most)), templates, threshold))
+    met = materialize(met, "met")
     found = met.groupBy("doc").agg(F.collect_set("label").alias("more"), F.max("containment").alias("best"))
     facts = scan_phrases(corpus.select("doc", words(F.col("text")).alias("w")), phrases).select(
         "doc", F.size("w").cast("long").alias("n_words"), "n_base", "first_word", "last_word", "base")

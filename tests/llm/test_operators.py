@@ -161,6 +161,28 @@ def test_license_scan(spark, empty):
     assert license_scan.scan(empty).count() == 0
 
 
+def test_wrapped_notices(spark, empty):
+    texts = ["Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that",
+             "word " * 40 + "This Source Code Form is subject to the terms of the Mozilla Public\n"
+             "License, v. 2.0. If a copy of the MPL was not", "the license\nreleased under mit", None, "",
+             "mit\n" + "word " * 30 + "released under\n" + "word " * 30 + "the license"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in license_scan.scan(rows, wrapped=True).collect()}
+    assert [got[k].labels for k in range(len(texts))] == ["bsd", "mpl", "mit", "", "", ""]
+    assert got[0].score == 1.0 and abs(got[1].score - 10 / 11) < 1e-9
+    assert license_scan.scan(empty, wrapped=True).count() == 0
+    # For each text the best run, counted plainly.
+    rnd, vocabulary = random.Random(11), ["released", "under", "the", "mit", "license", "x", "y", "\n"]
+    made_up = [(k, " ".join(rnd.choice(vocabulary) for _ in range(rnd.randrange(30)))) for k in range(80)]
+    template = (("mit", "released under the mit license"),)
+    got = {r.doc_id: r.labels for r in license_scan.scan(
+        spark.createDataFrame(made_up, "doc_id long, text string"), template, wrapped=True).collect()}
+    for k, text in made_up:
+        w, held = text.split(), set(vocabulary[:5])
+        runs = [set(line.split()) for line in text.split("\n")] + [set(w[i:i + 5]) for i in range(len(w))]
+        assert got[k] == ("mit" if any(len(r & held) >= 4 for r in runs) else ""), text
+
+
 def plain_hits(text, items, window):
     find = license_scan.WORD.findall
     words, hit, met = find((text or "").translate(license_scan.FOLD)), set(), set()
