@@ -1,15 +1,16 @@
 """Language identification by words first, then ever shorter character n-grams.
 
 A text's score for a language is the sum over its words of the word's log
-frequency there. A word that no language's model holds is scored by its
-character n-grams of the greatest length that any model holds, from
+frequency there. A word that was met in no training text is scored by its
+character n-grams of the greatest length of which training met any, from
 ``LONGEST`` down to 1: the mean of their log frequencies.
 
 Training counts words and n-grams over all training texts: tasks add up their
-own, Spark sums by (language, word). The model then keeps, for each language
-and kind, the commonest entries, ``max_words`` words and ``max_grams`` n-grams
-of each length at most; entries beyond are met like unseen ones, by backing
-off. So the model, which is sent to tasks, has a size that the caller sets.
+own, Spark sums by (language, word). All counts stay in tables. Tasks get the
+commonest entries of each language, with their counts in every language:
+``max_words`` words and ``max_grams`` n-grams of each length at most a language.
+They score what is among these at once and hand on the rest, which is joined
+with the tables. So the two numbers bound a task's memory, not the model.
 
 A word is a run of letters, lower-cased. Texts that are null or have no letter
 get ``und`` with score 0. With no training rows every text is ``und``. Ties go
@@ -18,14 +19,14 @@ to the language that sorts first. An empty table gives an empty result.
 
 from __future__ import annotations
 
-import math
 from collections import Counter
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quantbeam.llm.base import importable, pick
@@ -47,46 +48,48 @@ def grams(word: str, n: int) -> list[str]:
 
 
 @dataclass
-class Model:
-    """Log frequencies by word, and by n-gram of each length, as rows of
-    ``table`` with a column per language."""
-    languages: list[str]
+class Common:
+    """What tasks hold: log frequencies by word, and by n-gram of each length,
+    as rows of ``table`` with a column per language."""
     table: np.ndarray
     words: dict[str, int]
     grams: list[dict[str, int]]
-    floor: np.ndarray
-    _unseen: dict[str, np.ndarray] = field(default_factory=dict)
-
-    def back_off(self, word: str) -> np.ndarray:
-        """Scores of a word that the model does not hold."""
-        found = self._unseen.get(word)
-        if found is None:
-            found = self.floor
-            for n in range(LONGEST, 0, -1):
-                at = [self.grams[n][g] for g in grams(word, n) if g in self.grams[n]]
-                if at:
-                    found = self.table[at].mean(axis=0)
-                    break
-            if len(self._unseen) > 200_000:
-                self._unseen.clear()
-            self._unseen[word] = found
-        return found
+
+    def known(self, words: Counter) -> tuple[np.ndarray, dict[str, int]]:
+        """The score of the words that are held, and the other words."""
+        held = {self.words[w]: n for w, n in words.items() if w in self.words}
+        rest = {w: n for w, n in words.items() if w not in self.words}
+        return np.array(list(held.values()), float) @ self.table[list(held)] if held else np.zeros(self.table.shape[1]), rest
+
+    def spell(self, word: str):
+        """``(size, gram, hits, sums)`` of a word that training never met: what
+        the held n-grams add up to (``gram`` is empty), and each n-gram that is
+        not held, down to the first length of which any is held."""
+        for size in range(LONGEST, 0, -1):
+            found = grams(word, size)
+            at = [self.grams[size][g] for g in found if g in self.grams[size]]
+            yield from ((size, g, 0, np.zeros(self.table.shape[1])) for g in found if g not in self.grams[size])
+            if at:
+                yield size, "", len(at), self.table[at].sum(axis=0)
+                return
+
+
+@dataclass
+class Model:
+    """``words``: ``(word, s0, s1, ...)`` with the log frequency in each of
+    ``languages``, of all words met; ``grams``: the same by size and gram."""
+    languages: list[str]
+    common: Common
+    words: DataFrame | None
+    grams: DataFrame | None
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        words = WORD.findall(text.lower()) if text else []
-        if not words or not self.languages:
+        """For one text; ``predict`` below takes a table."""
+        if not self.languages or not text or not WORD.search(text.lower()):
             return UNDETERMINED, 0.0
-        known, total = [], np.zeros(len(self.languages))
-        for word in words:
-            at = self.words.get(word)
-            if at is None:
-                total += self.back_off(word)
-            else:
-                known.append(at)
-        if known:
-            total += self.table[known].sum(axis=0)
-        best = int(np.argmax(total))
-        return self.languages[best], float(1.0 / np.exp(total - total[best]).sum())
+        row = self.words.sparkSession.createDataFrame([(0, text)], "doc_id long, text string")
+        found = predict(row, self).first()
+        return found["lang_pred"], found["score"]
 
 
 def count_words(rows: DataFrame) -> DataFrame:
@@ -96,7 +99,7 @@ def count_words(rows: DataFrame) -> DataFrame:
 
         def flush():
             for lang, words in seen.items():
-                yield pa.record_batch({"lang": pa.array([lang] * len(words)), "word": pa.array(list(words)),
+                yield pa.record_batch({"lang": pa.array([lang] * len(words), pa.string()), "word": pa.array(list(words), pa.string()),
                                        "n": pa.array(list(words.values()), pa.int64())})
             seen.clear()
 
@@ -130,9 +133,9 @@ def count_grams(counted: DataFrame) -> DataFrame:
             .groupBy("lang", "size", "gram").agg(F.sum("n").alias("n")))
 
 
-def commonest(counted: DataFrame, by: list[str], most: int) -> DataFrame:
-    """Entries with a count of at least the least power of two that leaves
-    ``most`` entries or fewer in each group of ``by``."""
+def with_least(counted: DataFrame, by: list[str], most: int) -> DataFrame:
+    """Add ``least``: the least power of two that leaves ``most`` entries or
+    fewer with such a count in a group of ``by``."""
     power = F.floor(F.log2("n")).cast("int")
     sizes = counted.groupBy(*by, power.alias("power")).agg(F.count("*").alias("m")).toPandas()
     least = []
@@ -144,11 +147,17 @@ def commonest(counted: DataFrame, by: list[str], most: int) -> DataFrame:
             total, lowest = total + m, p
         least.append((*(k.item() if hasattr(k, "item") else k for k in (key if isinstance(key, tuple) else (key,))),
                       2 ** int(lowest)))
-    if not least:
-        return counted.limit(0)
     kinds = ", ".join(f"{c} {counted.schema[c].dataType.simpleString()}" for c in by)
     bounds = counted.sparkSession.createDataFrame(least, f"{kinds}, least long")
-    return counted.join(F.broadcast(bounds), by).filter(F.col("n") >= F.col("least")).drop("least")
+    return counted.join(F.broadcast(bounds), by)
+
+
+def by_language(counted: DataFrame, by: list[str], languages: list[str], label: str) -> DataFrame:
+    """``(*by, common, n0, n1, ...)``: an entry's count in each language, and
+    whether it is among the commonest of any."""
+    of = [F.sum(F.when(F.col("lang") == lang, F.col("n")).otherwise(0)).alias(f"n{k}") for k, lang in enumerate(languages)]
+    wide = counted.groupBy(*by).agg(F.max(F.col("n") >= F.col("least")).alias("common"), *of)
+    return materialize(wide, label, compression="zstd")
 
 
 def train(docs: DataFrame, lang_col: str = "lang", keep=None, max_words: int = 30_000, max_grams: int = 10_000) -> Model:
@@ -162,33 +171,68 @@ def train(docs: DataFrame, lang_col: str = "lang", keep=None, max_words: int = 3
     counted = materialize(count_words(rows), "words", compression="zstd")
     totals = counted.groupBy("lang").agg(F.sum("n").alias("n"), F.count("*").alias("m")).toPandas().sort_values("lang")
     languages = totals["lang"].tolist()
-    column = {lang: k for k, lang in enumerate(languages)}
-    kept_words = commonest(counted, ["lang"], max_words).select("lang", "word", "n").toPandas()
+    if not languages:
+        return Model([], Common(np.zeros((0, 0)), {}, [{} for _ in range(LONGEST + 1)]), None, None)
     spelled = materialize(count_grams(counted), "grams", compression="zstd")
     gram_totals = spelled.groupBy("lang", "size").agg(F.sum("n").alias("n"), F.count("*").alias("m")).toPandas()
-    kept_grams = commonest(spelled, ["lang", "size"], max_grams).select("lang", "size", "gram", "n").toPandas()
+    words = by_language(with_least(counted, ["lang"], max_words), ["word"], languages, "word-counts")
+    spelled = by_language(with_least(spelled, ["lang", "size"], max_grams), ["size", "gram"], languages, "gram-counts")
 
-    tables, smooth = [], 0.5
+    smooth = 0.5
 
-    def add(names, langs, counts, totals, entries) -> dict[str, int]:
+    def logs(below: list[Column]) -> list[Column]:
         """Log frequencies with ``smooth`` added to every count."""
-        at, base = {}, sum(map(len, tables))
-        where = [at.setdefault(x, len(at)) for x in names]
-        c = np.zeros((len(at), len(languages)))
-        c[where, [column[x] for x in langs]] = counts
-        tables.append(np.log((c + smooth) / (totals + smooth * entries)))
-        return {x: base + k for x, k in at.items()}
-
-    n, m = totals["n"].to_numpy(float), totals["m"].to_numpy(float)
-    word_at = add(kept_words["word"], kept_words["lang"], kept_words["n"], n, m.max() if len(m) else 1)
-    gram_at: list[dict[str, int]] = [{}]
+        return [F.log((F.col(f"n{k}") + smooth) / d).alias(f"s{k}") for k, d in enumerate(below)]
+
+    entries = float(totals["m"].max())
+    words = words.select("word", "common", *logs([F.lit(float(n) + smooth * entries) for n in totals["n"]]))
+    below = [F.lit(None).cast("double")] * len(languages)
     for size in range(1, LONGEST + 1):
         of = gram_totals[gram_totals["size"] == size].set_index("lang").reindex(languages)
-        part = kept_grams[kept_grams["size"] == size]
-        gram_at.append(add(part["gram"], part["lang"], part["n"], of["n"].fillna(0).to_numpy(float),
-                           of["m"].fillna(1).max() if len(of) else 1))
-    floor = np.full(len(languages), math.log(1e-9))
-    return Model(languages, np.concatenate(tables) if tables else np.zeros((0, 0)), word_at, gram_at, floor)
+        entries = float(of["m"].fillna(1).max())
+        below = [F.when(F.col("size") == size, F.lit(float(n) + smooth * entries)).otherwise(b)
+                 for n, b in zip(of["n"].fillna(0), below)]
+    spelled = spelled.select("size", "gram", "common", *logs(below))
+
+    score = [f"s{k}" for k in range(len(languages))]
+    held = words.filter("common").drop("common").toPandas()
+    held_grams = spelled.filter("common").drop("common").toPandas()
+    tables, at = [held[score].to_numpy(float)], [{}]
+    for size in range(1, LONGEST + 1):
+        part, base = held_grams[held_grams["size"] == size], sum(map(len, tables))
+        tables.append(part[score].to_numpy(float))
+        at.append({g: base + k for k, g in enumerate(part["gram"])})
+    common = Common(np.concatenate(tables), {w: k for k, w in enumerate(held["word"])}, at)
+    return Model(languages, common, words.drop("common"), spelled.drop("common"))
+
+
+def score_words(asked: DataFrame, model: Model, shared) -> DataFrame:
+    """``(word, s0, s1, ...)`` of distinct words, from the tables. A word of
+    which not even a letter was met is left out: it tells nothing."""
+    score = [f"s{k}" for k in range(len(model.languages))]
+    looked = materialize(asked.join(model.words, "word", "left"), "looked-up", compression="zstd")
+
+    def spell(batches):
+        common = shared.value
+        for batch in batches:
+            found = [(w, *row) for w in batch.column(0).to_pylist() for row in common.spell(w)]
+            sums = np.array([x[4] for x in found]).reshape(len(found), len(score))
+            yield pa.record_batch({"word": pa.array([x[0] for x in found], pa.string()),
+                                   "size": pa.array([x[1] for x in found], pa.int32()),
+                                   "gram": pa.array([x[2] for x in found], pa.string()),
+                                   "hits": pa.array([x[3] for x in found], pa.int64()),
+                                   **{c: pa.array(sums[:, k]) for k, c in enumerate(score)}})
+
+    doubles = ", ".join(f"{c} double" for c in score)
+    parts = materialize(looked.filter("s0 is null").select("word").mapInArrow(
+        spell, f"word string, size int, gram string, hits long, {doubles}"), "spelled", compression="zstd")
+    others = (parts.filter("gram != ''").select("word", "size", "gram").join(model.grams, ["size", "gram"])
+              .select("word", "size", F.lit(1).cast("long").alias("hits"), *score))
+    sums = (parts.filter("gram = ''").select("word", "size", "hits", *score).unionByName(others)
+            .groupBy("word", "size").agg(F.sum("hits").alias("hits"), *[F.sum(c).alias(c) for c in score]))
+    means = F.struct(*[(F.col(c) / F.col("hits")).alias(c) for c in score])
+    longest = sums.groupBy("word").agg(F.max_by(means, "size").alias("best")).select("word", "best.*")
+    return looked.filter("s0 is not null").unionByName(longest)
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
@@ -196,14 +240,37 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     of the likelihood."""
     spark = docs.sparkSession
     importable(spark)
-    shared = spark.sparkContext.broadcast(model)
+    rows = pick(docs).select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    if not model.languages:
+        return rows.select("doc_id", "text_hash", F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"))
+    shared = spark.sparkContext.broadcast(model.common)
+    score = [f"s{k}" for k in range(len(model.languages))]
 
     def apply(batches):
-        model = shared.value
+        common, task, n = shared.value, TaskContext.get().partitionId(), 0
         for batch in batches:
-            found = [model.predict(t) for t in batch.column(2).to_pylist()]
-            yield pa.record_batch({"doc_id": batch.column(0), "text_hash": batch.column(1), "lang_pred": pa.array([x for x, _ in found], pa.string()),
-                                   "score": pa.array([s for _, s in found], pa.float64())})
-
-    return (pick(docs).select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-            .mapInArrow(apply, "doc_id long, text_hash long, lang_pred string, score double"))
+            words = [Counter(WORD.findall(t.lower())) if t else Counter() for t in batch.column(2).to_pylist()]
+            found = [common.known(w) for w in words]
+            sums = np.array([x for x, _ in found]).reshape(len(found), len(score))
+            yield pa.record_batch({
+                "row": pa.array(np.arange(n, n + len(found)) + (task << 40), pa.int64()),
+                "doc_id": batch.column(0), "text_hash": batch.column(1), "any": pa.array([bool(w) for w in words], pa.bool_()),
+                **{c: pa.array(sums[:, k]) for k, c in enumerate(score)},
+                "rest": pa.array([list(r.items()) for _, r in found], pa.map_(pa.string(), pa.int64()))})
+            n += len(found)
+
+    doubles = ", ".join(f"{c} double" for c in score)
+    # Written once: row numbers and what is handed on belong together.
+    read = materialize(rows.mapInArrow(apply, f"row long, doc_id long, text_hash long, any boolean, {doubles}, "
+                                              "rest map<string,bigint>"), "language-rows", compression="zstd")
+    rest = read.select("row", F.explode("rest").alias("word", "n"))
+    scored = score_words(rest.select("word").distinct(), model, shared)
+    more = (rest.join(scored, "word").groupBy("row")
+            .agg(*[F.sum(F.col("n") * F.col(c)).alias(f"more_{c}") for c in score]))
+    total = F.array(*[F.col(c) + F.coalesce(f"more_{c}", F.lit(0.0)) for c in score])
+    best = F.array_max("total")
+    share = 1.0 / F.aggregate(F.transform("total", lambda x: F.exp(x - best)), F.lit(0.0), lambda a, x: a + x)
+    first = F.get(F.array(*map(F.lit, model.languages)), (F.array_position("total", best) - 1).cast("int"))
+    return (read.drop("rest").join(more, "row", "left").select("doc_id", "text_hash", "any", total.alias("total"))
+            .select("doc_id", "text_hash", F.when(F.col("any"), first).otherwise(UNDETERMINED).alias("lang_pred"),
+                    F.when(F.col("any"), share).otherwise(0.0).alias("score")))

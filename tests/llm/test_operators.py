@@ -263,6 +263,56 @@ def test_language_and_toxicity_on_held_out_rows(spark, empty):
     assert 0 < toxicity.train(empty, labels).score("any") < 1
 
 
+def plain_language(rows, text):
+    """By all counts of all training rows."""
+    find, counts = language.WORD.findall, [collections.defaultdict(collections.Counter) for _ in range(5)]
+    for t, lang in rows:
+        for w in find((t or "").lower()) if lang else ():
+            counts[0][lang][w] += 1
+            for size in range(1, 5):
+                counts[size][lang].update(language.grams(w, size))
+    langs, words = sorted(counts[0]), find((text or "").lower())
+    if not words:
+        return "und", 0.0
+
+    def log(size, x):
+        most = max([len(counts[size][g]) for g in langs if counts[size][g]], default=1)
+        return np.log([(counts[size][g][x] + 0.5) / (sum(counts[size][g].values()) + 0.5 * most) for g in langs])
+
+    total = np.zeros(len(langs))
+    for w in words:
+        if any(w in counts[0][g] for g in langs):
+            total += log(0, w)
+            continue
+        for size in range(4, 0, -1):
+            at = [log(size, x) for x in language.grams(w, size) if any(x in counts[size][g] for g in langs)]
+            if at:
+                total += np.mean(at, axis=0)
+                break
+    return langs[int(np.argmax(total))], 1 / np.exp(total - total.max()).sum()
+
+
+def test_language_uses_all_counts_whatever_tasks_hold(spark):
+    rnd = random.Random(12)
+    letters = {"aa": "abcde", "bb": "cdefg", "cc": "efghij", None: "abcxyz", "dd": "cdefghk"}
+    word = lambda g: "".join(rnd.choice(letters[g]) for _ in range(rnd.randrange(1, 6)))
+    rows = [(k, " ".join(word(g) for _ in range(rnd.randrange(40))), g)
+            for k, g in enumerate(rnd.choices(list(letters), [9, 3, 1, 2, 0], k=120))]
+    rows += [(500, None, "aa"), (501, "", "bb"), (502, "12 !", "cc"), (503, "qqq rrr", None), (5, "bad cab", None), (5, "bad cab", None),
+             (None, "fed", None), (504, "a", "dd"), (505, "fad " * 50, "aa"), (506, "fad " * 3, "bb")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    rest = df.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").distinct()
+    want = {t: plain_language([(t, g) for _, t, g in rows], t) for _, t, _ in rows}
+    for most in (0, 3, 30_000):
+        model = language.train(df, max_words=most, max_grams=most)
+        assert len(model.common.words) <= 4 * most
+        got = language.predict(df, model)
+        assert got.count() == len(rows)
+        for r in got.join(rest, "text_hash").collect():
+            assert r.lang_pred == want[r.text][0] and abs(r.score - want[r.text][1]) < 1e-9, (most, r, want[r.text])
+    assert model.predict("fad")[0] == want["fad " * 50][0]
+
+
 def test_signatures_are_unbiased():
     rnd, off = np.random.default_rng(1), []
     for _ in range(300):
