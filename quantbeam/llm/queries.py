@@ -11,8 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quantbeam.llm import (decontamination, language, license_scan, near_duplicates, packing, quality_rules, sharding,
-                           token_counts, token_files, toxicity)
+from quantbeam.llm import (bpe_codec, decontamination, hard_negatives, language, license_scan, near_duplicates, packing,
+                           periodic_runs, quality_rules, sharding, token_counts, token_files, toxicity)
 from quantbeam.llm.base import LOWER, NOT_WORD, UPPER, fold
 from quantbeam.session import scratch_path
 from quantbeam.sources.tables import read_table
@@ -81,10 +81,48 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"))
 
 
+def looped(docs: DataFrame) -> DataFrame:
+    """``documents`` of which a tenth, by id, repeat words from some place on."""
+    h = F.crc32(F.encode(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "utf-8"))
+    words = F.array_remove(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), "")
+    docs = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), F.when(h % 10 == 0, words).alias("w"))
+    n, g = F.size("w").cast("long"), F.col("g")
+    docs = docs.withColumn("a", F.when(n > 0, g % n)).withColumn(
+        "p", F.when(n > 0, F.expr("1 + (size(w) - a) div (3 + g % 8)")))
+    again = F.expr("transform(w, (x, i) -> IF(i < a, x, w[CAST(a + (i - a) % p AS INT)]))")
+    return docs.select("doc_id", F.when(F.col("a").isNull(), F.col("text")).otherwise(
+        F.array_join(again, " ")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.collapse_runs(looped(read_table(spark, sf_dir, "documents")))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), "")
+    top = F.col("top")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), top["start"].alias("start"), top["length"].alias("length"),
+        top["period"].alias("period"), F.expr("1000 * top.length div top.period").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.expr("IF(vec_id % 7 = 0, (label + 1) % 10, label)")
+    return hard_negatives.mine(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, moved)
+
+
+def op13_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    path = public_tokenizers.path("word_bpe_49k.json")
+    coded = bpe_codec.decode(bpe_codec.encode(read_table(spark, sf_dir, "documents"), path), path)
+    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_token_files, op2_toxicity, op3_near_duplicates, op4_sharding, op5_license_scan, op6_language,
-        op7_decontamination, op8_quality_rules, op9_packing, op10_token_counts)}
+        op7_decontamination, op8_quality_rules, op9_packing, op10_token_counts, op11_periodic_runs, op12_hard_negatives,
+        op13_bpe_codec)}
 
 
 WORDS_SQL = "regexp_extract_all(translate(coalesce({}, ''), '" + UPPER + "', '" + LOWER + "'), '[^" + NOT_WORD[1:-2] + "]+')"
@@ -163,5 +201,72 @@ def op7_sql(window: int = 13) -> str:
         FROM d LEFT JOIN h USING (r) LEFT JOIN t USING (r)"""
 
 
+def op11_sql() -> str:
+    """Runs as stretches of equal 4-grams: pairs of places of one 4-gram in a
+    text, by their distance."""
+    crc = ("xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(hex(encode(coalesce("
+           "doc_id::VARCHAR, ''))), '..'), lambda x: ('0x' || x)::BIGINT)), "
+           "lambda c, b: xor(c // 256, steps[xor(c, b) % 256 + 1])), 4294967295)")
+    return f"""
+        WITH crc AS (
+          SELECT list(c ORDER BY n) AS steps FROM (
+            SELECT n, list_reduce(list_prepend(n, range(8)),
+                     lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS c
+            FROM range(256) AS t(n))),
+        s AS (SELECT row_number() OVER () AS r, doc_id, {crc} AS h,
+                     regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents, crc),
+        t AS (SELECT *, len(w) AS n, CASE WHEN len(w) > 0 THEN (h // 10) % len(w) END AS a FROM s),
+        u AS (SELECT *, 1 + (n - a) // (3 + (h // 10) % 8) AS p FROM t),
+        d AS MATERIALIZED (
+              SELECT r, doc_id, n, CASE WHEN h % 10 = 0 AND n > 0 THEN
+                       list_transform(range(n), lambda i: w[CASE WHEN i < a THEN i ELSE a + (i - a) % p END + 1])
+                       ELSE w END AS w FROM u),
+        f AS (SELECT r, n, i, w[i + 1:i + 4] AS gram FROM (SELECT *, unnest(range(n - 3)) AS i FROM d WHERE n >= 6)),
+        e AS (SELECT x.r, y.i - x.i AS q, x.i
+              FROM f x JOIN f y ON x.r = y.r AND x.gram = y.gram AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+        g AS (SELECT r, q, min(i) AS start, count(*) + 3 + q AS length
+              FROM (SELECT *, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS island FROM e)
+              GROUP BY r, q, island),
+        k AS MATERIALIZED (SELECT r, start, length, min(q) AS period FROM g WHERE length >= 6 AND length >= 4 * q
+              GROUP BY r, start, length),
+        l AS (SELECT r, count(*) AS n_runs,
+                     string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS runs
+              FROM k GROUP BY r),
+        m AS (SELECT * FROM k QUALIFY row_number() OVER (PARTITION BY r
+                ORDER BY length::DOUBLE / period DESC, start, period) = 1),
+        x AS (SELECT DISTINCT r, unnest(range(start + period, start + length)) AS i FROM k),
+        c AS (SELECT v.r, string_agg(v.word, ' ' ORDER BY v.i) AS kept
+              FROM (SELECT r, unnest(w) AS word, unnest(range(n)) AS i FROM d) v ANTI JOIN x ON v.r = x.r AND v.i = x.i
+              GROUP BY v.r)
+        SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, start::BIGINT AS start, length::BIGINT AS length,
+               period::BIGINT AS period, (1000 * length // period)::BIGINT AS exponent_milli,
+               sha256(coalesce(runs, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+        FROM d LEFT JOIN l USING (r) LEFT JOIN m USING (r) LEFT JOIN c USING (r)"""
+
+
+def op12_sql() -> str:
+    return """
+        WITH e AS MATERIALIZED (
+          SELECT row_number() OVER () AS r, vec_id,
+                 CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                 list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+          FROM embeddings
+          WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS MATERIALIZED (
+          SELECT a.r, a.vec_id AS anchor_id, a.label = b.label AS same, a.r = b.r AS itself, b.vec_id,
+                 coalesce(list_sum(list_transform(range(1, least(len(a.v), len(b.v)) + 1),
+                                                  lambda i: a.v[i] * b.v[i])), 0)::BIGINT AS score
+          FROM e a, e b WHERE a.vec_id % 50 = 0),
+        p AS (SELECT r, anchor_id, vec_id, score, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS slot
+              FROM s WHERE same AND NOT itself QUALIFY slot <= 5)
+        SELECT p.anchor_id, p.vec_id AS positive_id,
+               row_number() OVER (PARTITION BY p.r, slot ORDER BY s.score DESC, s.vec_id)::INT AS rank,
+               s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score
+        FROM p JOIN s ON p.r = s.r AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score
+        QUALIFY rank <= 3"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_sharding": op4_sql(), "op5_license_scan": op5_sql(), "op7_decontamination": op7_sql()}
+    return {"op4_sharding": op4_sql(), "op5_license_scan": op5_sql(), "op7_decontamination": op7_sql(),
+            "op11_periodic_runs": op11_sql(), "op12_hard_negatives": op12_sql()}
