@@ -4,9 +4,10 @@
 batch on the key with presence flags: listed columns come from the batch
 when the key is in it (a NULL there is kept), other columns keep the
 first-written value. A batch may hold a key several times: ``reduce_batch``
-brings it to one row per key first, as if its rows had arrived one by one. The
-result can be written to just the partitions the batch touches
-(``quantbeam.sources.sinks.merge_partitions``).
+brings it to one row per key first, as if its rows had arrived one by one. Which
+row arrived later is told by the column ``ARRIVAL``, which readers of landed files
+add (``quantbeam.sources.landing``). The result can be written to just the
+partitions the batch touches (``quantbeam.sources.sinks.merge_partitions``).
 """
 
 from __future__ import annotations
@@ -16,30 +17,39 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Orderable column of a batch: of two rows, the greater one arrived later.
+ARRIVAL = "_arrival"
+
 # Columns an incoming quote may overwrite on conflict.
 TICK_UPDATE_COLUMNS = ["ltp", "open", "high", "low", "close", "last_trade_qty", "net_change",
                        "percent_change", "avg_price", "trade_volume", "opn_interest", "depth_json"]
 TICK_KEY = ["symbol_token", "timestamp"]
-BAR_KEY = ["token", "timestamp"]
+#: Bars of several sizes of one token and time live side by side.
+BAR_KEY = ["token", "interval", "timestamp"]
+DEFAULT_INTERVAL = "ONE_DAY"
 INDICATOR_KEY = ["token", "indicator_name", "period", "timestamp"]
 
 
 def reduce_batch(new: DataFrame, keys: Sequence[str], update_columns: Sequence[str] | None = None,
                  order: Column | None = None) -> DataFrame:
     """One row per key: the last arrival's updated columns, the first one's
-    others. ``order`` tells arrivals apart; by default the order of the rows
-    as they are read (files, then rows)."""
-    cols = [c for c in new.columns if c not in keys]
+    others. ``order`` tells arrivals apart: by default the column ``ARRIVAL``,
+    which is dropped, or without one the order of the rows in the frame (which
+    is no order of arrival for rows read from several files)."""
+    if ARRIVAL in new.columns:
+        order = F.col(ARRIVAL) if order is None else order
+    columns = [c for c in new.columns if c != ARRIVAL]
+    cols = [c for c in columns if c not in keys]
     upd = [c for c in cols if update_columns is None or c in update_columns]
     kept = [c for c in cols if c not in upd]
     at = F.monotonically_increasing_id() if order is None else order
     aggs = [f(F.struct(*part), "_at").alias(name)
             for f, part, name in ((F.max_by, upd, "_last"), (F.min_by, kept, "_first")) if part]
     if not aggs:
-        return new.distinct()
+        return new.select(*columns).distinct()
     return (new.withColumn("_at", at).groupBy(*keys).agg(*aggs)
             .select(*keys, *[F.col(f"_last.{c}") for c in upd], *[F.col(f"_first.{c}") for c in kept])
-            .select(*new.columns))
+            .select(*columns))
 
 
 def upsert_by_key(old: DataFrame, new: DataFrame, keys: Sequence[str],
@@ -67,8 +77,14 @@ def upsert_by_key(old: DataFrame, new: DataFrame, keys: Sequence[str],
     return j.select(*keys, *out).select(*old.columns)
 
 
+def with_interval(bars: DataFrame, interval: str = DEFAULT_INTERVAL) -> DataFrame:
+    """Bars with the key column ``interval``: what is absent or NULL there is
+    of the size ``interval``."""
+    return schema_add_missing(bars, column="interval", dtype="string", value=interval)
+
+
 def upsert_bars(old: DataFrame, new: DataFrame) -> DataFrame:
-    return upsert_by_key(old, new, BAR_KEY)
+    return upsert_by_key(with_interval(old), with_interval(new), BAR_KEY)
 
 
 def upsert_ticks_partial(old: DataFrame, new: DataFrame) -> DataFrame:
@@ -90,9 +106,13 @@ def replace_by_key(old: DataFrame, new: DataFrame, key: str = "token") -> DataFr
 
 
 def schema_add_missing(df: DataFrame, target: DataFrame | None = None, column: str = "strike_distance",
-                       dtype: str = "decimal(18,6)") -> DataFrame:
+                       dtype: str = "decimal(18,6)", value=None) -> DataFrame:
     """Add an absent column as typed NULL (frame variant), or align with
-    ``target`` by name, filling missing columns with NULL."""
+    ``target`` by name, filling missing columns with NULL. With a ``value`` that
+    one is filled in, also for NULLs of a column that is there."""
     if target is not None:
         return target.limit(0).unionByName(df, allowMissingColumns=True)
-    return df if column in df.columns else df.withColumn(column, F.lit(None).cast(dtype))
+    filled = F.lit(value).cast(dtype)
+    if column not in df.columns:
+        return df.withColumn(column, filled)
+    return df if value is None else df.withColumn(column, F.coalesce(F.col(column), filled))

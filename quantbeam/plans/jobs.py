@@ -45,9 +45,12 @@ def refresh_token_master(spark: SparkSession, instruments_path: str, table: str,
 
 
 def load_candles(spark: SparkSession, candles_path: str, bars_table: str) -> None:
-    """Upsert landed candles into the bars table (ON CONFLICT(token, timestamp)
-    update every payload column); only the touched trade years are rewritten."""
-    new = landing.read_candles_json(spark, candles_path).withColumn("trade_year", F.year("timestamp"))
+    """Upsert landed candles into the bars table (ON CONFLICT(token, interval,
+    timestamp) update every payload column, the file that arrived last wins);
+    only the touched trade years are rewritten. A table of the time before bars
+    had an interval gets that column first."""
+    sinks.add_key_column(spark, bars_table, "interval", "string", up.DEFAULT_INTERVAL, "trade_year")
+    new = landing.read_candles_json(spark, candles_path, arrival=True).withColumn("trade_year", F.year("timestamp"))
     sinks.merge_partitions(spark, bars_table, new, "trade_year", up.BAR_KEY)
 
 
@@ -56,7 +59,8 @@ def refresh_indicators(spark: SparkSession, bars_table: str, token_table: str, l
     """Long indicator table (upserted by its key, so values that newer bars
     push out of the fetch window stay) and the wide summary, where rows of
     the recomputed tokens are replaced."""
-    bars = spark.read.parquet(bars_table).drop("trade_year")
+    bars = up.with_interval(spark.read.parquet(bars_table)).where(F.col("interval") == up.DEFAULT_INTERVAL)
+    bars = bars.drop("trade_year", "interval")
     tm = spark.read.parquet(token_table)
     equity = tm.where(F.col("token_type") == tk.TYPE_EQUITY)
     fresh = ind.indicators_long(bars)

@@ -20,7 +20,9 @@ from quantbeam.operators.filters import rows_as_json
 from quantbeam.plans.catalog import query
 from quantbeam.plans.oracle_ctes import bars_sql, register, with_ctes
 from quantbeam.plans.q_summary import _MS, _ms_cols, build_market_summary
-from quantbeam.schemas import TOKEN_MASTER_COLUMNS, WIDE_INDICATOR_COLUMNS
+from quantbeam.functions.scalars import FEED_TIME_FORMAT
+from quantbeam.schemas import (DEC, DEPTH, REALTIME_MARKET_DATA, TICK_COLUMNS, TOKEN_MASTER_COLUMNS,
+                               WIDE_INDICATOR_COLUMNS)
 from quantbeam.sources import adapters, landing, sinks
 from quantbeam.sources.tables import read_table
 from quantbeam.streaming import ticks_stream as st
@@ -29,6 +31,13 @@ from quantbeam.streaming import ticks_stream as st
 
 register("bars_old", [], bars_sql("l_returnflag in ('N', 'A')"))
 register("bars_new", [], bars_sql("l_returnflag = 'R'"))
+# Two files of candles: the bars, then some of them again and bars of another size.
+register("bars_batch", ["bars_new"], """
+select token, symbol_name, 'ONE_DAY' as interval, timestamp, open, high, low, close, volume, 1 as seq from bars_new
+union all
+select token, symbol_name, 'ONE_DAY', timestamp, open, high, low, close + 1, volume + 1, 2 from bars_new where volume % 3 = 0
+union all
+select token, symbol_name, 'ONE_HOUR', timestamp, open, high, low, close + 2, volume, 2 from bars_new where volume % 5 = 0""")
 
 
 def _bars_batch(spark, d, flags):
@@ -36,72 +45,169 @@ def _bars_batch(spark, d, flags):
     return adapters.bars(spark, d, lineitem=li)
 
 
+def _candle_docs(b, interval: str | None = None):
+    """Candle pages per (token, year): bounded by the calendar."""
+    candle = F.array(F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss'+00:00'"),
+                     *[F.col(c).cast("string") for c in ["open", "high", "low", "close", "volume"]])
+    return (b.groupBy("token", F.year("timestamp").alias("y"))
+             .agg(F.first("symbol_name").alias("name"), F.lit(interval).alias("interval"),
+                  F.collect_list(candle).alias("data")).drop("y"))
+
+
+def _land(docs, path: str) -> None:
+    """Add files to a landing folder, at the frame's own parallelism."""
+    docs.write.mode("append").json(path)
+
+
 _BAR_COLS = ["open", "high", "low", "close"]
 
 
-@query("upsert_bars", with_ctes("bars_old", "bars_new") + f"""
-select coalesce(n.token, o.token) as token, coalesce(n.timestamp, o.timestamp) as timestamp,
+@query("upsert_bars", with_ctes("bars_old", "bars_batch") + f""",
+o as (select *, 'ONE_DAY' as interval from bars_old),
+n as (select * from bars_batch qualify row_number() over (partition by token, interval, timestamp order by seq desc) = 1)
+select coalesce(n.token, o.token) as token, coalesce(n.interval, o.interval) as interval,
+       coalesce(n.timestamp, o.timestamp) as timestamp,
        case when n.token is not null then n.symbol_name else o.symbol_name end as symbol_name,
        {", ".join(f"cast(case when n.token is not null then n.{c} else o.{c} end as double) as {c}" for c in _BAR_COLS)},
        case when n.token is not null then n.volume else o.volume end as volume
-from bars_old o full outer join bars_new n on o.token = n.token and o.timestamp = n.timestamp""")
+from o full outer join n on o.token = n.token and o.interval = n.interval and o.timestamp = n.timestamp""")
 def q_upsert_bars(spark, d):
-    return up.upsert_bars(_bars_batch(spark, d, ["N", "A"]), _bars_batch(spark, d, ["R"]))
-
-
-register("ticks_new", ["ticks"], """
-select exchange || '*' as exchange, trading_symbol, symbol_token, cast(ltp * 1.01 as decimal(18,6)) as ltp, open, high,
-       low, close, last_trade_qty, exch_feed_time, exch_trade_time, cast(1 as decimal(18,6)) as net_change,
-       cast(null as decimal(18,6)) as percent_change, avg_price, trade_volume + 1 as trade_volume, opn_interest,
-       lower_circuit, upper_circuit, tot_buy_quan, tot_sell_quan, cast(null as decimal(18,6)) as week_low_52,
-       week_high_52, '{}' as depth_json, timestamp
-from ticks where percent_change > 0
-union all
-select exchange, trading_symbol, symbol_token, ltp, open, high, low, close, last_trade_qty, exch_feed_time,
-       exch_trade_time, net_change, percent_change, avg_price, trade_volume, opn_interest, lower_circuit,
-       upper_circuit, tot_buy_quan, tot_sell_quan, week_low_52, week_high_52, depth_json,
-       timestamp + interval 1 second as timestamp
-from ticks where percent_change < -3""")
-
-
-def _ticks_new(spark, d):
-    t = adapters.ticks(spark, d)
-    restated = (t.where(F.col("percent_change") > 0)
-                 .withColumn("exchange", F.concat("exchange", F.lit("*")))
-                 .withColumn("ltp", (F.col("ltp") * F.lit(1.01)).cast("decimal(18,6)"))
-                 .withColumn("net_change", F.lit(1).cast("decimal(18,6)"))
-                 .withColumn("percent_change", F.lit(None).cast("decimal(18,6)"))
-                 .withColumn("trade_volume", F.col("trade_volume") + 1)
-                 .withColumn("week_low_52", F.lit(None).cast("decimal(18,6)"))
-                 .withColumn("depth_json", F.lit("{}")))
-    fresh = (t.where(F.col("percent_change") < -3)
-              .withColumn("timestamp", F.col("timestamp") + F.expr("interval 1 second")))
-    return restated.unionByName(fresh)
-
-
-_TICK_CMP = ["exchange", "trading_symbol", "symbol_token", "ltp", "net_change", "percent_change",
-             "trade_volume", "week_low_52", "depth_json", "timestamp"]
-
-
-def _upsert_ticks_sql() -> str:
-    sel = []
-    for c in _TICK_CMP:
-        if c in ("symbol_token", "timestamp"):
-            sel.append(f"coalesce(n.{c}, o.{c}) as {c}")
-            continue
-        src = ("n", "o") if c in up.TICK_UPDATE_COLUMNS else ("o", "n")
-        flag = "n" if c in up.TICK_UPDATE_COLUMNS else "o"
-        e = f"case when {flag}.symbol_token is not null then {src[0]}.{c} else {src[1]}.{c} end"
-        if c in ("ltp", "net_change", "percent_change", "week_low_52"):
-            e = f"cast({e} as double)"
-        sel.append(f"{e} as {c}")
-    return (with_ctes("ticks", "ticks_new") + f"select {', '.join(sel)} from ticks o full outer join ticks_new n "
+    path, new = sinks.scratch_path(spark, "candles"), _bars_batch(spark, d, ["R"])
+    _land(_candle_docs(new), path)
+    again = new.where(F.col("volume") % 3 == 0).withColumns({"close": F.col("close") + 1, "volume": F.col("volume") + 1})
+    hours = new.where(F.col("volume") % 5 == 0).withColumn("close", F.col("close") + 2)
+    _land(_candle_docs(again).unionByName(_candle_docs(hours, "ONE_HOUR")), path)
+    return up.upsert_bars(_bars_batch(spark, d, ["N", "A"]), landing.read_candles_json(spark, path, arrival=True))
+
+
+# ---- quotes with all fields ------------------------------------------------------
+
+register("quotes", ["ticks"], """
+select exchange, trading_symbol, symbol_token, ltp, open, high, low, close,
+       cast(trade_volume % 50 as integer) as last_trade_qty, date_trunc('second', timestamp) as exch_feed_time,
+       case when trade_volume % 4 > 0 then date_trunc('second', timestamp) - interval 1 second end as exch_trade_time,
+       cast(ltp - low as decimal(18,6)) as net_change, percent_change, cast(low + 1 as decimal(18,6)) as avg_price,
+       trade_volume, opn_interest, cast(ltp - 5 as decimal(18,6)) as lower_circuit,
+       cast(ltp + 5 as decimal(18,6)) as upper_circuit, trade_volume * 10 as tot_buy_quan,
+       trade_volume * 7 as tot_sell_quan, week_low_52, week_high_52,
+       case when trade_volume % 3 = 0 then '{}' else
+         '{"buy":[{"price":' || cast(trade_volume % 100 + 0.25 as double) || ',"quantity":' || opn_interest ||
+         ',"orders":1}],"sell":[]}' end as depth_json, timestamp
+from ticks""")
+
+#: Which answers failed, and which quotes come twice in one answer.
+_FAILED = "trade_volume % 211 = 5"
+_TWICE = "trade_volume % 5 = 0"
+#: How quotes are restated, by column; expressions that both engines know.
+_AGAIN = {"exchange": "exchange || '*'", "ltp": "cast(ltp + 1 as decimal(18,6))",
+          "net_change": "cast(7 as decimal(18,6))", "percent_change": "cast(null as decimal(18,6))",
+          "trade_volume": "trade_volume + 1", "week_low_52": "cast(null as decimal(18,6))", "depth_json": "'{}'"}
+_LATER = {"exchange": "exchange || '#'", "ltp": "cast(ltp + 2 as decimal(18,6))", "high": "cast(null as decimal(18,6))",
+          "net_change": "cast(8 as decimal(18,6))", "tot_buy_quan": "cast(1 as bigint)", "depth_json": "'{}'"}
+_NEXT = {"timestamp": "timestamp + interval 1 second"}
+
+
+def _changed_sql(changes: dict[str, str], where: str, seq: int, table: str = "quotes") -> str:
+    cols = ", ".join(f"{changes[c]} as {c}" if c in changes else c for c in TICK_COLUMNS)
+    return f"select {cols}, {seq} as seq from {table} where {where}"
+
+
+def _changed(rows, changes: dict[str, str], where: str = "true"):
+    """Quotes as they are restated; without the depth that goes with them."""
+    new = rows.where(where).withColumns({c: F.expr(e) for c, e in changes.items()})
+    return new.withColumn("depth", F.lit(None).cast(DEPTH)) if "depth_json" in changes else new
+
+
+def _out(alias: str = "") -> str:
+    """All columns of a tick, decimals as doubles."""
+    at = f"{alias}." if alias else ""
+    return ", ".join(f"cast({at}{f.name} as double) as {f.name}" if f.dataType == DEC else f"{at}{f.name}"
+                     for f in REALTIME_MARKET_DATA.fields)
+
+
+def _reduced_sql(batch: str) -> str:
+    """A batch's rows by key: updated columns of the last, others of the first."""
+    cols = ", ".join(f"{'z' if c in up.TICK_UPDATE_COLUMNS else 'a'}.{c}" for c in TICK_COLUMNS)
+    one = "select * from {} qualify row_number() over (partition by symbol_token, timestamp order by seq{}) = 1"
+    return (f"select {cols} from ({one.format(batch, '')}) a join ({one.format(batch, ' desc')}) z "
+            "on a.symbol_token = z.symbol_token and a.timestamp = z.timestamp")
+
+
+def _merged_sql(old: str, new: str) -> str:
+    cols = []
+    for c in TICK_COLUMNS:
+        first, second = ("n", "o") if c in up.TICK_UPDATE_COLUMNS else ("o", "n")
+        cols.append(f"case when {first}.symbol_token is not null then {first}.{c} else {second}.{c} end as {c}")
+    return (f"select {', '.join(cols)} from {old} o full outer join {new} n "
             "on o.symbol_token = n.symbol_token and o.timestamp = n.timestamp")
 
 
-@query("upsert_ticks_partial", _upsert_ticks_sql())
+def _quotes(spark, d):
+    """The derived ticks with every field that a quote has, and its depth."""
+    tv, oi, low = F.col("trade_volume"), F.col("opn_interest"), F.col("low")
+    level = F.struct((tv % 100 + F.lit(0.25)).cast("double").alias("price"), oi.alias("quantity"),
+                     F.lit(1).cast("bigint").alias("orders"))
+    depth = F.when(tv % 3 != 0, F.struct(F.array(level).alias("buy"), F.array().cast(DEPTH["sell"].dataType).alias("sell")))
+    second = F.date_trunc("second", "timestamp").cast("timestamp_ntz")
+    return adapters.ticks(spark, d).withColumns({
+        "last_trade_qty": (tv % 50).cast("int"), "exch_feed_time": second,
+        "exch_trade_time": F.when(tv % 4 > 0, second - F.expr("interval 1 second")),
+        "net_change": (F.col("ltp") - low).cast(DEC), "avg_price": (low + 1).cast(DEC),
+        "lower_circuit": (F.col("ltp") - 5).cast(DEC), "upper_circuit": (F.col("ltp") + 5).cast(DEC),
+        "tot_buy_quan": tv * 10, "tot_sell_quan": tv * 7, "depth": depth,
+        "depth_json": F.coalesce(F.to_json(depth), F.lit("{}"))})
+
+
+def _quote(changes: dict[str, str] | None = None):
+    """A quote as it is delivered."""
+    fields = []
+    for field, column in landing.QUOTE_FIELDS.items():
+        c = F.expr((changes or {}).get(column, column))
+        if column in ("exch_feed_time", "exch_trade_time"):
+            c = F.coalesce(F.date_format(c, FEED_TIME_FORMAT), F.lit(""))
+        fields.append(c.alias(field))
+    depth = F.lit(None).cast(DEPTH) if "depth_json" in (changes or {}) else F.col("depth")
+    return F.struct(*fields, depth.alias("depth"))
+
+
+def _envelopes(quotes, twice: bool = True):
+    """Answers: one quote or two of one key, up to two that were not fetched,
+    and answers that failed."""
+    missing = F.struct("exchange", F.col("symbol_token").alias("symbolToken"), F.lit("no data").alias("message"),
+                       F.lit("AB4006").alias("errorCode"))
+    fetched = F.when(F.expr(_TWICE), F.array(_quote(), _quote(_AGAIN))) if twice else F.when(F.lit(False), F.array(_quote()))
+    data = F.struct(fetched.otherwise(F.array(_quote())).alias("fetched"),
+                    F.slice(F.array(missing, missing), F.lit(1), (F.col("opn_interest") % 3).cast("int")).alias("unfetched"))
+    failed = F.expr(_FAILED) if twice else F.lit(False)
+    return quotes.select((~failed).alias("status"), F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("fetched_at"),
+                         F.when(~failed, data).alias("data"))
+
+
+# The quotes of all answers in order of arrival; what an upsert makes of them.
+register("quotes_fetched", ["quotes"], _changed_sql({}, f"not ({_FAILED})", 0) + " union all "
+         + _changed_sql(_AGAIN, f"{_TWICE} and not ({_FAILED})", 1))
+register("quotes_stored", ["quotes_fetched"], _reduced_sql("quotes_fetched"))
+# Two files that restate quotes; the newer is the smaller, and the reverse.
+register("small_last", ["quotes"], " union all ".join((
+    _changed_sql(_AGAIN, "percent_change > 0", 1), _changed_sql(_LATER, "percent_change > 3", 2),
+    _changed_sql(_NEXT, "percent_change < -3", 2))))
+register("large_last", ["quotes"], " union all ".join((
+    _changed_sql(_LATER, "percent_change > 3", 1), _changed_sql(_AGAIN, "percent_change > 0", 2),
+    _changed_sql(_NEXT, "percent_change < -3", 2))))
+register("small_last_once", ["small_last"], _reduced_sql("small_last"))
+register("large_last_once", ["large_last"], _reduced_sql("large_last"))
+register("quotes_small_last", ["quotes", "small_last_once"], _merged_sql("quotes", "small_last_once"))
+register("quotes_large_last", ["quotes_stored", "large_last_once"], _merged_sql("quotes_stored", "large_last_once"))
+
+
+@query("upsert_ticks_partial", with_ctes("quotes_small_last") + f"select {_out()} from quotes_small_last")
 def q_upsert_ticks_partial(spark, d):
-    return up.upsert_ticks_partial(adapters.ticks(spark, d), _ticks_new(spark, d)).select(*_TICK_CMP)
+    quotes = _quotes(spark, d)
+    path = sinks.scratch_path(spark, "restated")
+    for part in (_changed(quotes, _AGAIN, "percent_change > 0"),
+                 _changed(quotes, _LATER, "percent_change > 3").unionByName(_changed(quotes, _NEXT, "percent_change < -3"))):
+        part.select(*TICK_COLUMNS).write.mode("append").parquet(path)
+    return up.upsert_ticks_partial(quotes.select(*TICK_COLUMNS), landing.read_batch(spark, path, REALTIME_MARKET_DATA))
 
 
 register("rsi_old", ["ind_long"], "select * from ind_long where indicator_name = 'rsi'")
@@ -173,75 +279,48 @@ def q_schema_add_missing(spark, d):
 
 @query("src_instruments_json", with_ctes("raw_instruments") + "select * from raw_instruments")
 def q_src_instruments_json(spark, d):
+    """Files of JSON arrays, as delivered: one of some thousand records each."""
     path = sinks.scratch_path(spark, "instruments")
-    adapters.raw_instruments(spark, d).write.json(path)
-    return landing.read_instruments_json(spark, path, multi_line=False)
+    raw = adapters.raw_instruments(spark, d)
+    files = raw.count() // 5000 + 1
+    per_file = F.pmod(F.xxhash64("token"), F.lit(files))
+    arrays = raw.groupBy(per_file.alias("bucket")).agg(F.to_json(F.collect_list(F.struct(*raw.columns))).alias("value"))
+    arrays.select("bucket", "value").write.partitionBy("bucket").text(path)
+    return landing.read_instruments_json(spark, path).select(*raw.columns)
 
 
 @query("src_candles_json", with_ctes("bars") + """
-select token, symbol_name, timestamp, cast(open as double) as open, cast(high as double) as high,
+select token, symbol_name, 'ONE_DAY' as interval, timestamp, cast(open as double) as open, cast(high as double) as high,
        cast(low as double) as low, cast(close as double) as close, volume from bars""")
 def q_src_candles_json(spark, d):
-    b = adapters.bars(spark, d)
-    candle = F.array(F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss'+00:00'"),
-                     *[F.col(c).cast("string") for c in ["open", "high", "low", "close", "volume"]])
-    # one document per token and year (a candle page): bounded by the calendar
-    docs = (b.groupBy("token", F.year("timestamp").alias("y"))
-              .agg(F.first("symbol_name").alias("name"), F.collect_list(candle).alias("data"))
-              .drop("y"))
     path = sinks.scratch_path(spark, "candles")
-    docs.write.json(path)
+    _land(_candle_docs(adapters.bars(spark, d)), path)
     return landing.read_candles_json(spark, path)
 
 
-def _envelopes(ticks):
-    q = F.struct(
-        F.col("exchange"), F.col("trading_symbol").alias("tradingSymbol"),
-        F.col("symbol_token").alias("symbolToken"),
-        *[F.col(c).alias(c) for c in ["ltp", "open", "high", "low", "close"]],
-        F.col("percent_change").alias("percentChange"), F.col("trade_volume").alias("tradeVolume"),
-        F.col("opn_interest").alias("opnInterest"), F.col("week_low_52").alias("52WeekLow"),
-        F.col("week_high_52").alias("52WeekHigh"))
-    # one envelope per (snapshot time, token): each holds one fetched quote
-    return ticks.select(F.lit(True).alias("status"),
-                        F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("fetched_at"),
-                        F.struct(F.array(q).alias("fetched"),
-                                 F.array().cast("array<struct<exchange:string,symbolToken:string,"
-                                                "message:string,errorCode:string>>").alias("unfetched"))
-                        .alias("data"))
-
-
-@query("src_quotes_json", with_ctes("ticks") + """
-select exchange, trading_symbol, symbol_token, cast(ltp as double) as ltp, cast(open as double) as open,
-       cast(high as double) as high, cast(low as double) as low, cast(close as double) as close,
-       cast(percent_change as double) as percent_change, trade_volume, opn_interest,
-       cast(week_low_52 as double) as week_low_52, cast(week_high_52 as double) as week_high_52,
-       '{}' as depth_json, timestamp from ticks""")
+@query("src_quotes_json", with_ctes("quotes_fetched") + f"select {_out()} from quotes_fetched")
 def q_src_quotes_json(spark, d):
     path = sinks.scratch_path(spark, "quotes")
-    _envelopes(adapters.ticks(spark, d)).write.json(path)
-    env = landing.read_quotes_json(spark, path)
-    rows = landing.quote_rows(env, as_of=F.to_timestamp("fetched_at"))
-    return rows.select("exchange", "trading_symbol", "symbol_token", "ltp", "open", "high", "low", "close",
-                       "percent_change", "trade_volume", "opn_interest", "week_low_52", "week_high_52",
-                       "depth_json", "timestamp")
+    _land(_envelopes(_quotes(spark, d)), path)
+    return landing.quote_rows(landing.read_quotes_json(spark, path))
 
 
-@query("quote_coverage", with_ctes("ticks") + "select count(*) as fetched, cast(0 as bigint) as unfetched from ticks")
+@query("quote_coverage", with_ctes("quotes") + f"""
+select cast(sum(case when {_TWICE} then 2 else 1 end) as bigint) as fetched,
+       cast(sum(opn_interest % 3) as bigint) as unfetched from quotes where not ({_FAILED})""")
 def q_quote_coverage(spark, d):
     path = sinks.scratch_path(spark, "quotes")
-    _envelopes(adapters.ticks(spark, d)).write.json(path)
+    _land(_envelopes(_quotes(spark, d)), path)
     return landing.quote_coverage(landing.read_quotes_json(spark, path))
 
 
-@query("quote_field_map", with_ctes("ticks") + """
-select symbol_token, trading_symbol, cast(ltp as double) as ltp, timestamp from ticks""")
+@query("quote_field_map", with_ctes("quotes") + f"select {_out()} from quotes")
 def q_quote_field_map(spark, d):
-    t = adapters.ticks(spark, d)
-    camel = t.select(F.col("symbol_token").alias("symbolToken"), F.col("trading_symbol").alias("tradingSymbol"),
-                     F.col("ltp").cast("string").alias("ltp"), "timestamp")
-    return landing.quote_field_map(camel, ts_col="timestamp").select("symbol_token", "trading_symbol", "ltp",
-                                                                       "timestamp")
+    """All 23 fields as text, and the time of the snapshot."""
+    quotes = _quotes(spark, d)
+    texts = quotes.select(_quote().alias("q"), "timestamp").select("q.*", "timestamp")
+    texts = texts.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in landing.QUOTE_FIELDS], "depth", "timestamp")
+    return landing.quote_field_map(texts, ts_col="timestamp")
 
 
 @query("sink_parquet_export", _MS + f"select {_ms_cols()} from market_summary")
@@ -317,13 +396,18 @@ def q_rows_as_json(spark, d):
 
 # ---- streaming ------------------------------------------------------------------
 
-def _land_ticks(spark, d, files: int = 4):
-    """Write the derived ticks as ``files`` parquet files: the landing folder."""
+def _land_ticks(spark, d):
+    """Write the derived ticks at their own parallelism; the landing folder."""
     path = sinks.scratch_path(spark, "landing")
-    adapters.ticks(spark, d).repartition(files).write.parquet(path)
+    adapters.ticks(spark, d).write.parquet(path)
     return path
 
 
+def _files_a_trigger(files: list[str], triggers: int = 3) -> int:
+    """So many files a trigger that all are read in a few triggers."""
+    return max(1, -(-len(files) // triggers))
+
+
 @query("stream_latest_tick", with_ctes("ticks") + f"""
 select symbol_token, exchange, trading_symbol, cast(ltp as double) as ltp, cast(open as double) as open,
        cast(high as double) as high, cast(low as double) as low, cast(close as double) as close,
@@ -338,38 +422,58 @@ def q_stream_latest_tick(spark, d):
     landing_dir = _land_ticks(spark, d)
     snap = sinks.scratch_path(spark, "latest_snapshot")
     name = os.path.basename(snap)
-    q = st.start_latest_tick(spark, landing_dir, snap, name, trigger="availableNow", max_files_per_trigger=1)
+    n = _files_a_trigger(spark.read.parquet(landing_dir).inputFiles())
+    q = st.start_latest_tick(spark, landing_dir, snap, name, trigger="availableNow", max_files_per_trigger=n)
     q.awaitTermination()
     return st.read_latest_snapshot(spark, snap)
 
 
-@query("stream_ticks_append", with_ctes("ticks") + """
-select symbol_token, timestamp, cast(ltp as double) as ltp, trading_symbol from ticks
+@query("stream_ticks_append", with_ctes("quotes_stored") + f"""
+select {_out()} from quotes_stored
 where strftime(timestamp, '%H:%M:%S') between '09:15:00' and '19:30:00'""")
 def q_stream_ticks_append(spark, d):
-    landing_dir = _land_ticks(spark, d)
-    table = sinks.scratch_path(spark, "tick_table")
-    q = st.start_tick_append(spark, landing_dir, table, os.path.basename(table), trigger="availableNow",
-                             max_files_per_trigger=1)
+    """Envelopes in a few triggers; the counts of all triggers must be those of
+    all envelopes."""
+    landing_dir, table, coverage = (sinks.scratch_path(spark, n) for n in ("landing", "tick_table", "coverage"))
+    _land(_envelopes(_quotes(spark, d)), landing_dir)
+    envelopes = landing.read_quotes_json(spark, landing_dir)
+    q = st.start_quote_append(spark, landing_dir, table, coverage, os.path.basename(table), trigger="availableNow",
+                              max_files_per_trigger=_files_a_trigger(envelopes.inputFiles()))
     q.awaitTermination()
-    return spark.read.parquet(table).select("symbol_token", "timestamp", "ltp", "trading_symbol")
+    return spark.read.parquet(table).select(*TICK_COLUMNS)
+
+
+@query("stream_quote_coverage", with_ctes("quotes") + f"""
+select cast(sum(case when {_TWICE} then 2 else 1 end) as bigint) as fetched,
+       cast(sum(opn_interest % 3) as bigint) as unfetched from quotes where not ({_FAILED})""")
+def q_stream_quote_coverage(spark, d):
+    """Fetched and unfetched quotes, counted by trigger, over all triggers."""
+    landing_dir, table, coverage = (sinks.scratch_path(spark, n) for n in ("landing", "tick_table", "coverage"))
+    _land(_envelopes(_quotes(spark, d)), landing_dir)
+    n = _files_a_trigger(landing.read_quotes_json(spark, landing_dir).inputFiles())
+    q = st.start_quote_append(spark, landing_dir, table, coverage, os.path.basename(table), trigger="availableNow",
+                              max_files_per_trigger=n)
+    q.awaitTermination()
+    return spark.read.parquet(coverage).agg(F.sum("fetched").alias("fetched"), F.sum("unfetched").alias("unfetched"))
 
 
-@query("stream_upsert_ticks", _upsert_ticks_sql())
+@query("stream_upsert_ticks", with_ctes("quotes_large_last") + f"select {_out()} from quotes_large_last")
 def q_stream_upsert_ticks(spark, d):
-    landing_dir = sinks.scratch_path(spark, "landing")
-    adapters.ticks(spark, d).repartition(2).write.parquet(landing_dir)
-    table = sinks.scratch_path(spark, "tick_table")
-    name = os.path.basename(table)
-    q = st.start_tick_append(spark, landing_dir, table, name, trigger="availableNow",
-                             session_start="00:00:00", session_end="23:59:59")
-    q.awaitTermination()
-    # a second snapshot (restatements + new keys) lands later
-    _ticks_new(spark, d).repartition(2).write.mode("append").parquet(landing_dir)
-    q = st.start_tick_append(spark, landing_dir, table, name, trigger="availableNow",
-                             session_start="00:00:00", session_end="23:59:59")
-    q.awaitTermination()
-    return spark.read.parquet(table).select(*_TICK_CMP)
+    landing_dir, table, coverage = (sinks.scratch_path(spark, n) for n in ("landing", "tick_table", "coverage"))
+    quotes, name = _quotes(spark, d), os.path.basename(table)
+
+    def run():
+        st.start_quote_append(spark, landing_dir, table, coverage, name, trigger="availableNow", session_start="00:00:00",
+                              session_end="23:59:59").awaitTermination()
+
+    _land(_envelopes(quotes), landing_dir)
+    run()
+    # Two restatements land before the next trigger: the newer, larger one wins.
+    _land(_envelopes(_changed(quotes, _LATER, "percent_change > 3"), twice=False), landing_dir)
+    _land(_envelopes(_changed(quotes, _AGAIN, "percent_change > 0").unionByName(
+        _changed(quotes, _NEXT, "percent_change < -3")), twice=False), landing_dir)
+    run()
+    return spark.read.parquet(table).select(*TICK_COLUMNS)
 
 
 @query("stream_export_summary", _MS + f"select {_ms_cols()} from market_summary")
@@ -377,7 +481,7 @@ def q_stream_export_summary(spark, d):
     """Ticks stream in two micro-batches; after each batch the summary is
     rebuilt from the tick table and exported. The export of the last batch
     must equal the summary over all ticks."""
-    landing_dir = _land_ticks(spark, d, files=2)
+    landing_dir = _land_ticks(spark, d)
     table = sinks.scratch_path(spark, "tick_table")
     out = sinks.scratch_path(spark, "summary_export")
 
@@ -398,7 +502,7 @@ def q_stream_export_summary(spark, d):
     return exports.where(F.col("batch") == last).drop("batch")
 
 
-def _candle_docs(b):
+def _unfinished_docs(b):
     """Candle pages per (token, year); the newest bar of each token is the
     unfinished intraday candle and arrives without its volume (5 fields)."""
     from pyspark.sql import Window
@@ -416,7 +520,7 @@ select token, timestamp, cast(close as double) as close, volume from (
   select *, row_number() over (partition by token order by timestamp desc) as rn from bars) where rn > 1""")
 def q_valid_candle(spark, d):
     path = sinks.scratch_path(spark, "candles")
-    _candle_docs(adapters.bars(spark, d)).write.json(path)
+    _land(_unfinished_docs(adapters.bars(spark, d)), path)
     return landing.read_candles_json(spark, path).select("token", "timestamp", "close", "volume")
 
 

@@ -32,12 +32,14 @@ TOKEN_MASTER_COLUMNS = [f.name for f in TOKEN_MASTER.fields if f.name != "create
 CANDLES_JSON = T.StructType([
     T.StructField("token", T.StringType()),
     T.StructField("name", T.StringType()),
+    T.StructField("interval", T.StringType()),    # bar size; daily if absent
     T.StructField("data", T.ArrayType(T.ArrayType(T.StringType()))),
 ])
 
 HISTORICAL_DATA = T.StructType([
     T.StructField("token", T.StringType()),
     T.StructField("symbol_name", T.StringType()),
+    T.StructField("interval", T.StringType()),
     T.StructField("timestamp", T.TimestampNTZType()),
     T.StructField("open", DEC),
     T.StructField("high", DEC),

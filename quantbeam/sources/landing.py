@@ -2,17 +2,52 @@
 
 HTTP fetching is out of scope; payloads land as files and are read with
 explicit schemas (no inference), exploded and typed with native casts.
+
+Rows keep the order in which they arrived: ``file_place`` names the file and
+block that a row was read from, ``with_arrival`` adds its place among the rows
+of the block. Files rank by modification time, then path.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quantbeam.functions.scalars import parse_feed_time, to_decimal
-from quantbeam.schemas import (CANDLES_JSON, DEC, QUOTES_JSON, RAW_INSTRUMENTS,
+from quantbeam.operators.upserts import ARRIVAL, DEFAULT_INTERVAL
+from quantbeam.schemas import (CANDLES_JSON, DEC, DEPTH, QUOTES_JSON, RAW_INSTRUMENTS,
                                REALTIME_MARKET_DATA)
 
+PLACE = "_place"
+
+
+def file_place() -> Column:
+    """Where a row was read: comparable over files and their blocks. A stream
+    carries this, as it cannot number its rows."""
+    m = F.col("_metadata")
+    return F.struct(m["file_modification_time"].alias("modified"), m["file_path"].alias("file"),
+                    m["file_block_start"].alias("block"))
+
+
+def with_arrival(rows: DataFrame) -> DataFrame:
+    """Turn ``PLACE`` into ``ARRIVAL``, numbering the rows of each block. Call
+    it on what was read, before any shuffle."""
+    place = F.col(PLACE)
+    at = F.struct(place["modified"].alias("modified"), place["file"].alias("file"), place["block"].alias("block"),
+                  F.monotonically_increasing_id().alias("row"), F.lit(0).alias("item"))
+    return rows.withColumn(ARRIVAL, at).drop(PLACE)
+
+
+def _carried(rows: DataFrame, item: Column) -> list[Column]:
+    """``ARRIVAL`` of the ``item``-th row made of a row, if there is one."""
+    return [F.col(ARRIVAL).withField("item", item).alias(ARRIVAL)] if ARRIVAL in rows.columns else []
+
+
+def read_batch(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
+    """Landed files of a table's shape, with their order of arrival."""
+    return with_arrival(spark.read.schema(schema).format(fmt).load(path).select("*", file_place().alias(PLACE)))
+
 
 def read_instruments_json(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Instrument master files, all fields text: JSON arrays of records
@@ -26,45 +61,53 @@ def valid_candle(candles: DataFrame) -> DataFrame:
 
 
 def candles_to_bars(docs: DataFrame) -> DataFrame:
-    """One document per token with data = [[ts, o, h, l, c, v], ...] -> bars."""
-    c = docs.select("token", F.col("name").alias("symbol_name"), F.explode("data").alias("candle"))
+    """One document per token with data = [[ts, o, h, l, c, v], ...] -> bars.
+    A document without ``interval`` has daily bars."""
+    c = docs.select("*", F.posexplode("data").alias("_item", "candle"))
     c = valid_candle(c)
     item = lambda i: F.element_at("candle", i + 1)
+    interval = F.col("interval") if "interval" in docs.columns else F.lit(None).cast("string")
     return c.select(
-        "token", "symbol_name",
+        "token", F.col("name").alias("symbol_name"),
+        F.coalesce(interval, F.lit(DEFAULT_INTERVAL)).alias("interval"),
         F.coalesce(F.try_to_timestamp(item(0), F.lit("yyyy-MM-dd'T'HH:mm:ssXXX")),
                    F.try_to_timestamp(item(0))).cast("timestamp_ntz").alias("timestamp"),
         to_decimal(item(1)).alias("open"), to_decimal(item(2)).alias("high"),
         to_decimal(item(3)).alias("low"), to_decimal(item(4)).alias("close"),
-        to_decimal(item(5)).cast("bigint").alias("volume"))
+        to_decimal(item(5)).cast("bigint").alias("volume"), *_carried(docs, F.col("_item")))
 
 
-def read_candles_json(spark: SparkSession, path: str) -> DataFrame:
-    return candles_to_bars(spark.read.schema(CANDLES_JSON).json(path))
+def read_candles_json(spark: SparkSession, path: str, arrival: bool = False) -> DataFrame:
+    """Landed candles as bars; with their order of arrival for an upsert."""
+    bars = candles_to_bars(read_batch(spark, path, CANDLES_JSON, "json"))
+    return bars if arrival else bars.drop(ARRIVAL)
 
 
-def read_quotes_json(spark: SparkSession, path: str) -> DataFrame:
+def read_quotes_json(spark: SparkSession, path: str, arrival: bool = False) -> DataFrame:
     """Raw quote envelopes {status, data: {fetched: [...], unfetched: [...]}}."""
+    if arrival:
+        return read_batch(spark, path, QUOTES_JSON, "json")
     return spark.read.schema(QUOTES_JSON).json(path)
 
 
 def quote_rows(envelopes: DataFrame, as_of=None) -> DataFrame:
-    """fetched quotes -> realtime_market_data rows (snake_case, typed).
-    ``timestamp`` is the snapshot time (``as_of`` column or the envelope's)."""
-    q = envelopes.select(F.explode("data.fetched").alias("q"), *(
-        [as_of.alias("_ts")] if as_of is not None else [F.current_timestamp().alias("_ts")]))
-    return quote_field_map(q.select("q.*", "_ts"), ts_col="_ts")
+    """fetched quotes of answers that succeeded -> realtime_market_data rows
+    (snake_case, typed). ``timestamp`` is the snapshot time: the ``as_of``
+    column, else the envelope's, else now."""
+    at = F.coalesce(F.try_to_timestamp("fetched_at"), F.current_timestamp()) if as_of is None else as_of
+    q = envelopes.where("status").select(*(c for c in [ARRIVAL] if c in envelopes.columns), at.alias("_ts"),
+                                         F.posexplode("data.fetched").alias("_item", "q"))
+    return quote_field_map(q.select("q.*", "_ts", *_carried(q, F.col("_item"))), ts_col="_ts")
 
 
 def unfetched_rows(envelopes: DataFrame) -> DataFrame:
-    return envelopes.select(F.explode("data.unfetched").alias("u")).select("u.*")
+    return envelopes.where("status").select(F.explode("data.unfetched").alias("u")).select("u.*")
 
 
 def quote_coverage(envelopes: DataFrame) -> DataFrame:
-    """Counts of fetched vs unfetched quotes over all envelopes."""
-    return envelopes.agg(
-        F.sum(F.coalesce(F.size("data.fetched"), F.lit(0))).cast("bigint").alias("fetched"),
-        F.sum(F.coalesce(F.size("data.unfetched"), F.lit(0))).cast("bigint").alias("unfetched"))
+    """Counts of fetched and unfetched quotes over all answers that succeeded."""
+    n = lambda c: F.coalesce(F.sum(F.coalesce(F.size(c), F.lit(0))), F.lit(0)).cast("bigint")
+    return envelopes.where("status").agg(n("data.fetched").alias("fetched"), n("data.unfetched").alias("unfetched"))
 
 
 # Quote JSON field -> table column.
@@ -103,10 +146,9 @@ def quote_field_map(q: DataFrame, ts_col: str = "_ts") -> DataFrame:
             else:
                 c = F.col(f"`{src}`")
         out.append(c.cast(f.dataType).alias(f.name))
-    return q.select(*out)
+    return q.select(*out, *(c for c in [ARRIVAL] if c in present))
 
 
 def depth_from_json(df: DataFrame) -> DataFrame:
     """Read the stored depth text back into a struct."""
-    from quantbeam.schemas import DEPTH
     return df.withColumn("depth", F.from_json("depth_json", DEPTH))

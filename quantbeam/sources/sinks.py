@@ -9,11 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quantbeam.operators.upserts import reduce_batch, upsert_by_key
+from quantbeam.operators.upserts import ARRIVAL, reduce_batch, schema_add_missing, upsert_by_key
 from quantbeam.session import delete_path, mark, materialize, release, scratch_path  # noqa: F401  (scratch_path: for callers)
 
 
-def publish(df: DataFrame, path: str, allow_empty: bool = False) -> bool:
+def publish(df: DataFrame, path: str, allow_empty: bool = False, partition_by: str | None = None) -> bool:
     """Replace the Parquet folder ``path`` by ``df``; False, with the old folder
     left as it is, if ``df`` is empty and must not be.
 
@@ -23,7 +23,8 @@ def publish(df: DataFrame, path: str, allow_empty: bool = False) -> bool:
     """
     spark = df.sparkSession
     fresh, past = (f"{path.rstrip('/')}.{k}-{uuid.uuid4().hex}" for k in ("next", "past"))
-    df.write.parquet(fresh)
+    writer = df.write.partitionBy(partition_by) if partition_by else df.write
+    writer.parquet(fresh)
     if not allow_empty and spark.read.schema(df.schema).parquet(fresh).isEmpty():
         delete_path(spark, fresh)
         return False
@@ -86,6 +87,19 @@ def truncate_table(spark: SparkSession, path: str, schema: T.StructType) -> None
     spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
 
 
+def add_key_column(spark: SparkSession, table: str, column: str, dtype: str, value, part_col: str) -> bool:
+    """Give a stored partitioned table that was written without ``column`` that
+    column, filled with ``value``; True if it was rewritten. The table is
+    replaced by rename, so a failure leaves the old one."""
+    if not _exists(spark, table):
+        return False
+    stored = spark.read.parquet(table)
+    if column in stored.columns:
+        return False
+    filled = schema_add_missing(stored, column=column, dtype=dtype, value=value)
+    return publish(filled.hint("rebalance", part_col), table, allow_empty=True, partition_by=part_col)
+
+
 def merge_partitions(spark: SparkSession, table: str, batch: DataFrame, part_col: str, keys: Sequence[str],
                      update_columns: Sequence[str] | None = None) -> None:
     """Upsert ``batch`` into the partitioned Parquet ``table``: read and rewrite
@@ -94,15 +108,19 @@ def merge_partitions(spark: SparkSession, table: str, batch: DataFrame, part_col
     The batch is evaluated once (written under the shared checkpoint folder),
     the merge is written there before the table's files are replaced, and both
     copies are deleted afterwards. A first load is reduced to one row per key
-    like any other batch.
+    like any other batch. The order of arrival goes through the written copy: the
+    batch's column ``ARRIVAL``, or the order of its rows before it is written.
     """
     since = mark(spark)
+    columns = [c for c in batch.columns if c != ARRIVAL]
+    if ARRIVAL not in batch.columns:
+        batch = batch.withColumn(ARRIVAL, F.monotonically_increasing_id())
     batch = materialize(batch, "batch")
     if _exists(spark, table):
         # A semi-join on the partition column: dynamic partition pruning.
         touched = batch.select(part_col).distinct()
         old = spark.read.parquet(table).join(touched, part_col, "left_semi")
-        merged = upsert_by_key(old.select(*batch.columns), batch, keys, update_columns)
+        merged = upsert_by_key(old.select(*columns), batch, keys, update_columns)
     else:
         merged = reduce_batch(batch, keys, update_columns)
     (materialize(merged.hint("rebalance", part_col), "merge").write.mode("overwrite")

@@ -43,7 +43,7 @@ def test_refresh_flow_end_to_end(spark, tmpdir_path):
     jobs.load_candles(spark, first, t["historical_data"])
     jobs.load_candles(spark, rest, t["historical_data"])
     stored = spark.read.parquet(t["historical_data"]).drop("trade_year")
-    assert _rows(stored) == _rows(bars)
+    assert _rows(stored.drop("interval")) == _rows(bars) and stored.select("interval").distinct().count() == 1
 
     jobs.refresh_indicators(spark, t["historical_data"], t["token_master"], t["technical_indicators"],
                             t["technical_indicators_summary"])

@@ -1,3 +1,4 @@
+import json
 import os
 
 from quantbeam.operators import ticks as tk
@@ -43,3 +44,26 @@ def test_stream_latest_without_state_equals_batch(spark, tmpdir_path):
     got = sorted(st.read_latest_snapshot(spark, snap).select("symbol_token", "timestamp", "ltp").collect())
     want = sorted(tk.latest_tick_all(ticks).select("symbol_token", "timestamp", "ltp").collect())
     assert got == want and len(got) > 0
+
+
+def test_quote_stream_counts_by_trigger_and_replays(spark, tmpdir_path):
+    quote = lambda token, ltp: {"exchange": "NSE", "tradingSymbol": f"{token}-EQ", "symbolToken": token, "ltp": ltp}
+    missing = {"exchange": "NSE", "symbolToken": "9", "message": "none", "errorCode": "AB"}
+    answers = [(True, "2025-03-12 10:00:00", [quote("1", 5), quote("1", 6), quote("2", 7)], [missing]),
+               (True, "2025-03-12 10:01:00", [quote("1", 8)], [missing, missing]),
+               (False, "2025-03-12 10:02:00", [quote("1", 99)], [missing]),
+               (True, "2025-03-12 22:00:00", [quote("3", 1)], [])]       # the market is closed
+    landing = os.path.join(tmpdir_path, "landing")
+    os.makedirs(landing)
+    for k, (status, at, fetched, unfetched) in enumerate(answers):
+        with open(os.path.join(landing, f"{k}.json"), "w") as f:
+            json.dump({"status": status, "fetched_at": at, "data": {"fetched": fetched, "unfetched": unfetched}}, f)
+        os.utime(os.path.join(landing, f"{k}.json"), (1_700_000_000 + k, 1_700_000_000 + k))
+    table, coverage = (os.path.join(tmpdir_path, x) for x in ("table", "coverage"))
+    for run in ("a", "b"):  # another query of a fresh checkpoint replays every file
+        st.start_quote_append(spark, landing, table, coverage, f"t_quotes_{run}", trigger="availableNow",
+                              max_files_per_trigger=1).awaitTermination()
+        rows = {(r.symbol_token, r.timestamp.minute): float(r.ltp) for r in spark.read.parquet(table).collect()}
+        assert rows == {("1", 0): 6.0, ("2", 0): 7.0, ("1", 1): 8.0}
+        counts = sorted((r.batch_id, r.fetched, r.unfetched) for r in spark.read.parquet(coverage).collect())
+        assert counts == [(0, 3, 1), (1, 1, 2), (2, 0, 0), (3, 1, 0)]
