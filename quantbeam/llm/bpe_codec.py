@@ -20,7 +20,7 @@ place (an endless word costs what many short words do).
 
 Null and empty texts have no ids. Texts of any length are encoded whole, batch
 by batch, each beside the memory for its own ids; pieces of up to ``LONG``
-symbols are remembered, ``max_pieces`` of them at most. Each row is encoded for
+characters are remembered, ``max_pieces`` of them at most. Each row is encoded for
 itself, whatever rows are repeated or share an id; an empty table gives an
 empty table. Columns other than the id and the text are not read, so their names
 cannot clash.
@@ -31,6 +31,7 @@ from __future__ import annotations
 import functools
 import itertools
 import json
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -47,9 +48,23 @@ KNOWN_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 #: Characters that every version of Unicode classes and lower-cases alike.
 OTHER = regex.compile(r"[^\x00-ſ]|İ")
-#: Symbols of the longest piece that is remembered.
+#: Characters of the longest piece that is remembered.
 LONG = 48
 
+
+def _of_class(pattern: str) -> str:
+    """The known characters of a class, escaped."""
+    return "".join(re.escape(chr(c)) for c in range(0x180) if regex.match(pattern, chr(c)))
+
+
+def _known_split():
+    """``KNOWN_PATTERN`` for known characters, its classes listed: faster."""
+    pattern = KNOWN_PATTERN.replace(r"\s\p{L}\p{N}", _of_class(r"[\s\p{L}\p{N}]"))
+    return re.compile(pattern.replace(r"\p{L}", _of_class(r"\p{L}")).replace(r"\p{N}", _of_class(r"\p{N}"))).findall
+
+
+split_known = _known_split()
+
 ENCODED = "doc_id long, n_tokens long, ids binary"
 DECODED = "doc_id long, n_tokens long, ids binary, decoded string"
 
@@ -144,6 +159,9 @@ class Bpe:
         self._never = never
         self._suffixes: dict[int, tuple[tuple[int, int], ...]] = {}
         self._pairs: dict[int, bool] = {}
+        # Of the last piece but its last symbol: the automaton's state and length
+        # after each prefix, and each prefix's last token and its symbols.
+        self._inner, self._states, self._held, self._last, self._width = b"", [0], [0], [], []
 
     def _apart(self, left: int, right: int, until: int) -> bool:
         """Whether no merge across the boundary comes before those that make
@@ -171,25 +189,32 @@ class Bpe:
             found = self._suffixes[state] = (*sorted(self.automaton.ends.get(state, ()), reverse=True), *rest)
         return found
 
-    def ids(self, piece: bytes) -> tuple[int, ...]:
-        """The ids of one piece."""
+    def ids(self, piece: bytes) -> np.ndarray:
+        """The ids of one piece. What was found for the prefixes that it
+        shares with the piece before is used again: ask in sorted order."""
         if not piece:
-            return ()
-        symbols = [self.inner[b] for b in piece]
+            return np.empty(0, np.uint32)
+        states, held, last, width = self._states, self._held, self._last, self._width
+        same = 0
+        for a, b in zip(piece[:-1], self._inner):
+            if a != b:
+                break
+            same += 1
+        del states[same + 1:], held[same + 1:], last[same:], width[same:]
+        self._inner = piece[:-1]
+        symbols = [self.inner[b] for b in piece[same:]]
         symbols[-1] = self.final[piece[-1]]
         step, link, size = self.automaton.step, self.automaton.link, self.automaton.size
         suffixes, pairs = self._suffixes, self._pairs
-        last: list[int] = []                   # the last token of each prefix
-        width: list[int] = []                  # and its symbols
-        state = held = 0
-        for at, symbol in enumerate(symbols):
+        state, run = states[-1], held[-1]
+        for at, symbol in enumerate(symbols, same):
             while symbol not in step[state]:   # every symbol is a token: the start has it
                 state = link[state]
-                held = size[state]
+                run = size[state]
             state = step[state][symbol]
-            held += 1
+            run += 1
             for length, token in suffixes.get(state) or self._tokens(state):
-                if length > held:
+                if length > run:
                     continue
                 if length > at:
                     break
@@ -203,30 +228,17 @@ class Bpe:
                     break
             else:
                 raise AssertionError("a prefix without a last token")
+            states.append(state)
+            held.append(run)
             last.append(token)
             width.append(length)
-        found, at = [], len(symbols) - 1
+        found, at = [], len(last) - 1
         while at >= 0:
             found.append(last[at])
             at -= width[at]
-        return tuple(reversed(found))
-
-
-class _Remembered(dict):
-    """Ids by piece; what is missing is found, and kept if short."""
-
-    def __init__(self, bpe: Bpe, most: int):
-        super().__init__()
-        self.bpe, self.most = bpe, most
-
-    def __missing__(self, piece: str) -> tuple[int, ...]:
-        octets = piece.encode()
-        ids = self.bpe.ids(octets)
-        if len(octets) <= LONG:
-            if len(self) >= self.most:
-                self.clear()
-            self[piece] = ids
-        return ids
+        for stack in (states, held, last, width):   # the last symbol stands at ends alone
+            stack.pop()
+        return np.array(found[::-1], np.uint32)
 
 
 class Codec:
@@ -246,31 +258,50 @@ class Codec:
         longest_first = sorted(self.added, key=len, reverse=True)
         self._cut = regex.compile("(" + "|".join(map(regex.escape, longest_first)) + ")") if added else None
         self.library = pieces.load(path)
+        self.bpe, self.max_pieces = Bpe(spec["model"]), max_pieces
+        self._young: dict[str, bytes] = {}
+        self._old: dict[str, bytes] = {}
         self._known_kind = spec.get("normalizer") == KNOWN_NORMALIZER and len(stages) == 2 and stages[0] == {
             "type": "Split", "pattern": {"Regex": KNOWN_PATTERN}, "behavior": "Removed", "invert": True} \
             and not stages[1]["use_regex"]
-        self._split = regex.compile(KNOWN_PATTERN).findall
         self._octet = {c: b for b, c in enumerate(byte_characters())}
-        self._ids = _Remembered(Bpe(spec["model"]), max_pieces)
 
     def pieces(self, text: str) -> list[str]:
         """The pieces of a text without added tokens."""
         if self._known_kind and (text.isascii() or not OTHER.search(text)):
-            return self._split(text.lower())
+            return split_known(text.lower())
         if self.library.normalizer is not None:
             text = self.library.normalizer.normalize_str(text)
         return [bytes(map(self._octet.__getitem__, p)).decode()
                 for p, _ in self.library.pre_tokenizer.pre_tokenize_str(text)]
 
-    def encode(self, text: str) -> np.ndarray:
-        sections = self._cut.split(text) if self._cut and self._cut.search(text) else [text]
-        found = []
-        for k, section in enumerate(sections):
-            if k % 2:
-                found.append((self.added[section],))
-            elif section:
-                found.extend(map(self._ids.__getitem__, self.pieces(section)))
-        return np.fromiter(itertools.chain.from_iterable(found), np.uint32)
+    def _ids(self, found: list[str]) -> bytes:
+        """The ids of pieces. Two generations of pieces are remembered: what
+        the older one alone has and nobody asks for is dropped with it."""
+        try:
+            return b"".join(map(self._young.__getitem__, found))
+        except KeyError:
+            pass
+        if len(self._young) >= self.max_pieces // 2:
+            self._young, self._old = {}, self._young
+        young, old = self._young, self._old
+        missing = {piece for piece in found if piece not in young}
+        for piece in sorted(missing):
+            ids = old.get(piece)
+            young[piece] = self.bpe.ids(piece.encode()).astype("<u4").tobytes() if ids is None else ids
+        ids = b"".join(map(young.__getitem__, found))
+        for piece in missing:
+            if len(piece) > LONG:
+                del young[piece]
+        return ids
+
+    def encode(self, text: str) -> bytes:
+        """The ids of a text as little-endian unsigned 32-bit integers."""
+        if not (self._cut and self._cut.search(text)):
+            return self._ids(self.pieces(text))
+        # Every second part is an added token.
+        return b"".join(self.added[part].to_bytes(4, "little") if k % 2 else self._ids(self.pieces(part))
+                        for k, part in enumerate(self._cut.split(text)))
 
 
 @functools.lru_cache(maxsize=2)
@@ -280,15 +311,22 @@ def shared(path: str) -> Codec:
 
 
 @functools.lru_cache(maxsize=2)
-def token_strings(path: str) -> dict[int, str]:
-    return {i: t for t, i in pieces.load(path).get_vocab(with_added_tokens=True).items()}
+def token_strings(path: str) -> list[str | None]:
+    """The tokens by id; None where an id has none."""
+    vocab = pieces.load(path).get_vocab(with_added_tokens=True)
+    found: list[str | None] = [None] * (max(vocab.values()) + 1)
+    for token, i in vocab.items():
+        found[i] = token
+    return found
 
 
 def decode_ids(path: str, ids: np.ndarray) -> str:
     """The text of ids, special tokens included: the file's decoder, or
     without one the tokens with a space between. Unknown ids have no text."""
-    decoder = pieces.load(path).decoder
-    tokens = [t for t in map(token_strings(path).get, ids.tolist()) if t is not None]
+    decoder, strings = pieces.load(path).decoder, token_strings(path)
+    tokens = list(map(strings.__getitem__, ids[ids < len(strings)].tolist()))
+    if None in tokens:
+        tokens = [t for t in tokens if t is not None]
     return decoder.decode(tokens) if decoder is not None else " ".join(tokens)
 
 
@@ -302,9 +340,9 @@ def encode(docs: DataFrame, tokenizer: str) -> DataFrame:
         for batch in batches:
             for a, b in pieces.runs(batch.column(1)):
                 rows = batch.slice(a, b - a)
-                ids = [codec.encode(t or "") for t in rows.column(1).to_pylist()]
-                yield pa.record_batch({"doc_id": rows.column(0), "n_tokens": pa.array(map(len, ids), pa.int64()),
-                                       "ids": pa.array([i.astype("<u4").tobytes() for i in ids], pa.binary())})
+                ids = [codec.encode(t) if t else b"" for t in rows.column(1).to_pylist()]
+                yield pa.record_batch({"doc_id": rows.column(0), "n_tokens": pa.array([len(i) // 4 for i in ids], pa.int64()),
+                                       "ids": pa.array(ids, pa.binary())})
 
     return pick(docs).mapInArrow(run, ENCODED)
 

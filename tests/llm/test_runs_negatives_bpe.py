@@ -176,18 +176,22 @@ def library(text):
     return found.ids
 
 
+def ids_of(codec, text):
+    return np.frombuffer(codec.encode(text), "<u4").tolist()
+
+
 def test_bpe_equals_the_library_on_made_words():
     rnd, codec = random.Random(14), bpe_codec.Codec(WORDS, max_pieces=50)
     for _ in range(1500):
         word = "".join(rnd.choice("aabnsteihor"[:rnd.randrange(1, 12)]) for _ in range(rnd.randrange(1, 60)))
-        assert codec.encode(word).tolist() == library(word), word
+        assert ids_of(codec, word) == library(word), word
 
 
 def test_bpe_of_every_known_character():
     codec = bpe_codec.shared(WORDS)
     for c in map(chr, [*range(0x400), 0x3A3, 0x1E9E, 0x212B, 0x2028, 0x3000, 0x4E2D, 0xFB01, 0x1F600, 0x1D7D9]):
         text = f"a{c}1{c}{c} {c}b'S<|endoftext|>A{c}x"
-        assert codec.encode(text).tolist() == library(text), repr(c)
+        assert ids_of(codec, text) == library(text), repr(c)
 
 
 def test_merges_that_a_token_does_not_survive():
@@ -196,7 +200,7 @@ def test_merges_that_a_token_does_not_survive():
     vocab = {c: k for k, c in enumerate(shown)} | {"bc": 256, "ab": 257, "abc": 258, "aa": 259, "aaa": 260}
     bpe = bpe_codec.Bpe({"type": "BPE", "vocab": vocab, "merges": ["b c", "a b", "ab c", "a a", "aa a"]})
     a = vocab["a"]
-    assert bpe.ids(b"abc") == (a, 256)
+    assert bpe.ids(b"abc").tolist() == [a, 256]
     assert list(bpe.ids(b"aaaaaaaa")) == plain_bpe("aaaaaaaa", vocab)
     rnd = random.Random(3)
     for _ in range(500):
