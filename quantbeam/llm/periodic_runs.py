@@ -6,30 +6,33 @@ no neighbouring word extends. Periods may be as long as the text allows.
 
 Method, by scale. Periods are taken by octaves, ``2**k <= q < 2**(k+1)``. For
 each octave a text is covered by overlapping tiles with a boundary every
-``S = 2**(k+1)`` words, each reaching S back and a little over 2 S ahead:
+``S = 2**(k+1)`` words, each reaching S back and 3 S ahead:
 
-1. ``tiles``: a row per tile whose boundary can lie in a run of the octave,
-   that is, whose next words stand again fewer than S words later.
+1. ``tiles``: a row per tile whose boundary can lie in a run of the octave:
+   its next words stand again fewer than S words later, and its first word a
+   third time fewer than 2 S words later.
 2. ``fragments``: each tile by itself. Z-functions from its boundary, of the
    words after it and, reversed, of those before it, give for every period of
    the octave how far to both sides words q apart are equal. Stretches that end
    inside the tile are long enough or dropped; those that reach its edges go on
    in the next tile. A stretch that has a divisor of q as period too belongs
    to that one.
-3. ``runs``: fragments meet by document and period, where those that touch are
+3. ``stitch``: fragments meet by document and period, where those that touch are
    one run.
 
 Why none is lost: words q apart are equal at ``(min_exponent - 1) * q`` places
-of a run, at least 3 * 2**k. So a boundary lies among the first S of them, with
-more than 2**k of them after it; the same holds for every later boundary that
-has ``GRAM`` of them after it. Tiles reach S back, to the boundary before, and
-S + GRAM ahead, beyond the one after it; so the fragments of one run touch.
-Why a divisor can be seen in a tile: a fragment spans at least 2 q words, and if
-those have a period that divides q, so has all that q goes on in.
+of a run, at least 3 q. So a boundary lies among the first S of them, with more
+than q of them after it, and is live; so is every later boundary that has more
+than ``max(q, GRAM)`` of them after it. Tiles reach S back, to the boundary
+before, and are read for ``S + max(q, GRAM)`` ahead, beyond the one after it; so
+the fragments of one run touch. Why a divisor can be seen in a tile: a fragment
+spans at least 2 q words, and if those have a period that divides q, so has all
+that q goes on in.
 
 Tiles are rows of their own, spread by document, octave and boundary, so that a
 very long text is solved by many tasks. A text gives O(n log n) words of tiles
-at most, and next to none if nothing repeats.
+at most, and next to none if nothing repeats; a text without a live tile has no
+run and takes no part in the shuffles.
 
 Null and empty texts have no words and no runs. Rows are told apart by id (null
 is a value like others) and text; equal rows have equal results, each its own
@@ -54,12 +57,13 @@ from quantbeam.session import materialize
 
 #: Words after a boundary that must stand again for its tile to be made; fewer
 #: in octaves of shorter periods.
-GRAM = 4
+GRAM = 8
 #: Bytes of tiles that are handed on at once.
 TILE_BYTES = 1 << 22
 
 KEY = ["doc_id", "text_hash"]
-TILES = "doc_id long, text_hash long, octave int, boundary long, back int, words binary"
+#: Tiles, and with no octave the texts that have some.
+TILES = "doc_id long, text_hash long, octave int, boundary long, back int, words binary, text string"
 FRAGMENTS = "doc_id long, text_hash long, period long, first long, beyond long"
 COLLAPSED = ("doc_id long, n_words long, runs array<struct<start:long,length:long,period:long>>, "
              "top struct<start:long,length:long,period:long>, collapsed string")
@@ -81,11 +85,13 @@ def _next_same(names: np.ndarray) -> np.ndarray:
 
 
 def live_boundaries(codes: np.ndarray, min_exponent: int):
-    """``(octave, boundaries)``: places at multiples of S whose next words
-    stand again fewer than S words later. The number of those words is
-    ``min(2**octave, GRAM)``."""
+    """``(octave, boundaries)``: places at multiples of S whose next words,
+    ``min(2**octave, GRAM)`` of them, stand again fewer than S words later, and
+    whose first word stands a third time fewer than 2 S words later."""
     n, grams, names = len(codes), 1, codes.astype(np.int64)
     ahead = _next_same(names)
+    beyond = np.append(ahead, 2 * n + 1)
+    third = beyond[np.minimum(ahead, n)]
     octave = 0
     while min_exponent << octave <= n:
         if grams < min(1 << octave, GRAM):
@@ -96,10 +102,10 @@ def live_boundaries(codes: np.ndarray, min_exponent: int):
             ahead = _next_same(names)
         span = 2 << octave
         at = np.arange(0, len(ahead), span)
-        at = at[ahead[at] - at < span]
+        at = at[(ahead[at] - at < span) & (third[at] - at < 2 * span)]
         if len(at):
             yield octave, at
-        elif grams == GRAM and not (ahead < 2 * n).any():
+        elif not (ahead <= n).any():
             return
         octave += 1
 
@@ -139,15 +145,16 @@ def solve(words: list[int], back: int, octave: int, min_exponent: int):
     the boundary on hold a word equal to that ``period`` later. Stretches that
     end in the tile are given if long enough, others always."""
     span = 2 << octave
+    least = min(span // 2, GRAM)
     after, before = words[back:], words[:back][::-1]
     right = z_function(after, min(span, len(after)))
     # Backwards: the words before the boundary, then all up to S after it.
     upper = words[:back + span][::-1]
     ahead = len(upper) - back
     left = z_function(before + [-1] + upper, len(before) + 1 + ahead)
-    reach = span + min(span // 2, GRAM)
     found = []
     for q in range(span // 2, len(right)):
+        reach = span + max(q, least)
         r = min(right[q], reach)
         # Equal words to the left are as many as the two reversed ends share.
         l = left[len(before) + 1 + ahead - q] if q <= ahead else 0
@@ -164,40 +171,47 @@ def solve(words: list[int], back: int, octave: int, min_exponent: int):
     return found
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    return pick(docs).select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+
+
 def tiles(docs: DataFrame, min_exponent: int = 4) -> DataFrame:
     """A row for each tile that can hold part of a run; ``words`` are numbers
-    that are equal where the words are."""
+    that are equal where the words are. And a row for each text with tiles."""
     importable(docs.sparkSession)
 
     def run(batches):
         made, size = [], 0
         for batch in batches:
             for doc_id, text_hash, text in zip(*(batch.column(k).to_pylist() for k in range(3))):
-                words = split_words(text)
-                n = len(words)
-                if n < min_exponent:
-                    continue
-                codes = np.fromiter(map({}.setdefault, words, itertools.count()), np.int32, n)
+                codes, any_tile = numbered(split_words(text)), False
                 for octave, boundaries in live_boundaries(codes, min_exponent):
                     span = 2 << octave
-                    ahead = 2 * span + min(span // 2, GRAM)
                     for b in boundaries.tolist():
                         low = max(0, b - span)
-                        part = codes[low:b + ahead].tobytes()
-                        made.append((doc_id, text_hash, octave, b, b - low, part))
+                        part = codes[low:b + 3 * span].tobytes()
+                        made.append((doc_id, text_hash, octave, b, b - low, part, None))
                         size += len(part) + 64
+                        any_tile = True
                         if size >= TILE_BYTES:
                             yield _rows(made, TILES)
                             made, size = [], 0
+                if any_tile:
+                    made.append((doc_id, text_hash, None, None, None, None, text))
+                    size += len(text)
         if made:
             yield _rows(made, TILES)
 
-    keyed = pick(docs).select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    return keyed.mapInArrow(run, TILES)
+    return _keyed(docs).mapInArrow(run, TILES)
+
+
+def numbered(words: list[bytes]) -> np.ndarray:
+    """Numbers that are equal where the words are."""
+    return np.fromiter(map({}.setdefault, words, itertools.count()), np.int32, len(words))
 
 
 def _rows(rows: list[tuple], schema: str) -> pa.RecordBatch:
-    types = {"long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(), "binary": pa.binary()}
+    types = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "string": pa.string()}
     names, kinds = zip(*(c.split() for c in schema.split(", ")))
     return pa.record_batch([pa.array(c, types[k]) for c, k in zip(zip(*rows), kinds)], names=list(names))
 
@@ -241,11 +255,9 @@ def stitch(found: DataFrame, min_words: int = 6, min_exponent: int = 4) -> DataF
             .filter(length >= F.greatest(F.lit(min_words), min_exponent * F.col("period"))))
 
 
-def find_runs(docs: DataFrame, min_words: int = 6, min_exponent: int = 4) -> DataFrame:
-    """All runs of all texts. Equal rows share one set of runs."""
-    if min_exponent < 4:
-        raise ValueError("tiles are made for runs of four periods and more")
-    spread = tiles(docs, min_exponent).repartition(F.xxhash64(*KEY, "octave", "boundary"))
+def runs_of(tiled: DataFrame, min_words: int = 6, min_exponent: int = 4) -> DataFrame:
+    """All runs from the tiles of all texts. Equal rows share one set of runs."""
+    spread = tiled.filter("octave is not null").drop("text").repartition(F.xxhash64(*KEY, "octave", "boundary"))
     return stitch(fragments(spread, min_exponent), min_words, min_exponent)
 
 
@@ -263,39 +275,63 @@ def _greater(a: dict, b: dict) -> bool:
     return x > y or x == y and (a["start"], a["period"]) < (b["start"], b["period"])
 
 
-def collapse(docs: DataFrame, runs: DataFrame) -> DataFrame:
-    """A row per document: its words, its runs by start and period, the run
-    of the greatest exponent, and the text with each run cut to its first
-    period."""
+RUN = pa.struct([("start", pa.int64()), ("length", pa.int64()), ("period", pa.int64())])
+
+
+def _collapsed(ids: pa.Array, texts: list, runs: list) -> pa.RecordBatch:
+    n, tops, kept = [], [], []
+    for text, found in zip(texts, runs):
+        words, top = split_words(text), None
+        for r in found:
+            top = r if top is None or _greater(r, top) else top
+        n.append(len(words))
+        tops.append(top)
+        kept.append(_collapse(words, found) if found else b" ".join(words).decode())
+    return pa.record_batch([ids, pa.array(n, pa.int64()), pa.array(runs, pa.list_(RUN)), pa.array(tops, RUN),
+                            pa.array(kept, pa.string())], names=["doc_id", "n_words", "runs", "top", "collapsed"])
+
+
+def without_tiles(docs: DataFrame, min_exponent: int) -> DataFrame:
+    """The results of the texts that have no live tile, and so no run."""
     importable(docs.sparkSession)
+
+    def run(batches):
+        for batch in batches:
+            for a, b in pieces.runs(batch.column(2)):
+                rows = batch.slice(a, b - a)
+                texts = rows.column(2).to_pylist()
+                plain = [next(live_boundaries(numbered(split_words(t)), min_exponent), None) is None for t in texts]
+                chosen = [t for t, p in zip(texts, plain) if p]
+                if chosen:
+                    yield _collapsed(rows.column(0).filter(pa.array(plain)), chosen, [[]] * len(chosen))
+
+    return _keyed(docs).mapInArrow(run, COLLAPSED)
+
+
+def collapse(texts: DataFrame, runs: DataFrame) -> DataFrame:
+    """The results of ``(doc_id, text_hash, text)`` rows by their runs."""
+    importable(texts.sparkSession)
     listed = runs.groupBy(*KEY).agg(F.sort_array(F.collect_list(F.struct("start", "period", "length"))).alias("runs"))
     listed = listed.withColumn("runs", F.transform("runs", lambda r: F.struct(r["start"], r["length"], r["period"])))
-    keyed = pick(docs).select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     same = [F.col(f"d.{k}").eqNullSafe(F.col(f"r.{k}")) for k in KEY]
-    joined = keyed.alias("d").join(listed.alias("r"), same[0] & same[1], "left").select("d.doc_id", "d.text", "r.runs")
-    kind = pa.struct([("start", pa.int64()), ("length", pa.int64()), ("period", pa.int64())])
+    joined = texts.alias("d").join(listed.alias("r"), same[0] & same[1], "left").select("d.doc_id", "d.text", "r.runs")
 
     def run(batches):
         for batch in batches:
             for a, b in pieces.runs(batch.column(1)):
                 rows = batch.slice(a, b - a)
-                n, tops, texts, lists = [], [], [], []
-                for text, found in zip(rows.column(1).to_pylist(), rows.column(2).to_pylist()):
-                    words, top = split_words(text), None
-                    for r in found or ():
-                        top = r if top is None or _greater(r, top) else top
-                    n.append(len(words))
-                    tops.append(top)
-                    lists.append(found or [])
-                    texts.append(_collapse(words, found) if found else b" ".join(words).decode())
-                yield pa.record_batch([rows.column(0), pa.array(n, pa.int64()), pa.array(lists, pa.list_(kind)),
-                                       pa.array(tops, kind), pa.array(texts, pa.string())],
-                                      names=["doc_id", "n_words", "runs", "top", "collapsed"])
+                yield _collapsed(rows.column(0), rows.column(1).to_pylist(), [r or [] for r in rows.column(2).to_pylist()])
 
     return joined.mapInArrow(run, COLLAPSED)
 
 
 def collapse_runs(docs: DataFrame, min_words: int = 6, min_exponent: int = 4) -> DataFrame:
-    """``collapse`` by the texts' own runs, which are written first."""
-    found = materialize(find_runs(docs, min_words, min_exponent), "periodic-runs")
-    return collapse(docs, found)
+    """A row per document: its words, its runs by start and period, the run
+    of the greatest exponent, and the text with each run cut to its first
+    period."""
+    if min_exponent < 4:
+        raise ValueError("tiles are made for runs of four periods and more")
+    tiled = materialize(tiles(docs, min_exponent), "run-tiles")
+    runs = materialize(runs_of(tiled, min_words, min_exponent), "periodic-runs")
+    texts = tiled.filter("octave is null").select(*KEY, "text")
+    return without_tiles(docs, min_exponent).unionByName(collapse(texts, runs))

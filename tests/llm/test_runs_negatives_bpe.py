@@ -57,7 +57,7 @@ def test_tiles_find_every_run():
             span = 2 << octave
             for b in boundaries.tolist():
                 low = max(0, b - span)
-                part = codes[low:b + 2 * span + min(span // 2, periodic_runs.GRAM)].tolist()
+                part = codes[low:b + 3 * span].tolist()
                 for q, left, right in periodic_runs.solve(part, b - low, octave, 4):
                     stretches[q].append((b - left, b + right))
         found = set()
