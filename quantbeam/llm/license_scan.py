@@ -1,27 +1,31 @@
 """Licence scan: exact set-similarity join of text blocks with templates.
 
-A block is a line of a text. It meets a template if it holds at least
-``threshold`` of the template's distinct words (containment). With ``wrapped``,
-runs of as many consecutive words as the template has are held against it too,
-wherever lines end; they come in overlapping blocks of words, and a pair that
-passes the filters is verified run by run. The join is exact and does not
-compare all pairs:
+A block is a stretch of as many consecutive words as the template has, wherever
+lines end. It meets the template if it holds at least ``threshold`` of the
+template's distinct words (containment). The join is exact and does not compare
+all pairs. Texts are split once; the template words that each holds are kept
+with their places, in spans that overlap so that every block lies in one whole,
+and all else reads these:
 
 - words are put in one global order, rarest first, by their counts over the
-  corpus (ties by the word);
+  spans (ties by the word);
 - *prefix filter*: a block that shares ``need = ceil(threshold * n)`` of a
   template's ``n`` words shares one of its ``n - need + 1`` rarest;
-- *length filter*: the block has ``need`` distinct template words at least;
+- *length filter*: a span has ``need`` distinct template words at least;
 - *positional filter*: if the rarest word that both have is the template's
-  ``p``-th and the ``q``-th of the block's ``m`` template words, they share at
+  ``p``-th and the ``q``-th of the span's ``m`` template words, they share at
   most ``min(n - p, m - q)`` words, which must be ``need`` at least;
-- what is left is verified by intersecting the word sets.
+- what is left is verified block by block of the span, by intersecting words.
 
 Templates are a parameter: as many rows as the caller lists, so they are
 literals of the plan. ``phrases`` are found word for word, beside the join.
 
-Null and empty texts have no words and no labels. Repeated rows are scanned
-each; rows are told apart by id and text. An empty table gives an empty result.
+Null and empty texts have no words and no labels. Very long texts have more
+spans, each a row of its own with a few words. Repeated rows are scanned each;
+rows are told apart by id and text, and equal rows have equal results. Of blocks
+that meet a template equally well any gives the same label and score. Columns
+other than the id and the text are not read, so their names cannot clash. An
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -88,90 +92,93 @@ def scan_phrases(rows: DataFrame, phrases: Mapping[str, str]) -> DataFrame:
             .withColumn("base", F.sort_array(F.array_distinct(labels))).drop("_t", "_places"))
 
 
-def blocks(corpus: DataFrame) -> DataFrame:
-    """``(doc, block, w)``: the distinct words of each line that has any."""
-    lines = corpus.select("doc", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("block", "line"))
-    return lines.select("doc", "block", F.array_distinct(words(F.col("line"))).alias("w")).filter(F.size("w") > 0)
+def template_words(text: str) -> list[str]:
+    """The words of a template in order."""
+    return WORD.findall(text.translate(FOLD))
 
 
-def word_blocks(corpus: DataFrame, most: int) -> DataFrame:
-    """``(doc, block, w, run)``: overlapping blocks of consecutive words, so
-    that any ``most`` consecutive words of a text lie in one whole; ``run`` has
-    the words in order, ``w`` the distinct ones."""
-    found = corpus.select("doc", words(F.col("text")).alias("all")).filter(F.size("all") > 0)
-    starts = F.sequence(F.lit(0), F.size("all") - 1, F.lit(most))
-    runs = F.transform(starts, lambda k: F.slice(F.col("all"), k + 1, 2 * most))
-    return (found.select("doc", F.posexplode(runs).alias("block", "run"))
-            .select("doc", "block", F.array_distinct("run").alias("w"), "run"))
+def need_of(n: int, threshold: float) -> int:
+    """How many of ``n`` distinct words a block must hold."""
+    return max(1, math.ceil(n * threshold - 1e-9))
 
 
-def word_order(corpus_blocks: DataFrame, vocabulary: Sequence[str]) -> list[str]:
-    """The template words, rarest in the corpus's blocks first, ties by word."""
-    spark = corpus_blocks.sparkSession
-    listed = spark.createDataFrame([(v,) for v in vocabulary], "word string")
-    counts = (corpus_blocks.select(F.explode("w").alias("word")).join(F.broadcast(listed), "word")
-              .groupBy("word").agg(F.count("*").alias("n")))
+def spans(w: Column, vocabulary: Sequence[str], longest: int, need: int) -> Column:
+    """Array of ``(at, word)`` arrays: the words among ``vocabulary`` in spans
+    of ``2 * longest`` words, one beginning every ``longest`` words, of those
+    spans that hold ``need`` distinct ones."""
+    def listed(first: Column) -> Column:
+        last = F.least(first + (2 * longest - 1), F.size(w) - 1)
+        places = F.filter(F.sequence(first, last), lambda k: F.get(w, k).isin(list(vocabulary)))
+        return F.transform(places, lambda k: F.struct(k.alias("at"), F.get(w, k).alias("word")))
+
+    firsts = F.sequence(F.lit(0), F.size(w) - 1, F.lit(longest))
+    every = F.when(F.size(w) > 0, F.transform(firsts, listed))
+    return F.filter(every, lambda s: F.size(F.array_distinct(s["word"])) >= need)
+
+
+def word_order(held: DataFrame, vocabulary: Sequence[str]) -> list[str]:
+    """The template words, rarest in the spans first, ties by word."""
+    counts = held.select(F.explode("span.word").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
     n = {r["word"]: r["n"] for r in counts.collect()}  # template words alone
     return sorted(vocabulary, key=lambda v: (n.get(v, 0), v))
 
 
-def similarity_join(corpus_blocks: DataFrame, templates: Sequence[tuple[str, str]], threshold: float) -> DataFrame:
-    """``(doc, block, template, label, containment)`` of all blocks and
-    templates with a containment of ``threshold`` at least. Of blocks with a
-    ``run``, the containment is that of the best run of the template's length."""
-    spark = corpus_blocks.sparkSession
-    lengths = [len(WORD.findall(text.translate(FOLD))) for _, text in templates]
-    sets = [set(WORD.findall(text.translate(FOLD))) for _, text in templates]
-    order = word_order(corpus_blocks, sorted(set().union(*sets)))
+def similarity_join(held: DataFrame, templates: Sequence[tuple[str, str]], threshold: float) -> DataFrame:
+    """``(doc, template, label, containment)`` of all spans (``doc, span``) and
+    templates with a block of a containment of ``threshold`` at least; the
+    containment is the best block's."""
+    spark = held.sparkSession
+    lengths = [len(template_words(text)) for _, text in templates]
+    sets = [set(template_words(text)) for _, text in templates]
+    order = word_order(held, sorted(set().union(*sets)))
     rank = {v: k for k, v in enumerate(order)}
     prefix, seeds = [], set()
-    for k, ((label, _), held) in enumerate(zip(templates, sets)):
-        ordered = sorted(held, key=rank.__getitem__)
-        need = max(1, math.ceil(len(ordered) * threshold - 1e-9))
+    for k, ((label, _), of) in enumerate(zip(templates, sets)):
+        ordered = sorted(of, key=rank.__getitem__)
+        need = need_of(len(ordered), threshold)
         for p, word in enumerate(ordered[:len(ordered) - need + 1]):
             prefix.append((k, label, len(ordered), need, p, word, ordered, lengths[k]))
             seeds.add(word)
     listed = spark.createDataFrame(
-        prefix, "template int, label string, n int, need int, p int, word string, ordered array<string>, "
-        "length int")
+        prefix, "template int, label string, n int, need int, p int, word string, ordered array<string>, length int")
 
     text_array = lambda xs: F.array(*map(F.lit, xs)).cast("array<string>")
-    # ``held``: the block's template words in the global order.
-    run = [c for c in corpus_blocks.columns if c == "run"]
-    hit = (corpus_blocks.filter(F.arrays_overlap("w", text_array(sorted(seeds))))
-           .select("doc", "block", *run, F.array_intersect(text_array(order), F.col("w")).alias("held")))
-    pairs = (hit.select("doc", "block", *run, "held", F.posexplode("held").alias("q", "word"))
+    # ``known``: the span's template words in the global order.
+    hit = (held.filter(F.arrays_overlap("span.word", text_array(sorted(seeds))))
+           .select("doc", "span", F.array_intersect(text_array(order), F.col("span.word")).alias("known")))
+    pairs = (hit.select("doc", "span", "known", F.posexplode("known").alias("q", "word"))
              .join(F.broadcast(listed), "word")
-             .filter(F.size("held") >= F.col("need"))
-             .filter(F.least(F.col("n") - F.col("p"), F.size("held") - F.col("q")) >= F.col("need")))
-    overlap = F.size(F.array_intersect("held", "ordered"))
-    if run:
-        pairs = pairs.filter(overlap >= F.col("need"))
-        overlap = F.array_max(F.transform(F.sequence(F.lit(1), F.size("run")), lambda k: F.size(
-            F.array_intersect(F.slice(F.col("run"), k, F.col("length")), F.col("ordered")))))
-    return (pairs.withColumn("overlap", overlap).filter(F.col("overlap") >= F.col("need"))
-            .select("doc", "block", "template", "label", (F.col("overlap") / F.col("n")).alias("containment"))
-            .distinct())
+             .filter(F.size("known") >= F.col("need"))
+             .filter(F.least(F.col("n") - F.col("p"), F.size("known") - F.col("q")) >= F.col("need"))
+             .filter(F.size(F.array_intersect("known", "ordered")) >= F.col("need")))
+    # A best block may begin with a template word: the words of the span that
+    # stand before it by ``length``.
+    mine = F.filter("span", lambda x: F.array_contains("ordered", x["word"]))
+    in_block = lambda b: F.size(F.array_distinct(F.transform(
+        F.filter("mine", lambda x: (x["at"] >= b["at"]) & (x["at"] < b["at"] + F.col("length"))), lambda x: x["word"])))
+    return (pairs.withColumn("mine", mine).withColumn("overlap", F.array_max(F.transform("mine", in_block)))
+            .filter(F.col("overlap") >= F.col("need"))
+            .groupBy("doc", "template", "label").agg(F.max(F.col("overlap") / F.col("n")).alias("containment")))
 
 
 def scan(docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES, threshold: float = 0.8,
-         phrases: Mapping[str, str] = PHRASES, id_col: str = "doc_id", text_col: str = "text",
-         wrapped: bool = False) -> DataFrame:
+         phrases: Mapping[str, str] = PHRASES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, n_words, n_base, first_word, last_word, base_labels, labels,
     score)`` per document; ``score`` is 1 with a phrase, else the best
-    containment of a met template, else 0. ``wrapped`` finds templates across
-    line ends too."""
+    containment of a met template, else 0."""
     base = pick(docs, id_col, text_col)
-    corpus = base.select(document_key(F.col("doc_id"), F.col("text")).alias("doc"), "text")
-    met = similarity_join(blocks(corpus), templates, threshold)
-    if wrapped:
-        most = max((len(WORD.findall(text.translate(FOLD))) for _, text in templates), default=1)
-        met = met.union(similarity_join(word_blocks(corpus, max(1, most)), templates, threshold))
-    met = materialize(met, "met")
+    texts = [template_words(text) for _, text in templates]
+    vocabulary, longest = sorted({w for t in texts for w in t}), max(map(len, texts))
+    least = min(need_of(len(set(t)), threshold) for t in texts)
+    read = scan_phrases(base.select(document_key(F.col("doc_id"), F.col("text")).alias("doc"),
+                                    words(F.col("text")).alias("w")), phrases)
+    # The one pass over the texts: what is found of each, and its spans.
+    facts = materialize(read.select("doc", F.size("w").cast("long").alias("n_words"), "n_base", "first_word", "last_word",
+                                    "base", spans(F.col("w"), vocabulary, longest, least).alias("spans")), "license-spans")
+    held = facts.select("doc", F.explode("spans").alias("span"))
+    met = similarity_join(held, templates, threshold)
     found = met.groupBy("doc").agg(F.collect_set("label").alias("more"), F.max("containment").alias("best"))
-    facts = scan_phrases(corpus.select("doc", words(F.col("text")).alias("w")), phrases).select(
-        "doc", F.size("w").cast("long").alias("n_words"), "n_base", "first_word", "last_word", "base")
-    out = facts.join(found, "doc", "left")
+    out = facts.drop("spans").join(found, "doc", "left")
     every = F.array_union("base", F.coalesce("more", F.array().cast("array<string>")))
     return out.select(
         F.col("doc.doc_id").alias("doc_id"), "n_words", "n_base", "first_word", "last_word",

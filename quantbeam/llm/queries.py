@@ -157,20 +157,21 @@ def op4_sql(shards: int = 24) -> str:
 
 
 def op5_sql(threshold: float = 0.8) -> str:
-    templates = ", ".join(f"('{label}', {_listed(sorted(set(license_scan.WORD.findall(t.translate(license_scan.FOLD)))))})"
-                          for label, t in license_scan.TEMPLATES)
+    templates = []
+    for label, text in license_scan.TEMPLATES:
+        w = license_scan.template_words(text)
+        templates.append(f"('{label}', {len(w)}, {_listed(sorted(set(w)))})")
     places = " || ".join(
         "list_filter(range(len(w)), lambda i: " + " AND ".join(f"w[i + {k + 1}] = '{p}'" for k, p in enumerate(phrase.split()))
         + ")" for phrase in license_scan.PHRASES)
     labels = " || ".join(f"CASE WHEN contains(t, ' {phrase} ') THEN ['{label}'] ELSE []::VARCHAR[] END"
                          for phrase, label in license_scan.PHRASES.items())
     return f"""
-        WITH d AS (SELECT row_number() OVER () AS r, doc_id, text, {WORDS_SQL.format('text')} AS w FROM documents),
-        b AS (SELECT r, list_distinct({WORDS_SQL.format('line')}) AS w
-              FROM (SELECT r, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM d)),
-        m AS (SELECT r, label, len(list_intersect(w, held)) / len(held) AS c
-              FROM b, (VALUES {templates}) AS t(label, held)
-              WHERE len(list_intersect(w, held)) >= ceil(len(held) * {threshold} - 1e-9)),
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, {WORDS_SQL.format('text')} AS w FROM documents),
+        b AS (SELECT r, label, len(held) AS n, list_max(list_transform(range(1, len(w) + 1),
+                     lambda s: len(list_intersect(list_distinct(w[s:s + l - 1]), held)))) AS best
+              FROM d, (VALUES {', '.join(templates)}) AS t(label, l, held) WHERE len(list_intersect(w, held)) > 0),
+        m AS (SELECT r, label, best / n AS c FROM b WHERE best >= ceil(n * {threshold} - 1e-9)),
         g AS (SELECT r, list_distinct(list(label)) AS more, max(c) AS best FROM m GROUP BY r),
         p AS (SELECT r, doc_id, len(w) AS n_words, {places} AS places, {labels} AS base
               FROM (SELECT *, ' ' || array_to_string(w, ' ') || ' ' AS t FROM d))

@@ -157,30 +157,37 @@ def test_license_scan(spark, empty):
     r = got[1, 10]
     assert (r.n_base, r.first_word, r.last_word, r.base_labels, r.labels, r.score) == (2, 6, 8, "cc-by", "cc-by,mit", 1.0)
     assert got[2, 0].labels == "" and got[3, 0].first_word is None
-    assert got[4, 7].labels == "mit" and got[4, 10].labels == "cc-by,mit" and got[5, 5].labels == ""
+    assert got[4, 7].labels == "mit" and got[4, 10].labels == "cc-by,mit" and got[5, 5].labels == "mit"
     assert license_scan.scan(empty).count() == 0
 
 
-def test_wrapped_notices(spark, empty):
+def test_wrapped_notices(spark):
     texts = ["Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that",
              "word " * 40 + "This Source Code Form is subject to the terms of the Mozilla Public\n"
              "License, v. 2.0. If a copy of the MPL was not", "the license\nreleased under mit", None, "",
-             "mit\n" + "word " * 30 + "released under\n" + "word " * 30 + "the license"]
-    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = {r.doc_id: r for r in license_scan.scan(rows, wrapped=True).collect()}
-    assert [got[k].labels for k in range(len(texts))] == ["bsd", "mpl", "mit", "", "", ""]
+             "mit\n" + "word " * 30 + "released under\n" + "word " * 30 + "the license",
+             "word " * 50_000 + "Released\nunder\nthe\nMIT\nlicense" + " word" * 50_000]
+    rows = spark.createDataFrame([(k, t, [], "x") for k, t in enumerate(texts)],
+                                 "doc_id long, text string, spans array<string>, word string")
+    got = {r.doc_id: r for r in license_scan.scan(rows).collect()}
+    assert [got[k].labels for k in range(len(texts))] == ["bsd", "mpl", "mit", "", "", "", "mit"]
     assert got[0].score == 1.0 and abs(got[1].score - 10 / 11) < 1e-9
-    assert license_scan.scan(empty, wrapped=True).count() == 0
-    # For each text the best run, counted plainly.
+
+
+def test_best_blocks_against_every_place(spark):
     rnd, vocabulary = random.Random(11), ["released", "under", "the", "mit", "license", "x", "y", "\n"]
-    made_up = [(k, " ".join(rnd.choice(vocabulary) for _ in range(rnd.randrange(30)))) for k in range(80)]
-    template = (("mit", "released under the mit license"),)
-    got = {r.doc_id: r.labels for r in license_scan.scan(
-        spark.createDataFrame(made_up, "doc_id long, text string"), template, wrapped=True).collect()}
+    made_up = [(k, " ".join(rnd.choice(vocabulary) for _ in range(rnd.randrange(60)))) for k in range(120)]
+    templates = (("mit", "released under the mit license"), ("the", "the mit the license x y"))
+    got = {r.doc_id: (r.labels, r.score) for r in license_scan.scan(
+        spark.createDataFrame(made_up, "doc_id long, text string"), templates).collect()}
     for k, text in made_up:
-        w, held = text.split(), set(vocabulary[:5])
-        runs = [set(line.split()) for line in text.split("\n")] + [set(w[i:i + 5]) for i in range(len(w))]
-        assert got[k] == ("mit" if any(len(r & held) >= 4 for r in runs) else ""), text
+        w, met = text.split(), {}
+        for label, template in templates:
+            held, n = set(template.split()), len(template.split())
+            best = max((len(held & set(w[i:i + n])) for i in range(len(w))), default=0) / len(held)
+            if best >= 0.8:
+                met[label] = best
+        assert got[k] == (",".join(sorted(met)), max(met.values(), default=0.0)), text
 
 
 def plain_hits(text, items, window):
