@@ -4,26 +4,34 @@ A test item's *windows* are its runs of ``window`` consecutive words; an item
 with fewer words, but not none, is one window. The operator finds where windows
 occur in training texts:
 
-1. *Rarity*: count the corpus postings of every word of the test items.
-2. *Index*: each window's ``anchors`` are its rarest words, the rarest its
+1. *Words*: texts are split once, and their words written.
+2. *Rarity*: count the corpus postings of every word of the test items.
+3. *Index*: each window's ``anchors`` are its rarest words, the rarest its
    *pivot*. Postings ``(word, document, position)`` of the anchors are stored,
-   written once; words that are no window's anchor can decide no match. Postings
-   of pivots keep the words around them.
-3. *Intersection*: a posting of an anchor that stands ``p`` words into an item
+   written once; words that are no window's anchor can decide no match.
+4. *Intersection*: a posting of an anchor that stands ``p`` words into an item
    proposes that the item's words begin at ``position - p`` there. Windows whose
    anchors all propose the same beginning are the intersection of their
-   offset-adjusted lists. The few that are left are compared, word for word,
-   with the words around the pivot: exact phrases.
-4. *Proximity*: with ``slop`` > 0, other anchors may propose beginnings up to
-   ``slop`` words from the pivot's (words put in, left out or moved between
-   them); reported apart from phrases.
-
-All of it is DataFrame code. Windows are as many as the test items have words;
-they are broadcast only if counted below ``BROADCAST_ROWS``.
-
-Null or wordless texts have no words and no hits; rows are told apart by id
-and text, so equal rows have equal results. Items without an id count as the
-id ''. An empty benchmark contaminates nothing.
+   offset-adjusted lists.
+5. *Verification*: the words around the few beginnings that are left are fetched
+   from the written words. Windows that stand there word for word are *phrases*.
+   With ``slop`` > 0 a window is also matched *near*: its other anchors stand
+   within ``slop`` words of their places beside the pivot, and ``near_share`` of
+   its distinct words among as many words as it has and ``slop`` more to each
+   side (words put in, left out or moved). Phrases are near too.
+
+All of it is DataFrame code, the same at every size: no side of a join is
+broadcast by a hint; Spark does so where it knows that one is small in bytes.
+No join carries a text's words but that of verification, which adds them to what
+was proposed for the document and at once cuts them to the places proposed.
+
+Null, empty or wordless texts have no words and no hits. Very long texts are rows
+of words like others; their postings are rows of their own. Rows are told apart
+by id and text, so equal rows have equal results. Items without an id count as
+the id ''; equal items count once. Of equally rare words the first by the
+alphabet is taken. An empty benchmark contaminates nothing, an empty table gives
+an empty result. Columns other than ids and texts are not read, so their names
+cannot clash.
 """
 
 from __future__ import annotations
@@ -34,13 +42,6 @@ from pyspark.sql import functions as F
 from quantbeam.llm.base import pick, words
 from quantbeam.session import materialize
 
-BROADCAST_ROWS = 200_000
-
-
-def small(df: DataFrame, rows: int) -> DataFrame:
-    """Broadcast ``df`` if it has few rows by count; else let Spark choose."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
-
 
 def items_of(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
     """``(item, item_id, words)`` of the items with words, numbered."""
@@ -55,12 +56,12 @@ def document_key(doc_id: Column, text: Column) -> Column:
 
 
 def item_windows(items: DataFrame, corpus: DataFrame, window: int, count: int) -> DataFrame:
-    """``(item, at, n_words, anchors, pivot)``: each window with the places in
-    the item of its ``count`` rarest distinct words (ties by the word; the first
-    place of a word that comes again) and of the rarest of them."""
+    """``(item, at, n_words, anchors, pivot, terms)``: each window with the
+    places in the item of its ``count`` rarest distinct words (ties by the word;
+    the first place of a word that comes again) and of the rarest of them."""
     vocabulary = materialize(items.select(F.explode("words").alias("term")).distinct(), "vocabulary")
-    found = (corpus.select(F.explode("w").alias("term"))
-             .join(small(vocabulary, vocabulary.count()), "term").groupBy("term").agg(F.count("*").alias("n")))
+    found = (corpus.select(F.explode("w").alias("term")).join(vocabulary, "term")
+             .groupBy("term").agg(F.count("*").alias("n")))
     last = F.greatest(F.size("words") - window, F.lit(0))
     each = (items.select("item", "words", F.explode(F.sequence(F.lit(0), last)).alias("at"))
             .select("item", "at", F.posexplode(F.slice("words", F.col("at") + 1, window)).alias("k", "term")))
@@ -73,60 +74,76 @@ def item_windows(items: DataFrame, corpus: DataFrame, window: int, count: int) -
                     F.get("rare", F.lit(0))["place"].alias("pivot"), F.col("rare.term").alias("terms")))
 
 
-def build_index(corpus: DataFrame, windows: DataFrame, window: int) -> DataFrame:
-    """Postings of the anchors, written once: ``(term, doc, position, first,
-    around)``. ``around`` are the words from ``window - 1`` before a pivot to as
-    many after it, from position ``first`` on; null for other anchors."""
-    terms = windows.select(F.posexplode("terms").alias("rank", "term")).groupBy("term").agg(
-        (F.min("rank") == 0).alias("is_pivot"))
-    terms = materialize(terms, "anchor-terms")
-    posted = (corpus.select("doc", "w", F.posexplode("w").alias("position", "term"))
-              .join(small(terms, terms.count()), "term"))
-    first = F.greatest(F.col("position") - (window - 1), F.lit(0))
-    return materialize(posted.select(
-        "term", "doc", "position", first.alias("first"),
-        F.when(F.col("is_pivot"), F.slice("w", first + 1, F.lit(2 * window - 1))).alias("around")), "postings")
-
-
-def intersect(index: DataFrame, items: DataFrame, windows: DataFrame, slop: int = 0) -> DataFrame:
-    """``(doc, item_id, start, n_words, phrase)``: where documents hold a
-    window word for word, and with ``slop`` also where its anchors stand within
-    ``slop`` words of their places (``phrase`` false; ``start`` by the pivot)."""
-    n_windows = windows.count()
-    spots = windows.select("item", F.explode(F.arrays_zip("terms", "anchors")).alias("a"), "pivot").groupBy(
-        "item", F.col("a.terms").alias("term"), F.col("a.anchors").alias("place")).agg(
-        F.max(F.col("a.anchors") == F.col("pivot")).alias("is_pivot"))
-    lists = index.join(small(spots, n_windows), "term").select(
-        "doc", "item", "place", (F.col("position") - F.col("place")).alias("begin"), F.lit(0).alias("off"),
-        F.when(F.col("is_pivot"), F.struct("place", "first", "around")).alias("pivot_words"))
-    if slop:
-        others = lists.withColumn("off", F.explode(F.array(*[F.lit(k) for k in range(-slop, slop + 1) if k])))
-        lists = lists.unionByName(others.withColumns({
-            "begin": F.col("begin") + F.col("off"), "pivot_words": F.lit(None).cast(lists.schema["pivot_words"].dataType)}))
-    least = windows.groupBy("item").agg(F.min(F.size("anchors")).alias("least"))
+def build_index(corpus: DataFrame, windows: DataFrame) -> DataFrame:
+    """Postings of the anchors, written once: ``(term, doc, position)``."""
+    terms = materialize(windows.select(F.explode("terms").alias("term")).distinct(), "anchor-terms")
+    posted = corpus.select("doc", F.posexplode("w").alias("position", "term"))
+    return materialize(posted.join(terms, "term").select("term", "doc", "position"), "postings")
+
+
+def intersect(index: DataFrame, windows: DataFrame, slop: int = 0) -> DataFrame:
+    """``(doc, item, begin, ats)``: where an item's words may begin in a
+    document, and the windows (by ``at``) that are proposed there by all their
+    anchors, the pivot exactly and the others within ``slop`` words."""
+    spots = materialize(windows.select("item", F.explode(F.arrays_zip("terms", "anchors")).alias("a")).select(
+        "item", F.col("a.terms").alias("term"), F.col("a.anchors").alias("place")).distinct(), "spots")
+    offsets = F.array(*[F.lit(k) for k in range(-slop, slop + 1)])
+    lists = index.join(spots, "term").select("doc", "item", "place", F.explode(offsets).alias("off"),
+                                             (F.col("position") - F.col("place")).alias("begin"))
     # One item's beginnings in one document: as many places as it has words at most,
     # however often the row is repeated.
-    met = (lists.groupBy("doc", "item", "begin").agg(
-        F.collect_set("place").alias("near"), F.collect_set(F.when(F.col("off") == 0, F.col("place"))).alias("exact"),
-        F.collect_set("pivot_words").alias("pivots"))
-        .join(small(least, n_windows), "item").filter(F.size("near") >= F.col("least")).drop("least"))
-    listed = windows.join(items.select("item", "item_id", F.col("words").alias("item_words")), "item").select(
-        "item", "item_id", "at", "n_words", "anchors", "pivot",
-        F.slice("item_words", F.col("at") + 1, F.col("n_words")).alias("window_words"))
-    both = met.join(small(listed, n_windows), "item").filter(
-        F.array_contains("exact", F.col("pivot")) & (F.size(F.array_except("anchors", "near")) == 0))
-    start = F.col("begin") + F.col("at")
-    # get(): this may be evaluated before the filter above.
-    seen = F.get(F.filter("pivots", lambda x: x["place"] == F.col("pivot")), F.lit(0))
-    from_here = start - seen["first"]
-    phrase = (F.size(F.array_except("anchors", "exact")) == 0) & (from_here >= 0) & (
-        F.slice(seen["around"], F.greatest(from_here, F.lit(0)) + 1, F.col("n_words")) == F.col("window_words"))
-    found = both.select("doc", "item_id", start.alias("start"), "n_words", F.coalesce(phrase, F.lit(False)).alias("phrase"))
-    return found if slop else found.filter("phrase")
+    met = lists.groupBy("doc", "item", (F.col("begin") + F.col("off")).alias("begin")).agg(
+        F.collect_set("place").alias("near"), F.collect_set(F.when(F.col("off") == 0, F.col("place"))).alias("exact"))
+    listed = windows.groupBy("item").agg(F.collect_list(F.struct("at", "anchors", "pivot")).alias("listed"),
+                                         F.min(F.size("anchors")).alias("least"))
+    all_met = lambda x: F.array_contains("exact", x["pivot"]) & (F.size(F.array_except(x["anchors"], F.col("near"))) == 0)
+    ats = F.transform(F.filter("listed", all_met), lambda x: x["at"])
+    return (met.join(materialize(listed, "item-windows"), "item").filter(F.size("near") >= F.col("least"))
+            .select("doc", "item", "begin", ats.alias("ats")).filter(F.size("ats") > 0))
+
+
+def verify(proposed: DataFrame, items: DataFrame, corpus: DataFrame, window: int, slop: int, near_share: float) -> DataFrame:
+    """``(doc, item_id, start, n_words, phrase)``: the windows that stand where
+    they are proposed, word for word or near."""
+    def judged(at: Column) -> Column:
+        start, n = F.col("begin") + at, F.least(F.size("words"), F.lit(window))
+        held = F.slice("words", at + 1, n)
+        there = F.slice("w", F.greatest(start, F.lit(0)) + 1, n)
+        low, beyond = F.greatest(start - slop, F.lit(0)), start + n + slop
+        around = F.slice("w", low + 1, F.greatest(beyond - low, F.lit(0)))
+        distinct = F.array_distinct(held)
+        near = F.size(F.array_intersect(distinct, around)) >= near_share * F.size(distinct)
+        return F.struct(start.alias("start"), n.alias("n_words"), ((start >= 0) & (there == held)).alias("phrase"),
+                        near.alias("near"))
+
+    # Cut at once to the places proposed: no words go on.
+    proposed = materialize(proposed, "proposed")
+    listed = proposed.join(materialize(items.select("item", "item_id", "words"), "item-words"), "item")
+    seen = listed.join(corpus.select("doc", "w"), "doc").select("doc", "item_id", F.explode(
+        F.filter(F.transform("ats", judged), lambda x: x["phrase"] | (F.lit(slop > 0) & x["near"]))).alias("m"))
+    return seen.select("doc", "item_id", "m.start", "m.n_words", "m.phrase").distinct()
+
+
+def split_corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(doc, w)``: the words of every row, written once."""
+    base = pick(docs, id_col, text_col)
+    return materialize(base.select(document_key(F.col("doc_id"), F.col("text")).alias("doc"),
+                                   words(F.col("text")).alias("w")), "corpus-words")
+
+
+def matches(corpus: DataFrame, benchmark: DataFrame, window: int = 13, anchor_words: int = 2, slop: int = 0,
+            near_share: float = 0.8) -> DataFrame:
+    """``(doc, item_id, start, n_words, phrase)`` of all windows in the rows
+    of ``split_corpus``: phrases, and with ``slop`` those that are near
+    (``phrase`` false; ``start`` is by the pivot). Written once."""
+    items = materialize(items_of(benchmark), "items")
+    windows = materialize(item_windows(items, corpus, window, anchor_words), "windows")
+    proposed = intersect(build_index(corpus, windows), windows, slop)
+    return materialize(verify(proposed, items, corpus, window, slop, near_share), "found")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 13, anchor_words: int = 2, slop: int = 0,
-                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                  id_col: str = "doc_id", text_col: str = "text", near_share: float = 0.8) -> DataFrame:
     """Per document ``(doc_id, doc, n_words, n_hit, n_items, item_ids,
     items_sha256, n_near)``; ``doc`` tells equal ids apart.
 
@@ -134,11 +151,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 13, ancho
     are the items with such windows, sorted as text; ``n_near`` counts the
     items that have a window near (see ``slop``), phrases included.
     """
-    base = pick(docs, id_col, text_col)
-    corpus = base.select(document_key(F.col("doc_id"), F.col("text")).alias("doc"), words(F.col("text")).alias("w"))
-    items = materialize(items_of(benchmark), "items")
-    windows = materialize(item_windows(items, corpus, window, anchor_words), "windows")
-    found = materialize(intersect(build_index(corpus, windows, window), items, windows, slop).distinct(), "found")
+    corpus = split_corpus(docs, id_col, text_col)
+    found = matches(corpus, benchmark, window, anchor_words, slop, near_share)
 
     phrases = found.filter("phrase")
     # Words covered by the union of the phrases' places, per document.

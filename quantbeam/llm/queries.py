@@ -60,9 +60,10 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = decontamination.decontaminate(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    found = decontamination.decontaminate(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"),
+                                          slop=2)
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256",
-                        decontamination.contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"))
+                        decontamination.contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"), "n_near")
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -183,10 +184,10 @@ def op5_sql(threshold: float = 0.8) -> str:
         FROM p LEFT JOIN g USING (r)"""
 
 
-def op7_sql(window: int = 13) -> str:
+def op7_sql(window: int = 13, slop: int = 2, near_share: float = 0.8) -> str:
     return f"""
         WITH d AS (SELECT row_number() OVER () AS r, doc_id, {WORDS_SQL.format('text')} AS w FROM documents),
-        b AS (SELECT coalesce(item_id::VARCHAR, '') AS item_id, {WORDS_SQL.format('text')} AS w FROM benchmark),
+        b AS (SELECT DISTINCT coalesce(item_id::VARCHAR, '') AS item_id, {WORDS_SQL.format('text')} AS w FROM benchmark),
         bw AS (SELECT DISTINCT item_id, least({window}, len(w)) AS n, array_to_string(w[i:i + {window} - 1], ' ') AS k
                FROM (SELECT *, unnest(range(1, greatest(len(w) - {window}, 0) + 2)) AS i FROM b WHERE len(w) > 0)),
         dw AS (SELECT r, i, n, array_to_string(w[i:i + n - 1], ' ') AS k
@@ -195,11 +196,30 @@ def op7_sql(window: int = 13) -> str:
         m AS (SELECT DISTINCT r, i, n, item_id FROM dw JOIN bw USING (n, k)),
         h AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM m) GROUP BY r),
         t AS (SELECT r, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
-              FROM (SELECT DISTINCT r, item_id FROM m) GROUP BY r)
+              FROM (SELECT DISTINCT r, item_id FROM m) GROUP BY r),
+        c AS MATERIALIZED (SELECT r, unnest(w) AS term, unnest(range(len(w))) AS i FROM d),
+        f AS (SELECT term, count(*) AS n FROM c GROUP BY term),
+        x AS (SELECT item_id, split(k, ' ') AS held, n FROM bw),
+        y AS (SELECT item_id, held, n, term, min(place) AS place
+              FROM (SELECT *, unnest(held) AS term, unnest(range(n)) AS place FROM x) GROUP BY ALL),
+        a AS MATERIALIZED (
+              SELECT y.item_id, held, y.n, term, place, row_number() OVER (
+                PARTITION BY y.item_id, held ORDER BY coalesce(f.n, 0), term) AS rank
+              FROM y LEFT JOIN f USING (term) QUALIFY rank <= 2),
+        e AS (SELECT c.r, p.item_id, p.held, p.n, c.i - p.place AS start, c.i AS at, q.term AS other, q.place AS other_place
+              FROM a p JOIN c ON c.term = p.term LEFT JOIN a q ON q.item_id = p.item_id AND q.held = p.held AND q.rank = 2
+              WHERE p.rank = 1),
+        g AS (SELECT DISTINCT e.r, e.item_id, e.held, e.n, e.start FROM e LEFT JOIN c ON c.r = e.r AND c.term = e.other
+              WHERE e.other IS NULL OR abs(c.i - e.start - e.other_place) <= {slop}),
+        z AS (SELECT r, count(DISTINCT item_id) AS n_near FROM (
+                SELECT g.*, list_distinct(held) AS words,
+                       w[greatest(start - {slop}, 0) + 1:greatest(start + g.n + {slop}, 0)] AS around FROM g JOIN d USING (r))
+              WHERE len(list_intersect(words, around)) >= {near_share} * len(words) GROUP BY r)
         SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
                coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
-               coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
-        FROM d LEFT JOIN h USING (r) LEFT JOIN t USING (r)"""
+               coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated,
+               coalesce(n_near, 0)::BIGINT AS n_near
+        FROM d LEFT JOIN h USING (r) LEFT JOIN t USING (r) LEFT JOIN z USING (r)"""
 
 
 def op11_sql() -> str:

@@ -204,28 +204,85 @@ def plain_hits(text, items, window):
     return len(words), len(hit), sorted(met)
 
 
+def plain_near(texts, items, window, count, slop, share):
+    """``(text, item_id)`` of windows near, by definition."""
+    find = license_scan.WORD.findall
+    corpus = [find((t or "").translate(license_scan.FOLD)) for _, t in texts]
+    rarity, met = collections.Counter(x for w in corpus for x in w), set()
+    for item_id, item in items:
+        words = find((item or "").translate(license_scan.FOLD))
+        n = min(window, len(words))
+        for k in range(len(words) - n + 1 if n else 0):
+            held = words[k:k + n]
+            anchors = sorted({(rarity[x], x, held.index(x)) for x in held})[:count]
+            for r, w in enumerate(corpus):
+                for at in (i for i, x in enumerate(w) if x == anchors[0][1]):
+                    start = at - anchors[0][2]
+                    near = all(any(abs(j - start - p) <= slop for j, y in enumerate(w) if y == x) for _, x, p in anchors[1:])
+                    around = set(w[max(0, start - slop):max(0, start + n + slop)])
+                    if near and len(set(held) & around) >= share * len(set(held)):
+                        met.add((r, str(item_id)))
+    return met
+
+
 def test_decontamination_against_every_place(spark, empty):
     rnd = random.Random(6)
     vocabulary = ["a", "b", "C", "d", "é"]
     items = [(k, " ".join(rnd.choice(vocabulary) for _ in range(rnd.randrange(9)))) for k in range(12)] + [(99, None)]
     texts = [(k, ", ".join(rnd.choice(vocabulary) for _ in range(rnd.randrange(60)))) for k in range(30)]
-    texts += [(None, None), (3, "a b"), (3, "a b")]
+    texts += [(None, None), (3, "a b"), (3, "a b"), (None, "a b C d é a b C d é"), (40, "x " * 20_000 + items[1][1])]
     bench = spark.createDataFrame(items, "item_id long, text string")
-    got = decontamination.decontaminate(spark.createDataFrame(texts, "doc_id long, text string"), bench, window=5)
-    assert collections.Counter((r.doc_id, r.n_words, r.n_hit, *r.item_ids) for r in got.collect()) == collections.Counter(
-        (i, n, h, *met) for i, t in texts for n, h, met in [plain_hits(t, items, 5)])
+    docs = spark.createDataFrame([(i, t, 1, ["x"], "y", "z") for i, t in texts],
+                                 "doc_id long, text string, item int, w array<string>, words string, term string")
+    want = collections.Counter((i, n, h, *met) for i, t in texts for n, h, met in [plain_hits(t, items, 5)])
+    for slop in (0, 1):
+        got = decontamination.decontaminate(docs, bench, window=5, slop=slop).collect()
+        assert collections.Counter((r.doc_id, r.n_words, r.n_hit, *r.item_ids) for r in got) == want
+    near = collections.Counter(r for r, _ in plain_near(texts, items, 5, 2, 1, 0.8))
+    assert collections.Counter((r.doc_id, r.n_words, r.n_near) for r in got) == collections.Counter(
+        (i, plain_hits(t, [], 5)[0], near[k]) for k, (i, t) in enumerate(texts))
     assert decontamination.decontaminate(empty, bench).count() == 0
-    assert decontamination.decontaminate(spark.createDataFrame(texts, "doc_id long, text string"),
-                                         bench.limit(0)).agg(F.sum("n_hit")).first()[0] == 0
+    assert decontamination.decontaminate(docs, bench.limit(0)).agg(F.sum("n_hit")).first()[0] == 0
+
+
+def test_decontamination_is_one_plan_of_few_bytes(spark):
+    """Without any broadcast the result is the same, and no shuffle carries a
+    text once for each of its words."""
+    rnd = random.Random(7)
+    texts = [(k, " ".join(rnd.choice("abcdefghij") + str(rnd.randrange(40)) for _ in range(3000))) for k in range(20)]
+    items = [(k, " ".join(texts[k][1].split()[50:90])) for k in range(5)]
+    docs, bench = spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    read = lambda: sorted((r.doc_id, r.n_hit, r.n_near, *r.item_ids)
+                          for r in decontamination.decontaminate(docs, bench, slop=1).collect())
+    want, sizes = read(), {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold",
+                                                          "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    try:
+        for k in sizes:
+            spark.conf.set(k, "-1")
+        assert read() == want and sum(r[1] for r in want) == 200
+        corpus = decontamination.split_corpus(docs)
+        items_ = decontamination.items_of(bench)
+        windows = decontamination.item_windows(items_, corpus, 13, 2)
+        posted = corpus.select("doc", F.posexplode("w").alias("position", "term"))
+        assert posted.columns == ["doc", "position", "term"]
+        index = decontamination.build_index(corpus, windows)
+        assert index.columns == ["term", "doc", "position"]
+        assert index.count() < 20 * 3000 / 2
+    finally:
+        for k, v in sizes.items():
+            spark.conf.set(k, v)
 
 
 def test_proximity(spark):
     item = "alpha beta gamma delta epsilon"
-    rows = spark.createDataFrame([(1, item), (2, "alpha beta new gamma delta epsilon"), (3, "epsilon x x x alpha")],
-                                 "doc_id long, text string")
+    rows = spark.createDataFrame([(1, item), (2, "alpha beta new gamma delta epsilon"), (3, "epsilon x x x alpha"),
+                                  (4, "x beta alpha gamma delta x")], "doc_id long, text string")
     bench = spark.createDataFrame([(1, item)], "item_id long, text string")
-    got = {r.doc_id: (r.n_items, r.n_near) for r in decontamination.decontaminate(rows, bench, 13, 5, slop=1).collect()}
-    assert got == {1: (1, 1), 2: (0, 1), 3: (0, 0)}
+    got = {r.doc_id: (r.n_items, r.n_near) for r in decontamination.decontaminate(rows, bench, 13, 3, slop=1).collect()}
+    assert got == {1: (1, 1), 2: (0, 1), 3: (0, 0), 4: (0, 0)}
+    found = decontamination.matches(decontamination.split_corpus(rows), bench, slop=1, anchor_words=3)
+    assert {(r.doc.doc_id, r.item_id, r.n_words, r.phrase) for r in found.collect()} == {
+        (1, "1", 5, True), (2, "1", 5, False)}
 
 
 def test_quality_counts():
