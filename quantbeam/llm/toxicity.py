@@ -1,119 +1,198 @@
 """Toxicity: a linear classifier over character n-grams scaled by naive Bayes
 log-count ratios.
 
-1. *Counts*, over all training rows: for each hashed n-gram, how many texts of
-   either label have it. Tasks add up their own texts; at most one row per
-   bucket reaches the driver.
+1. *Counts*, over all training rows: for each n-gram, how many texts of either
+   label have it. Tasks add up their own texts, Spark sums by n-gram. N-grams are
+   told apart by 64-bit hashes, so that their number follows the corpus.
 2. *Ratios*: the log of the n-gram's smoothed share among label 1 over that
-   among label 0. The ``features`` n-grams whose ratio is most standard errors
-   from 0 are kept.
-3. *Fit*: logistic regression on (present or not) * ratio, on a sample of at
-   most ``fit_rows`` training rows, half of either label if there are as many;
-   the intercept is then moved from the sample's odds to the corpus's. The
-   sample is chosen by a hash of the id, and holds at most
-   ``fit_rows * features`` bytes times four on the driver.
-4. *Scores*: the model is one array of ``2 ** bits`` weights, sent to tasks.
-
-Null and empty texts have no n-grams and get the score of the intercept.
-Training rows with a null label or text teach nothing; without rows of both
-labels every score is the smoothed share of label 1. Equal rows are counted
-each. An empty table gives an empty result.
+   among label 0. Every n-gram counts whose ratio is ``least_ratio`` from 0 and
+   significant: by the likelihood-ratio test of its four counts, at a level that
+   goes down with the number of n-grams tested. These alone reach the driver.
+3. *Windows*: a text is read in windows of ``span`` characters that overlap by
+   half. A window's margin is the sum of the weights of the n-grams that are
+   present in it; a text's margin is its greatest. So a passage weighs the same
+   in a short text and in one of any length, and clean text beside it nothing.
+4. *Fit*: logistic regression on (present or not) * ratio of the window that
+   the ratios alone point to, on a sample of at most ``fit_rows`` training rows,
+   half of either label if there are as many; the intercept is then moved from
+   the sample's odds to the corpus's. The sample is chosen by a hash of id and
+   text; of each row the driver holds the numbers of one window's n-grams.
+
+Null and empty texts have no n-grams and get the score of the intercept. Very
+long texts have more windows, one after another in a task. Training rows with a
+null label or text teach nothing; without rows of both labels every score is the
+smoothed share of label 1. Equal rows are counted each, and scored alike; of
+windows with equal margins the first is taken. An empty table gives an empty
+result. Columns other than those named are not read, so their names cannot clash.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import math
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quantbeam.llm.base import bounded_sample, importable, pick
+from quantbeam.session import materialize
 
 SIZES = (3, 4, 5)
-BITS = 18
+SPAN = 2000
+#: N-grams that a task holds before it hands their counts on.
+FLUSH = 1_500_000
+#: Places of the table that rules out most n-grams before they are looked up.
+SIEVE = 1 << 20
 
 
-def ngrams(text: str, sizes: tuple[int, ...] = SIZES, bits: int = BITS) -> np.ndarray:
-    """Buckets of the n-grams of the lower-cased text, framed by spaces,
-    distinct and ascending."""
-    points = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "surrogatepass"), np.uint32)
-    seen = np.zeros(1 << bits, bool) if len(points) > 4096 else None
-    found = []
-    mixed = np.zeros(len(points), np.uint32)
+def hashed(text: str, sizes: tuple[int, ...] = SIZES):
+    """For each size, the 64-bit hashes of the n-grams that begin at each
+    place of the lower-cased text, framed by spaces."""
+    points = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    mixed = np.zeros(len(points), np.uint64)
     for n in range(1, max(sizes) + 1):
         if len(points) < n:
-            break
+            return
         # Horner's rule over the n characters from each place on.
-        mixed = mixed[:len(points) - n + 1] * np.uint32(0x01000193) + points[n - 1:]
+        mixed = mixed[:len(points) - n + 1] * np.uint64(0x9E3779B97F4A7C15) + points[n - 1:] + np.uint64(n)
         if n in sizes:
-            spread = (mixed ^ (mixed >> np.uint32(15))) * np.uint32(0x9E3779B1) + np.uint32(n * 0x85EBCA6B & 0xFFFFFFFF)
-            bucket = (spread * np.uint32(0xC2B2AE35)) >> np.uint32(32 - bits)
-            if seen is None:
-                found.append(bucket)
-            else:
-                seen[bucket] = True
-    if seen is not None:
-        return np.flatnonzero(seen).astype(np.uint32)
-    return np.unique(np.concatenate(found)) if found else np.empty(0, np.uint32)
+            spread = (mixed ^ (mixed >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+            yield n, (spread ^ (spread >> np.uint64(29))).view(np.int64)
+
+
+def distinct_ngrams(text: str) -> np.ndarray:
+    found = [h for _, h in hashed(text)]
+    return np.unique(np.concatenate(found)) if found else np.empty(0, np.int64)
 
 
 @dataclass
 class Model:
-    """``weights`` by bucket, and the intercept."""
+    """``keys``: hashes of the n-grams that count, ascending, with ``weights``."""
+    keys: np.ndarray
     weights: np.ndarray
     intercept: float
+    span: int = SPAN
+    _sieve: np.ndarray | None = field(default=None, repr=False, compare=False)
+
+    def __getstate__(self):
+        return self.__dict__ | {"_sieve": None}
+
+    def hits(self, text: str) -> tuple[np.ndarray, np.ndarray, int]:
+        """``(window, number of the n-gram)`` pairs, distinct, by window; and
+        how many windows the text has."""
+        if self._sieve is None:
+            self._sieve = np.zeros(SIEVE, bool)
+            self._sieve[self.keys & (SIEVE - 1)] = True
+        places, numbers = [], []
+        for _, h in hashed(text):
+            maybe = np.flatnonzero(self._sieve[h & (SIEVE - 1)])
+            if len(maybe):
+                at = np.minimum(np.searchsorted(self.keys, h[maybe]), len(self.keys) - 1)
+                same = self.keys[at] == h[maybe]
+                places.append(maybe[same])
+                numbers.append(at[same])
+        half = self.span // 2
+        windows = max(1, -(-(len(text) + 2) // half) - 1)
+        if not places:
+            return np.empty(0, np.int64), np.empty(0, np.int64), windows
+        place, number = np.concatenate(places) // half, np.concatenate(numbers)
+        # A place lies in the window that begins in its half, and the one before.
+        window = np.concatenate([place, place - 1])
+        pair = (window * len(self.keys) + np.tile(number, 2))[(window >= 0) & (window < windows)]
+        pair = np.unique(pair)
+        return pair // len(self.keys), pair % len(self.keys), windows
+
+    def best_window(self, text: str | None) -> tuple[float, np.ndarray]:
+        """The greatest sum of weights of a window, and its n-grams."""
+        if not text or not len(self.keys):
+            return 0.0, np.empty(0, np.int64)
+        window, number, n = self.hits(text)
+        sums = np.bincount(window, self.weights[number], minlength=n)
+        best = int(sums.argmax())
+        return float(sums[best]), number[window == best]
 
     def score(self, text: str | None) -> float:
-        margin = self.intercept + float(self.weights[ngrams(text)].sum()) if text else self.intercept
-        return float(1.0 / (1.0 + np.exp(-np.clip(margin, -500, 500))))
+        return float(1.0 / (1.0 + np.exp(-np.clip(self.intercept + self.best_window(text)[0], -500, 500))))
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, keep=None) -> DataFrame:
     """``(doc_id, text, y)`` of labelled texts; ``keep`` is a condition on
     ``doc_id``."""
-    y = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y"))
+    y = label_ids(labels, label, keep)
     rows = pick(docs).filter(F.col("text").isNotNull())
     if keep is not None:
-        y, rows = y.filter(keep), rows.filter(keep)
+        rows = rows.filter(keep)
     # Labels grow with the documents: one plan at every size, no broadcast.
-    return rows.hint("merge").join(y.filter(F.col("y").isin(0, 1)), "doc_id")
+    return rows.hint("merge").join(y, "doc_id")
 
 
-def count_ngrams(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Texts by bucket (label 0, label 1) and by label."""
+def label_ids(labels: DataFrame, label: str, keep=None) -> DataFrame:
+    y = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y"))
+    return (y if keep is None else y.filter(keep)).filter(F.col("y").isin(0, 1))
+
+
+def count_ngrams(rows: DataFrame) -> DataFrame:
+    """``(gram, zero, one)``: texts of either label that have the n-gram; of
+    the gram null: all texts."""
     def count(batches):
-        seen, n = np.zeros((2, 1 << BITS), np.int64), np.zeros(2, np.int64)
+        held = np.empty(0, np.int64), np.empty((2, 0), np.int64)
+        waiting, size, texts = ([], []), 0, np.zeros(2, np.int64)
+
+        def added(held):
+            """``held`` and the counts of the texts that wait."""
+            for y in (0, 1):
+                if waiting[y]:
+                    gram, n = np.unique(np.concatenate(waiting[y]), return_counts=True)
+                    both, place = np.unique(np.concatenate([held[0], gram]), return_inverse=True)
+                    sums = np.zeros((2, len(both)), np.int64)
+                    sums[:, place[:len(held[0])]] = held[1]
+                    sums[y, place[len(held[0]):]] += n
+                    held = both, sums
+                    waiting[y].clear()
+            return held
+
+        def handed(held):
+            return pa.record_batch({"gram": pa.array(held[0]), "zero": pa.array(held[1][0]), "one": pa.array(held[1][1])})
+
         for batch in batches:
             for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                seen[y, ngrams(text)] += 1
-                n[y] += 1
-        bucket = np.flatnonzero(seen.any(axis=0))
-        yield pa.record_batch({"bucket": pa.array(np.append(bucket, -1)), "zero": pa.array(np.append(seen[0, bucket], n[0])),
-                               "one": pa.array(np.append(seen[1, bucket], n[1]))})
-
-    total = (rows.select("text", "y").mapInArrow(count, "bucket long, zero long, one long")
-             .groupBy("bucket").agg(F.sum("zero").alias("zero"), F.sum("one").alias("one"))).toPandas()
-    seen, n = np.zeros((2, 1 << BITS), np.int64), np.zeros(2, np.int64)
-    at, pair = total["bucket"].to_numpy(np.int64), total[["zero", "one"]].to_numpy(np.int64).T
-    seen[:, at[at >= 0]] = pair[:, at >= 0]
-    if (at < 0).any():
-        n = pair[:, at < 0][:, 0]
-    return seen, n
-
-
-def log_ratios(seen: np.ndarray, n: np.ndarray, features: int, smooth: float = 1.0) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets kept and their ratios."""
-    c = seen + smooth
-    share = c / (n[:, None] + 2 * smooth)
-    ratio = np.log(share[1]) - np.log(share[0])
-    # The standard error of a log ratio of counts.
-    z = np.abs(ratio) / np.sqrt((1 / c).sum(axis=0))
-    z[seen.sum(axis=0) == 0] = 0
-    kept = np.sort(np.argsort(-z, kind="stable")[:features])
-    kept = kept[z[kept] > 0]
-    return kept, ratio[kept]
+                texts[y] += 1
+                waiting[y].append(distinct_ngrams(text))
+                size += len(waiting[y][-1])
+                if size > FLUSH:
+                    held, size = added(held), 0
+                    if len(held[0]) > FLUSH:
+                        yield handed(held)
+                        held = np.empty(0, np.int64), np.empty((2, 0), np.int64)
+        yield handed(added(held))
+        yield pa.record_batch({"gram": pa.array([None], pa.int64()), "zero": pa.array(texts[:1]), "one": pa.array(texts[1:])})
+
+    return (rows.select("text", "y").mapInArrow(count, "gram long, zero long, one long")
+            .groupBy("gram").agg(F.sum("zero").alias("zero"), F.sum("one").alias("one")))
+
+
+def log_ratio(zero: Column, one: Column, n0: int, n1: int) -> Column:
+    return F.log((one + 1) / (n1 + 2.0)) - F.log((zero + 1) / (n0 + 2.0))
+
+
+def likelihood_ratio(zero: Column, one: Column, n0: int, n1: int) -> Column:
+    """Twice the log likelihood ratio of the four counts against an n-gram
+    that is as frequent in both labels."""
+    share = (zero + one) / float(n0 + n1)
+    part = lambda n, expected: F.when(n > 0, n * F.log(n / expected)).otherwise(0.0)
+    return 2 * (part(one, share * n1) + part(zero, share * n0)
+                + part(n1 - one, (1 - share) * n1) + part(n0 - zero, (1 - share) * n0))
+
+
+def significant(counted: DataFrame, n0: int, n1: int, grams: int, least_ratio: float) -> DataFrame:
+    """``(gram, ratio)`` of the n-grams that count. Among ``grams`` n-grams
+    without meaning, a test above ``2 ln(grams)`` is met by about one."""
+    zero, one = F.col("zero"), F.col("one")
+    ratio = log_ratio(zero, one, n0, n1)
+    return (counted.filter("gram is not null").withColumn("ratio", ratio).filter(F.abs("ratio") >= least_ratio)
+            .filter(likelihood_ratio(zero, one, n0, n1) > 2 * math.log(max(grams, 2))).select("gram", "ratio"))
 
 
 def fit_logistic(x_at: np.ndarray, x_row: np.ndarray, x_value: np.ndarray, y: np.ndarray, width: int,
@@ -131,49 +210,51 @@ def fit_logistic(x_at: np.ndarray, x_row: np.ndarray, x_value: np.ndarray, y: np
     return theta[:-1], float(theta[-1])
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", keep=None, features: int = 1 << 12,
-          fit_rows: int = 4000) -> Model:
-    """Fit the model on the labelled rows whose id meets ``keep``."""
-    importable(docs.sparkSession)
-    rows = training_rows(docs, labels, label, keep)
-    seen, n = count_ngrams(rows)
-    prior = (n[1] + 1) / (n.sum() + 2)
-    weights = np.zeros(1 << BITS, np.float32)
-    odds = np.log(prior / (1 - prior))
-    if not n.all():
-        return Model(weights, float(odds))
-    kept, ratio = log_ratios(seen, n, features)
-    place = np.full(1 << BITS, -1, np.int32)
-    place[kept] = np.arange(len(kept), dtype=np.int32)
-
-    ids = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y"))
-    if keep is not None:
-        ids = ids.filter(keep)
-    # At most fit_rows ids, by hash: a bound that the caller sets.
-    chosen = None
-    for y in (0, 1):
-        part = bounded_sample(ids.filter(F.col("y") == y), "doc_id", fit_rows // 2)
-        chosen = part if chosen is None else chosen.unionByName(part)
-    texts = pick(docs).filter(F.col("text").isNotNull()).join(F.broadcast(chosen.distinct()), "doc_id")
-
-    def present(batches):
+def sampled_windows(docs: DataFrame, labels: DataFrame, label: str, keep, fit_rows: int, ratios) -> list[tuple[np.ndarray, int]]:
+    """``(n-grams of the best window, y)`` of at most ``fit_rows`` training
+    rows, whatever ids are repeated."""
+    ids, half = label_ids(labels, label, keep), fit_rows // 2
+    # At most fit_rows ids: a bound that the caller sets.
+    parts = [bounded_sample(ids.filter(F.col("y") == y).distinct(), "doc_id", half) for y in (0, 1)]
+    rows = pick(docs).filter(F.col("text").isNotNull()).join(F.broadcast(parts[0].unionByName(parts[1])), "doc_id")
+
+    def windows(batches):
+        model = ratios.value
         for batch in batches:
-            out = []
-            for text in batch.column(0).to_pylist():
-                at = place[ngrams(text)]
-                out.append(at[at >= 0].tobytes())
-            yield pa.record_batch({"at": pa.array(out, pa.binary()), "y": batch.column(1)})
-
-    sample = texts.select("text", "y").mapInArrow(present, "at binary, y int").toPandas()
-    if sample.empty or sample["y"].nunique() < 2:
-        return Model(weights, float(odds))
-    at = [np.frombuffer(b, np.int32) for b in sample["at"]]
-    x_row, x_at = np.repeat(np.arange(len(at)), list(map(len, at))), np.concatenate(at)
-    y = sample["y"].to_numpy(float)
-    theta, intercept = fit_logistic(x_at, x_row, ratio[x_at], y, len(kept))
-    weights[kept] = theta * ratio
+            found = [model.best_window(t)[1].astype(np.int32).tobytes() for t in batch.column(0).to_pylist()]
+            yield pa.record_batch([pa.array(found, pa.binary()), batch.column(1), batch.column(2)], names=["at", "y", "mixed"])
+
+    read = rows.select("text", "y", F.xxhash64("doc_id", "text").alias("mixed")).mapInArrow(
+        windows, "at binary, y int, mixed long")
+    # Rows of one id may be many: the bound holds for rows.
+    return [(np.frombuffer(r["at"], np.int32), y) for y in (0, 1)
+            for r in read.filter(F.col("y") == y).orderBy("mixed", "at").limit(half).collect()]
+
+
+def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", keep=None, fit_rows: int = 4000,
+          span: int = SPAN, least_ratio: float = 0.5) -> Model:
+    """Fit the model on the labelled rows whose id meets ``keep``."""
+    spark = docs.sparkSession
+    importable(spark)
+    counted = materialize(count_ngrams(training_rows(docs, labels, label, keep)), "ngram-counts")
+    totals = counted.filter("gram is null").first()
+    n0, n1 = (totals.zero, totals.one) if totals else (0, 0)
+    prior = (n1 + 1) / (n0 + n1 + 2)
+    odds = math.log(prior / (1 - prior))
+    nothing = Model(np.empty(0, np.int64), np.empty(0), odds, span)
+    if not n0 or not n1:
+        return nothing
+    kept = significant(counted, n0, n1, counted.count() - 1, least_ratio).toPandas().sort_values("gram")
+    ratios = Model(kept["gram"].to_numpy(np.int64), kept["ratio"].to_numpy(float), 0.0, span)
+    sample = sampled_windows(docs, labels, label, keep, fit_rows, spark.sparkContext.broadcast(ratios))
+    y = np.array([y for _, y in sample], float)
+    if len(set(y)) < 2:
+        return nothing
+    x_row = np.repeat(np.arange(len(sample)), [len(at) for at, _ in sample])
+    x_at = np.concatenate([at for at, _ in sample]).astype(np.int64)
+    theta, intercept = fit_logistic(x_at, x_row, ratios.weights[x_at], y, len(ratios.keys))
     share = (y.sum() + 1) / (len(y) + 2)
-    return Model(weights, float(intercept + odds - np.log(share / (1 - share))))
+    return Model(ratios.keys, theta * ratios.weights, float(intercept + odds - np.log(share / (1 - share))), span)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

@@ -325,6 +325,89 @@ def test_language_and_toxicity_on_held_out_rows(spark, empty):
     assert got.agg(F.avg(((F.col("score") >= 0.5).cast("int") == F.col("toxic")).cast("int"))).first()[0] > 0.95
     assert 0 <= model.score(None) == model.score("") < 0.5
     assert 0 < toxicity.train(empty, labels).score("any") < 1
+    assert toxicity.score(empty, model).count() == 0
+
+
+def plain_grams(text):
+    """All 3-, 4- and 5-grams of the lower-cased text framed by spaces."""
+    t = f" {text.lower()} "
+    return {t[k:k + n] for n in (3, 4, 5) for k in range(len(t) - n + 1)}
+
+
+def one_hash(gram):
+    """The hash of one n-gram as the operator finds it in a text."""
+    framed = dict(toxicity.hashed("x" + gram + "x", (len(gram),)))
+    return int(framed[len(gram)][2])
+
+
+def test_toxicity_counts_ratios_and_scores(spark):
+    rnd = random.Random(31)
+    word = lambda y: rnd.choice(["vile", "rotten"]) if y and rnd.random() < 0.3 else "".join(rnd.choice("abcd") for _ in range(4))
+    rows = [(k, " ".join(word(k % 3 == 0) for _ in range(rnd.randrange(5, 60)))) for k in range(150)]
+    rows += [(200, None), (201, ""), (202, "no label"), (0, "a second text of an id"), (None, "vile")]
+    labels = [(k, int(k % 3 == 0)) for k in range(150)] + [(200, 1), (201, 0), (203, 1), (204, None), (None, 1), (5, 0)]
+    docs = spark.createDataFrame([(i, t, 1, 2, "x") for i, t in rows], "doc_id long, text string, y int, gram long, keys string")
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int")
+    used = [(t, y) for i, t in rows if t is not None and i is not None for j, y in labels if i == j and y is not None]
+    n = collections.Counter(y for _, y in used)
+    seen = collections.Counter((g, y) for t, y in used for g in plain_grams(t))
+    grams = {g for g, _ in seen}
+    counted = toxicity.count_ngrams(toxicity.training_rows(docs, marks, "toxic")).collect()
+    got = {r.gram: (r.zero, r.one) for r in counted}
+    assert got.pop(None) == (n[0], n[1])
+    assert got == {one_hash(g): (seen[g, 0], seen[g, 1]) for g in grams}
+
+    def part(a, expected):
+        return a * np.log(a / expected) if a else 0.0
+
+    ratios = {}
+    for g in grams:
+        b, a = seen[g, 0], seen[g, 1]
+        share = (a + b) / (n[0] + n[1])
+        test = 2 * (part(a, share * n[1]) + part(b, share * n[0]) + part(n[1] - a, (1 - share) * n[1])
+                    + part(n[0] - b, (1 - share) * n[0]))
+        ratio = np.log((a + 1) / (n[1] + 2)) - np.log((b + 1) / (n[0] + 2))
+        if abs(ratio) >= 0.5 and test > 2 * np.log(len(grams)):
+            ratios[g] = ratio
+    model = toxicity.train(docs, marks, span=40)
+    assert model.keys.tolist() == sorted(map(one_hash, ratios)) and any("vile" in g for g in ratios)
+    weight = {g: model.weights[model.keys.searchsorted(one_hash(g))] for g in ratios}
+    scored = toxicity.score(docs, model).collect()
+    assert len(scored) == len(rows)
+    want = []
+    for i, t in rows:
+        framed, best = f" {(t or '').lower()} ", []
+        for a in range(0, max(1, len(framed) - 20), 20):
+            # The n-grams that begin in a window.
+            inside = {framed[k:k + m] for m in (3, 4, 5) for k in range(a, min(a + 40, len(framed) - m + 1))}
+            best.append(sum(weight[g] for g in inside & set(ratios)))
+        want.append((i, round(1 / (1 + np.exp(-model.intercept - (max(best) if t else 0))), 9)))
+    assert collections.Counter((r.doc_id, round(r.score, 9)) for r in scored) == collections.Counter(want)
+    assert all(0 <= r.score <= 1 for r in scored)
+
+
+def test_toxicity_does_not_depend_on_length(spark):
+    rnd = random.Random(32)
+    prose = lambda n: " ".join("".join(rnd.choice("etaoinshrdlu") for _ in range(rnd.randrange(2, 9))) for _ in range(n))
+    insult = lambda: "".join(f" {prose(12)} {rnd.choice(['vile moron', 'rotten scum'])}" for _ in range(5))
+    rows = [(k, prose(200) + (insult() if k % 3 == 0 else "") + prose(rnd.randrange(400))) for k in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.train(docs, docs.selectExpr("doc_id", "cast(doc_id % 3 = 0 as int) as toxic"))
+    clean = prose(60_000)
+    assert len(clean) > 300_000 and model.score(clean) < 0.5
+    for at in (0, 100_001, len(clean)):
+        assert model.score(clean[:at] + insult() + " " + clean[at:]) >= 0.5
+
+
+def test_toxicity_sample_is_bounded_in_rows(spark):
+    docs = spark.range(400).selectExpr("id % 20 as doc_id", "concat('text number ', id) as text")
+    labels = spark.range(20).selectExpr("id as doc_id", "cast(id % 2 as int) as toxic")
+    ratios = spark.sparkContext.broadcast(toxicity.Model(np.empty(0, np.int64), np.empty(0), 0.0))
+    for fit_rows, want in ((10, 10), (100, 100), (1000, 400)):
+        found = toxicity.sampled_windows(docs, labels, "toxic", None, fit_rows, ratios)
+        assert len(found) == want and sum(y for _, y in found) == want // 2
+    repeated = docs.selectExpr("doc_id", "'same' as text")
+    assert len(toxicity.sampled_windows(repeated, labels, "toxic", None, 100, ratios)) == 100
 
 
 def plain_language(rows, text):
