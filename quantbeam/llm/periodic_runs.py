@@ -8,9 +8,10 @@ Method, by scale. Periods are taken by octaves, ``2**k <= q < 2**(k+1)``. For
 each octave a text is covered by overlapping tiles with a boundary every
 ``S = 2**(k+1)`` words, each reaching S back and 3 S ahead:
 
-1. ``tiles``: a row per tile whose boundary can lie in a run of the octave:
-   its next words stand again fewer than S words later, and its first word a
-   third time fewer than 2 S words later.
+1. ``tiles``: those whose boundary can lie in a run of the octave: its next
+   words stand again fewer than S words later, its first word a third time fewer
+   than 2 S words later, and the tile has no period below the octave. Tiles that
+   follow one another make a strip, a row of bounded size.
 2. ``fragments``: each tile by itself. Z-functions from its boundary, of the
    words after it and, reversed, of those before it, give for every period of
    the octave how far to both sides words q apart are equal. Stretches that end
@@ -27,10 +28,10 @@ than ``max(q, GRAM)`` of them after it. Tiles reach S back, to the boundary
 before, and are read for ``S + max(q, GRAM)`` ahead, beyond the one after it; so
 the fragments of one run touch. Why a divisor can be seen in a tile: a fragment
 spans at least 2 q words, and if those have a period that divides q, so has all
-that q goes on in.
+that q goes on in. A tile that has a period d below the octave has no fragment
+of its own: of 2 q words with periods d and q the common divisor is a period.
 
-Tiles are rows of their own, spread by document, octave and boundary, so that a
-very long text is solved by many tasks. A text gives O(n log n) words of tiles
+Strips are spread by document, octave and boundary, so that a very long text is solved by many tasks. A text gives O(n log n) words of tiles
 at most, and next to none if nothing repeats; a text without a live tile has no
 run and takes no part in the shuffles.
 
@@ -58,12 +59,14 @@ from quantbeam.session import materialize
 #: Words after a boundary that must stand again for its tile to be made; fewer
 #: in octaves of shorter periods.
 GRAM = 8
+#: Words that the tiles of a strip advance over at most, if more than one.
+STRIP_WORDS = 1 << 14
 #: Bytes of tiles that are handed on at once.
 TILE_BYTES = 1 << 22
 
 KEY = ["doc_id", "text_hash"]
 #: Tiles, and with no octave the texts that have some.
-TILES = "doc_id long, text_hash long, octave int, boundary long, back int, words binary, text string"
+TILES = "doc_id long, text_hash long, octave int, boundary long, n_tiles int, back int, words binary, text string"
 FRAGMENTS = "doc_id long, text_hash long, period long, first long, beyond long"
 COLLAPSED = ("doc_id long, n_words long, runs array<struct<start:long,length:long,period:long>>, "
              "top struct<start:long,length:long,period:long>, collapsed string")
@@ -86,12 +89,13 @@ def _next_same(names: np.ndarray) -> np.ndarray:
 
 def live_boundaries(codes: np.ndarray, min_exponent: int):
     """``(octave, boundaries)``: places at multiples of S whose next words,
-    ``min(2**octave, GRAM)`` of them, stand again fewer than S words later, and
-    whose first word stands a third time fewer than 2 S words later."""
+    ``min(2**octave, GRAM)`` of them, stand again fewer than S words later,
+    whose first word stands a third time fewer than 2 S words later, and whose
+    tile has no shorter period that its first word shows."""
     n, grams, names = len(codes), 1, codes.astype(np.int64)
     ahead = _next_same(names)
     beyond = np.append(ahead, 2 * n + 1)
-    third = beyond[np.minimum(ahead, n)]
+    third, again = beyond[np.minimum(ahead, n)], ahead
     octave = 0
     while min_exponent << octave <= n:
         if grams < min(1 << octave, GRAM):
@@ -103,6 +107,7 @@ def live_boundaries(codes: np.ndarray, min_exponent: int):
         span = 2 << octave
         at = np.arange(0, len(ahead), span)
         at = at[(ahead[at] - at < span) & (third[at] - at < 2 * span)]
+        at = at[~_has_shorter_period(codes, at, again[at] - at, span)]
         if len(at):
             yield octave, at
         elif not (ahead <= n).any():
@@ -110,6 +115,27 @@ def live_boundaries(codes: np.ndarray, min_exponent: int):
         octave += 1
 
 
+def _has_shorter_period(codes: np.ndarray, at: np.ndarray, apart: np.ndarray, span: int) -> np.ndarray:
+    """Whether the whole tile of each boundary has the period ``apart``, and
+    that is below the octave."""
+    low, high = np.maximum(at - span, 0), np.minimum(at + 3 * span, len(codes))
+    found = np.zeros(len(at), bool)
+    for d in np.unique(apart[apart < span // 2]).tolist():
+        here = np.flatnonzero(apart == d)
+        equal = np.concatenate([[0], np.cumsum(codes[:-d] == codes[d:])])
+        last = np.maximum(high[here] - d, low[here])
+        found[here] = equal[last] - equal[low[here]] == last - low[here]
+    return found
+
+
+def strips(boundaries: np.ndarray, span: int):
+    """``(first boundary, number)`` of boundaries that follow one another."""
+    most = max(1, STRIP_WORDS // span)
+    for part in np.split(boundaries, np.flatnonzero(np.diff(boundaries) != span) + 1):
+        for k in range(0, len(part), most):
+            yield int(part[k]), min(most, len(part) - k)
+
+
 def z_function(words: list[int], upto: int) -> list[int]:
     """For each place below ``upto``, how many words from there on equal
     those from the beginning on."""
@@ -176,8 +202,8 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def tiles(docs: DataFrame, min_exponent: int = 4) -> DataFrame:
-    """A row for each tile that can hold part of a run; ``words`` are numbers
-    that are equal where the words are. And a row for each text with tiles."""
+    """A row for each strip of tiles that can hold part of a run; ``words`` are
+    numbers that are equal where the words are. And a row for each text with tiles."""
     importable(docs.sparkSession)
 
     def run(batches):
@@ -187,17 +213,17 @@ def tiles(docs: DataFrame, min_exponent: int = 4) -> DataFrame:
                 codes, any_tile = numbered(split_words(text)), False
                 for octave, boundaries in live_boundaries(codes, min_exponent):
                     span = 2 << octave
-                    for b in boundaries.tolist():
+                    for b, n in strips(boundaries, span):
                         low = max(0, b - span)
-                        part = codes[low:b + 3 * span].tobytes()
-                        made.append((doc_id, text_hash, octave, b, b - low, part, None))
+                        part = codes[low:b + (n + 2) * span].tobytes()
+                        made.append((doc_id, text_hash, octave, b, n, b - low, part, None))
                         size += len(part) + 64
                         any_tile = True
                         if size >= TILE_BYTES:
                             yield _rows(made, TILES)
                             made, size = [], 0
                 if any_tile:
-                    made.append((doc_id, text_hash, None, None, None, None, text))
+                    made.append((doc_id, text_hash, None, None, None, None, None, text))
                     size += len(text)
         if made:
             yield _rows(made, TILES)
@@ -224,16 +250,20 @@ def fragments(tiled: DataFrame, min_exponent: int = 4) -> DataFrame:
     def run(batches):
         for batch in batches:
             ongoing, done = {}, []
-            for doc_id, text_hash, octave, b, back, words in zip(*(batch.column(k).to_pylist() for k in range(6))):
-                for q, l, r in solve(np.frombuffer(words, np.int32).tolist(), back, octave, min_exponent):
-                    key = (doc_id, text_hash, q)
-                    have = ongoing.get(key)
-                    if have and have[0] <= b - l <= have[1]:
-                        ongoing[key] = (have[0], max(have[1], b + r))
-                        continue
-                    if have:
-                        done.append((*key, *have))
-                    ongoing[key] = (b - l, b + r)
+            for doc_id, text_hash, octave, first, n, back, words in zip(*(batch.column(k).to_pylist() for k in range(7))):
+                words, span = np.frombuffer(words, np.int32).tolist(), 2 << octave
+                for b in range(first, first + n * span, span):
+                    at = b - first + back
+                    low = max(0, at - span)
+                    for q, l, r in solve(words[low:at + 3 * span], at - low, octave, min_exponent):
+                        key = (doc_id, text_hash, q)
+                        have = ongoing.get(key)
+                        if have and have[0] <= b - l <= have[1]:
+                            ongoing[key] = (have[0], max(have[1], b + r))
+                            continue
+                        if have:
+                            done.append((*key, *have))
+                        ongoing[key] = (b - l, b + r)
             done += [(*key, *have) for key, have in ongoing.items()]
             if done:
                 yield _rows(done, FRAGMENTS)
@@ -314,7 +344,9 @@ def collapse(texts: DataFrame, runs: DataFrame) -> DataFrame:
     listed = runs.groupBy(*KEY).agg(F.sort_array(F.collect_list(F.struct("start", "period", "length"))).alias("runs"))
     listed = listed.withColumn("runs", F.transform("runs", lambda r: F.struct(r["start"], r["length"], r["period"])))
     same = [F.col(f"d.{k}").eqNullSafe(F.col(f"r.{k}")) for k in KEY]
-    joined = texts.alias("d").join(listed.alias("r"), same[0] & same[1], "left").select("d.doc_id", "d.text", "r.runs")
+    # Runs grow with the documents: one plan at every size, no broadcast.
+    joined = texts.alias("d").join(listed.alias("r").hint("merge"), same[0] & same[1], "left").select(
+        "d.doc_id", "d.text", "r.runs")
 
     def run(batches):
         for batch in batches:
