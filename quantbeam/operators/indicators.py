@@ -92,30 +92,21 @@ def _value(name: str, p: int) -> Column:
         s_before, n_before = (F.coalesce(F.lag(v, p).over(w), F.lit(0)) for v in (s_now, n_now))
         return F.when(in_win & (i >= p - 1) & (n_now - n_before == p), ((s_now - s_before) / F.lit(p)).cast(DEC))
     if name == "ema":
-        a = 2.0 / (p + 1)
-        q = 1.0 - a
-        known, gap = _known_before(p)
-        c, s = F.col(f"_steps_{p}"), F.col(f"_gaps_{p}")
-        shrink = F.pow(F.lit(q), -c) * F.exp(-s)
-        weight = F.when(gap == 1, F.lit(a)).otherwise(F.lit(a) / (F.pow(F.lit(q), gap) + F.lit(a)))
-        term = F.when(~in_win | x.isNull(), F.lit(0.0)).when(~known, x).otherwise(weight * x * shrink)
-        total = F.pow(F.lit(q), c) * F.exp(s) * F.sum(term).over(run)
+        q, c, s = 1.0 - 2.0 / (p + 1), F.col(f"_steps_{p}"), F.col(f"_gaps_{p}")
+        total = F.pow(F.lit(q), c) * F.exp(s) * F.sum(_ema_term(p)).over(run)
         return F.when(in_win & (F.col("_filled_rn") <= fetch_len(p)), total.cast(DEC))
     if name == "rsi":
-        r = 1.0 - 1.0 / p
-        use = in_win & (i >= 1) & F.col("_d").isNotNull()
-        scale = F.pow(F.lit(r), -i)
-        up = F.sum(F.when(use, F.greatest(F.col("_d"), F.lit(0.0)) * scale).otherwise(F.lit(0.0))).over(run)
-        tot = F.sum(F.when(use, F.abs(F.col("_d")) * scale).otherwise(F.lit(0.0))).over(run)
-        n = F.count(F.when(use, F.lit(1))).over(run)
+        use, up, change = _rsi_terms(p)
+        up, tot, n = F.sum(up).over(run), F.sum(change).over(run), F.count(F.when(use, F.lit(1))).over(run)
         return F.when(in_win & (n >= p), (F.lit(100.0) * F.try_divide(up, F.nullif(tot, F.lit(0.0)))).cast(DEC))
     if name == "volatility":
         # The p rows themselves, not differences of running squares, which one
         # extreme return would cancel out; at most 1.5 p rows are left of a token.
-        last_p = w.rowsBetween(-(p - 1), 0)
-        ret = F.when(in_win & _known_before(p)[0], F.col("_ret"))
-        sd = F.stddev_samp(ret).over(last_p)
-        return F.when(in_win & (F.count(ret).over(last_p) == p), (sd * F.lit(ANNUALISATION ** 0.5)).cast(DEC))
+        ret = _window_return(p)
+        sd = F.stddev_samp(ret).over(w.rowsBetween(-(p - 1), 0))
+        n_now = F.count(ret).over(run)
+        known = n_now - F.coalesce(F.lag(n_now, p).over(w), F.lit(0))
+        return F.when(in_win & (known == p), (sd * F.lit(ANNUALISATION ** 0.5)).cast(DEC))
     raise ValueError(f"unsupported indicator {name}")
 
 
@@ -124,6 +115,54 @@ def _known_before(p: int) -> tuple[Column, Column]:
     return (F.coalesce(F.col("_prev_rn") <= fetch_len(p), F.lit(False)), F.col("_prev_rn") - F.col("rn"))
 
 
+def _window_return(p: int) -> Column:
+    """The return inside the config's fetch window."""
+    return F.when(_cfg_cols("volatility", p)[0] & _known_before(p)[0], F.col("_ret"))
+
+
+def _newest_value(name: str, p: int) -> Column:
+    """The value of ``_value`` on a token's newest bar, as an aggregate over its
+    prepared bars: sums over ranks, without frames. Running counts and sums of
+    the preparation never fall (or, logs of gaps, never rise), so their values on
+    the newest bar are their greatest (least)."""
+    x, (in_win, i) = F.col("_x"), _cfg_cols(name, p)
+    enough, last_p = F.max("n_all") >= p, F.col("rn") <= p
+    count = lambda c: F.count(F.when(c, F.lit(1)))
+    if name == "sma":
+        return F.when(enough & (count(last_p & x.isNotNull()) == p),
+                      (F.sum(F.when(last_p, F.col("close"))) / F.lit(p)).cast(DEC))
+    if name == "ema":
+        q = 1.0 - 2.0 / (p + 1)
+        total = F.pow(F.lit(q), F.max(f"_steps_{p}")) * F.exp(F.min(f"_gaps_{p}")) * F.sum(_ema_term(p))
+        return F.when(enough & (count(in_win & x.isNotNull()) > 0), total.cast(DEC))
+    if name == "rsi":
+        use, up, change = _rsi_terms(p)
+        value = F.lit(100.0) * F.try_divide(F.sum(up), F.nullif(F.sum(change), F.lit(0.0)))
+        return F.when(enough & (count(use) >= p), value.cast(DEC))
+    if name == "volatility":
+        ret = F.when(last_p, _window_return(p))
+        return F.when(enough & (F.count(ret) == p), (F.stddev_samp(ret) * F.lit(ANNUALISATION ** 0.5)).cast(DEC))
+    raise ValueError(f"unsupported indicator {name}")
+
+
+def _ema_term(p: int) -> Column:
+    """A bar's part of the EMA's sum, before it shrinks to the newest bar."""
+    a = 2.0 / (p + 1)
+    q, x, in_win = 1.0 - a, F.col("_x"), _cfg_cols("ema", p)[0]
+    known, gap = _known_before(p)
+    shrink = F.pow(F.lit(q), -F.col(f"_steps_{p}")) * F.exp(-F.col(f"_gaps_{p}"))
+    weight = F.when(gap == 1, F.lit(a)).otherwise(F.lit(a) / (F.pow(F.lit(q), gap) + F.lit(a)))
+    return F.when(~in_win | x.isNull(), F.lit(0.0)).when(~known, x).otherwise(weight * x * shrink)
+
+
+def _rsi_terms(p: int) -> tuple[Column, Column, Column]:
+    """(is there a change in the window, the rise, the change), weighted."""
+    in_win, i = _cfg_cols("rsi", p)
+    use, scale = in_win & (i >= 1) & F.col("_d").isNotNull(), F.pow(F.lit(1.0 - 1.0 / p), -i)
+    return (use, F.when(use, F.greatest(F.col("_d"), F.lit(0.0)) * scale).otherwise(F.lit(0.0)),
+            F.when(use, F.abs(F.col("_d")) * scale).otherwise(F.lit(0.0)))
+
+
 def daily_return(bars: DataFrame) -> DataFrame:
     """pct_change of close per token, oldest first: NULL on the first bar and
     on a zero close; a missing close counts as the one before."""
@@ -219,13 +258,21 @@ def indicators_wide_from_long(tm_equity: DataFrame, bars: DataFrame, long: DataF
 
 def latest_indicator_values(bars: DataFrame, configs: Iterable[tuple[str, int]] = ALL_CONFIGS) -> DataFrame:
     """Newest bar of every token with the value of every indicator there.
-    The values are those of ``indicators_long``; only the newest row of a
-    token leaves the window, so no long rows, pivot or second shuffle."""
+    The values are those of ``indicators_long``; one aggregate over the prepared
+    bars, which lie by token already: no frames, long rows or second shuffle."""
     configs = list(configs)
-    vals = _prepared(bars, configs).select(
-        "token", "rn", F.to_date("timestamp").alias("trade_date"), *[_value(n, p).alias(f"{n}_{p}") for n, p in configs],
-        F.col("close").alias("last_close"), F.col("volume").alias("last_volume"))
-    return vals.where(F.col("rn") == 1).drop("rn")
+    newest = lambda c: F.max_by(c, "timestamp")
+    return _prepared(bars, configs).groupBy("token").agg(
+        F.to_date(F.max("timestamp")).alias("trade_date"), *[_newest_value(n, p).alias(f"{n}_{p}") for n, p in configs],
+        newest("close").alias("last_close"), newest("volume").alias("last_volume"))
+
+
+def indicators_as_of(bars: DataFrame, as_of, configs: Iterable[tuple[str, int]] = ALL_CONFIGS) -> DataFrame:
+    """The long table as it was computed when the newest bar was that of
+    ``as_of``. EMA and RSI start at the oldest bar of the fetch window, so their
+    values on a day depend on the day of the computation; a table that is upserted
+    by key, snapshot after snapshot, keeps the latest computation of each."""
+    return indicators_long(bars.where(F.col("timestamp") <= F.lit(as_of).cast("timestamp_ntz")), configs)
 
 
 def lookup_indicator_value(long: DataFrame, token: str, name: str, period: int) -> DataFrame:

@@ -33,7 +33,8 @@ def min_expiry(df: DataFrame) -> DataFrame:
 
 
 def distinct_expiries(df: DataFrame) -> DataFrame:
-    return df.select("expiry").distinct()
+    """The expiry texts, sorted."""
+    return df.select("expiry").distinct().orderBy("expiry")
 
 
 def nearest_expiry(df: DataFrame) -> DataFrame:

@@ -81,7 +81,7 @@ def export_market_summary(spark: SparkSession, token_table: str, ticks_table: st
     if "trade_date" in ticks.columns:
         ticks = ticks.drop("trade_date")
     wide = spark.read.parquet(wide_table)
-    return sinks.export_parquet(sm.market_summary(tm, ticks, wide), out_path)
+    return sinks.export_summary(sm.market_summary(tm, ticks, wide), out_path)
 
 
 def table_paths(root: str) -> dict[str, str]:

@@ -40,6 +40,15 @@ select case when e.event_type in ('view', 'error') then 'NSE' else 'NFO' end as
        e.props as depth_json, e.ts as timestamp
 from events e join underlyings u on e.user_id = u.uid""")
 
+_add("option_ticks", ["underlyings"], """
+select kind || cast(part as varchar) || '_' || cast(user_id as varchar) as symbol_token, ltp, timestamp from (
+  select user_id, case event_type when 'click' then 'CE' when 'signup' then 'PE' end as kind,
+         user_id + (select count(*) from underlyings where uid is not null) * (event_id % 4) as part,
+         cast(value as decimal(18,6)) as ltp, ts as timestamp
+  from events where user_id is not null)
+where kind is not null""")
+
+
 def bars_sql(where: str = "true") -> str:
     """Daily bars of the lines that meet ``where``."""
     order = "l_orderkey*1000000000 + l_linenumber*100000000 + l_partkey"

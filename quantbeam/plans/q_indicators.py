@@ -16,7 +16,7 @@ register("ranked_bars", ["bars"], """
 select *, row_number() over (partition by token order by timestamp desc) as rn from bars""")
 
 
-def _branch_sql(name: str, p: int) -> str:
+def _branch_sql(name: str, p: int, ranked: str = "ranked_bars") -> str:
     """One indicator over its fetch window. ``prev_i``: index of the last known
     close before the row; ``filled``: the last known close."""
     k = ind.fetch_len(p)
@@ -24,7 +24,7 @@ def _branch_sql(name: str, p: int) -> str:
     run = f"over ({w} rows between unbounded preceding and current row)"
     last_p = f"over ({w} rows between {p - 1} preceding and current row)"
     source = f"""(select *, cast(close as double) as x, count(*) over (partition by token) as n,
-       count(*) over (partition by token) - rn as i from ranked_bars where rn <= {k})"""
+       count(*) over (partition by token) - rn as i from {ranked} where rn <= {k})"""
     if name == "sma":
         v = f"case when count(x) {last_p} = {p} then avg(close) {last_p} end"
     elif name == "ema":
@@ -55,8 +55,8 @@ from {source}
 where n >= {p}"""
 
 
-def _long_sql(configs) -> str:
-    parts = [f"select * from ({_branch_sql(n, p)}) where value is not null" for n, p in configs]
+def _long_sql(configs, ranked: str = "ranked_bars") -> str:
+    parts = [f"select * from ({_branch_sql(n, p, ranked)}) where value is not null" for n, p in configs]
     return "\nunion all\n".join(parts)
 
 
@@ -99,6 +99,26 @@ def q_indicators_long(spark, d):
     return ind.indicators_long(_bars(spark, d))
 
 
+AS_OF = ["1996-12-31", "1998-06-30"]
+for _k, _day in enumerate(AS_OF):
+    register(f"ranked_as_of_{_k}", ["bars"], f"""
+select *, row_number() over (partition by token order by timestamp desc) as rn from bars
+where timestamp <= timestamp '{_day}'""")
+    register(f"long_as_of_{_k}", [f"ranked_as_of_{_k}"], _long_sql(ind.ALL_CONFIGS, f"ranked_as_of_{_k}"))
+
+
+@query("indicators_as_of", with_ctes("long_as_of_0", "long_as_of_1") + """
+select * from long_as_of_1
+union all
+select o.* from long_as_of_0 o anti join long_as_of_1 n on o.token = n.token
+  and o.indicator_name = n.indicator_name and o.period = n.period and o.timestamp = n.timestamp""")
+def q_indicators_as_of(spark, d):
+    """Two snapshots, one after the other, in the table that holds them by key."""
+    from quantbeam.operators.upserts import upsert_indicators
+    older, newer = (ind.indicators_as_of(_bars(spark, d), day) for day in AS_OF)
+    return upsert_indicators(older, newer)
+
+
 @query("daily_return", with_ctes("bars") + """
 select token, timestamp, filled / nullif(lag(filled) over (partition by token order by timestamp), 0.0) - 1.0
          as daily_return

@@ -19,10 +19,10 @@ from quantbeam.operators import upserts as up
 from quantbeam.operators.filters import rows_as_json
 from quantbeam.plans.catalog import query
 from quantbeam.plans.oracle_ctes import bars_sql, register, with_ctes
-from quantbeam.plans.q_summary import _MS, _ms_cols, build_market_summary
+from quantbeam.plans.q_summary import _MS, _ms_cols, build_market_summary, stored_summary
 from quantbeam.functions.scalars import FEED_TIME_FORMAT
-from quantbeam.schemas import (DEC, DEPTH, REALTIME_MARKET_DATA, TICK_COLUMNS, TOKEN_MASTER_COLUMNS,
-                               WIDE_INDICATOR_COLUMNS)
+from quantbeam.schemas import (DEC, DEPTH, MARKET_SUMMARY, REALTIME_MARKET_DATA, TICK_COLUMNS, TOKEN_MASTER,
+                               TOKEN_MASTER_COLUMNS, WIDE_INDICATOR_COLUMNS)
 from quantbeam.sources import adapters, landing, sinks
 from quantbeam.sources.tables import read_table
 from quantbeam.streaming import ticks_stream as st
@@ -323,10 +323,24 @@ def q_quote_field_map(spark, d):
     return landing.quote_field_map(texts, ts_col="timestamp")
 
 
+@query("scalar_depth_json", with_ctes("quotes") + """
+select symbol_token, timestamp, depth_json, cast(json_extract(depth_json, '$.buy[0].price') as double) as price,
+       cast(json_extract(depth_json, '$.buy[0].quantity') as bigint) as quantity,
+       case when depth_json <> '{}' then cast(json_array_length(depth_json, '$.sell') as bigint) end as n_sell from quotes""")
+def q_scalar_depth_json(spark, d):
+    """Depth as it is delivered -> text ('{}' without one) -> depth again."""
+    rows = landing.quote_field_map(_quotes(spark, d).select(_quote().alias("q"), "timestamp").select("q.*", "timestamp"),
+                                   ts_col="timestamp")
+    best = F.get("depth.buy", F.lit(0))
+    return landing.depth_from_json(rows).select(
+        "symbol_token", "timestamp", "depth_json", best["price"].alias("price"), best["quantity"].alias("quantity"),
+        F.when(F.col("depth.sell").isNotNull(), F.size("depth.sell")).cast("bigint").alias("n_sell"))
+
+
 @query("sink_parquet_export", _MS + f"select {_ms_cols()} from market_summary")
 def q_sink_parquet_export(spark, d):
     path = sinks.scratch_path(spark, "market_summary")
-    if not sinks.export_parquet(build_market_summary(spark, d), path):
+    if not sinks.export_summary(build_market_summary(spark, d), path):
         raise RuntimeError("market summary is empty; export refused")
     return sinks.read_snapshot(spark, path)
 
@@ -334,17 +348,17 @@ def q_sink_parquet_export(spark, d):
 @query("src_parquet_snapshot", _MS + f"""
 select {_ms_cols()} from market_summary where ltp >= 20 and sma_200_position <> 'ABOVE_SMA200'""")
 def q_src_parquet_snapshot(spark, d):
-    path = sinks.scratch_path(spark, "market_summary")
-    sinks.export_parquet(build_market_summary(spark, d), path)
-    snap = sinks.read_snapshot(spark, path)
+    snap = sinks.read_snapshot(spark, stored_summary(spark, d))
     return snap.where((F.col("ltp") >= 20) & (F.col("sma_200_position") != "ABOVE_SMA200"))
 
 
-@query("snapshot_verify", _MS + "select true as readable, count(*) as row_count from market_summary")
+@query("snapshot_verify", _MS + """
+select true as readable, count(*) as row_count, true as schema_matches, false as other_matches from market_summary""")
 def q_snapshot_verify(spark, d):
-    path = sinks.scratch_path(spark, "market_summary")
-    sinks.export_parquet(build_market_summary(spark, d), path)
-    return sinks.snapshot_verify(spark, path).drop("path")
+    path = stored_summary(spark, d)
+    other = sinks.snapshot_verify(spark, path, TOKEN_MASTER).select(F.col("schema_matches").alias("other_matches"))
+    found = sinks.snapshot_verify(spark, path, MARKET_SUMMARY).drop("path")
+    return found.withColumn("other_matches", other.scalar())
 
 
 @query("sink_sql_to_parquet", with_ctes("rel") + """
@@ -374,7 +388,6 @@ def q_sink_full_refresh(spark, d):
 
 @query("truncate_table", with_ctes("token_master") + "select token from token_master where false")
 def q_truncate_table(spark, d):
-    from quantbeam.schemas import TOKEN_MASTER
     path = sinks.scratch_path(spark, "token_master")
     sinks.full_refresh(tk.build_token_master(adapters.raw_instruments(spark, d)).select(*TOKEN_MASTER_COLUMNS),
                        path)
@@ -492,7 +505,7 @@ def q_stream_export_summary(spark, d):
         bars = adapters.bars(sp, d)
         wide = ind.indicators_wide(tm.where(F.col("token_type") == tk.TYPE_EQUITY), bars)
         ticks = sp.read.parquet(table).drop("trade_date")
-        sinks.export_parquet(market_summary(tm, ticks, wide), os.path.join(out, f"batch={batch_id}"))
+        sinks.export_summary(market_summary(tm, ticks, wide), os.path.join(out, f"batch={batch_id}"))
 
     q = st.start_tick_append(spark, landing_dir, table, os.path.basename(table), trigger="availableNow",
                              session_start="00:00:00", session_end="23:59:59", on_batch=export)

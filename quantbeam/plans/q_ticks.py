@@ -185,11 +185,3 @@ def scalar_parse_feed_time(spark, d):
     t = _ticks(spark, d)
     text = F.date_format("timestamp", FEED_TIME_FORMAT)
     return t.select("symbol_token", "timestamp", parse_feed_time(text).alias("feed_time"))
-
-
-@query("scalar_depth_json", _T + """
-select symbol_token, timestamp, cast(json_extract(depth_json, '$.k') as bigint) as k from ticks""")
-def scalar_depth_json(spark, d):
-    t = _ticks(spark, d)
-    parsed = F.from_json("depth_json", "k bigint")
-    return t.select("symbol_token", "timestamp", parsed["k"].alias("k"))

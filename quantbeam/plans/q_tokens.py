@@ -9,7 +9,8 @@ from quantbeam.operators import atm, tokens as tk
 from quantbeam.operators import ticks as ticks_ops
 from quantbeam.plans.catalog import query
 from quantbeam.plans.oracle_ctes import register, with_ctes
-from quantbeam.sources import adapters
+from quantbeam.session import scratch_path
+from quantbeam.sources import adapters, tick_store
 
 _EXP = "cast(try_strptime(expiry, '%d%b%Y') as date)"
 _INT = "try_cast(try_cast(lotsize as decimal(38,6)) as integer)"
@@ -85,10 +86,13 @@ def q_min_expiry(spark, d):
 
 
 @query("distinct_expiries", with_ctes("raw_instruments") + """
-select instrumenttype, expiry from raw_instruments where exch_seg = 'NFO' group by all""")
+select expiry, row_number() over (order by expiry) as place
+from (select distinct expiry from raw_instruments where exch_seg = 'NFO')""")
 def q_distinct_expiries(spark, d):
-    r = _raw(spark, d).where(F.col("exch_seg") == "NFO")
-    return r.select("instrumenttype", "expiry").distinct()
+    """The sorted expiries with their places; there are as many as months listed."""
+    from pyspark.sql import Window
+    found = tk.distinct_expiries(_raw(spark, d).where(F.col("exch_seg") == "NFO"))
+    return found.withColumn("place", F.row_number().over(Window.orderBy("expiry")).cast("bigint"))
 
 
 @query("nearest_expiry", with_ctes("opt_raw") + f"""
@@ -297,6 +301,96 @@ def q_atm_two_pass(spark, d):
     return atm.atm_two_pass(tm, t, strike_buffer=1)
 
 
+_FETCH = "select token, name, exch_seg, token_type from"
+_EQUITY = "(select * from token_master where token_type = 'EQUITY' {})"
+_BY_STRIKE = "order by name, strike nulls first, expiry nulls first, token limit"
+
+
+def _futures_quotes(spark, d):
+    return ticks_ops.filter_future_symbols(ticks_ops.filter_exchange(adapters.ticks(spark, d, with_week52=False), "NFO"))
+
+
+@query("atm_two_pass_limited", with_ctes("token_master", "near_atm") + f"""
+{_FETCH} {_EQUITY.format('order by token limit 7')}
+union all {_FETCH} (select * from near_atm {_BY_STRIKE} 25)""")
+def q_atm_two_pass_limited(spark, d):
+    return atm.atm_two_pass(_tm(spark, d), _futures_quotes(spark, d), equity_limit=7, options_limit=25)
+
+
+@query("atm_two_pass_all_options", with_ctes("token_master") + f"""
+{_FETCH} {_EQUITY.format('')} union all {_FETCH} (select * from token_master where token_type = 'OPTIONS' {_BY_STRIKE} 40)""")
+def q_atm_two_pass_all_options(spark, d):
+    return atm.atm_two_pass(_tm(spark, d), _futures_quotes(spark, d), atm_only=False, options_limit=40)
+
+
+@query("atm_two_pass_no_futures", with_ctes("token_master") + f"""
+{_FETCH} {_EQUITY.format('')} union all {_FETCH} (select * from token_master where token_type = 'OPTIONS')""")
+def q_atm_two_pass_no_futures(spark, d):
+    """No quote of a future came in: all options are asked for."""
+    return atm.atm_two_pass(_tm(spark, d), _futures_quotes(spark, d).where("ltp is null"))
+
+
+register("first_futures", ["token_master"], "select token, name from token_master where token_type = 'FUTURES' order by token limit 5")
+
+
+@query("atm_two_pass_few_futures", with_ctes("token_master", "ticks", "first_futures") + f""",
+few as (select f.name, max_by(t.ltp, (t.timestamp, t.symbol_token)) as futures_price
+        from (select * from ticks where exchange = 'NFO' and trading_symbol like '%FUT') t
+        join first_futures f on t.symbol_token = f.token group by f.name)
+{_FETCH} {_EQUITY.format('')} union all
+{_FETCH} (select o.* from token_master o join few p on o.name = p.name where o.token_type = 'OPTIONS'
+          and o.strike is not null and abs(p.futures_price - o.strike) <= 2 * {_DIST})""")
+def q_atm_two_pass_few_futures(spark, d):
+    return atm.atm_two_pass(_tm(spark, d), _futures_quotes(spark, d), strike_buffer=2, futures_limit=5)
+
+
+@query("second_pass_ticks", with_ctes("token_master", "near_atm", "ticks", "option_ticks") + f""",
+wanted as (select token from {_EQUITY.format('order by token limit 7')}
+           union select token from (select * from near_atm {_BY_STRIKE} 25))
+select symbol_token, cast(ltp as double) as ltp, timestamp from (
+  select symbol_token, ltp, timestamp from ticks union all select symbol_token, ltp, timestamp from option_ticks)
+where symbol_token in (select token from wanted)""")
+def q_second_pass_ticks(spark, d):
+    """The stored quotes of the tokens that the second pass asks for."""
+    path = scratch_path(spark, "tick-store")
+    stored = adapters.ticks(spark, d, with_week52=False).unionByName(adapters.option_ticks(spark, d))
+    tick_store.write_ticks(stored, path)
+    wanted = atm.atm_two_pass(_tm(spark, d), _futures_quotes(spark, d), equity_limit=7, options_limit=25)
+    return tick_store.ticks_of(spark, path, wanted).select("symbol_token", "ltp", "timestamp")
+
+
+def _with_digits(df):
+    """Every other name begins with a digit, as some listed names do."""
+    return df.withColumn("name", F.when(F.length("name") % 2 == 0, F.concat(F.lit("3M"), "name")).otherwise(F.col("name")))
+
+
+register("digit_master", ["token_master"], """
+select * replace (case when length(name) % 2 = 0 then '3M' || name else name end as name) from token_master""")
+
+
+@query("straddle_by_contract", with_ctes("digit_master", "ticks", "option_ticks") + """,
+prices as (select tm.name, max_by(t.ltp, (t.timestamp, t.symbol_token)) as futures_price
+           from (select * from ticks where exchange = 'NFO' and trading_symbol like '%FUT') t
+           join (select token, name from digit_master where token_type = 'FUTURES') tm on t.symbol_token = tm.token
+           group by tm.name),
+legs as (select * from (
+           select o.*, regexp_extract(o.symbol, '(CE|PE)$', 1) as kind,
+                  row_number() over (partition by o.name, regexp_extract(o.symbol, '(CE|PE)$', 1)
+                                     order by abs(o.strike - p.futures_price), o.strike, o.expiry, o.token) as rn
+           from digit_master o join prices p on o.name = p.name
+           where o.token_type = 'OPTIONS' and o.strike is not null and regexp_extract(o.symbol, '(CE|PE)$', 1) <> '')
+         where rn = 1),
+newest as (select symbol_token, max_by(ltp, timestamp) as ltp from option_ticks group by 1)
+select name, cast(max(strike) filter (where kind = 'CE') as double) as ce_strike,
+       cast(max(strike) filter (where kind = 'PE') as double) as pe_strike,
+       cast(max(ltp) filter (where kind = 'CE') as double) as ce_price,
+       cast(max(ltp) filter (where kind = 'PE') as double) as pe_price, cast(sum(ltp) as double) as atm_price
+from legs left join newest on token = symbol_token group by name""")
+def q_straddle_by_contract(spark, d):
+    tm = _with_digits(_tm(spark, d))
+    return atm.straddle_by_contract(tm, _prices(spark, d, tm), adapters.option_ticks(spark, d))
+
+
 @query("project_token_master", with_ctes("token_master") + """
 select token, symbol, name, expiry, cast(strike as double) as strike, lotsize, instrumenttype, exch_seg,
        cast(tick_size as double) as tick_size, token_type, futures_token,
@@ -336,10 +430,7 @@ from (select o.name, nullif(regexp_extract(o.symbol, '(CE|PE)$', 1), '') as opti
 where rn = 1""")
 def q_closest_strike(spark, d):
     tm = _tm(spark, d)
-    prices = _prices(spark, d, tm)
-    best = atm.exact_atm_options(tm, prices).join(prices, "name")
-    return best.select("name", "option_type", "strike",
-                       F.abs(F.col("strike") - F.col("futures_price")).alias("atm_distance"))
+    return atm.closest_strikes(tm, _prices(spark, d, tm)).select("name", "option_type", "strike", "atm_distance")
 
 
 @query("union_fetch_set", with_ctes("token_master", "fut_prices") + """

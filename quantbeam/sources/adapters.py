@@ -85,6 +85,24 @@ def ticks(spark: SparkSession, sf_dir: str, with_week52: bool = True) -> DataFra
     return ev.select(*out)
 
 
+def option_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quotes of option contracts of several strikes per underlying: clicks (CE)
+    and signups (PE) of ``events``, each on one of four contracts of its user."""
+    ev = read_table(spark, sf_dir, "events").where(F.col("user_id").isNotNull())
+    n = ev.select(F.count_distinct("user_id")).scalar()
+    kind = _case_map(F.col("event_type"), {"click": "CE", "signup": "PE"}, None)
+    part = F.col("user_id") + n * (F.col("event_id") % 4)
+    rows = ev.withColumns({"kind": kind, "part": part}).where(F.col("kind").isNotNull())
+    cols = {
+        "exchange": F.lit("NFO"),
+        "trading_symbol": F.concat(digits_to_letters("user_id"), F.lit("27MAR25"), F.col("part").cast("string"), "kind"),
+        "symbol_token": F.concat("kind", F.col("part").cast("string"), F.lit("_"), F.col("user_id").cast("string")),
+        "ltp": F.col("value").cast(DEC), "timestamp": F.col("ts").cast("timestamp_ntz"),
+    }
+    return rows.select(*[(cols[f.name] if f.name in cols else F.lit(None)).cast(f.dataType).alias(f.name)
+                         for f in REALTIME_MARKET_DATA.fields])
+
+
 def attach_week52(spark: SparkSession, sf_dir: str, df: DataFrame, token_col: str = "symbol_token") -> DataFrame:
     """Fill week_low_52 / week_high_52 of (reduced) tick rows from the
     per-user range; the user id is the numeric part of the adapter token."""

@@ -46,6 +46,14 @@ def export_parquet(df: DataFrame, path: str) -> bool:
     return publish(df, path)
 
 
+def export_summary(df: DataFrame, path: str) -> bool:
+    """Publish the market summary laid out for its filters: by classes of
+    price, doubling from one to the next, then by symbol, over files and inside
+    them, so that row groups have narrow bounds of both."""
+    layout = [F.floor(F.log2("ltp")), F.col("symbol")]
+    return publish(df.repartitionByRange(*layout).sortWithinPartitions(*layout), path)
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
@@ -63,13 +71,17 @@ def read_snapshot(spark: SparkSession, path: str, schema: T.StructType | None =
     return r.parquet(path)
 
 
-def snapshot_verify(spark: SparkSession, path: str) -> DataFrame:
-    """One row: whether the snapshot is readable and its row count."""
+def snapshot_verify(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """One row: whether the snapshot is readable, its row count, and whether
+    its columns have the names, order and types of ``schema``."""
+    shape = lambda s: [(f.name, f.dataType.simpleString()) for f in s.fields]
     if not _exists(spark, path):
-        return spark.createDataFrame([(path, False, 0)], "path string, readable boolean, row_count bigint")
+        return spark.createDataFrame([(path, False, 0, False)],
+                                     "path string, readable boolean, row_count bigint, schema_matches boolean")
     df = spark.read.parquet(path)
+    matches = schema is None or shape(df.schema) == shape(schema)
     return df.agg(F.count(F.lit(1)).alias("row_count")).select(
-        F.lit(path).alias("path"), F.lit(True).alias("readable"), "row_count")
+        F.lit(path).alias("path"), F.lit(True).alias("readable"), "row_count", F.lit(matches).alias("schema_matches"))
 
 
 def sql_to_parquet(spark: SparkSession, sql_text: str, path: str) -> bool:

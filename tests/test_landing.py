@@ -53,4 +53,8 @@ def test_export_refuses_empty_and_snapshot_roundtrip(spark, tmpdir_path):
     p = os.path.join(tmpdir_path, "snap")
     assert sinks.export_parquet(df, p) is True
     v = sinks.snapshot_verify(spark, p).collect()[0]
-    assert v.readable and v.row_count == 2
+    assert v.readable and v.row_count == 2 and v.schema_matches
+    other = lambda ddl: sinks.snapshot_verify(spark, p, spark.createDataFrame([], ddl).schema).first().schema_matches
+    assert [other(d) for d in ("a int", "a long", "b int", "a int, b int")] == [True, False, False, False]
+    gone = sinks.snapshot_verify(spark, os.path.join(tmpdir_path, "missing")).first()
+    assert not gone.readable and not gone.schema_matches
