@@ -12,6 +12,14 @@ commonest entries of each language, with their counts in every language:
 They score what is among these at once and hand on the rest, which is joined
 with the tables. So the two numbers bound a task's memory, not the model.
 
+``predict(evidence=True)`` also tells how well the text fits the language found:
+the mean log frequency there of the ``FIT``-grams of its words, over those that
+tasks hold (others have the frequency of one that was never met). A share of
+the likelihood says which language is likelier, not whether any is; gibberish and
+languages that training does not have stand out by the fit. ``least_fits`` learns
+from labelled rows where it ends: half-way between how well texts of a language
+fit it and how well texts of other languages do.
+
 A word is a run of letters, lower-cased. Texts that are null or have no letter
 get ``und`` with score 0. With no training rows every text is ``und``. Ties go
 to the language that sorts first. An empty table gives an empty result.
@@ -29,11 +37,14 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quantbeam.llm import pieces
 from quantbeam.llm.base import importable, pick
 from quantbeam.session import materialize
 
 UNDETERMINED = "und"
 LONGEST = 4
+#: Length of the n-grams that tell how well a text fits.
+FIT = 3
 #: Entries a task holds before it hands its counts on.
 FLUSH = 400_000
 WORD = regex.compile(r"\p{L}+")
@@ -54,6 +65,24 @@ class Common:
     table: np.ndarray
     words: dict[str, int]
     grams: list[dict[str, int]]
+    unmet: np.ndarray | None = None      # of a FIT-gram that was never met
+
+    def fit(self, texts: list[Counter]) -> tuple[np.ndarray, np.ndarray]:
+        """Sums of log frequencies of the FIT-grams of each text's words by
+        language, and how many there are."""
+        words = list({w for t in texts for w in t})
+        number, held = {w: k for k, w in enumerate(words)}, self.grams[FIT]
+        of = [[held.get(g, -1) for g in grams(w, FIT)] for w in words]
+        n = np.array([len(x) for x in of], np.int64)
+        flat = np.array([r for x in of for r in x], np.int64)
+        logs = np.where(flat[:, None] >= 0, self.table[flat], self.unmet)
+        sums = np.add.reduceat(logs, np.cumsum(n) - n, axis=0) if len(words) else np.zeros((0, self.table.shape[1]))
+        total, count = np.zeros((len(texts), self.table.shape[1])), np.zeros(len(texts), np.int64)
+        for k, t in enumerate(texts):
+            if t:
+                at, often = [number[w] for w in t], np.array(list(t.values()), np.int64)
+                total[k], count[k] = often @ sums[at], often @ n[at]
+        return total, count
 
     def known(self, words: Counter) -> tuple[np.ndarray, dict[str, int]]:
         """The score of the words that are held, and the other words."""
@@ -202,7 +231,10 @@ def train(docs: DataFrame, lang_col: str = "lang", keep=None, max_words: int = 3
         part, base = held_grams[held_grams["size"] == size], sum(map(len, tables))
         tables.append(part[score].to_numpy(float))
         at.append({g: base + k for k, g in enumerate(part["gram"])})
-    common = Common(np.concatenate(tables), {w: k for k, w in enumerate(held["word"])}, at)
+    of = gram_totals[gram_totals["size"] == FIT].set_index("lang").reindex(languages)
+    most = float(of["m"].fillna(1).max())
+    unmet = np.log(smooth / (of["n"].fillna(0).to_numpy(float) + smooth * most))
+    common = Common(np.concatenate(tables), {w: k for k, w in enumerate(held["word"])}, at, unmet)
     return Model(languages, common, words.drop("common"), spelled.drop("common"))
 
 
@@ -235,14 +267,17 @@ def score_words(asked: DataFrame, model: Model, shared) -> DataFrame:
     return looked.filter("s0 is not null").unionByName(longest)
 
 
-def predict(docs: DataFrame, model: Model) -> DataFrame:
+def predict(docs: DataFrame, model: Model, evidence: bool = False) -> DataFrame:
     """``(doc_id, text_hash, lang_pred, score)``: the likeliest language and its share
-    of the likelihood."""
+    of the likelihood. With ``evidence`` also ``fits``, the mean log frequency of
+    the text's n-grams in each language (null without letters), and ``fit``, that
+    of the language found."""
     spark = docs.sparkSession
     importable(spark)
     rows = pick(docs).select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     if not model.languages:
-        return rows.select("doc_id", "text_hash", F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"))
+        nothing = [F.lit(None).cast("array<double>").alias("fits"), F.lit(None).cast("double").alias("fit")] if evidence else []
+        return rows.select("doc_id", "text_hash", F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"), *nothing)
     shared = spark.sparkContext.broadcast(model.common)
     score = [f"s{k}" for k in range(len(model.languages))]
 
@@ -252,16 +287,23 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
             words = [Counter(WORD.findall(t.lower())) if t else Counter() for t in batch.column(2).to_pylist()]
             found = [common.known(w) for w in words]
             sums = np.array([x for x, _ in found]).reshape(len(found), len(score))
+            more = {}
+            if evidence:
+                # A few texts at a time: what a step holds goes with their words.
+                parts = [common.fit(words[a:b]) for a, b in pieces.runs(batch.column(2))] or [common.fit([])]
+                total, count = (np.concatenate(x) for x in zip(*parts))
+                more = {"grams": pa.array(count), **{f"f{k}": pa.array(total[:, k]) for k in range(len(score))}}
             yield pa.record_batch({
-                "row": pa.array(np.arange(n, n + len(found)) + (task << 40), pa.int64()),
+                **more, "row": pa.array(np.arange(n, n + len(found)) + (task << 40), pa.int64()),
                 "doc_id": batch.column(0), "text_hash": batch.column(1), "any": pa.array([bool(w) for w in words], pa.bool_()),
                 **{c: pa.array(sums[:, k]) for k, c in enumerate(score)},
                 "rest": pa.array([list(r.items()) for _, r in found], pa.map_(pa.string(), pa.int64()))})
             n += len(found)
 
     doubles = ", ".join(f"{c} double" for c in score)
+    fits = "grams long, " + ", ".join(f"f{k} double" for k in range(len(score))) + ", " if evidence else ""
     # Written once: row numbers and what is handed on belong together.
-    read = materialize(rows.mapInArrow(apply, f"row long, doc_id long, text_hash long, any boolean, {doubles}, "
+    read = materialize(rows.mapInArrow(apply, fits + f"row long, doc_id long, text_hash long, any boolean, {doubles}, "
                                               "rest map<string,bigint>"), "language-rows", compression="zstd")
     rest = read.select("row", F.explode("rest").alias("word", "n"))
     scored = score_words(rest.select("word").distinct(), model, shared)
@@ -270,7 +312,27 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     total = F.array(*[F.col(c) + F.coalesce(f"more_{c}", F.lit(0.0)) for c in score])
     best = F.array_max("total")
     share = 1.0 / F.aggregate(F.transform("total", lambda x: F.exp(x - best)), F.lit(0.0), lambda a, x: a + x)
-    first = F.get(F.array(*map(F.lit, model.languages)), (F.array_position("total", best) - 1).cast("int"))
-    return (read.drop("rest").join(more, "row", "left").select("doc_id", "text_hash", "any", total.alias("total"))
-            .select("doc_id", "text_hash", F.when(F.col("any"), first).otherwise(UNDETERMINED).alias("lang_pred"),
-                    F.when(F.col("any"), share).otherwise(0.0).alias("score")))
+    at = (F.array_position("total", best) - 1).cast("int")
+    first = F.get(F.array(*map(F.lit, model.languages)), at)
+    fits = F.when(F.col("any"), F.array(*[F.col(f"f{k}") / F.col("grams") for k in range(len(score))]))
+    fit = [fits.alias("fits")] if evidence else []
+    out = read.drop("rest").join(more, "row", "left").select("doc_id", "text_hash", "any", total.alias("total"), *fit)
+    return out.select("doc_id", "text_hash", F.when(F.col("any"), first).otherwise(UNDETERMINED).alias("lang_pred"),
+                      F.when(F.col("any"), share).otherwise(0.0).alias("score"),
+                      *(["fits", F.get("fits", at).alias("fit")] if evidence else []))
+
+
+def least_fits(found: DataFrame, labelled: DataFrame, model: Model) -> dict[str, float]:
+    """By language, the fit below which a text is of none that training has.
+    ``found`` has the evidence, ``labelled`` ``(doc_id, text_hash, lang)``. With
+    texts of one language alone, an n-gram that was never met takes the place of
+    the other languages."""
+    same = [F.col(f"f.{k}").eqNullSafe(F.col(f"l.{k}")) for k in ("doc_id", "text_hash")]
+    told = found.filter("fits is not null").alias("f").join(
+        labelled.filter("lang is not null").distinct().alias("l"), same[0] & same[1]).select(
+        F.col("l.lang").alias("lang"), F.posexplode("f.fits").alias("k", "fit"))
+    of = F.get(F.array(*map(F.lit, model.languages)), F.col("k")) if model.languages else F.lit(None)
+    middle = lambda c: F.percentile_approx(F.when(c, F.col("fit")), 0.5, 10_000)
+    rows = told.groupBy("k").agg(middle(F.col("lang") == of).alias("own"), middle(F.col("lang") != of).alias("other")).collect()
+    return {model.languages[r.k]: (r.own + (model.common.unmet[r.k] if r.other is None else r.other)) / 2
+            for r in rows if r.own is not None}   # a row per language

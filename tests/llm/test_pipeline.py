@@ -13,6 +13,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspa
 
 import corpus_pipeline  # noqa: E402
 from quantbeam.llm import near_duplicates  # noqa: E402
+from quantbeam.llm import language  # noqa: E402
 from tests.llm.test_operators import library, plain_hits, plain_language  # noqa: E402
 
 SCHEMA = "doc_id long, text string, lang string"
@@ -23,7 +24,35 @@ def plain_quality(text):
     tri = list(zip(w, w[1:], w[2:]))
     n = collections.Counter(tri)
     inside = {j for k, t in enumerate(tri) if n[t] > 1 for j in (k, k + 1, k + 2)}
-    return len(w) >= 50 and 2 * len(inside) <= len(w)
+    # Texts full of symbols are the ones that the labels mark, far from all others.
+    return len(w) >= 50 and 2 * len(inside) <= len(w) and (text or "").count("#") < len(w)
+
+
+def plain_told(rows):
+    """Texts that are in a language of the labelled rows, by all counts."""
+    find, counts = language.WORD.findall, collections.defaultdict(collections.Counter)
+    spelled = lambda t: [g for w in find((t or "").lower()) for g in language.grams(w, 3)]
+    for _, t, g in rows:
+        if g:
+            counts[g].update(spelled(t))
+    langs = sorted(counts)
+    most = max(map(len, counts.values()))
+
+    def fit(t, g):
+        c = counts[g]
+        return float(np.mean([np.log((c[x] + 0.5) / (sum(c.values()) + 0.5 * most)) for x in spelled(t)]))
+
+    texts = {(i, t, g) for i, t, g in rows if g and find((t or "").lower())}
+    middle = lambda x: sorted(x)[(len(x) + 1) // 2 - 1]
+    least = {g: (middle([fit(t, g) for _, t, h in texts if h == g]) + middle([fit(t, g) for _, t, h in texts if h != g])) / 2
+             for g in langs}
+    seen = [(t, g) for _, t, g in rows]
+    told = set()
+    for t in {t for _, t, _ in rows}:
+        lang = plain_language(seen, t)[0]
+        if lang != "und" and fit(t, lang) >= least[lang]:
+            told.add(t)
+    return told
 
 
 def plain_heads(rows):
@@ -59,20 +88,27 @@ def fixture(rnd):
     rows += [(150, None, "en"), (151, "", "de"), (152, "too short", "en"), (153, "again and again " * 30, "en"),
              (154, " ".join(str(rnd.randrange(9999)) for _ in range(80)), "en"), (155, " ".join(made("de", 70)), None),
              (None, " ".join(made("en", 70)), "en")]
+    for k in range(10):  # gibberish, labelled or not, and a language that no label names
+        other = lambda letters: " ".join("".join(rnd.choice(letters) for _ in range(rnd.randrange(2, 8))) for _ in range(80))
+        rows += [(200 + 4 * k + j, " ".join(w + "##" for w in made(("en", "de")[j % 2], rnd.randrange(50, 90))), "en")
+                 for j in range(4)]
+        rows += [(160 + k, other("abcdefghijklmnopqrstuvwxyz"), "en" if k < 3 else None), (170 + k, other("rstuvwxyz"), None)]
     return rows, bench
 
 
 def test_equals_a_plain_pipeline(spark, tmpdir_path):
     rows, bench = fixture(random.Random(21))
-    spark.createDataFrame(rows, SCHEMA).write.parquet(tmpdir_path + "/documents.parquet")
+    spark.createDataFrame([(*r, "a", "b", 3) for r in rows], SCHEMA + ", keep_id string, Keep_Text string, fit int"
+                          ).write.parquet(tmpdir_path + "/documents.parquet")
     spark.createDataFrame(bench, "item_id long, text string").write.parquet(tmpdir_path + "/benchmark.parquet")
-    # No labels: the base rule alone decides on quality.
-    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(tmpdir_path + "/labels.parquet")
+    labels = [(i, int("#" not in t), 0) for i, t, _ in rows if i is not None and t and (i < 60 or i >= 200)]
+    spark.createDataFrame([*labels, (None, 1, 0), (61, None, None)], "doc_id long, quality int, toxic int").write.parquet(
+        tmpdir_path + "/labels.parquet")
     after = [rows]
     after.append([r for r in after[-1] if plain_quality(r[1])])
-    seen = [(t, g) for _, t, g in after[-1]]
-    told = {t: plain_language(seen, t) for t, _ in set(seen)}
-    after.append([r for r in after[-1] if told[r[1]][0] != "und" and told[r[1]][1] >= corpus_pipeline.MIN_LANGUAGE_SCORE])
+    told = plain_told(after[-1])
+    assert not told & {t for i, t, _ in rows if i is not None and 160 <= i < 180}
+    after.append([r for r in after[-1] if r[1] in told])
     after.append(plain_heads(after[-1]))
     hits = {r: plain_hits(r[1], bench, 13) for r in after[-1]}
     after.append([r for r in after[-1] if not (hits[r][1] > 0 and 20 * hits[r][1] >= hits[r][0])])

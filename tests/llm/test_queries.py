@@ -27,7 +27,7 @@ def test_equals_its_sql(spark, name):
 
 
 def test_stages_keep_columns_and_take_effect(spark):
-    docs = spark.read.parquet(DIR + "/documents.parquet").withColumnRenamed("n_chars", "_keep_0")
+    docs = spark.read.parquet(DIR + "/documents.parquet").withColumnRenamed("n_chars", "keep_id")
     kept = docs
     for _, stage in corpus_pipeline.STAGES[:-1]:
         after = stage(spark, kept, DIR)
