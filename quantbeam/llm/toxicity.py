@@ -6,8 +6,9 @@ log-count ratios.
    told apart by 64-bit hashes, so that their number follows the corpus.
 2. *Ratios*: the log of the n-gram's smoothed share among label 1 over that
    among label 0. Every n-gram counts whose ratio is ``least_ratio`` from 0 and
-   significant: by the likelihood-ratio test of its four counts, at a level that
-   goes down with the number of n-grams tested. These alone reach the driver.
+   significant: by the likelihood-ratio test of its four counts, at the level at
+   which ``false_share`` of those found are expected to be so by chance, given how
+   many are tested (Benjamini and Hochberg). These alone reach the driver.
 3. *Windows*: a text is read in windows of ``span`` characters that overlap by
    half. A window's margin is the sum of the weights of the n-grams that are
    present in it; a text's margin is its greatest. So a passage weighs the same
@@ -186,13 +187,33 @@ def likelihood_ratio(zero: Column, one: Column, n0: int, n1: int) -> Column:
                 + part(n1 - one, (1 - share) * n1) + part(n0 - zero, (1 - share) * n0))
 
 
-def significant(counted: DataFrame, n0: int, n1: int, grams: int, least_ratio: float) -> DataFrame:
-    """``(gram, ratio)`` of the n-grams that count. Among ``grams`` n-grams
-    without meaning, a test above ``2 ln(grams)`` is met by about one."""
+#: Steps of the test's value in which its distribution is gathered, a half each.
+STEPS = 2000
+
+
+def least_test(found: dict[int, int], false_share: float) -> float:
+    """From how many n-grams have each half step of the test's value: the
+    least value at which at most ``false_share`` of those above are expected by
+    chance (of n-grams without meaning, the square of a normal deviate)."""
+    total, above, least = sum(found.values()), 0, math.inf
+    for step in sorted(found, reverse=True):
+        above += found[step]
+        if total * math.erfc(math.sqrt(step / 4)) <= false_share * above:
+            least = step / 2
+    return least
+
+
+def significant(counted: DataFrame, n0: int, n1: int, least_ratio: float, false_share: float) -> DataFrame:
+    """``(gram, ratio)`` of the n-grams that count."""
     zero, one = F.col("zero"), F.col("one")
-    ratio = log_ratio(zero, one, n0, n1)
-    return (counted.filter("gram is not null").withColumn("ratio", ratio).filter(F.abs("ratio") >= least_ratio)
-            .filter(likelihood_ratio(zero, one, n0, n1) > 2 * math.log(max(grams, 2))).select("gram", "ratio"))
+    tested = counted.filter("gram is not null").select(
+        "gram", log_ratio(zero, one, n0, n1).alias("ratio"), likelihood_ratio(zero, one, n0, n1).alias("test"))
+    # Rounding may leave a value of 0 just below.
+    step = F.greatest(F.least(F.floor(2 * F.col("test")), F.lit(STEPS)), F.lit(0))
+    # A row per step reaches the driver.
+    found = {r["step"]: r["n"] for r in tested.groupBy(step.alias("step")).agg(F.count("*").alias("n")).collect()}
+    least = least_test(found, false_share)
+    return tested.filter(F.abs("ratio") >= least_ratio).filter(F.col("test") >= F.lit(least)).select("gram", "ratio")
 
 
 def fit_logistic(x_at: np.ndarray, x_row: np.ndarray, x_value: np.ndarray, y: np.ndarray, width: int,
@@ -232,7 +253,7 @@ def sampled_windows(docs: DataFrame, labels: DataFrame, label: str, keep, fit_ro
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", keep=None, fit_rows: int = 4000,
-          span: int = SPAN, least_ratio: float = 0.5) -> Model:
+          span: int = SPAN, least_ratio: float = 0.5, false_share: float = 0.1) -> Model:
     """Fit the model on the labelled rows whose id meets ``keep``."""
     spark = docs.sparkSession
     importable(spark)
@@ -244,7 +265,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", keep=None, f
     nothing = Model(np.empty(0, np.int64), np.empty(0), odds, span)
     if not n0 or not n1:
         return nothing
-    kept = significant(counted, n0, n1, counted.count() - 1, least_ratio).toPandas().sort_values("gram")
+    kept = significant(counted, n0, n1, least_ratio, false_share).toPandas().sort_values("gram")
     ratios = Model(kept["gram"].to_numpy(np.int64), kept["ratio"].to_numpy(float), 0.0, span)
     sample = sampled_windows(docs, labels, label, keep, fit_rows, spark.sparkContext.broadcast(ratios))
     y = np.array([y for _, y in sample], float)

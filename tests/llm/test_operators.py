@@ -2,6 +2,7 @@
 nulls, empty texts, repeated rows, ties and columns of clashing names."""
 
 import collections
+import math
 import random
 
 import numpy as np
@@ -360,15 +361,17 @@ def test_toxicity_counts_ratios_and_scores(spark):
     def part(a, expected):
         return a * np.log(a / expected) if a else 0.0
 
-    ratios = {}
+    ratios, tests = {}, {}
     for g in grams:
         b, a = seen[g, 0], seen[g, 1]
         share = (a + b) / (n[0] + n[1])
         test = 2 * (part(a, share * n[1]) + part(b, share * n[0]) + part(n[1] - a, (1 - share) * n[1])
                     + part(n[0] - b, (1 - share) * n[0]))
-        ratio = np.log((a + 1) / (n[1] + 2)) - np.log((b + 1) / (n[0] + 2))
-        if abs(ratio) >= 0.5 and test > 2 * np.log(len(grams)):
-            ratios[g] = ratio
+        tests[g], ratios[g] = test, np.log((a + 1) / (n[1] + 2)) - np.log((b + 1) / (n[0] + 2))
+    # Of the values, by halves, the least at which a tenth of those above is expected by chance.
+    least = min(c for c in {max(0, math.floor(2 * t)) / 2 for t in tests.values()}
+                if len(grams) * math.erfc(math.sqrt(c / 2)) <= 0.1 * sum(t >= c for t in tests.values()))
+    ratios = {g: r for g, r in ratios.items() if abs(r) >= 0.5 and tests[g] >= least}
     model = toxicity.train(docs, marks, span=40)
     assert model.keys.tolist() == sorted(map(one_hash, ratios)) and any("vile" in g for g in ratios)
     weight = {g: model.weights[model.keys.searchsorted(one_hash(g))] for g in ratios}
