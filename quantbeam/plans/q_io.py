@@ -421,7 +421,7 @@ def _files_a_trigger(files: list[str], triggers: int = 3) -> int:
     return max(1, -(-len(files) // triggers))
 
 
-@query("stream_latest_tick", with_ctes("ticks") + f"""
+_NEWEST_SQL = with_ctes("ticks") + """
 select symbol_token, exchange, trading_symbol, cast(ltp as double) as ltp, cast(open as double) as open,
        cast(high as double) as high, cast(low as double) as low, cast(close as double) as close,
        exch_feed_time, exch_trade_time, cast(net_change as double) as net_change,
@@ -430,17 +430,30 @@ select symbol_token, exchange, trading_symbol, cast(ltp as double) as ltp, cast(
        tot_buy_quan, tot_sell_quan, cast(week_low_52 as double) as week_low_52,
        cast(week_high_52 as double) as week_high_52, timestamp
 from (select *, row_number() over (partition by symbol_token order by timestamp desc) as rn from ticks)
-where rn = 1""")
-def q_stream_latest_tick(spark, d):
+where rn = 1"""
+
+
+def _newest_by_stream(spark, d, keep_state: bool):
     landing_dir = _land_ticks(spark, d)
     snap = sinks.scratch_path(spark, "latest_snapshot")
-    name = os.path.basename(snap)
     n = _files_a_trigger(spark.read.parquet(landing_dir).inputFiles())
-    q = st.start_latest_tick(spark, landing_dir, snap, name, trigger="availableNow", max_files_per_trigger=n)
+    q = st.start_latest_tick(spark, landing_dir, snap, os.path.basename(snap), trigger="availableNow",
+                             max_files_per_trigger=n, keep_state=keep_state)
     q.awaitTermination()
     return st.read_latest_snapshot(spark, snap)
 
 
+@query("stream_latest_tick", _NEWEST_SQL)
+def q_stream_latest_tick(spark, d):
+    return _newest_by_stream(spark, d, keep_state=True)
+
+
+@query("stream_latest_tick_stateless", _NEWEST_SQL)
+def q_stream_latest_tick_stateless(spark, d):
+    """Without state: each micro-batch's newest rows are merged into the snapshot."""
+    return _newest_by_stream(spark, d, keep_state=False)
+
+
 @query("stream_ticks_append", with_ctes("quotes_stored") + f"""
 select {_out()} from quotes_stored
 where strftime(timestamp, '%H:%M:%S') between '09:15:00' and '19:30:00'""")
