@@ -22,7 +22,10 @@ fit it and how well texts of other languages do.
 
 A word is a run of letters, lower-cased. Texts that are null or have no letter
 get ``und`` with score 0. With no training rows every text is ``und``. Ties go
-to the language that sorts first. An empty table gives an empty result.
+to the language that sorts first. Very long texts are read whole; what a task
+holds of one are its distinct words. Repeated rows are counted each, and each is
+predicted. An empty table gives an empty result. Columns other than the id, the
+text and the language are not read, so their names cannot clash.
 """
 
 from __future__ import annotations

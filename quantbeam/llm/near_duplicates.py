@@ -34,8 +34,11 @@ comparisons per member. Equal texts are one node from the start.
 
 Words are lower-cased (A-Z) runs of letters, digits and non-ASCII characters.
 A text of fewer words than a shingle has is one shingle. Null and wordless
-texts are like their equals only. Rows with equal ids are told apart by text.
-An empty table gives an empty result.
+texts are like their equals only. Very long texts are compared whole: of
+shingles by the million, blocks hold few members. Rows with equal ids are told
+apart by text, repeated rows have one class. An empty table gives an empty
+result. Columns other than the id and the text are not read, so their names cannot
+clash.
 """
 
 from __future__ import annotations

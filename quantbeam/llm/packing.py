@@ -7,8 +7,9 @@ decreasing: rests by falling length, each into the first bin with room, which
 a tournament tree over the bins' room finds in logarithmic time.
 
 Null and empty texts hold the end id alone, so every document has a piece.
-Rows with equal ids and texts are packed one by one. An empty table gives an
-empty result.
+Rows with equal ids and texts are packed one by one; of rests of equal length
+any may come first. An empty table gives an empty result. Columns other than the id and the text are not read, so their names cannot
+clash.
 """
 
 from __future__ import annotations

@@ -14,9 +14,12 @@ The rules are fitted on at most ``fit_rows`` labelled rows, chosen by a hash of
 the id (a documented bound); statistics cover all rows.
 
 Null and empty texts have no words; ratios of nothing are 0. Rows with a null
-statistic never meet a test, since there is none. Without rows of both labels
-no rule is learned. Equal rows have equal statistics. An empty table gives an
-empty result.
+statistic never meet a test, since there is none. Very long texts are measured
+whole, one at a time. Of tests with equal gains the first by name, side and
+threshold is taken. Without rows of both labels no rule is learned. Equal rows
+have equal statistics, and each has its verdict; an id with several labels
+teaches each. An empty table gives an empty result. Columns other than those
+named are not read, so their names cannot clash.
 """
 
 from __future__ import annotations

@@ -9,8 +9,11 @@ Native: the scores are column expressions. ``number`` deals out gapless slots
 in the order of key, crc and size, without bringing a shard to one task.
 
 Records with equal keys share a shard, whatever their texts; a null key is the
-empty text. Equal rows are alike, so any of them may have any of their slots. A null text has no bytes and the crc of the empty text. An empty
-table gives an empty result.
+empty text. Of shards with equal scores the greater wins. Equal rows are alike,
+so any of them may have any of their slots. A null text has no bytes and the crc
+of the empty text; of a very long text only the size and the crc go on. An empty
+table gives an empty result. Columns other than the id and the text are not
+read, so their names cannot clash.
 """
 
 from __future__ import annotations

@@ -15,7 +15,9 @@ Where the overlap has no common boundary (one endless word), it is doubled,
 back to the last proven boundary if need be; from there the next chunk is
 right by construction and reaches further than the last, so the loop ends.
 
-Null and empty texts have no tokens.
+Null and empty texts have no tokens. Each row is counted for itself, whatever
+rows are repeated or share an id; an empty table gives an empty table. Columns other than the id and the text are not read, so their names cannot
+clash.
 """
 
 from __future__ import annotations

@@ -14,8 +14,11 @@ executor's retry can write safely:
   Documents ascend by id through the parts and the blocks of a part;
   ``first`` counts the ids of the part before the block.
 
-Null and empty texts hold the end id alone. Documents with the same id stand
-next to each other, null ids first; an empty table gives empty files.
+Null and empty texts hold the end id alone. Very long texts are encoded whole;
+their ids fill blocks of their own. Documents with the same id stand next to each
+other, null ids first; ids that are equally frequent rank by their number. An
+empty table gives empty files. Columns other than the id and the text are not read, so their names cannot
+clash.
 """
 
 from __future__ import annotations

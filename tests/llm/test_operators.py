@@ -450,7 +450,9 @@ def test_language_uses_all_counts_whatever_tasks_hold(spark):
             for k, g in enumerate(rnd.choices(list(letters), [9, 3, 1, 2, 0], k=120))]
     rows += [(500, None, "aa"), (501, "", "bb"), (502, "12 !", "cc"), (503, "qqq rrr", None), (5, "bad cab", None), (5, "bad cab", None),
              (None, "fed", None), (504, "a", "dd"), (505, "fad " * 50, "aa"), (506, "fad " * 3, "bb")]
-    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    rows += [(600, " ".join(word("aa") for _ in range(20_000)), None)]
+    df = spark.createDataFrame([(*r, 1, "x", "y", 0.5) for r in rows],
+                               "doc_id long, text string, lang string, row int, word string, any string, s0 double")
     rest = df.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").distinct()
     want = {t: plain_language([(t, g) for _, t, g in rows], t) for _, t, _ in rows}
     for most in (0, 3, 30_000):
@@ -485,6 +487,9 @@ def test_near_duplicates_against_all_pairs(spark, empty):
             w[rnd.randrange(60)] = "new" + str(rnd.randrange(99))
         rows.append((k, " ".join(w)))
     rows += rows[-3:]
+    long = [rnd.choice("abcdefghij") + str(rnd.randrange(300)) for _ in range(20_000)]
+    near = [w if rnd.random() > 0.01 else "new" for w in long]
+    rows += [(2000, " ".join(long)), (2001, " ".join(near)), (2002, " ".join(reversed(long)))]
     root = list(range(len(rows)))
 
     def top(x):
@@ -501,7 +506,8 @@ def test_near_duplicates_against_all_pairs(spark, empty):
     for k, (i, t) in enumerate(rows):
         groups[top(k)].add((i, t))
     want = {frozenset(g) for g in groups.values()}
-    df = spark.createDataFrame(rows, "doc_id long, text string")
+    df = spark.createDataFrame([(*r, 1, "x", 2, "y") for r in rows],
+                               "doc_id long, text string, node int, key string, root int, text_key string")
     texts = df.select(near_duplicates.text_key(F.col("text")).alias("text_key"), "text").distinct()
     for how in ({}, {"small_bucket": 2, "block": 8}, {"small_bucket": 2, "block_shingles": 300}):
         found = near_duplicates.near_duplicates(df, **how)
