@@ -13,8 +13,8 @@ occur in training texts:
    proposes that the item's words begin at ``position - p`` there. Windows whose
    anchors all propose the same beginning are the intersection of their
    offset-adjusted lists.
-5. *Verification*: the words around the few beginnings that are left are fetched
-   from the written words. Windows that stand there word for word are *phrases*.
+5. *Verification*: the texts of the few documents that are left are fetched and
+   read at the places proposed. Windows that stand there word for word are *phrases*.
    With ``slop`` > 0 a window is also matched *near*: its other anchors stand
    within ``slop`` words of their places beside the pivot, and ``near_share`` of
    its distinct words among as many words as it has and ``slop`` more to each
@@ -22,8 +22,9 @@ occur in training texts:
 
 All of it is DataFrame code, the same at every size: no side of a join is
 broadcast by a hint; Spark does so where it knows that one is small in bytes.
-No join carries a text's words but that of verification, which adds them to what
-was proposed for the document and at once cuts them to the places proposed.
+No join carries a text's words: verification fetches the text itself, a third of
+their size, for what was proposed in the document, and at once cuts it to the
+places proposed.
 
 Null, empty or wordless texts have no words and no hits. Very long texts are rows
 of words like others; their postings are rows of their own. Rows are told apart
@@ -102,44 +103,49 @@ def intersect(index: DataFrame, windows: DataFrame, slop: int = 0) -> DataFrame:
             .select("doc", "item", "begin", ats.alias("ats")).filter(F.size("ats") > 0))
 
 
-def verify(proposed: DataFrame, items: DataFrame, corpus: DataFrame, window: int, slop: int, near_share: float) -> DataFrame:
+def verify(proposed: DataFrame, items: DataFrame, texts: DataFrame, window: int, slop: int, near_share: float) -> DataFrame:
     """``(doc, item_id, start, n_words, phrase)``: the windows that stand where
-    they are proposed, word for word or near."""
-    def judged(at: Column) -> Column:
-        start, n = F.col("begin") + at, F.least(F.size("words"), F.lit(window))
-        held = F.slice("words", at + 1, n)
+    they are proposed, word for word or near. ``texts``: ``(doc, text)``."""
+    def judged(p: Column, at: Column) -> Column:
+        start, n = p["begin"] + at, F.least(F.size(p["words"]), F.lit(window))
+        held = F.slice(p["words"], at + 1, n)
         there = F.slice("w", F.greatest(start, F.lit(0)) + 1, n)
         low, beyond = F.greatest(start - slop, F.lit(0)), start + n + slop
         around = F.slice("w", low + 1, F.greatest(beyond - low, F.lit(0)))
         distinct = F.array_distinct(held)
         near = F.size(F.array_intersect(distinct, around)) >= near_share * F.size(distinct)
-        return F.struct(start.alias("start"), n.alias("n_words"), ((start >= 0) & (there == held)).alias("phrase"),
-                        near.alias("near"))
+        return F.struct(p["item_id"].alias("item_id"), start.alias("start"), n.alias("n_words"),
+                        ((start >= 0) & (there == held)).alias("phrase"), near.alias("near"))
 
-    # Cut at once to the places proposed: no words go on.
-    proposed = materialize(proposed, "proposed")
-    listed = proposed.join(materialize(items.select("item", "item_id", "words"), "item-words"), "item")
-    seen = listed.join(corpus.select("doc", "w"), "doc").select("doc", "item_id", F.explode(
-        F.filter(F.transform("ats", judged), lambda x: x["phrase"] | (F.lit(slop > 0) & x["near"]))).alias("m"))
-    return seen.select("doc", "item_id", "m.start", "m.n_words", "m.phrase").distinct()
+    # A row per document, whose text is split once; cut at once to the places proposed.
+    listed = (proposed.join(materialize(items.select("item", "item_id", "words"), "item-words"), "item")
+              .groupBy("doc").agg(F.collect_list(F.struct("item_id", "words", "begin", "ats")).alias("ps")))
+    read = materialize(listed, "proposed").join(texts, "doc").select("doc", "ps", words(F.col("text")).alias("w"))
+    every = F.flatten(F.transform("ps", lambda p: F.transform(p["ats"], lambda at: judged(p, at))))
+    seen = read.select("doc", F.explode(F.filter(every, lambda x: x["phrase"] | (F.lit(slop > 0) & x["near"]))).alias("m"))
+    return seen.select("doc", "m.item_id", "m.start", "m.n_words", "m.phrase").distinct()
 
 
-def split_corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keyed_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(doc, text)`` of every row."""
+    return pick(docs, id_col, text_col).select(document_key(F.col("doc_id"), F.col("text")).alias("doc"), "text")
+
+
+def split_corpus(texts: DataFrame) -> DataFrame:
     """``(doc, w)``: the words of every row, written once."""
-    base = pick(docs, id_col, text_col)
-    return materialize(base.select(document_key(F.col("doc_id"), F.col("text")).alias("doc"),
-                                   words(F.col("text")).alias("w")), "corpus-words")
+    return materialize(texts.select("doc", words(F.col("text")).alias("w")), "corpus-words")
 
 
-def matches(corpus: DataFrame, benchmark: DataFrame, window: int = 13, anchor_words: int = 2, slop: int = 0,
-            near_share: float = 0.8) -> DataFrame:
+def matches(texts: DataFrame, corpus: DataFrame, benchmark: DataFrame, window: int = 13, anchor_words: int = 2,
+            slop: int = 0, near_share: float = 0.8) -> DataFrame:
     """``(doc, item_id, start, n_words, phrase)`` of all windows in the rows
-    of ``split_corpus``: phrases, and with ``slop`` those that are near
-    (``phrase`` false; ``start`` is by the pivot). Written once."""
+    of ``keyed_texts``, whose words are ``corpus``: phrases, and with ``slop``
+    those that are near (``phrase`` false; ``start`` is by the pivot). Written
+    once."""
     items = materialize(items_of(benchmark), "items")
     windows = materialize(item_windows(items, corpus, window, anchor_words), "windows")
     proposed = intersect(build_index(corpus, windows), windows, slop)
-    return materialize(verify(proposed, items, corpus, window, slop, near_share), "found")
+    return materialize(verify(proposed, items, texts, window, slop, near_share), "found")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 13, anchor_words: int = 2, slop: int = 0,
@@ -151,8 +157,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 13, ancho
     are the items with such windows, sorted as text; ``n_near`` counts the
     items that have a window near (see ``slop``), phrases included.
     """
-    corpus = split_corpus(docs, id_col, text_col)
-    found = matches(corpus, benchmark, window, anchor_words, slop, near_share)
+    texts = keyed_texts(docs, id_col, text_col)
+    corpus = split_corpus(texts)
+    found = matches(texts, corpus, benchmark, window, anchor_words, slop, near_share)
 
     phrases = found.filter("phrase")
     # Words covered by the union of the phrases' places, per document.

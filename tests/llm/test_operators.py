@@ -261,7 +261,7 @@ def test_decontamination_is_one_plan_of_few_bytes(spark):
         for k in sizes:
             spark.conf.set(k, "-1")
         assert read() == want and sum(r[1] for r in want) == 200
-        corpus = decontamination.split_corpus(docs)
+        corpus = decontamination.split_corpus(decontamination.keyed_texts(docs))
         items_ = decontamination.items_of(bench)
         windows = decontamination.item_windows(items_, corpus, 13, 2)
         posted = corpus.select("doc", F.posexplode("w").alias("position", "term"))
@@ -281,7 +281,8 @@ def test_proximity(spark):
     bench = spark.createDataFrame([(1, item)], "item_id long, text string")
     got = {r.doc_id: (r.n_items, r.n_near) for r in decontamination.decontaminate(rows, bench, 13, 3, slop=1).collect()}
     assert got == {1: (1, 1), 2: (0, 1), 3: (0, 0), 4: (0, 0)}
-    found = decontamination.matches(decontamination.split_corpus(rows), bench, slop=1, anchor_words=3)
+    texts = decontamination.keyed_texts(rows)
+    found = decontamination.matches(texts, decontamination.split_corpus(texts), bench, slop=1, anchor_words=3)
     assert {(r.doc.doc_id, r.item_id, r.n_words, r.phrase) for r in found.collect()} == {
         (1, "1", 5, True), (2, "1", 5, False)}
 
