@@ -120,7 +120,8 @@ def verify(proposed: DataFrame, items: DataFrame, texts: DataFrame, window: int,
     # A row per document, whose text is split once; cut at once to the places proposed.
     listed = (proposed.join(materialize(items.select("item", "item_id", "words"), "item-words"), "item")
               .groupBy("doc").agg(F.collect_list(F.struct("item_id", "words", "begin", "ats")).alias("ps")))
-    read = materialize(listed, "proposed").join(texts, "doc").select("doc", "ps", words(F.col("text")).alias("w"))
+    # Proposals grow with the documents: one plan at every size, no broadcast.
+    read = materialize(listed, "proposed").hint("merge").join(texts, "doc").select("doc", "ps", words(F.col("text")).alias("w"))
     every = F.flatten(F.transform("ps", lambda p: F.transform(p["ats"], lambda at: judged(p, at))))
     seen = read.select("doc", F.explode(F.filter(every, lambda x: x["phrase"] | (F.lit(slop > 0) & x["near"]))).alias("m"))
     return seen.select("doc", "m.item_id", "m.start", "m.n_words", "m.phrase").distinct()
