@@ -67,3 +67,33 @@ def test_quote_stream_counts_by_trigger_and_replays(spark, tmpdir_path):
         assert rows == {("1", 0): 6.0, ("2", 0): 7.0, ("1", 1): 8.0}
         counts = sorted((r.batch_id, r.fetched, r.unfetched) for r in spark.read.parquet(coverage).collect())
         assert counts == [(0, 3, 1), (1, 1, 2), (2, 0, 0), (3, 1, 0)]
+
+
+def _land_empty_first(rows, landing: str, fmt: str) -> None:
+    """An empty file, as a task without rows may write, before the others."""
+    rows.where("false").coalesce(1).write.format(fmt).save(landing)
+    for name in os.listdir(landing):
+        os.utime(os.path.join(landing, name), (1_700_000_000, 1_700_000_000))
+    rows.coalesce(1).write.mode("append").format(fmt).save(landing)
+
+
+def test_streams_whose_first_trigger_meets_an_empty_file(spark, tmpdir_path):
+    """One file a trigger: nothing is stored by the first, all by the second."""
+    ticks = adapters.ticks(spark, SF)
+    want = sorted(tk.latest_tick_all(ticks).select("symbol_token", "timestamp", "ltp").collect())
+    landing = os.path.join(tmpdir_path, "ticks")
+    _land_empty_first(ticks, landing, "parquet")
+    for keep in (True, False):
+        snap = os.path.join(tmpdir_path, f"snap_{keep}")
+        st.start_latest_tick(spark, landing, snap, f"t_empty_first_{keep}", trigger="availableNow", max_files_per_trigger=1,
+                             keep_state=keep).awaitTermination()
+        assert sorted(st.read_latest_snapshot(spark, snap).select("symbol_token", "timestamp", "ltp").collect()) == want
+    quotes = ticks.selectExpr("true as status", "cast(timestamp as string) as fetched_at", """named_struct('fetched',
+        array(named_struct('exchange', exchange, 'tradingSymbol', trading_symbol, 'symbolToken', symbol_token, 'ltp', ltp))) as data""")
+    landing, table, coverage = (os.path.join(tmpdir_path, x) for x in ("quotes", "table", "coverage"))
+    _land_empty_first(quotes, landing, "json")
+    st.start_quote_append(spark, landing, table, coverage, "t_empty_first_quotes", trigger="availableNow", max_files_per_trigger=1,
+                          session_start="00:00:00", session_end="23:59:59").awaitTermination()
+    assert spark.read.parquet(table).count() == ticks.count()
+    counts = sorted((r.batch_id, r.fetched) for r in spark.read.parquet(coverage).collect())
+    assert counts == [(0, 0), (1, ticks.count())]
