@@ -19,3 +19,24 @@ def test_bars_are_made_of_bounded_partitions(spark, monkeypatch):
     lines = spark.read.parquet(f"{SF}/lineitem.parquet").count()
     assert dealt.rdd.getNumPartitions() > lines // 500
     assert sorted(dealt.collect(), key=str) == want
+
+
+def test_first_load_is_written_once(spark, tmpdir_path, monkeypatch):
+    copies, real = [], sinks.materialize
+    monkeypatch.setattr(sinks, "materialize", lambda df, label, **k: copies.append(label) or real(df, label, **k))
+    rows = spark.range(10).select("id", (F.col("id") % 3).alias("part"), F.lit(1).alias("v"))
+    table = os.path.join(tmpdir_path, "table")
+    sinks.merge_partitions(spark, table, rows.unionByName(rows.withColumn("v", F.lit(2))), "part", ["id"])
+    assert copies == [] and [r.v for r in spark.read.parquet(table).collect()] == [2] * 10
+    sinks.merge_partitions(spark, table, rows.where("id = 4").withColumn("v", F.lit(3)), "part", ["id"])
+    assert copies == ["batch", "merge"]
+    assert {r.id: r.v for r in spark.read.parquet(table).collect()} == {k: 3 if k == 4 else 2 for k in range(10)}
+
+
+def test_landed_answers_are_compressed(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "landing")
+    q_io._land(spark.range(5), path)
+    q_io._land(spark.range(5, 7), path)
+    files = [f for f in os.listdir(path) if f.startswith("part-")]
+    assert files and all(f.endswith(".json.gz") for f in files)
+    assert sorted(r.id for r in spark.read.schema("id long").json(path).collect()) == list(range(7))
