@@ -40,3 +40,30 @@ def test_landed_answers_are_compressed(spark, tmpdir_path):
     files = [f for f in os.listdir(path) if f.startswith("part-")]
     assert files and all(f.endswith(".json.gz") for f in files)
     assert sorted(r.id for r in spark.read.schema("id long").json(path).collect()) == list(range(7))
+
+
+def test_export_after_a_batch_makes_the_master_and_the_quotes_once(spark, monkeypatch):
+    seen, real = [], sm.market_summary
+
+    def spy(tm, ticks, wide, **k):
+        seen.append(("Join" in tm._jdf.queryExecution().optimizedPlan().toString(), k))
+        return real(tm, ticks, wide, **k)
+
+    monkeypatch.setattr(sm, "market_summary", spy)
+    assert q_io.q_stream_export_summary(spark, SF).count() > 0
+    assert seen == [(False, {"materialize_quotes": True})]
+
+
+def test_export_by_range_runs_its_plan_once(spark, tmpdir_path):
+    rows = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            rows.add(b.num_rows)
+            yield b
+
+    df = spark.range(1000).mapInArrow(count, "id long")
+    path = os.path.join(tmpdir_path, "out")
+    assert sinks.export_by_range(df, path, F.col("id"))
+    assert rows.value == 1000 and spark.read.parquet(path).count() == 1000
+    assert not sinks.export_by_range(df.where("false"), path, F.col("id")) and spark.read.parquet(path).count() == 1000
