@@ -287,21 +287,22 @@ def predict(docs: DataFrame, model: Model, evidence: bool = False) -> DataFrame:
     def apply(batches):
         common, task, n = shared.value, TaskContext.get().partitionId(), 0
         for batch in batches:
-            words = [Counter(WORD.findall(t.lower())) if t else Counter() for t in batch.column(2).to_pylist()]
-            found = [common.known(w) for w in words]
-            sums = np.array([x for x, _ in found]).reshape(len(found), len(score))
-            more = {}
-            if evidence:
-                # A few texts at a time: what a step holds goes with their words.
-                parts = [common.fit(words[a:b]) for a, b in pieces.runs(batch.column(2))] or [common.fit([])]
-                total, count = (np.concatenate(x) for x in zip(*parts))
-                more = {"grams": pa.array(count), **{f"f{k}": pa.array(total[:, k]) for k in range(len(score))}}
-            yield pa.record_batch({
-                **more, "row": pa.array(np.arange(n, n + len(found)) + (task << 40), pa.int64()),
-                "doc_id": batch.column(0), "text_hash": batch.column(1), "any": pa.array([bool(w) for w in words], pa.bool_()),
-                **{c: pa.array(sums[:, k]) for k, c in enumerate(score)},
-                "rest": pa.array([list(r.items()) for _, r in found], pa.map_(pa.string(), pa.int64()))})
-            n += len(found)
+            # A few texts at a time: what a step holds goes with their words.
+            for a, b in pieces.runs(batch.column(2)):
+                part = batch.slice(a, b - a)
+                words = [Counter(WORD.findall(t.lower())) if t else Counter() for t in part.column(2).to_pylist()]
+                found = [common.known(w) for w in words]
+                sums = np.array([x for x, _ in found]).reshape(len(found), len(score))
+                more = {}
+                if evidence:
+                    total, count = common.fit(words)
+                    more = {"grams": pa.array(count), **{f"f{k}": pa.array(total[:, k]) for k in range(len(score))}}
+                yield pa.record_batch({
+                    **more, "row": pa.array(np.arange(n, n + len(found)) + (task << 40), pa.int64()),
+                    "doc_id": part.column(0), "text_hash": part.column(1), "any": pa.array([bool(w) for w in words], pa.bool_()),
+                    **{c: pa.array(sums[:, k]) for k, c in enumerate(score)},
+                    "rest": pa.array([list(r.items()) for _, r in found], pa.map_(pa.string(), pa.int64()))})
+                n += len(found)
 
     doubles = ", ".join(f"{c} double" for c in score)
     fits = "grams long, " + ", ".join(f"f{k} double" for k in range(len(score))) + ", " if evidence else ""

@@ -67,3 +67,15 @@ def test_export_by_range_runs_its_plan_once(spark, tmpdir_path):
     assert sinks.export_by_range(df, path, F.col("id"))
     assert rows.value == 1000 and spark.read.parquet(path).count() == 1000
     assert not sinks.export_by_range(df.where("false"), path, F.col("id")) and spark.read.parquet(path).count() == 1000
+
+
+def test_language_of_a_batch_of_several_runs(spark):
+    from quantbeam.llm import language
+    learn = spark.createDataFrame([(k, t, lang) for k, (t, lang) in enumerate(
+        [("the cat and the dog", "en"), ("der hund und die katze", "de")] * 3)], "doc_id long, text string, lang string")
+    model = language.train(learn)
+    texts = [("the dog and the cat " * 150_000, "en"), ("die katze und der hund " * 150_000, "de"), (None, "und"), ("the cat", "en"), ("", "und")]
+    docs = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(texts)], "doc_id long, text string").coalesce(1)
+    found = {r.doc_id: r for r in language.predict(docs, model, evidence=True).collect()}
+    assert [found[k].lang_pred for k in range(len(texts))] == [lang for _, lang in texts]
+    assert [found[k].fits is None for k in range(len(texts))] == [lang == "und" for _, lang in texts]
