@@ -14,6 +14,7 @@ library whole.
 from __future__ import annotations
 
 import functools
+import itertools
 import json
 import os
 
@@ -134,31 +135,33 @@ class PieceEncoder:
         self._starts[:len(keep)] = np.cumsum(lengths) - lengths
         self._again[:] = False
 
-    def _library_ids(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of pieces, one after another, and how many each has. Pieces are
-        handed over in lines, which the pattern parts again: but for white
-        space, no piece holds or touches a line's end."""
+    def _library_ids(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """An order of pieces, their ids in it, one after another, and how many
+        each has. Pieces are handed over in lines, which the pattern parts again:
+        but for white space, no piece holds or touches a line's end."""
         plain = np.array([not p.isspace() and b"\xc2\x85" not in p and b"\xc2\xa0" not in p for p in pieces], bool)
-        lines, parts = [p.decode() for p, ok in zip(pieces, plain) if ok], [None] * len(pieces)
-        at = np.flatnonzero(plain).tolist()
+        at, odd = np.flatnonzero(plain), np.flatnonzero(~plain)
+        lines = [pieces[k] for k in at.tolist()]
         step = 256
-        chunks = ["\n".join(lines[k:k + step]) for k in range(0, len(lines), step)]
-        done = 0
+        chunks = [b"\n".join(lines[k:k + step]).decode() for k in range(0, len(lines), step)]
+        parts = []
         for e in self.library.encode_batch_fast(chunks, add_special_tokens=False):
-            ids = np.array(e.ids, np.uint32)
-            cut = np.flatnonzero(ids == self._newline[0])
-            for a, b in zip([0, *(cut + 1).tolist()], [*cut.tolist(), len(ids)]):
-                parts[at[done]] = ids[a:b]
-                done += 1
-        odd = np.flatnonzero(~plain).tolist()
-        for k, e in zip(odd, self.library.encode_batch_fast([pieces[k].decode() for k in odd], add_special_tokens=False)):
-            parts[k] = np.array(e.ids, np.uint32)
-        if done != len(lines):
+            parts += e.ids, self._newline
+        ids = np.concatenate([np.array(p, np.uint32) for p in parts]) if parts else np.empty(0, np.uint32)
+        cut = np.flatnonzero(ids == self._newline[0])
+        lengths = np.diff(cut, prepend=-1) - 1
+        if len(cut) != len(lines):
             raise AssertionError("the library parted lines in another way")
-        return np.concatenate(parts), np.fromiter(map(len, parts), np.int64, len(parts))
-
-    def _learn(self, pieces: list[bytes]) -> None:
-        ids, lengths = self._library_ids(pieces)
+        ids = np.delete(ids, cut)
+        if len(odd):
+            found = self.library.encode_batch_fast([pieces[k].decode() for k in odd.tolist()], add_special_tokens=False)
+            more = [np.array(e.ids, np.uint32) for e in found]
+            ids, lengths = np.concatenate([ids, *more]), np.append(lengths, [len(m) for m in more])
+        return np.concatenate([at, odd]), ids, lengths
+
+    def _learn(self, pieces: list[bytes]) -> np.ndarray:
+        """Keep the ids of new pieces; the numbers that these have from now on."""
+        order, ids, lengths = self._library_ids(pieces)
         n, m = len(self._known), len(pieces)
         while self._used + len(ids) > len(self._ids):
             self._ids = np.concatenate([self._ids, np.empty_like(self._ids)])
@@ -169,7 +172,10 @@ class PieceEncoder:
         self._starts[n:n + m] = self._used + np.cumsum(lengths) - lengths
         self._lengths[n:n + m] = lengths
         self._used += len(ids)
-        self._known.update(zip(pieces, range(n, n + m)))
+        self._known.update(zip([pieces[k] for k in order.tolist()], range(n, n + m)))
+        number = np.empty(m, np.int64)
+        number[order] = np.arange(n, n + m)
+        return number
 
     def _gather(self, at: np.ndarray) -> np.ndarray:
         """The ids of known pieces, one after another."""
@@ -190,12 +196,11 @@ class PieceEncoder:
         values = coded.dictionary.to_pylist()
         if len(self._known) > self.max_pieces:
             self._forget()
-        before = len(self._known)
-        new = [v for v in values if v not in self._known]
-        if new:
-            self._learn(new)
-        number = np.fromiter(map(self._known.__getitem__, values), np.int64, len(values))
-        self._again[number[number < before]] = True
+        number = np.fromiter(map(self._known.get, values, itertools.repeat(-1)), np.int64, len(values))
+        self._again[number[number >= 0]] = True
+        new = np.flatnonzero(number < 0)
+        if len(new):
+            number[new] = self._learn([values[k] for k in new.tolist()])
         return number[coded.indices.to_numpy()], counts
 
     def _column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

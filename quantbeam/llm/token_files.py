@@ -41,6 +41,16 @@ BLOCKS = ("part int, seq int, first long, n long, doc_ids array<long>, counts ar
           "control binary, data binary")
 
 
+def binaries(numbers: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """The octets of numbers as a column of so many numbers a row, uncopied;
+    below the 2 GB that such a column holds."""
+    ends = np.concatenate([[0], np.cumsum(counts)]) * numbers.itemsize
+    if ends[-1] >= 1 << 31:
+        raise ValueError("more than 2 GB of ids in a step")
+    return pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(ends.astype(np.int32)),
+                                                            pa.py_buffer(np.ascontiguousarray(numbers))])
+
+
 def tokenise(docs: DataFrame, tokenizer: str, end_id: int | None = 0) -> DataFrame:
     """``(doc_id, n_tokens, ids)``: ids as little-endian unsigned integers of
     two bytes if the vocabulary allows it, else of four."""
@@ -50,16 +60,14 @@ def tokenise(docs: DataFrame, tokenizer: str, end_id: int | None = 0) -> DataFra
         encoder = pieces.shared(tokenizer)
         kind = id_type(encoder.vocab_size)
         for batch in batches:
-            for a, b in pieces.runs(batch.column(1)):
+            for a, b in pieces.runs(batch.column(1), 1 << 23):
                 ids, n = encoder.encode(batch.column(1).slice(a, b - a))
                 if end_id is not None:
                     ids = np.insert(ids, np.cumsum(n), end_id)
                     n = n + 1
-                raw, width = ids.astype(kind).tobytes(), kind.itemsize
-                ends = np.cumsum(n) * width
                 yield pa.record_batch({
                     "doc_id": batch.column(0).slice(a, b - a), "n_tokens": pa.array(n),
-                    "ids": pa.array([raw[e - k * width:e] for e, k in zip(ends.tolist(), n.tolist())], pa.binary())})
+                    "ids": binaries(ids.astype(kind), n)})
 
     return pick(docs).mapInArrow(encode, TOKENS)
 
@@ -99,8 +107,14 @@ def count_ids(tokens: DataFrame, width: int) -> DataFrame:
     def count(batches):
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for raw in batch.column(0):
-                seen = np.bincount(np.frombuffer(raw.as_buffer(), f"<u{width}"), minlength=len(total))
+            rows = batch.column(0).cast(pa.large_binary())
+            _, offsets, data = rows.buffers()
+            if data is None:
+                continue
+            ends = np.frombuffer(offsets, np.int64)[rows.offset:rows.offset + len(rows) + 1]
+            ids = np.frombuffer(data, np.uint8)[ends[0]:ends[-1]].view(f"<u{width}")
+            for k in range(0, len(ids), 1 << 20):
+                seen = np.bincount(ids[k:k + (1 << 20)], minlength=len(total))
                 seen[:len(total)] += total
                 total = seen
         ids = np.flatnonzero(total)
@@ -178,15 +192,14 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
         id_of = shared.value
         for batch in batches:
             for row in batch.to_pylist():
-                raw = id_of[decode_ranks(row["control"], row["data"], row["n"])].astype("<u4").tobytes()
+                ids = id_of[decode_ranks(row["control"], row["data"], row["n"])].astype("<u4")
                 counts = np.array(row["counts"], np.int64)
                 ends = np.cumsum(counts)
                 yield pa.record_batch({
                     "part": pa.array([row["part"]] * len(counts), pa.int32()),
                     "doc_id": pa.array(row["doc_ids"], pa.int64()), "offset": pa.array(row["first"] + ends - counts),
                     "n_tokens": pa.array(counts),
-                    "ids": pa.array([raw[4 * (e - k):4 * e] for e, k in zip(ends.tolist(), counts.tolist())],
-                                    pa.binary())})
+                    "ids": binaries(ids, counts)})
 
     # One row per written part: a bound that the writer set, not the data.
     parts = blocks.groupBy("part").agg(F.max(F.col("first") + F.col("n")).alias("size"))

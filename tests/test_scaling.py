@@ -69,6 +69,12 @@ def test_export_by_range_runs_its_plan_once(spark, tmpdir_path):
     assert not sinks.export_by_range(df.where("false"), path, F.col("id")) and spark.read.parquet(path).count() == 1000
 
 
+def test_columns_of_binaries():
+    from quantbeam.llm.token_files import binaries
+    got = binaries(np.arange(6, dtype="<u2"), np.array([2, 0, 4])).to_pylist()
+    assert got == [np.arange(2, dtype="<u2").tobytes(), b"", np.arange(2, 6, dtype="<u2").tobytes()]
+
+
 def test_language_of_a_batch_of_several_runs(spark):
     from quantbeam.llm import language
     learn = spark.createDataFrame([(k, t, lang) for k, (t, lang) in enumerate(
