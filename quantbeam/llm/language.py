@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from quantbeam.llm import pieces
 from quantbeam.llm.base import importable, pick
-from quantbeam.session import materialize
+from quantbeam.session import TEXT_BATCH, materialize
 
 UNDETERMINED = "und"
 LONGEST = 4
@@ -50,6 +50,8 @@ LONGEST = 4
 FIT = 3
 #: Entries a task holds before it hands its counts on.
 FLUSH = 400_000
+#: Bytes of texts whose words a task holds at once when it scores.
+RUN = 1 << 20
 WORD = regex.compile(r"\p{L}+")
 
 
@@ -200,7 +202,7 @@ def train(docs: DataFrame, lang_col: str = "lang", keep=None, max_words: int = 3
                        F.col(lang_col).cast("string").alias("lang")).filter("text is not null and lang is not null")
     if keep is not None:
         rows = rows.filter(keep)
-    counted = materialize(count_words(rows), "words", compression="zstd")
+    counted = materialize(count_words(rows), "words", compression="zstd", batch_bytes=TEXT_BATCH)
     totals = counted.groupBy("lang").agg(F.sum("n").alias("n"), F.count("*").alias("m")).toPandas().sort_values("lang")
     languages = totals["lang"].tolist()
     if not languages:
@@ -288,7 +290,7 @@ def predict(docs: DataFrame, model: Model, evidence: bool = False) -> DataFrame:
         common, task, n = shared.value, TaskContext.get().partitionId(), 0
         for batch in batches:
             # A few texts at a time: what a step holds goes with their words.
-            for a, b in pieces.runs(batch.column(2)):
+            for a, b in pieces.runs(batch.column(2), RUN):
                 part = batch.slice(a, b - a)
                 words = [Counter(WORD.findall(t.lower())) if t else Counter() for t in part.column(2).to_pylist()]
                 found = [common.known(w) for w in words]
@@ -308,7 +310,7 @@ def predict(docs: DataFrame, model: Model, evidence: bool = False) -> DataFrame:
     fits = "grams long, " + ", ".join(f"f{k} double" for k in range(len(score))) + ", " if evidence else ""
     # Written once: row numbers and what is handed on belong together.
     read = materialize(rows.mapInArrow(apply, fits + f"row long, doc_id long, text_hash long, any boolean, {doubles}, "
-                                              "rest map<string,bigint>"), "language-rows", compression="zstd")
+                                              "rest map<string,bigint>"), "language-rows", compression="zstd", batch_bytes=TEXT_BATCH)
     rest = read.select("row", F.explode("rest").alias("word", "n"))
     scored = score_words(rest.select("word").distinct(), model, shared)
     more = (rest.join(scored, "word").groupBy("row")

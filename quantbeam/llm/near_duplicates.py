@@ -51,7 +51,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quantbeam.llm.base import importable, pick
-from quantbeam.session import materialize
+from quantbeam.session import TEXT_BATCH, materialize
 
 MIX1, MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -325,7 +325,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: float = 0.8, band
     texts; ``heads`` marks the rows with the text that stands for the group
     (the text of the least id)."""
     base = pick(docs)
-    signs = materialize(signed(base, size, bands, rows), "signatures")
+    signs = materialize(signed(base, size, bands, rows), "signatures", batch_bytes=TEXT_BATCH)
     # Nodes: distinct texts, numbered by hash where ids are null or shared.
     nodes = materialize(signs.groupBy("text_key").agg(F.min("doc_id").alias("least"), F.first("weight").alias("weight"),
                                                       F.first("keys").alias("keys"))
@@ -341,7 +341,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: float = 0.8, band
     wanted = members.select("node").distinct().join(nodes.select("node", "text_key"), "node")
     texts = materialize(base.select(text_key(F.col("text")).alias("text_key"), "text").join(wanted, "text_key")
                         .groupBy("node").agg(F.first("text").alias("text")), "texts", compression="zstd")
-    links = materialize(verify(stars, texts, size, threshold), "links")
+    links = materialize(verify(stars, texts, size, threshold), "links", batch_bytes=TEXT_BATCH)
     roots = groups(links, "roots")
 
     grouped = (members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from quantbeam.llm import pieces
 from quantbeam.llm.base import importable, pick
-from quantbeam.session import materialize
+from quantbeam.session import TEXT_BATCH, materialize
 
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long"
 PACKED = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
@@ -81,7 +81,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int | No
     """One row per piece with its ids (little-endian unsigned 32-bit), its
     sequence and its place there. Sequence ids are unique, odd for whole
     pieces and even for packed ones."""
-    cuts = materialize(cut(docs, tokenizer, capacity, end_id), "pieces", compression="zstd")
+    cuts = materialize(cut(docs, tokenizer, capacity, end_id), "pieces", compression="zstd", batch_bytes=TEXT_BATCH)
     whole = cuts.filter(F.col("length") == capacity).select(
         "*", (F.monotonically_increasing_id() * 2 + 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     rests = cuts.filter(F.col("length") < capacity)

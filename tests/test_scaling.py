@@ -85,3 +85,59 @@ def test_language_of_a_batch_of_several_runs(spark):
     found = {r.doc_id: r for r in language.predict(docs, model, evidence=True).collect()}
     assert [found[k].lang_pred for k in range(len(texts))] == [lang for _, lang in texts]
     assert [found[k].fits is None for k in range(len(texts))] == [lang == "und" for _, lang in texts]
+
+
+def test_texts_are_scored_in_bounded_batches(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from pyspark.accumulators import AccumulatorParam
+    from quantbeam.llm import language, pieces
+
+    class Listed(AccumulatorParam):
+        def zero(self, value):
+            return []
+
+        def addInPlace(self, a, b):
+            a.extend(b)
+            return a
+
+    learn = spark.createDataFrame([(k, t, lang) for k, (t, lang) in enumerate(
+        [("the cat and the dog", "en"), ("der hund und die katze", "de")] * 3)], "doc_id long, text string, lang string")
+    model = language.train(learn)
+    batches, slices = (spark.sparkContext.accumulator([], Listed()) for _ in range(2))
+    plain = pieces.runs
+
+    def runs(texts, *most):
+        batches.add([texts.nbytes])
+        for a, b in plain(texts, *most):
+            slices.add([texts.slice(a, b - a).nbytes])
+            yield a, b
+
+    monkeypatch.setattr(language, "pieces", SimpleNamespace(runs=runs))
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    docs = spark.range(0, 1200, 1, 1).selectExpr("id AS doc_id", "repeat('the dog ', 2000) AS text")
+    found = language.predict(docs, model, evidence=True).collect()
+    assert len(found) == 1200 and {r.lang_pred for r in found} == {"en"}
+    assert max(batches.value) < 5 << 20 and max(slices.value) < 5 << 18 and sum(slices.value) > 1200 * 16_000
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == before
+
+
+def test_pipeline_steps_that_read_texts_in_python_bound_their_batches(spark, monkeypatch):
+    from quantbeam.llm import language, near_duplicates, packing, quality_rules
+    from quantbeam.llm.queries import tokenizer
+    from quantbeam.session import materialize
+    bounds = {}
+
+    def spy(df, label="stage", *a, **b):
+        bounds[label] = b.get("batch_bytes") or 1 << 40
+        return materialize(df, label, *a, **b)
+
+    for module in (language, near_duplicates, packing, quality_rules):
+        monkeypatch.setattr(module, "materialize", spy)
+    docs = spark.createDataFrame([(k, f"the cat and the dog {k % 2}", "en") for k in range(4)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(0, 0), (1, 1)], "doc_id long, quality int")
+    language.predict(docs, language.train(docs)).collect()
+    near_duplicates.near_duplicates(docs).collect()
+    packing.pack(docs, tokenizer()).collect()
+    quality_rules.judge(docs, labels).collect()
+    assert all(bounds[k] <= 4 << 20 for k in ("words", "language-rows", "signatures", "links", "pieces", "statistics"))
