@@ -274,6 +274,27 @@ def test_decontamination_is_one_plan_of_few_bytes(spark):
             spark.conf.set(k, v)
 
 
+def test_decontamination_writes_few_files_of_matches(spark):
+    """Texts are read by many tasks, each of which finds a few windows."""
+    rnd = random.Random(9)
+    texts = [(k, " ".join(str(rnd.randrange(10 ** 9)) for _ in range(3000))) for k in range(32)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    bench = spark.createDataFrame([(k, " ".join(t.split()[50:63])) for k, t in texts], "item_id long, text string")
+    sizes = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+             "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k"}
+    before = {k: spark.conf.get(k) for k in sizes}
+    try:
+        for k, v in sizes.items():
+            spark.conf.set(k, v)
+        rows = decontamination.keyed_texts(docs)
+        found = decontamination.matches(rows, decontamination.split_corpus(rows), bench)
+        assert len(found.inputFiles()) <= 2
+        assert sorted((r.doc.doc_id, r.item_id, r.start) for r in found.collect()) == sorted((k, str(k), 50) for k, _ in texts)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_proximity(spark):
     item = "alpha beta gamma delta epsilon"
     rows = spark.createDataFrame([(1, item), (2, "alpha beta new gamma delta epsilon"), (3, "epsilon x x x alpha"),
